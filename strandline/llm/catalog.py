@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandline.llm import exact_dedup, mixing, quality
+from strandline.llm import bpe, exact_dedup, mixing, quality
 from strandline.llm.text import read
 
 
@@ -12,6 +12,18 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_bpe_round_trip(spark, sf_dir):
+    out = bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return out.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality.quality(read(spark, sf_dir, "documents"))
 
@@ -21,7 +33,7 @@ def op10_mix_sources(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_exact_dedup, op9_quality_rules, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_bpe_round_trip, op9_quality_rules, op10_mix_sources)}
 
 
 def oracle_sql():
