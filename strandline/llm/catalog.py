@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, exact_dedup, mixing, quality
+from strandline.llm import bpe, exact_dedup, mixing, quality, substring
 from strandline.llm.text import read
 
 
@@ -24,6 +24,11 @@ def op3_bpe_round_trip(spark, sf_dir):
     return out.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_substring_dedup(spark, sf_dir):
+    out = substring.substring_dedup(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality.quality(read(spark, sf_dir, "documents"))
 
@@ -33,7 +38,7 @@ def op10_mix_sources(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_exact_dedup, op3_bpe_round_trip, op9_quality_rules, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_bpe_round_trip, op4_substring_dedup, op9_quality_rules, op10_mix_sources)}
 
 
 def oracle_sql():
