@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, exact_dedup, mixing, quality, substring
-from strandline.llm.text import read
+from strandline.llm import bpe, exact_dedup, mixing, quality, repair, substring
+from strandline.llm.ship import ship
+from strandline.llm.store import scratch
+from strandline.llm.text import read as _read
+
+
+def read(spark, sf_dir, table):
+    ship(spark)
+    return _read(spark, sf_dir, table)
 
 
 def op1_exact_dedup(spark, sf_dir):
@@ -18,6 +30,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_repair_tokens(spark, sf_dir):
+    file = scratch(spark, "tokens")
+    repair.write(read(spark, sf_dir, "documents"), file, tokenizer_path(), end_id=2)
+    crc = F.pandas_udf(_ids_crc32, "bigint")
+    return repair.read(spark, file).select(F.col("id").alias("doc_id"), "start", "n_tokens", crc("ids").alias("ids_crc32"))
+
+
+def _ids_crc32(ids: pd.Series) -> pd.Series:
+    return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
+
+
 def op3_bpe_round_trip(spark, sf_dir):
     out = bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
@@ -38,7 +61,7 @@ def op10_mix_sources(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_exact_dedup, op3_bpe_round_trip, op4_substring_dedup, op9_quality_rules, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_repair_tokens, op3_bpe_round_trip, op4_substring_dedup, op9_quality_rules, op10_mix_sources)}
 
 
 def oracle_sql():
