@@ -9,6 +9,8 @@ import pyarrow as pa
 
 _BYTE = np.random.default_rng(97).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE, _STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_LOWER = _BYTE.copy()
+_LOWER[0x41:0x5B] = _BYTE[0x61:0x7B]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _CHUNK = 1 << 21
@@ -37,8 +39,8 @@ def _upto(base: int, n: int):
     return _powers(base, 1 << max(16, int(n).bit_length()))
 
 
-def word_hashes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs without ASCII white space) and where each text's begin, one more at the end. Texts are not null."""
+def word_hashes(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (runs without ASCII white space) and where each text's begin, one more at the end. Texts are not null. lower: A-Z count as a-z."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
         texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
@@ -51,14 +53,14 @@ def word_hashes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(at, at[i] + _CHUNK, "right")) - 1)
         j = min(j, len(texts))
-        h, n = _chunk(data[at[i] : at[j]], at[i : j + 1] - at[i])
+        h, n = _chunk(data[at[i] : at[j]], at[i : j + 1] - at[i], _LOWER if lower else _BYTE)
         parts.append(h)
         counts.append(n)
         i = j
     return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
 
 
-def _chunk(b: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chunk(b: np.ndarray, at: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(b):
         return np.zeros(0, np.uint64), np.zeros(len(at) - 1, np.int64)
     word = ~_SPACE[b]
@@ -71,7 +73,7 @@ def _chunk(b: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     end = np.flatnonzero(word & (~after | first[1:])) + 1
     power, inverse = _upto(_BASE, len(b))
     total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_BYTE[b] * power[: len(b)], out=total[1:])
+    np.cumsum(byte[b] * power[: len(b)], out=total[1:])
     h = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
     return h, np.diff(np.searchsorted(start, at))
 

@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below spark.checkpoint.dir; where that is unset, below the checkpoint folder that the session was given or the warehouse."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
@@ -14,7 +17,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written to a scratch table and read again: its lineage ends here, and a lost executor takes nothing with it."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    """df, written to a scratch table and read again: its lineage ends here, and a lost executor takes nothing with it. The job's shuffle files go when it has ended."""
+    path, conf = scratch(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
