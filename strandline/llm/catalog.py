@@ -9,7 +9,7 @@ import pandas as pd
 
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, exact_dedup, lm, mixing, quality, repair, substring
+from strandline.llm import bpe, exact_dedup, lm, mixing, order_minhash, quality, repair, substring
 from strandline.llm.ship import ship
 from strandline.llm.store import scratch
 from strandline.llm.text import read as _read
@@ -52,6 +52,10 @@ def op4_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_order_minhash(spark, sf_dir):
+    return order_minhash.near_dedup(read(spark, sf_dir, "documents"))
+
+
 def op6_lm_scores(spark, sf_dir):
     return lm.lm_scores(read(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def op10_mix_sources(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_repair_tokens, op3_bpe_round_trip, op4_substring_dedup, op6_lm_scores, op9_quality_rules, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_repair_tokens, op3_bpe_round_trip, op4_substring_dedup, op5_order_minhash, op6_lm_scores, op9_quality_rules, op10_mix_sources)}
 
 
 def oracle_sql():
