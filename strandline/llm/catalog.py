@@ -9,7 +9,7 @@ import pandas as pd
 
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, exact_dedup, lm, mixing, order_minhash, quality, repair, substring, toxicity
+from strandline.llm import bpe, exact_dedup, html_text, lm, mixing, order_minhash, quality, repair, substring, toxicity
 from strandline.llm.ship import ship
 from strandline.llm.store import scratch
 from strandline.llm.text import read as _read
@@ -60,6 +60,10 @@ def op6_lm_scores(spark, sf_dir):
     return lm.lm_scores(read(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark, sf_dir):
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark, sf_dir):
     out = toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
@@ -74,7 +78,7 @@ def op10_mix_sources(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_repair_tokens, op3_bpe_round_trip, op4_substring_dedup, op5_order_minhash, op6_lm_scores, op8_toxicity, op9_quality_rules, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_repair_tokens, op3_bpe_round_trip, op4_substring_dedup, op5_order_minhash, op6_lm_scores, op7_html_text, op8_toxicity, op9_quality_rules, op10_mix_sources)}
 
 
 def oracle_sql():

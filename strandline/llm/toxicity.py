@@ -6,7 +6,8 @@ insult with a character put in or taken out stays close to it. Strings are the t
 runs of single characters that spaced-out writing leaves, joined.
 
 Landmarks are the words that training documents of label 1 hold most more often than those of label 0. A string's map
-is its similarity to each landmark, sharpened: what is below FLOOR counts as nothing. A document's map is the largest
+is its similarity to each landmark, sharpened: what is below FLOOR counts as nothing, what is above FULL as one, so one
+character more or less in an insult changes little. A document's map is the largest
 of its words' maps, coordinate by coordinate: the union of what its sentences say; the Nystroem whitening of the
 landmarks' own kernel matrix follows, then a linear SVM (squared hinge loss) and a logistic calibration of its margin
 on the training rows.
@@ -14,7 +15,7 @@ on the training rows.
 Training uses labelled rows of the training folds. Of these, the SAMPLE rows of each label with the smallest hashes of
 their id are taken, a bound that is a parameter; landmarks, machine and calibration are fitted on the driver to that
 bounded sample. Each text of the table is scored whole, in one pass without a shuffle; a word is scored when its
-letters can reach FLOOR at all, and then once in each batch.
+letters can reach FLOOR at all, and its map is kept for the worker's next texts.
 
 Defined results: null and empty texts get the score of a text that resembles no landmark; repeated rows are scored
 alike; a null label is no label, of several labels of an id the largest counts; without labels of both kinds every
@@ -35,8 +36,11 @@ from strandline.llm.text import whole
 SUBSEQUENCE = 3
 DECAY = 0.7
 FLOOR = 0.5
+FULL = 0.65
 LANDMARKS = 160
 SAMPLE = 6000
+KEPT = 600_000
+LEAST_GAIN = 12.0  # of a landmark: documents of label 1 times the log of its ratio of shares
 LONGEST = 24  # a longer string is read in overlapping pieces of this length
 SCORES = "id bigint, held_out boolean, score double"
 _LETTERS = re.compile(r"[^\W_]+", re.UNICODE)
@@ -124,9 +128,21 @@ class Landmarks:
         self.codes = [_codes([w])[0] for w in words]
         self.self_ = np.array([self_kernel(c[None, :])[0] for c in self.codes])
         self.letters = _masks(words)
+        self.cold, self.warm = set(), {}
+
+    def known(self, words: list[str]) -> dict[str, np.ndarray]:
+        """Rows of similarities of the words that have any; a worker keeps what it found for KEPT words at most."""
+        if len(self.cold) + len(self.warm) > KEPT:
+            self.cold, self.warm = set(), {}
+        if new := [w for w in words if w not in self.cold and w not in self.warm]:
+            similar = self.similarities(new)
+            some = similar.any(1)
+            self.warm.update((new[i], similar[i]) for i in np.flatnonzero(some).tolist())
+            self.cold.update(new[i] for i in np.flatnonzero(~some).tolist())
+        return self.warm
 
     def similarities(self, words: list[str]) -> np.ndarray:
-        """Normalised kernels of words with landmarks; 0 for what cannot reach FLOOR by its letters."""
+        """Normalised kernels of words with landmarks, less FLOOR; 0 for what cannot reach FLOOR by its letters."""
         pieces, of = _pieces(words)
         out = np.zeros((len(words), len(self.words)), np.float32)
         if not pieces:
@@ -154,7 +170,7 @@ class Landmarks:
                 raw = np.concatenate([kernel(codes[x], self.codes[k]) for x in np.array_split(near, -(-len(near) // 4096))])
                 value = raw / np.sqrt(np.maximum(own[group[near]] * self.self_[k], 1e-30))
                 np.maximum.at(out[:, k], of[group[near]], value)
-        return np.maximum(out - FLOOR, 0) / (1 - FLOOR)
+        return np.clip((out - FLOOR) / (FULL - FLOOR), 0, 1)
 
 
 def _masks(words: list[str]) -> np.ndarray:
@@ -171,28 +187,27 @@ def _bits(x: np.ndarray) -> np.ndarray:
 def document_maps(texts: list[str], landmarks: Landmarks) -> np.ndarray:
     """For each text the largest similarity that a string of it has with each landmark."""
     each = [strings(t) for t in texts]
-    all_strings = list(set().union(*each))
-    similar = landmarks.similarities(all_strings)
-    some = np.flatnonzero(similar.any(1))
-    row = {all_strings[i]: i for i in some.tolist()}
+    all_strings = set().union(*each)
+    rows = landmarks.known(list(all_strings))
+    some = all_strings & rows.keys()
     out = np.zeros((len(texts), len(landmarks.words)), np.float32)
     for k, own in enumerate(each):
-        if hits := [row[s] for s in own & row.keys()]:
-            out[k] = similar[hits].max(0)
+        if hits := own & some:
+            out[k] = np.maximum.reduce([rows[s] for s in hits])
     return out
 
 
 def choose_landmarks(texts: list[str], labels: np.ndarray, most: int = LANDMARKS) -> list[str]:
     """Strings that tell label 1 from label 0: by the number of documents of each that hold them."""
     count: dict[str, list[int]] = {}
-    for text, label in zip(texts, labels.tolist()):
+    for text, label in sorted(set(zip(texts, labels.tolist()))):  # copies count once
         for s in strings(text):
             count.setdefault(s, [0, 0])[label] += 1
     n = np.maximum(np.bincount(labels, minlength=2), 1)
     gain = {}
     for s, (zero, one) in count.items():
         p, q = one / n[1], (zero + 0.5) / n[0]
-        if one >= 3 and p > 3 * q and len(s) <= LONGEST:
+        if p > 3 * q and len(s) <= LONGEST and one * np.log(p / q) >= LEAST_GAIN:
             gain[s] = one * np.log(p / q)
     return sorted(gain, key=lambda s: (-gain[s], s))[:most]
 
