@@ -17,8 +17,8 @@ that token, as the library has it. An empty table gives an empty result.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import blocks
+from strandline.llm.hashing import ragged, word_spans
 from strandline.llm.text import whole
 
 SCHEMA = "id bigint, n_tokens bigint, ids array<int>, decoded string"
@@ -62,18 +63,6 @@ def check_splits(path: str) -> None:
             raise ValueError("this tokenizer does not split at white space, or has a decoder")
 
 
-def _texts(table: pa.Table) -> list[bytes]:
-    return table.column("text").cast(pa.binary()).to_pylist()
-
-
-def _by_bin(texts: list[bytes], bins: int) -> dict[int, list[bytes]]:
-    """Distinct words by bin, each list in order."""
-    out: dict[int, list[bytes]] = {}
-    for w in sorted(set().union(*map(bytes.split, texts))):
-        out.setdefault(zlib.crc32(w) % bins, []).append(w)
-    return out
-
-
 def _pack(raw: bytes) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
@@ -82,10 +71,50 @@ def _unpack(packed: bytes) -> bytes:
     return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
 
 
+class Words:
+    """A block's texts as numbers of its distinct words, which are told apart by 64-bit hashes and come in the order of their bins."""
+
+    def __init__(self, texts: pa.ChunkedArray, bins: int):
+        h, self.at, start, end, self.data = word_spans(texts)
+        distinct, first, place = np.unique(h, return_index=True, return_inverse=True)
+        bin_ = (distinct % np.uint64(bins)).astype(np.int64)
+        by_bin = np.argsort(bin_, kind="stable")
+        rank = np.empty(len(distinct), np.int64)
+        rank[by_bin] = np.arange(len(distinct))
+        self.number = rank[place]  # of each word of the texts
+        self.start, self.size = start[first][by_bin], (end - start)[first][by_bin]
+        self.edges = np.searchsorted(bin_[by_bin], np.arange(bins + 1))
+
+    def messages(self):
+        for b, (x, y) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist())):
+            if y > x:
+                spaced = np.full((self.size[x:y] + 1).sum(), 0x20, np.uint8)
+                to = np.cumsum(self.size[x:y] + 1) - self.size[x:y] - 1
+                spaced[ragged(to, self.size[x:y])] = self.data[ragged(self.start[x:y], self.size[x:y])]
+                yield b, y - x, _pack(spaced.tobytes())
+
+    def ids(self, answers: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each distinct word, and all their ids."""
+        n, ids = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
+        for b, (x, y) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist())):
+            if y > x:
+                size, raw = answers[b][0], np.frombuffer(_unpack(answers[b][1]), "<u4")
+                if size != y - x:
+                    raise ValueError("an answer does not fit its question")
+                n.append(raw[:size])
+                ids.append(raw[size:])
+        return np.concatenate(n).astype(np.int64), np.concatenate(ids)
+
+    def text_ids(self, n: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the place where each text's begin, one more at the end."""
+        count = n[self.number]
+        at = np.concatenate([[0], np.cumsum(count)])[self.at]
+        return ids[ragged((np.cumsum(n) - n)[self.number], count)], at
+
+
 def asker(bins: int):
     def ask(table: pa.Table):
-        for b, words in _by_bin(_texts(table), bins).items():
-            yield b, len(words), _pack(b" ".join(words))
+        return Words(table.column("text"), bins).messages()
 
     return ask
 
@@ -97,57 +126,33 @@ def answerer(path: str):
         at = {w: i for i, w in enumerate(all_words)}
         t, ids = tokenizer(path), []
         for i in range(0, len(all_words), 4096):
-            ids += [np.array(e.ids, "<u4") for e in t.encode_batch([w.decode("utf-8", "replace") for w in all_words[i : i + 4096]], add_special_tokens=False)]
-        out = []
+            ids += [e.ids for e in t.encode_batch([w.decode("utf-8", "replace") for w in all_words[i : i + 4096]], add_special_tokens=False)]
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), "<u4", int(n.sum()))
+        first, out = np.cumsum(n) - n, []
         for words in asked:
-            own = [ids[at[w]] for w in words]
-            n = np.fromiter(map(len, own), "<u4", len(own))
-            out.append((len(own), _pack(n.tobytes() + (np.concatenate(own) if own else n).tobytes())))
+            own = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+            out.append((len(own), _pack(n[own].astype("<u4").tobytes() + flat[ragged(first[own], n[own])].tobytes())))
         return out
 
     return answer
 
 
-def word_ids(texts: list[bytes], bins: int, answers: dict) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
-    """Number of each word, and of each number the count of ids and the place of the first among all ids; all ids."""
-    number: dict[bytes, int] = {}
-    n_parts, id_parts = [], []
-    for b, words in _by_bin(texts, bins).items():
-        n, raw = answers[b][0], np.frombuffer(_unpack(answers[b][1]), "<u4")
-        if n != len(words):
-            raise ValueError("an answer does not fit its question")
-        for w in words:
-            number[w] = len(number)
-        n_parts.append(raw[:n])
-        id_parts.append(raw[n:])
-    none = np.zeros(0, "<u4")
-    return number, np.concatenate([*n_parts, none]).astype(np.int64), np.concatenate([*id_parts, none])
-
-
-def doc_ids(texts: list[bytes], number: dict[bytes, int], n: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, and the place where each text's begin (one more at the end)."""
-    at = [np.fromiter(map(number.__getitem__, words), np.int64, len(words)) for words in map(bytes.split, texts)]
-    sizes = np.fromiter((n[a].sum() for a in at), np.int64, len(at))
-    flat = np.concatenate([*at, np.zeros(0, np.int64)])
-    starts, count = (np.cumsum(n) - n)[flat], n[flat]
-    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    return ids[np.repeat(starts, count) + place], np.concatenate([[0], np.cumsum(sizes)])
-
-
 def _applier(path: str, bins: int, decode: bool):
-    def apply(table: pa.Table, answers: dict) -> pa.Table:
-        texts = _texts(table)
-        number, n, ids = word_ids(texts, bins, answers)
-        flat, offsets = doc_ids(texts, number, n, ids)
+    def apply(block: int, table: pa.Table, answers: dict) -> pa.Table:
+        words = Words(table.column("text"), bins)
+        n, ids = words.ids(answers)
+        flat, at = words.text_ids(n, ids)
+        decoded = [None] * len(table)
         if decode:
             piece, ends = pieces(path)[ids].tolist(), np.cumsum(n)
-            said = [" ".join(piece[e - k : e]) if k else None for e, k in zip(ends.tolist(), n.tolist())]
-            by_word = dict(zip(number, said))
-            decoded = [" ".join(filter(None, map(by_word.__getitem__, t.split()))) for t in texts]
-        else:
-            decoded = [None] * len(texts)
+            said = np.array([" ".join(piece[e - k : e]) for e, k in zip(ends.tolist(), n.tolist())], dtype=object)
+            some = n[words.number] > 0
+            ends = np.concatenate([[0], np.cumsum(some)])[words.at]
+            spoken = said[words.number[some]].tolist()
+            decoded = [" ".join(spoken[x:y]) for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())]
         return pa.table([
-            table.column("id"), pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32))), pa.array(decoded, pa.string()),
+            table.column("id"), pa.array(np.diff(at)), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.astype(np.int32))), pa.array(decoded, pa.string()),
         ], ["id", "n_tokens", "ids", "decoded"])
 
     return apply
@@ -158,6 +163,6 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     check_splits(path)
     n_blocks, bins = blocks.counts(docs, text_col)
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), whole(text_col).alias("text"))
-    rows = slim.withColumn("block", blocks.dealt(slim, n_blocks))
-    out = blocks.ask_and_answer(rows, asker(bins), answerer(path), _applier(path, bins, decode), SCHEMA)
+    packets = blocks.packed(slim.withColumn("block", blocks.dealt(slim, n_blocks)))
+    out = blocks.ask_and_answer(packets, asker(bins), answerer(path), _applier(path, bins, decode), SCHEMA)
     return out.withColumnRenamed("id", id_col)

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
-import numpy as np
-import pandas as pd
-
 from pyspark.sql import functions as F
 
 from strandline.llm import bpe, exact_dedup, html_text, lm, mixing, order_minhash, quality, repair, substring, toxicity
@@ -33,12 +28,7 @@ def tokenizer_path() -> str:
 def op2_repair_tokens(spark, sf_dir):
     file = scratch(spark, "tokens")
     repair.write(read(spark, sf_dir, "documents"), file, tokenizer_path(), end_id=2)
-    crc = F.pandas_udf(_ids_crc32, "bigint")
-    return repair.read(spark, file).select(F.col("id").alias("doc_id"), "start", "n_tokens", crc("ids").alias("ids_crc32"))
-
-
-def _ids_crc32(ids: pd.Series) -> pd.Series:
-    return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
+    return repair.read(spark, file).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op3_bpe_round_trip(spark, sf_dir):

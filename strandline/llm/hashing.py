@@ -41,28 +41,36 @@ def _upto(base: int, n: int):
 
 def word_hashes(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (runs without ASCII white space) and where each text's begin, one more at the end. Texts are not null. lower: A-Z count as a-z."""
+    h, at, _, _, _ = word_spans(texts, lower)
+    return h, at
+
+
+def word_spans(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What word_hashes gives, then each word's first byte and the byte after its last, and the bytes."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
         texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
     texts = texts.cast(pa.large_binary())
     if not len(texts):
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
     at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-    parts, counts, i = [], [], 0
+    parts, counts, starts, ends, i = [], [], [], [], 0
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(at, at[i] + _CHUNK, "right")) - 1)
         j = min(j, len(texts))
-        h, n = _chunk(data[at[i] : at[j]], at[i : j + 1] - at[i], _LOWER if lower else _BYTE)
+        h, n, start, end = _chunk(data[at[i] : at[j]], at[i : j + 1] - at[i], _LOWER if lower else _BYTE)
         parts.append(h)
         counts.append(n)
+        starts.append(start + at[i])
+        ends.append(end + at[i])
         i = j
-    return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))]), np.concatenate(starts), np.concatenate(ends), data
 
 
-def _chunk(b: np.ndarray, at: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chunk(b: np.ndarray, at: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     if not len(b):
-        return np.zeros(0, np.uint64), np.zeros(len(at) - 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(at) - 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     word = ~_SPACE[b]
     first = np.zeros(len(b) + 1, bool)  # a text begins here
     first[at] = True
@@ -75,7 +83,13 @@ def _chunk(b: np.ndarray, at: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray,
     total = np.zeros(len(b) + 1, np.uint64)
     np.cumsum(byte[b] * power[: len(b)], out=total[1:])
     h = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
-    return h, np.diff(np.searchsorted(start, at))
+    return h, np.diff(np.searchsorted(start, at)), start, end
+
+
+def ragged(starts: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places starts[i] .. starts[i] + count[i] - 1, for each i in turn."""
+    count = count.astype(np.int64)
+    return np.repeat(starts - (np.cumsum(count) - count), count) + np.arange(count.sum())
 
 
 def windows(h: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

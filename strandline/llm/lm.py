@@ -170,17 +170,17 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     n_blocks, bins = blocks.counts(docs, text_col)
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), whole(text_col).alias("text"), (fold != 0).alias("train"))
-    rows = slim.withColumn("block", blocks.dealt(slim, n_blocks))
+    packets = blocks.packed(slim.withColumn("block", blocks.dealt(slim, n_blocks)))
 
     def ask(table: pa.Table):
         return _Grams(table, bins, order).messages(bins)
 
-    answers = written(rows.groupBy("block").applyInArrow(blocks._asker(ask), blocks.ASKS).groupBy("bin").applyInArrow(_add_up, blocks.ANSWERS), "ngrams")
+    answers = written(packets.groupBy("block").applyInArrow(blocks.asker(ask), blocks.ASKS).groupBy("bin").applyInArrow(_add_up, blocks.ANSWERS), "ngrams")
     sums = answers.where("block = -1").agg(F.sum("n").alias("v"), F.sum(F.col("payload").cast("string").cast("bigint")).alias("n")).first()
     v, n_tokens, n_docs = sums["v"] or 0, sums["n"] or 0, slim.where("train").count()
-    grouped = rows.groupBy("block").cogroup(answers.where("block >= 0").groupBy("block"))
+    grouped = packets.groupBy("block").cogroup(answers.where("block >= 0").groupBy("block"))
 
-    def histogram(table: pa.Table, answers: dict) -> pa.Table:
+    def histogram(block: int, table: pa.Table, answers: dict) -> pa.Table:
         g = _Grams(table, bins, order)
         p, bucket = _estimates(g, g.totals(answers, bins), n_tokens, n_docs, without=1)
         p, bucket = [x[g.train] for x in p], bucket[g.train]
@@ -188,11 +188,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
         cell, place, n = np.unique(cell, return_inverse=True, return_counts=True)
         return pa.table([pa.array(cell), pa.array(n), *(pa.array(np.bincount(place, weights=x, minlength=len(cell))) for x in p)], ["cell", "n", "p1", "p2", "p3"])
 
-    cells = written(grouped.applyInArrow(blocks.applier(histogram, HISTOGRAM), HISTOGRAM).groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("n", "p1", "p2", "p3"))), "histogram").toPandas()
+    cells = written(grouped.applyInArrow(blocks.applier(histogram), HISTOGRAM).groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("n", "p1", "p2", "p3"))), "histogram").toPandas()
     n = cells["n"].to_numpy(float)
     w = weights(cells["cell"].to_numpy(np.int64) // STEPS**3, n, cells[["p1", "p2", "p3"]].to_numpy(float) / np.maximum(n, 1)[:, None], 1 / (v + 1))
 
-    def score(table: pa.Table, answers: dict) -> pa.Table:
+    def score(block: int, table: pa.Table, answers: dict) -> pa.Table:
         g = _Grams(table, bins, order)
         totals = g.totals(answers, bins)
         p, bucket = _estimates(g, totals, n_tokens, n_docs, without=0)
@@ -204,4 +204,4 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
             pa.array(np.full(len(table), n_tokens, np.int64)), pa.array(add(base)), pa.array(add(np.log10(mixed))),
         ], ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return grouped.applyInArrow(blocks.applier(score, SCORES), SCORES).withColumnRenamed("id", id_col)
+    return grouped.applyInArrow(blocks.applier(score), SCORES).withColumnRenamed("id", id_col)

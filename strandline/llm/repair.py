@@ -27,33 +27,30 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import blocks, bpe
+from strandline.llm.hashing import ragged
 from strandline.llm.text import whole
 
 MAGIC = b"RPG1"
 LEAST_COUNT = 8
-ROUNDS = 12
+ROUNDS = 6
+PAIRS = 4096  # of a round, at least
+SHARD_BYTES = 3 << 20  # of text
 FILE = "shard int, n_docs bigint, n_ids bigint, payload binary"
-DECODED = "shard int, place int, id bigint, before bigint, n_tokens bigint, ids array<int>"
+DECODED = "shard int, place int, id bigint, before bigint, n_tokens bigint, ids binary"
 _NULL = np.iinfo(np.int64).min
 _BINS = 1 << 21
 
 
-def ragged(starts: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The places starts[i] .. starts[i] + count[i] - 1, for each i in turn."""
-    count = count.astype(np.int64)
-    return np.repeat(starts - (np.cumsum(count) - count), count) + np.arange(count.sum())
-
-
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_COUNT, rounds: int = ROUNDS):
     """ids of all documents, and the place after each document's last. Gives left, right, lengths, symbols, and places."""
-    seq = ids.astype(np.int64)
-    doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    seq = ids.astype(np.int32)
+    doc = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
     known: dict[int, int] = {}  # pair -> nonterminal
     for _ in range(rounds):
         if len(seq) < 2:
             break
         inside = doc[1:] == doc[:-1]
-        key = (seq[:-1] << 32) | seq[1:]
+        key = (seq[:-1].astype(np.int64) << 32) | seq[1:]
         bin_ = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(43)).astype(np.int64)
         count = np.bincount(bin_[inside], minlength=_BINS)
         often = np.flatnonzero(inside & (count[bin_] >= least))
@@ -63,9 +60,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_CO
         if n.max() < least:
             break
         taken = n >= max(least, n.max() // 2)
-        if taken.sum() < 2048:  # a round replaces many pairs, or a long tail of rounds would follow
-            taken = n >= max(least, np.sort(n)[-min(2048, len(n))])
-        rank = np.zeros(len(seq) + 1, np.int64)  # of the pair that begins at each place; 0: none
+        if taken.sum() < PAIRS:  # or a long tail of rounds would follow
+            taken = n >= max(least, np.sort(n)[-min(PAIRS, len(n))])
+        rank = np.zeros(len(seq) + 1, np.int32)  # of the pair that begins at each place; 0: none
         rank[often] = np.where(taken, n, 0)[number]
         chosen = _winners(rank[:-1], key)
         at = np.flatnonzero(chosen)
@@ -141,27 +138,27 @@ class Shard:
 def write(docs: DataFrame, file: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes docs' texts with the tokenizer at path and writes them as a new file."""
     bpe.check_splits(path)
-    n_shards, bins = blocks.counts(docs, text_col)
+    n_shards, bins = blocks.counts(docs, text_col, SHARD_BYTES)
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), whole(text_col).alias("text"))
-    rows = slim.withColumn("block", F.lit(0)) if n_shards == 1 else ranged(slim, n_shards)
+    rows = slim.withColumn("block", F.lit(0)) if n_shards == 1 else by_range(slim, n_shards)
     base = max(len(bpe.pieces(path)), end_id + 1)
 
-    def apply(table: pa.Table, answers: dict) -> pa.Table:
+    def apply(block: int, table: pa.Table, answers: dict) -> pa.Table:
         own = table.column("id").fill_null(_NULL).to_numpy()
         order = np.argsort(own, kind="stable")
-        texts = bpe._texts(table.take(order))
-        flat, at = bpe.doc_ids(texts, *bpe.word_ids(texts, bins, answers))
+        words = bpe.Words(table.column("text").take(pa.array(order)), bins)
+        flat, at = words.text_ids(*words.ids(answers))
         ends = at[1:] + np.arange(1, len(at))
-        ids = np.full(len(flat) + len(texts), end_id, np.int64)
-        ids[ragged(at[:-1] + np.arange(len(texts)), np.diff(at))] = flat
+        ids = np.full(len(flat) + len(order), end_id, np.int32)
+        ids[ragged(at[:-1] + np.arange(len(order)), np.diff(at))] = flat
         return pa.table([
-            table.column("block").slice(0, 1), pa.array([len(texts)]), pa.array([len(ids)]), pa.array([to_payload(own[order], ids, ends, base)], pa.binary()),
+            pa.array([block], pa.int32()), pa.array([len(order)]), pa.array([len(ids)]), pa.array([to_payload(own[order], ids, ends, base)], pa.binary()),
         ], ["shard", "n_docs", "n_ids", "payload"])
 
-    blocks.ask_and_answer(rows, bpe.asker(bins), bpe.answerer(path), apply, FILE).write.mode("overwrite").parquet(file)
+    blocks.ask_and_answer(blocks.packed(rows), bpe.asker(bins), bpe.answerer(path), apply, FILE).write.mode("overwrite").parquet(file)
 
 
-def ranged(slim: DataFrame, n: int) -> DataFrame:
+def by_range(slim: DataFrame, n: int) -> DataFrame:
     """Adds block: ranges of id with about as many rows each; null ids in the first."""
     cuts = sorted(set(slim.approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n)))
     bucket = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="as_double", outputCol="as_block", handleInvalid="keep")
@@ -170,7 +167,7 @@ def ranged(slim: DataFrame, n: int) -> DataFrame:
 
 
 def read(spark: SparkSession, file: str) -> DataFrame:
-    """Per document of a file, decoded: id, start (ids of all documents before it), n_tokens, ids."""
+    """Per document of a file, decoded: id, start (ids of all documents before it), n_tokens, ids (unsigned 32-bit integers, little endian)."""
     shards = spark.read.schema(FILE).parquet(file)
 
     def decode(batches):
@@ -179,10 +176,10 @@ def read(spark: SparkSession, file: str) -> DataFrame:
                 s = Shard(payload)
                 sizes = s.sizes()
                 at = np.concatenate([[0], np.cumsum(sizes)])
-                ids = expand(s.symbols, s.left, s.right, s.base)
+                raw = expand(s.symbols, s.left, s.right, s.base).astype("<u4").tobytes()
                 yield pa.record_batch([
                     pa.array(np.full(s.n_docs, number, np.int32)), pa.array(np.arange(s.n_docs, dtype=np.int32)), pa.array(s.doc_ids, mask=s.doc_ids == _NULL), pa.array(at[:-1]), pa.array(sizes),
-                    pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                    pa.Array.from_buffers(pa.binary(), s.n_docs, [None, pa.py_buffer((4 * at).astype(np.int32).tobytes()), pa.py_buffer(raw)]),
                 ], ["shard", "place", "id", "before", "n_tokens", "ids"])
 
     many = shards.select("shard", "n_ids", F.floor(F.col("shard") / 1024).alias("part"))

@@ -42,12 +42,12 @@ def _sorted(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return table.take(order), ids[order]
 
 
-def heavy_prefixes(rows: DataFrame, n_blocks: int, length: int, group: int = GROUP) -> np.ndarray:
+def heavy_prefixes(packets: DataFrame, n_blocks: int, length: int, group: int = GROUP) -> np.ndarray:
     """Hashes of the prefixes of 1 to length - 1 words that are to be lengthened."""
     least = max(1, group // n_blocks)
 
-    def report(table: pa.Table) -> pa.Table:
-        h, at = word_hashes(table.column("text"))
+    def report(own: pa.Table) -> pa.Table:
+        h, at = word_hashes(blocks.block_table(own).column("text"))
         keys, n = [], []
         stay = np.ones(len(h), bool)
         for p in range(1, length):
@@ -63,7 +63,7 @@ def heavy_prefixes(rows: DataFrame, n_blocks: int, length: int, group: int = GRO
             stay = left
         return pa.table([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(n))], ["prefix", "n"])
 
-    found = rows.groupBy("block").applyInArrow(report, "prefix bigint, n bigint").groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > group)
+    found = packets.groupBy("block").applyInArrow(report, "prefix bigint, n bigint").groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > group)
     return np.sort(np.array([r[0] for r in found.collect()], np.int64).astype(np.uint64))
 
 
@@ -131,7 +131,7 @@ def answer(messages):
 
 
 def _applier(heavy, bins: int, length: int):
-    def apply(table: pa.Table, answers: dict) -> pa.Table:
+    def apply(block: int, table: pa.Table, answers: dict) -> pa.Table:
         table, ids = _sorted(table)
         w = _Windows(table, ids, heavy, bins, length)
         earlier = np.zeros(len(w.order), bool)
@@ -170,11 +170,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row of docs: id, n_words, n_removed, kept_text, and the removed spans [span_start, span_end) in words."""
     n_blocks, bins = blocks.counts(docs, text_col)
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), whole(text_col).alias("text"))
-    rows = slim.withColumn("block", blocks.dealt(slim, n_blocks))
-    heavy = heavy_prefixes(rows, n_blocks, length, group)
+    packets = blocks.packed(slim.withColumn("block", blocks.dealt(slim, n_blocks)))
+    heavy = heavy_prefixes(packets, n_blocks, length, group)
 
     def ask(table: pa.Table):
         return _Windows(*_sorted(table), heavy, bins, length).messages()
 
-    out = blocks.ask_and_answer(rows, ask, answer, _applier(heavy, bins, length), SCHEMA)
+    out = blocks.ask_and_answer(packets, ask, answer, _applier(heavy, bins, length), SCHEMA)
     return out.withColumnRenamed("id", id_col)
