@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, exact_dedup, html_text, lm, mixing, order_minhash, quality, repair, substring, toxicity
+from strandline.llm import bpe, exact_dedup, html_text, lm, mixing, oracle, order_minhash, quality, repair, substring, toxicity
 from strandline.llm.ship import ship
 from strandline.llm.store import scratch
 from strandline.llm.text import read as _read
@@ -28,7 +28,7 @@ def tokenizer_path() -> str:
 def op2_repair_tokens(spark, sf_dir):
     file = scratch(spark, "tokens")
     repair.write(read(spark, sf_dir, "documents"), file, tokenizer_path(), end_id=2)
-    return repair.read(spark, file).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return repair.read(spark, file, F.crc32).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("ids").alias("ids_crc32"))
 
 
 def op3_bpe_round_trip(spark, sf_dir):
@@ -72,4 +72,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {"op1_exact_dedup": oracle.EXACT, "op4_substring_dedup": oracle.SUBSTRING, "op9_quality_rules": oracle.QUALITY}

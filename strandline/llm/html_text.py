@@ -1,7 +1,7 @@
 """Layout-aware rendering of HTML: a tree with implied tags, visibility rules, then all visible text in its layout.
 
 The tree builder supplies what authors leave out: html, head and body are implied; a new p, li, dt/dd, option, tr, td,
-th or table section closes the one before it; a block closes an open p; end tags close up to their element and are
+th or table section closes the one before it; a cell outside a row opens one; a block closes an open p; end tags close up to their element and are
 dropped where none is open; void elements take no content; raw text elements end at their own end tag alone. Not
 rendered are head and raw text elements (script, style and the like), noscript's fallback, comments, and elements
 hidden by the hidden attribute, aria-hidden, an inline style (display: none, visibility: hidden, zero opacity), a
@@ -136,6 +136,10 @@ def parse(source: str) -> Node:
             close(*CLOSES[tag])
         if tag in BLOCK and tag != "summary":
             close({"p"}, SCOPE)
+        if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot") and len(stack) < DEPTH:
+            row = Node("tr", {})
+            stack[-1].children.append(row)
+            stack.append(row)
         node = Node(tag, _attributes(m[4]) if m[4].strip() else {})
         stack[-1].children.append(node)
         if tag in RAW:
