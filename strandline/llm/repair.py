@@ -32,7 +32,7 @@ from strandline.llm.text import whole
 
 MAGIC = b"RPG1"
 LEAST_COUNT = 8
-ROUNDS = 6
+ROUNDS = 4
 PAIRS = 4096  # of a round, at least
 SHARD_BYTES = 3 << 20  # of text
 FILE = "shard int, n_docs bigint, n_ids bigint, payload binary"
@@ -166,8 +166,8 @@ def by_range(slim: DataFrame, n: int) -> DataFrame:
     return (bucket.transform(with_id) if cuts else with_id.withColumn("as_block", F.lit(0))).withColumn("block", F.col("as_block").cast("int")).drop("as_double", "as_block")
 
 
-def read(spark: SparkSession, file: str) -> DataFrame:
-    """Per document of a file, decoded: id, start (ids of all documents before it), n_tokens, ids (unsigned 32-bit integers, little endian)."""
+def read(spark: SparkSession, file: str, ids=lambda c: c) -> DataFrame:
+    """Per document of a file, decoded: id, start (ids of all documents before it), n_tokens, ids (unsigned 32-bit integers, little endian). ids: a function of the column of ids, applied before rows are shuffled."""
     shards = spark.read.schema(FILE).parquet(file)
 
     def decode(batches):
@@ -186,5 +186,5 @@ def read(spark: SparkSession, file: str) -> DataFrame:
     parts = many.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
     inside = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     first = many.withColumn("inside", inside).join(parts, "part").select("shard", (F.col("first") + F.col("inside")).alias("first"))
-    decoded = shards.select("shard", "payload").mapInArrow(decode, DECODED)
+    decoded = shards.select("shard", "payload").mapInArrow(decode, DECODED).withColumn("ids", ids(F.col("ids")))
     return decoded.join(first, "shard").select("id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids")

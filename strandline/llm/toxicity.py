@@ -13,13 +13,13 @@ landmarks' own kernel matrix follows, then a linear SVM (squared hinge loss) and
 on the training rows.
 
 Training uses labelled rows of the training folds. Of these, the SAMPLE rows of each label with the smallest hashes of
-their id are taken, a bound that is a parameter; landmarks, machine and calibration are fitted on the driver to that
-bounded sample. Each text of the table is scored whole, in one pass without a shuffle; a word is scored when its
+their id are taken, a bound that is a parameter. Their strings are counted and their maps are made by executors; the
+machine and its calibration are fitted on the driver to the maps, LANDMARKS numbers for each row of the sample. Each text of the table is scored whole, in one pass without a shuffle; a word is scored when its
 letters can reach FLOOR at all, and its map is kept for the worker's next texts.
 
 Defined results: null and empty texts get the score of a text that resembles no landmark; repeated rows are scored
 alike; a null label is no label, of several labels of an id the largest counts; without labels of both kinds every
-score is the share of label 1 in the sample, or 0. An empty table gives an empty result.
+score is 1 if there is label 1 alone, and 0 if there is label 0 alone or none. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm.store import written
 from strandline.llm.text import whole
 
 SUBSEQUENCE = 3
@@ -197,19 +198,24 @@ def document_maps(texts: list[str], landmarks: Landmarks) -> np.ndarray:
     return out
 
 
-def choose_landmarks(texts: list[str], labels: np.ndarray, most: int = LANDMARKS) -> list[str]:
-    """Strings that tell label 1 from label 0: by the number of documents of each that hold them."""
+def string_counts(texts: list[str], labels: np.ndarray) -> dict[str, list[int]]:
+    """For each string the numbers of texts with label 0 and with label 1 that hold it."""
     count: dict[str, list[int]] = {}
-    for text, label in sorted(set(zip(texts, labels.tolist()))):  # copies count once
+    for text, label in zip(texts, labels.tolist()):
         for s in strings(text):
             count.setdefault(s, [0, 0])[label] += 1
-    n = np.maximum(np.bincount(labels, minlength=2), 1)
-    gain = {}
-    for s, (zero, one) in count.items():
-        p, q = one / n[1], (zero + 0.5) / n[0]
-        if p > 3 * q and len(s) <= LONGEST and one * np.log(p / q) >= LEAST_GAIN:
-            gain[s] = one * np.log(p / q)
-    return sorted(gain, key=lambda s: (-gain[s], s))[:most]
+    return count
+
+
+def gain(zero, one, n, log=np.log):
+    """How much a string tells for label 1: texts that hold it times the log of the ratio of its shares."""
+    return one * log((one / n[1]) / ((zero + 0.5) / n[0]))
+
+
+def telling(count: dict[str, list[int]], n, most: int = LANDMARKS) -> list[str]:
+    """Strings that tell label 1 from label 0, the most telling first. n: numbers of texts of each label."""
+    gains = {s: gain(zero, one, n) for s, (zero, one) in count.items() if one / n[1] > 3 * (zero + 0.5) / n[0] and len(s) <= LONGEST}
+    return sorted((s for s, g in gains.items() if g >= LEAST_GAIN), key=lambda s: (-gains[s], s))[:most]
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, float]:
@@ -241,19 +247,27 @@ def calibrate(margin: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[floa
 class Model:
     """Scores texts between 0 and 1."""
 
-    def __init__(self, texts: list[str], labels: np.ndarray):
-        self.landmarks, self.prior = None, float(labels.mean()) if len(labels) else 0.0
-        words = choose_landmarks(texts, labels) if 0 < self.prior < 1 else []
-        if not words:
-            return
-        self.landmarks = Landmarks(words)
-        own = self.landmarks.similarities(words)
-        value, vector = np.linalg.eigh((own + own.T) / 2)
-        keep = value > 1e-3 * value.max()
-        self.white = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)
-        x = document_maps(texts, self.landmarks) @ self.white
+    def __init__(self, words: list[str], prior: float):
+        self.prior, self.landmarks = prior, Landmarks(words) if words else None
+        if words:
+            own = self.landmarks.similarities(words)
+            value, vector = np.linalg.eigh((own + own.T) / 2)
+            keep = value > 1e-3 * value.max()
+            self.white = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)
+
+    def fit(self, maps: np.ndarray, labels: np.ndarray) -> Model:
+        """maps: document_maps of the training texts."""
+        x = maps @ self.white
         self.w, self.b = fit_svm(x, labels)
         self.slope, self.offset = calibrate(x @ self.w + self.b, labels)
+        return self
+
+    @classmethod
+    def of(cls, texts: list[str], labels: np.ndarray) -> Model:
+        """Fitted to a few texts, without Spark."""
+        words = telling(string_counts(texts, labels), np.bincount(labels, minlength=2))
+        out = cls(words, float(labels.mean()))
+        return out.fit(document_maps(texts, out.landmarks), labels) if words else out
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.landmarks is None:
@@ -266,12 +280,46 @@ def _fold(id_col: str, folds: int):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds
 
 
+def _by_text(schema_names, make):
+    """A mapInArrow function over rows of (label, text), some hundred at a time."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                yield pa.record_batch(make(part.column("text").to_pylist(), part.column("label").to_numpy()), schema_names)
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int, sample: int = SAMPLE) -> Model:
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label")).where(_fold("id", folds) != held)
     order = F.xxhash64(F.lit(17), "id")
     chosen = known.where("label = 1").orderBy(order, "id").limit(sample).union(known.where("label = 0").orderBy(order, "id").limit(sample))
-    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).join(F.broadcast(chosen), "id").orderBy("id").collect()
-    return Model([r["text"] for r in rows], np.array([r["label"] for r in rows], np.int64))
+    texts = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).join(F.broadcast(chosen), "id")  # 2 * sample rows at most
+    texts = written(texts.groupBy("label", F.md5("text").alias("copy")).agg(F.min("text").alias("text")).repartition(32, "copy"), "toxicity-sample").select("label", "text")  # copies count once
+    n = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = (n.get(0, 0), n.get(1, 0))
+    if not all(n):
+        return Model([], float(n[1] > 0))
+
+    def counted(batch_texts, batch_labels):
+        count = string_counts(batch_texts, batch_labels)
+        return [pa.array(list(count), pa.string()), pa.array([c[0] for c in count.values()], pa.int64()), pa.array([c[1] for c in count.values()], pa.int64())]
+
+    counts = texts.mapInArrow(_by_text(["s", "zero", "one"], counted), "s string, zero bigint, one bigint").groupBy("s").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"))
+    told = counts.withColumn("gain", gain(F.col("zero"), F.col("one"), n, F.ln)).where((F.col("one") / n[1] > 3 * (F.col("zero") + 0.5) / n[0]) & (F.length("s") <= LONGEST) & (F.col("gain") >= LEAST_GAIN))
+    model = Model([r["s"] for r in told.orderBy(F.desc("gain"), "s").limit(LANDMARKS).collect()], n[1] / sum(n))
+    if model.landmarks is None:
+        return model
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def mapped(batch_texts, batch_labels):
+        maps = document_maps(batch_texts, shared.value.landmarks)
+        return [pa.array(batch_labels), pa.array([m.tobytes() for m in maps], pa.binary())]
+
+    rows = texts.mapInArrow(_by_text(["label", "map"], mapped), "label int, map binary").orderBy("map", "label").collect()  # 2 * sample rows of LANDMARKS numbers at most
+    return model.fit(np.stack([np.frombuffer(r["map"], np.float32) for r in rows]), np.array([r["label"] for r in rows], np.int64))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 4, held: int = 2) -> DataFrame:

@@ -383,7 +383,7 @@ def test_toxicity_held_out(spark, odd, empty):
 def test_toxicity_tolerates_inserted_characters(spark):
     plain = "the quick report about weather and music in town was long number"
     rows = [(i, f"{plain} {i} " + ("you idiot" if i % 4 == 0 else "you stupid man" if i % 4 == 1 else "thank you"), int(i % 4 < 2)) for i in range(400)]
-    model = toxicity.Model([r[1] for r in rows], np.array([r[2] for r in rows]))
+    model = toxicity.Model.of([r[1] for r in rows], np.array([r[2] for r in rows]))
     score = dict(zip("abcdef", model.scores([f"{plain} idiiot", f"{plain} stup-id", f"{plain} i d i o t here", plain, "", f"{plain} idxiot"])))
     assert min(score["a"], score["b"], score["c"]) > 0.3 > max(score["d"], score["e"]) and score["f"] > score["d"]
 
