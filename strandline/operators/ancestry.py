@@ -4,29 +4,67 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import PCA, StringIndexer
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Variants that a matrix of individuals has at most: the covariance of a PCA is their square.
-MOST_VARIANTS = 2000
+#: Variants whose dosages a task holds at once.
+AT_ONCE = 1000
 
 
-def matrix(genotypes: DataFrame, variants: DataFrame) -> DataFrame:
-    """By individual: features, the centred dosages at the variants (vid, alt_freq; MOST_VARIANTS of them by id), a missing or absent one as 0."""
-    own = variants.orderBy("vid").limit(MOST_VARIANTS)
-    ids = own.agg(F.array_sort(F.collect_list("vid")).alias("vids"))
-    x = genotypes.where("dosage is not null").join(F.broadcast(own), "vid").groupBy("iid").agg(F.map_from_entries(F.collect_list(F.struct("vid", (F.col("dosage") - 2 * F.col("alt_freq")).alias("x")))).alias("m"))
-    return x.join(F.broadcast(ids)).select("iid", array_to_vector(F.transform("vids", lambda v: F.coalesce(F.col("m")[v], F.lit(0.0)))).alias("features"))
+def gram(genotypes: DataFrame, variants: DataFrame, people: list[int]) -> np.ndarray:
+    """Products of individuals over all variants (vid, alt_freq) of their centred dosages, a missing or absent one as 0. Each task sums its variants' outer products; what tasks and driver hold is bounded by the square of the individuals."""
+    ids = np.sort(np.array(people, np.int64))
+
+    def products(batches):
+        total, held = np.zeros((len(ids), len(ids))), None
+
+        def add(vid, i, x):
+            own, k = np.unique(vid, return_inverse=True)
+            for lo in range(0, len(own), AT_ONCE):
+                part = (k >= lo) & (k < lo + AT_ONCE)
+                m = np.zeros((len(ids), min(AT_ONCE, len(own) - lo)))
+                m[i[part], k[part] - lo] = x[part]
+                total[:] += m @ m.T
+
+        for batch in batches:
+            now = [batch.column(c).to_numpy() for c in ("vid", "iid", "x")]
+            vid, iid, x = now if held is None else [np.concatenate(c) for c in zip(held, now)]
+            done = vid != vid[-1] if len(vid) else np.zeros(0, bool)  # the last one may go on in the next batch
+            add(vid[done], np.searchsorted(ids, iid[done]), x[done])
+            held = [c[~done] for c in (vid, iid, x)]
+        if held is not None and len(held[0]):
+            add(held[0], np.searchsorted(ids, held[1]), held[2])
+        if total.any():
+            i, j = np.nonzero(total)
+            yield pa.record_batch([pa.array(i), pa.array(j), pa.array(total[i, j])], ["i", "j", "x"])
+
+    x = genotypes.where("dosage is not null").join(variants, "vid").select(F.col("vid").cast("bigint"), F.col("iid").cast("bigint"), (F.col("dosage") - 2 * F.col("alt_freq")).cast("double").alias("x"))
+    sums = x.repartition("vid").sortWithinPartitions("vid").mapInArrow(products, "i bigint, j bigint, x double").groupBy("i", "j").agg(F.sum("x").alias("x"))
+    out = np.zeros((len(ids), len(ids)))
+    for r in sums.toLocalIterator():
+        out[r["i"], r["j"]] = r["x"]
+    return out
 
 
 def components(genotypes: DataFrame, variants: DataFrame, reference: DataFrame, k: int = 10) -> DataFrame:
-    """Components of the reference individuals (iid), on which all are projected: iid, pc (array of k)."""
-    x = matrix(genotypes, variants).cache()
-    model = PCA(k=k, inputCol="features", outputCol="pc").fit(x.join(reference.select("iid"), "iid", "left_semi"))
-    return model.transform(x).select("iid", vector_to_array("pc").alias("pc"))
+    """Components of the reference individuals (iid) over all variants (vid, alt_freq), on which all are projected: iid, pc (array of k; 0 beyond the rank)."""
+    spark, variants = genotypes.sparkSession, variants.cache()
+    called = genotypes.where("dosage is not null").join(variants, "vid", "left_semi").select(F.col("iid").cast("bigint")).distinct()
+    people = sorted(r["iid"] for r in called.collect())
+    known = {r["iid"] for r in reference.select(F.col("iid").cast("bigint")).distinct().collect()}
+    g, of = gram(genotypes, variants, people), np.array([p in known for p in people], bool)
+    pc = np.zeros((len(people), k))
+    if of.sum() > 1:
+        centred = g[:, of] - g[:, of].mean(1, keepdims=True)
+        value, vector = np.linalg.eigh(centred[of] - centred[of].mean(0))
+        top = np.argsort(value)[::-1][:k]
+        top = top[value[top] > 1e-9 * max(value.max(), 1e-30)]
+        pc[:, : len(top)] = centred @ vector[:, top] / np.sqrt(value[top])
+    return spark.createDataFrame([(p, row) for p, row in zip(people, pc.tolist())], "iid bigint, pc array<double>")
 
 
 def populations(pcs: DataFrame, known: DataFrame, used: int = 5, trees: int = 50) -> DataFrame:
@@ -39,20 +77,40 @@ def populations(pcs: DataFrame, known: DataFrame, used: int = 5, trees: int = 50
 
 
 def pruned(genotypes: DataFrame, variants: DataFrame, window: int = 1000, most_r2: float = 0.05) -> DataFrame:
-    """Variants kept when of each correlated pair within a window the later one goes: vid. Windows are blocks of positions of a contig, so a task holds one block's genotypes; pairs across a border are not seen. variants: vid, chrom, ord (place on the contig)."""
-
-    def prune(block: pd.DataFrame) -> pd.DataFrame:
-        x = block.pivot_table(index="iid", columns="ord", values="dosage").sort_index(axis=1)
-        x = x.fillna(x.mean())
-        kept, z = [], []
-        for c in x.columns:
-            v = x[c].to_numpy(float)
-            v = v - v.mean()
-            n = np.sqrt(v @ v)
-            if n > 0 and all((v @ u / n) ** 2 <= most_r2 for u in z):
-                z.append(v / n)
-                kept.append(c)
-        return block.loc[block["ord"].isin(kept), ["vid"]].drop_duplicates()
-
-    own = genotypes.where("dosage is not null").join(variants.withColumn("block", F.floor(F.col("ord") / window)), "vid")
-    return own.select("iid", "vid", "chrom", "block", "ord", "dosage").groupBy("chrom", "block").applyInPandas(prune, "vid bigint")
+    """Variants kept, in order of place, when of each pair less than window places apart with a squared correlation above most_r2 the later one goes unless the earlier is gone itself: vid. variants: vid, chrom, ord (place on the contig). Missing dosages count as the mean; a variant without variance goes.
+
+    A task correlates one block of window places with itself and the block before. What goes is then told in one pass over each contig's variants and their correlated earlier places, of which only the last window is held."""
+
+    def correlated(block: pd.DataFrame) -> pd.DataFrame:
+        at, of = np.unique(block["ord"].to_numpy(), return_inverse=True)
+        who, i = np.unique(block["iid"].to_numpy(), return_inverse=True)
+        x = np.full((len(who), len(at)), np.nan)
+        x[i, of] = block["dosage"].to_numpy(float)
+        x = np.nan_to_num(x - np.nanmean(x, axis=0))
+        n = np.sqrt((x * x).sum(0))
+        z = x / np.where(n > 1e-9, n, 1)
+        mine = block[block["own"]].drop_duplicates("ord").sort_values("ord")
+        place = np.searchsorted(at, mine["ord"].to_numpy())
+        r2 = (z.T @ z[:, place]) ** 2
+        before = [at[:p][(r2[:p, c] > most_r2) & (at[:p] > at[p] - window)].tolist() for c, p in enumerate(place)]
+        return pd.DataFrame({"vid": mine["vid"].to_numpy(), "chrom": mine["chrom"].to_numpy(), "ord": mine["ord"].to_numpy(), "varies": n[place] > 1e-9, "before": pd.Series(before, dtype=object)})
+
+    def kept(batches):
+        chrom, stay = None, {}
+        for batch in batches:
+            out = []
+            for vid, c, at, varies, before in zip(*(batch.column(k).to_pylist() for k in ("vid", "chrom", "ord", "varies", "before"))):
+                if c != chrom:
+                    chrom, stay = c, {}
+                if varies and not any(b in stay for b in before):
+                    stay[at] = True
+                    out.append(vid)
+                    while next(iter(stay)) <= at - window:
+                        del stay[next(iter(stay))]
+            yield pa.record_batch([pa.array(out, pa.int64())], ["vid"])
+
+    block = F.floor(F.col("ord") / window).cast("bigint")
+    placed = variants.select("vid", "chrom", F.col("ord").cast("bigint").alias("ord")).withColumn("block", F.explode(F.array(block, block + 1))).withColumn("own", F.col("block") == block)
+    own = genotypes.where("dosage is not null").join(placed, "vid").select("iid", "vid", "chrom", "block", "ord", "own", "dosage")
+    edges = own.groupBy("chrom", "block").applyInPandas(correlated, "vid bigint, chrom string, ord bigint, varies boolean, before array<bigint>")
+    return edges.repartition("chrom").sortWithinPartitions("chrom", "ord").mapInArrow(kept, "vid bigint")

@@ -32,20 +32,27 @@ def _variants(v):
     return G.frequencies(v.cohort).where("maf >= 0.05").select("vid", "alt_freq")
 
 
+def _placed(v):
+    order = Window.partitionBy("chrom").orderBy("pos")
+    return v.variant.join(_variants(v).select("vid"), "vid", "left_semi").withColumn("ord", F.row_number().over(order)).select("vid", "chrom", "ord")
+
+
+def _components(v, k):
+    reference = v.people.where("sampleset = 'reference'")
+    thinned = ancestry.pruned(v.cohort.join(reference.select("iid"), "iid", "left_semi"), _placed(v))
+    return ancestry.components(v.cohort, _variants(v).join(thinned, "vid", "left_semi"), reference, k)
+
+
 @query("m01_pca_project")
 def m01(v):
-    pcs = ancestry.components(v.cohort, _variants(v), v.people.where("sampleset = 'reference'"), 4)
-    return pcs.select("iid", *(F.round(F.abs(F.col("pc")[k]), 4).alias(f"pc{k + 1}") for k in range(4)))
+    return _components(v, 10).select("iid", *(F.round(F.abs(F.col("pc")[k]), 4).alias(f"pc{k + 1}") for k in range(10)))
 
 
 @query("m02_population_forest")
 def m02(v):
-    pcs = ancestry.components(v.cohort, _variants(v), v.people.where("sampleset = 'reference'"), 4)
-    return ancestry.populations(pcs, v.people.where("sampleset = 'reference'").select("iid", "pop"), used=4)
+    return ancestry.populations(_components(v, 5), v.people.where("sampleset = 'reference'").select("iid", "pop"))
 
 
 @query("m03_ld_prune")
 def m03(v):
-    order = Window.partitionBy("chrom").orderBy("pos")
-    placed = v.variant.join(_variants(v).select("vid"), "vid", "left_semi").withColumn("ord", F.row_number().over(order)).select("vid", "chrom", "ord")
-    return ancestry.pruned(v.g25, placed, most_r2=0.2)
+    return ancestry.pruned(v.g25, _placed(v))
