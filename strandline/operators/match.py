@@ -62,22 +62,21 @@ def maintained(cached: DataFrame, old: DataFrame, new: DataFrame, keys: list[str
     return signed.groupBy(*keys).agg(F.sum("n").alias("n")).where("n <> 0")
 
 
-def affected(labels: DataFrame, changed: DataFrame, rounds: int = 20) -> DataFrame:
-    """Scoring rows whose labels may change with the variants changed (vid): those with such a variant, then those that share a variant with one of them inside an accession, until none is added. Each round is a checkpoint in the shared folder."""
+def affected(labels: DataFrame, changed: DataFrame) -> DataFrame:
+    """Scoring rows whose labels may change with the variants changed (vid): those with such a variant, then those that share a variant with one of them inside an accession, until none is added, however many rounds that takes. Each round is a checkpoint in the shared folder."""
     sc = labels.sparkSession.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", "/tmp/checkpoints"))
     links = labels.select("accession", "row_nr", "vid").distinct()
     rows = links.join(changed.select("vid"), "vid", "left_semi").select("accession", "row_nr").distinct().checkpoint()
     n = rows.count()
-    for _ in range(rounds):
+    while True:
         shared = links.join(rows, ["accession", "row_nr"], "left_semi").select("accession", "vid").distinct()
         rows = links.join(shared, ["accession", "vid"], "left_semi").select("accession", "row_nr").union(rows).distinct().checkpoint()
         m = rows.count()
         if m == n:
-            break
+            return rows
         n = m
-    return rows
 
 
 def wide_weights(rows: DataFrame, accessions: list[str] | None = None) -> DataFrame:
