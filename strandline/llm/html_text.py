@@ -1,11 +1,13 @@
 """Layout-aware rendering of HTML: a tree with implied tags, visibility rules, then all visible text in its layout.
 
 The tree builder supplies what authors leave out: html, head and body are implied; a new p, li, dt/dd, option, tr, td,
-th or table section closes the one before it; a cell outside a row opens one; a block closes an open p; end tags close up to their element and are
+th or table section closes the one before it; a cell outside a row opens one, and one in an inline element finds its row;
+what is in a table but in no cell moves in front of it, and a form there holds nothing; a block closes an open p; end tags close up to their element and are
 dropped where none is open; void elements take no content; raw text elements end at their own end tag alone. Not
 rendered are head and raw text elements (script, style and the like), noscript's fallback, comments, and elements
 hidden by the hidden attribute, aria-hidden, an inline style (display: none, visibility: hidden, zero opacity), a
-closed dialog, or an input of type hidden; a closed details shows its summary.
+closed dialog, or an input of type hidden; a closed details shows its summary. Of SVG its texts are shown, of MathML all but
+annotations, of a select the labels of its options and their groups.
 
 Layout: blocks begin lines; paragraphs, headings, lists, tables, quotations and preformatted text have an empty line
 around them; br ends a line; list items have a dash or their number (start, value and reversed are kept) and are
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,12 +36,14 @@ TEXTS = "id bigint, title string, text string, n_blocks int"
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg math datalist select title meta link base source track param area map".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas datalist title meta link base source track param area map".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul caption".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure hr article section".split())
 LISTS = frozenset("ul ol menu dir".split())
+FOREIGN_UNSEEN = frozenset("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml".split())
+ROWS = frozenset("table thead tbody tfoot tr".split())
 TABLE_PARTS = frozenset("tr td th thead tbody tfoot caption colgroup col".split())
 #: An opening tag closes the nearest open element of these, unless one of the others stands between.
 CLOSES = {
@@ -57,10 +62,10 @@ _SPACE = re.compile(r"[ \t\r\n\f\v]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "parent")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], None
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -76,11 +81,41 @@ def parse(source: str) -> Node:
     head, body = Node("head", {}), Node("body", {})
     root.children += [head, body]
     stack, in_body, at = [root, head], False, 0
+    open_: Counter[str] = Counter()  # elements of the stack by tag
+
+    def push(node: Node) -> None:
+        stack.append(node)
+        open_[node.tag] += 1
+
+    def cut(i: int) -> None:
+        open_.subtract(x.tag for x in stack[i:])
+        for x in stack[max(i, DEPTH) :]:
+            if x.tag in BLOCK or x.tag in TABLE_PARTS:
+                x.children.append(Node("div", {}))  # what follows begins a line
+        del stack[i:]
 
     def enter_body():
         nonlocal in_body
         in_body = True
-        stack[1:] = [body]
+        cut(1)
+        push(body)
+
+    def put(child, foster: bool) -> None:
+        """At the stack's top, or in front of the table whose part that is."""
+        top = stack[-1]
+        if foster and top.tag in ROWS and len(stack) < DEPTH:
+            table = next((x for x in reversed(stack) if x.tag == "table"), None)
+            if table is not None and table.parent is not None:
+                top, k = table.parent, len(table.parent.children) - 1
+                while top.children[k] is not table:
+                    k -= 1
+                top.children.insert(k, child)
+            else:
+                top.children.append(child)
+        else:
+            top.children.append(child)
+        if isinstance(child, Node):
+            child.parent = top
 
     def text(piece: str):
         if not piece:
@@ -89,12 +124,14 @@ def parse(source: str) -> Node:
             if not piece.strip():
                 return
             enter_body()
-        stack[-1].children.append(html.unescape(piece))
+        put(html.unescape(piece), bool(piece.strip()))
 
     def close(tags, stop) -> None:
+        if not any(open_[t] > 0 for t in tags):
+            return
         for i in range(len(stack) - 1, 1, -1):
             if stack[i].tag in tags:
-                del stack[i:]
+                cut(i)
                 return
             if stack[i].tag in stop:
                 return
@@ -116,10 +153,10 @@ def parse(source: str) -> Node:
                 continue
             if tag == "head":
                 enter_body()
-            elif tag == "p" and all(x.tag != "p" for x in stack):
-                stack[-1].children.append(Node("p", {}))
+            elif tag == "p" and not open_["p"]:
+                put(Node("p", {}), True)
             elif tag == "br":
-                stack[-1].children.append(Node("br", {}))
+                put(Node("br", {}), True)
             else:
                 close({tag}, {"table"} if tag not in TABLE_PARTS and tag != "table" else frozenset())
             continue
@@ -136,18 +173,33 @@ def parse(source: str) -> Node:
             close(*CLOSES[tag])
         if tag in BLOCK and tag != "summary":
             close({"p"}, SCOPE)
+        if tag in TABLE_PARTS and open_["table"] > 0:  # inline elements between a row and its cell hold nothing more
+            k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k].tag in TABLE_PARTS or stack[k].tag == "table")
+            if stack[k].tag in ROWS:
+                cut(k + 1)
         if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot") and len(stack) < DEPTH:
             row = Node("tr", {})
-            stack[-1].children.append(row)
-            stack.append(row)
+            put(row, False)
+            push(row)
         node = Node(tag, _attributes(m[4]) if m[4].strip() else {})
-        stack[-1].children.append(node)
+        foreign = open_["svg"] > 0 or open_["math"] > 0
+        if tag == "form" and stack[-1].tag in ROWS:
+            continue
+        deep = len(stack) >= DEPTH and not hidden(node) and tag not in VOID and tag not in RAW
+        if deep:  # its content goes into the element at DEPTH, which it stands in as a mark
+            mark = Node("div" if tag in BLOCK or tag in TABLE_PARTS else "span", {})
+            put(mark, True)
+            node.children, node.parent = mark.parent.children, mark.parent.parent
+        else:
+            put(node, tag not in TABLE_PARTS and tag not in RAW)
+        if m[5] and foreign:
+            continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
             node.children.append(html.unescape(source[at : end.start() if end else len(source)]) if tag in ("title", "textarea") else source[at : end.start() if end else len(source)])
             at = end.end() if end else len(source)
-        elif tag not in VOID and not (m[5] and tag in ("svg", "math", "path")) and len(stack) < DEPTH:
-            stack.append(node)
+        elif tag not in VOID and not (m[5] and tag in ("svg", "math", "path")):
+            push(node)
     return root
 
 
@@ -224,6 +276,17 @@ def _render(node: Node, out: _Lines, pre: bool) -> None:
             out.add(child.attrs.get("alt", ""))
         elif child.tag == "input":
             out.add(child.attrs.get("value", ""))
+        elif child.tag in ("svg", "math"):
+            for k, part in enumerate(_foreign(child)):
+                out.add(" " if k else "")
+                _render(part, out, pre)
+        elif child.tag in ("select", "optgroup", "option"):
+            out.end()
+            out.add(child.attrs.get("label", "") if child.tag != "select" else "")
+            if child.tag != "option" or "label" not in child.attrs:
+                out.end()
+                _render(child, out, pre)
+            out.end()
         elif child.tag == "q":
             out.add('"')
             _render(child, out, pre)
@@ -251,6 +314,19 @@ def _render(node: Node, out: _Lines, pre: bool) -> None:
             _render(child, out, pre)
 
 
+def _foreign(node: Node) -> list[Node]:
+    """The parts of SVG or MathML that show text."""
+    out = []
+    for child in node.children:
+        if isinstance(child, Node) and not hidden(child) and child.tag not in FOREIGN_UNSEEN:
+            out += [child] if child.tag in ("text", "foreignobject") else _foreign(child)
+        elif isinstance(child, str) and child.strip() and node.tag != "svg":
+            shown = Node("span", {})
+            shown.children = [child]
+            out.append(shown)
+    return out
+
+
 def _inside(node: Node, pre: bool) -> str:
     lines = _Lines()
     _render(node, lines, pre)
@@ -310,10 +386,22 @@ def _rows(node: Node):
                 yield from _rows(child)
 
 
+def _loose(node: Node):
+    for child in node.children:
+        if isinstance(child, str):
+            if child.strip():
+                yield child
+        elif not hidden(child):
+            if child.tag in ("tr", "thead", "tbody", "tfoot"):
+                yield from _loose(child)
+            elif child.tag not in TABLE_PARTS or (child.tag == "caption" and node.tag != "table"):
+                yield child
+
+
 def _table(node: Node) -> str:
     head = [_inside(x, False) for x in node.children if isinstance(x, Node) and x.tag == "caption" and not hidden(x)]
     loose = Node("div", {})  # what is in a table but in no cell stands before it
-    loose.children = [x for x in node.children if (isinstance(x, str) and x.strip()) or (isinstance(x, Node) and x.tag not in TABLE_PARTS and not hidden(x))]
+    loose.children = list(_loose(node))
     if loose.children:
         head.append(_inside(loose, False))
     grid = [[([*_inside(c, False).split("\n")], min(64, max(1, _integer(c.attrs.get("colspan"), 1)))) for c in row.children if isinstance(c, Node) and c.tag in ("td", "th") and not hidden(c)] for row in _rows(node)]
