@@ -4,7 +4,7 @@ Documents are dealt into shards by ranges of their id, encoded through the disti
 an end id, and compressed shard by shard: frequent pairs of neighbouring ids are replaced by nonterminals, again and
 again, never across the end of a document. A round takes all pairs whose count is at least half of the largest one,
 and where occurrences overlap the more frequent pair wins, then the left one. Rounds end when no pair occurs
-LEAST_COUNT times, or after ROUNDS.
+LEAST_COUNT times.
 
 A shard's payload (little endian): magic ``RPG1``; number of documents, ids, rules, symbols and the first nonterminal
 (each u4); zstd of: left and right symbol of each rule (u4), expansion length of each rule (u4), the symbols (u4), the
@@ -18,6 +18,7 @@ long; rows that repeat an id stand side by side. An empty table writes an empty
 
 from __future__ import annotations
 
+import itertools
 import struct
 
 import numpy as np
@@ -32,7 +33,6 @@ from strandline.llm.text import whole
 
 MAGIC = b"RPG1"
 LEAST_COUNT = 8
-ROUNDS = 4
 PAIRS = 4096  # of a round, at least
 SHARD_BYTES = 3 << 20  # of text
 FILE = "shard int, n_docs bigint, n_ids bigint, payload binary"
@@ -41,12 +41,12 @@ _NULL = np.iinfo(np.int64).min
 _BINS = 1 << 21
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_COUNT, rounds: int = ROUNDS):
+def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_COUNT, rounds: int | None = None):
     """ids of all documents, and the place after each document's last. Gives left, right, lengths, symbols, and places."""
     seq = ids.astype(np.int32)
     doc = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
     known: dict[int, int] = {}  # pair -> nonterminal
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         if len(seq) < 2:
             break
         inside = doc[1:] == doc[:-1]
