@@ -1,14 +1,15 @@
-"""Substring dedup by prefix-partitioned suffix trees over words.
+"""Substring dedup over words: hashes of windows, grouped in bins by word prefixes.
 
+No suffix is sorted and no tree is built; grouping by window hash replaces the nodes at the window's depth.
 Suffixes (one from each word on) are split by a prefix of their words. The prefix is one word long; where more than
-GROUP suffixes share it, it is one word longer, and so on to the window's length, so every group is sorted in memory.
+GROUP suffixes share it, it is one word longer, and so on to the window's length, so every group's hashes are sorted in memory.
 ``heavy_prefixes`` finds the prefixes to lengthen: a block reports a prefix whose share of GROUP it exceeds, and the
 reports are summed; this finds all prefixes of more than 2 * GROUP suffixes, and no more than length * words / GROUP
 in all, whatever the text. Groups are hashed to bins.
 
-A bin sorts its suffixes, which puts the leaves of each subtree side by side; the internal nodes at the window's depth
-are the runs of equal windows, and hold the smallest document of the run. Trees end at that depth: a longer repeat is
-a row of such nodes at consecutive positions, and the spans returned are these rows, the maximal repeats. Windows
+A bin sorts the hashes of its windows, which puts equal ones side by side; each run of equal hashes holds the smallest
+document of the run, as a suffix tree's internal node at that depth would. A longer repeat is a row of such windows at
+consecutive positions, and the spans returned are these rows. Deeper repeats are not found as nodes of their own. Windows
 reach the bins as hashes, once for each block that has them with their first document there, so a passage that all
 documents share is as many entries as there are blocks. Two windows are held equal when they share the group's bin
 and a 64-bit hash of 13 word hashes.
