@@ -14,8 +14,8 @@ on the training rows.
 
 Training uses labelled rows of the training folds. Of these, the SAMPLE rows of each label with the smallest hashes of
 their id are taken, a bound that is a parameter. Their strings are counted and their maps are made by executors; the
-machine and its calibration are fitted on the driver to the maps, LANDMARKS numbers for each row of the sample. Each text of the table is scored whole, in one pass without a shuffle; a word is scored when its
-letters can reach FLOOR at all, and its map is kept for the worker's next texts.
+machine and its calibration are fitted on the driver to the maps, LANDMARKS numbers for each row of the sample. Each text of the table is scored whole, in one pass without a shuffle; a word is held against
+a landmark unless the letters it lacks prove that it cannot reach FLOOR, and its map is kept for the worker's next texts.
 
 Defined results: null and empty texts get the score of a text that resembles no landmark; repeated rows are scored
 alike; a null label is no label, of several labels of an id the largest counts; without labels of both kinds every
@@ -129,8 +129,20 @@ class Landmarks:
         self.codes = [_codes([w])[0] for w in words]
         self.self_ = np.array([self_kernel(c[None, :])[0] for c in self.codes])
         self.letters = _masks(words)
+        self.bounds: list[dict[int, float]] = [{} for _ in words]
         self.cold, self.warm = set(), {}
 
+    def reach(self, k: int, lacks: np.ndarray) -> np.ndarray:
+        """Upper bounds of the normalised kernel of landmark k with strings that lack these of its letters: subsequences with such a letter add nothing, so by Cauchy and Schwarz it is the norm that the others leave of the landmark."""
+        some, which = np.unique(lacks, return_inverse=True)
+        known = self.bounds[k]
+        for mask in some.tolist():
+            if mask not in known:
+                code = self.codes[k]
+                gone = (np.uint64(1) << (code % 64).astype(np.uint64)) & np.uint64(mask) > 0
+                known[mask] = float(np.sqrt(self_kernel(np.where(gone, 0, code)[None, :])[0] / self.self_[k])) + 1e-4
+        return np.array([known[mask] for mask in some.tolist()])[which]
+
     def known(self, words: list[str]) -> dict[str, np.ndarray]:
         """Rows of similarities of the words that have any; a worker keeps what it found for KEPT words at most."""
         if len(self.cold) + len(self.warm) > KEPT:
@@ -143,25 +155,21 @@ class Landmarks:
         return self.warm
 
     def similarities(self, words: list[str]) -> np.ndarray:
-        """Normalised kernels of words with landmarks, less FLOOR; 0 for what cannot reach FLOOR by its letters."""
+        """Normalised kernels of words with landmarks, less FLOOR; 0 for what provably cannot reach FLOOR by its letters."""
         pieces, of = _pieces(words)
         out = np.zeros((len(words), len(self.words)), np.float32)
         if not pieces:
             return out
         lengths, masks = np.array([len(p) for p in pieces]), _masks(pieces)
         own = np.zeros(len(pieces), np.float32)
-        # Few letters of the landmark may be missing, and lengths may not differ much.
         for lo in range(0, LONGEST, 4):
             group = np.flatnonzero((lengths > lo) & (lengths <= lo + 4))
             if not len(group):
                 continue
             codes = _codes([pieces[i] for i in group])
             known = np.zeros(len(group), bool)
-            for k, landmark in enumerate(self.words):
-                if not len(landmark) / 2 <= lo + 4 or lo + 1 > 2.5 * len(landmark):
-                    continue
-                lacks = _bits(self.letters[k] & ~masks[group])
-                near = np.flatnonzero(lacks <= max(0, (len(set(landmark)) - 2) // 3))
+            for k in range(len(self.words)):
+                near = np.flatnonzero(self.reach(k, self.letters[k] & ~masks[group]) > FLOOR)
                 if not len(near):
                     continue
                 new = near[~known[near]]
@@ -181,10 +189,6 @@ def _masks(words: list[str]) -> np.ndarray:
     return np.bitwise_or.reduce(bits, axis=1)
 
 
-def _bits(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x).astype(np.int64)
-
-
 def document_maps(texts: list[str], landmarks: Landmarks) -> np.ndarray:
     """For each text the largest similarity that a string of it has with each landmark."""
     each = [strings(t) for t in texts]

@@ -1,0 +1,23 @@
+"""No word whose kernel passes the floor is skipped."""
+
+import numpy as np
+
+from strandline.llm import toxicity
+
+
+def test_similarities_are_those_of_the_kernel():
+    words = ["idiot", "moron", "scum", "fool", "jerk", "loser", "stupid"]
+    rng = np.random.default_rng(8)
+    asked = ["idio", "moro", "scu", "idxiot", "foolfoolfoolfool", "scumscumscum", "dumb"]
+    asked += ["".join(rng.choice(list("idotmrnscuflejkp"), rng.integers(3, 14))) for _ in range(300)]
+    asked += [w[:i] + x + w[i + n :] for w in words for i in range(len(w)) for n in (0, 1) for x in ("", "x", "ee")]
+    asked = [w for w in asked if len(w) >= 3]
+    got = toxicity.Landmarks(words).similarities(asked)
+    codes = toxicity._codes(asked)
+    own = toxicity.self_kernel(codes)
+    for k, w in enumerate(words):
+        t = toxicity._codes([w])
+        raw = toxicity.kernel(codes, t[0]) / np.sqrt(np.maximum(own * toxicity.self_kernel(t)[0], 1e-30))
+        want = np.clip((raw - toxicity.FLOOR) / (toxicity.FULL - toxicity.FLOOR), 0, 1)
+        assert np.allclose(got[:, k], want, atol=1e-4)
+    assert got[0, 0] == 1 and got[1, 1] == 1
