@@ -17,13 +17,19 @@ repeated rows and ties are judged alike, each on its own. An empty table gives a
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.text import SPACES, WORD, fresh, n_words, whole, words
+from strandline.llm.text import SPACES, WORD, fresh, whole
 
 #: Fixed values.
 SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
+SEPARATORS = "|»›•"
+SEPARATOR = "[|»›•]"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SHORT_LINE = 4
@@ -40,61 +46,72 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _n(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern))
+def _holds(text: Column, parts) -> Column:
+    """Whether any of the strings is in the text."""
+    return reduce(or_, (F.contains(text, F.lit(x)) for x in parts))
 
 
-def repeated_words(text: str | Column) -> Column:
-    """Number of words in 3-word windows found twice or more in the text, the first finding included."""
+def repeated_words(words: Column) -> Column:
+    """Number of words in 3-word windows found twice or more among the words, the first finding included."""
 
-    def windows(w: Column) -> Column:
-        hashed = F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.struct(F.xxhash64(F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)).alias("h"), i.alias("i")))
-        return _let(F.array_sort(hashed), marked)
+    def counted(h: Column) -> Column:
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), marked))
 
     def marked(s: Column) -> Column:
         same = lambda x, j: F.coalesce(F.get(s, j)["h"] == x["h"], F.lit(False))
         twice = F.filter(s, lambda x, j: same(x, j - 1) | same(x, j + 1))
-        return _let(F.array_sort(F.transform(twice, lambda x: x["i"])), covered)
+        return covered(F.sort_array(F.transform(twice, lambda x: x["i"])))
 
     def covered(p: Column) -> Column:
         return F.aggregate(p, F.struct(F.lit(0).alias("n"), F.lit(-3).alias("at")), lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["at"])).alias("n"), i.alias("at")), lambda a: a["n"])
 
-    w = words(text)
-    return F.when(n_words(text) < 4, F.lit(0)).otherwise(_let(w, windows)).cast("long")
+    hashed = F.transform(words, lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)))
+    return F.when(F.size(words) < 4, F.lit(0)).otherwise(_let(F.slice(hashed, 1, F.size(words) - 2), counted)).cast("long")
 
 
-def line_fails(line: Column) -> Column:
-    bare = F.regexp_replace(line, SPACES, "")
-    chars, count, low = F.length(bare), _n(line, WORD), F.lower(line)
-    symbols = chars - F.length(F.translate(bare, SYMBOLS, ""))
-    separators = _n(line, "[|»›•]")
+def line_fails(line: Column, symbols: Column, separators: Column, shouts: Column, phrases: Column) -> Column:
+    """Whether a line fails. The other columns tell what its text holds anywhere, so that most lines are spared those rules."""
+    count = F.regexp_count(line, F.lit(WORD))
+    bare = lambda: F.length(F.regexp_replace(line, SPACES, ""))
     ended = F.rlike(line, F.lit(r"[.!?…:;]['\"”’»)\]]*[\x20\x09-\x0D]*$"))
-    shouted = _n(line, r"!{2,}")
-    one_word = (count >= 8) & F.rlike(line, F.lit(rf"^[\x20\x09-\x0D]*(?:{WORD}{SPACES})?({WORD})(?:{SPACES}\1)+[\x20\x09-\x0D]*$"))
-    punctuation = ((count < SHORT_LINE) & ~ended) | (symbols > MAX_SYMBOL_SHARE * chars) | ((count >= 2) & (shouted * 2 > count))
-    navigation = (separators >= 3) & (separators * 4 >= count)
-    boilerplate = F.rlike(low, F.lit("|".join(PHRASES))) | one_word
-    return punctuation | navigation | boilerplate
+    one_word = F.rlike(line, F.lit(rf"^[\x20\x09-\x0D]*(?:{WORD}{SPACES})?({WORD})(?:{SPACES}\1)+[\x20\x09-\x0D]*$"))
+    many = F.regexp_count(line, F.lit(SEPARATOR))
+    return _let(count, lambda n: (
+        ((n < SHORT_LINE) & ~ended)
+        | (symbols & (F.regexp_count(line, F.lit(SYMBOL)) > MAX_SYMBOL_SHARE * bare()))
+        | (shouts & (n >= 2) & (F.regexp_count(line, F.lit("!{2,}")) * 2 > n))
+        | (separators & (many >= 3) & (many * 4 >= n))
+        | (phrases & _holds(F.lower(line), PHRASES))
+        | ((n >= 8) & one_word)
+    ))
+
+
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
 def cleaned(text: str | Column) -> Column:
     """The text without the lines that fail."""
-    return F.array_join(F.filter(F.split(whole(text), "\n", -1), lambda x: ~(F.rlike(x, F.lit(WORD)) & line_fails(x))), "\n")
+    text = whole(text)
+    held = F.struct(_holds(text, SYMBOLS).alias("symbols"), _holds(text, SEPARATORS).alias("separators"), F.contains(text, F.lit("!!")).alias("shouts"), _holds(F.lower(text), PHRASES).alias("phrases"))
+    return _let(held, lambda h: F.array_join(F.filter(_lines(text), lambda x: ~(F.rlike(x, F.lit(WORD)) & line_fails(x, *(h[c] for c in ("symbols", "separators", "shouts", "phrases"))))), "\n"))
 
 
 def _duplicate_lines(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n", -1), lambda x: F.rlike(x, F.lit(WORD)))
+    lines = F.filter(_lines(text), lambda x: F.rlike(x, F.lit(WORD)))
     return _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
 def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the columns of MEASURES, named by measure_names(docs)."""
     n, chars, symbols, lines, repeats, clean, base, kept = measure_names(docs)
+    (own,) = fresh(docs, "own words")
     text = whole(text_col)
-    out = docs.withColumns({
-        n: n_words(text), chars: F.length(F.regexp_replace(text, SPACES, "")).cast("long"), symbols: (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        lines: _duplicate_lines(text), repeats: repeated_words(text), clean: cleaned(text),
-    })
+    out = docs.withColumn(own, F.array_remove(F.split(text, SPACES), ""))  # used several times, so it stays a step of its own in the plan
+    out = out.withColumns({
+        n: F.size(own).cast("long"), chars: F.length(F.array_join(own, "")).cast("long"), symbols: F.when(_holds(text, SYMBOLS), F.regexp_count(text, F.lit(SYMBOL))).otherwise(F.lit(0)).cast("long"),
+        lines: _duplicate_lines(text), repeats: repeated_words(F.col(own)), clean: cleaned(text),
+    }).drop(own)
     left = F.length(F.regexp_replace(clean, SPACES, ""))
     out = out.withColumn(base, (F.col(n) < MIN_WORDS) | (100 * F.col(repeats) > MAX_REPEATED_PERCENT * F.col(n)))
     return out.withColumn(kept, ~F.col(base) & (left >= (1 - MAX_LOST) * F.col(chars)))
