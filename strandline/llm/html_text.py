@@ -5,18 +5,19 @@ th or table section closes the one before it; a cell outside a row opens one, an
 what is in a table but in no cell moves in front of it, and a form there holds nothing; a block closes an open p; end tags close up to their element and are
 dropped where none is open; void elements take no content; raw text elements end at their own end tag alone. Not
 rendered are head and raw text elements (script, style and the like), noscript's fallback, comments, and elements
-hidden by the hidden attribute, aria-hidden, an inline style (display: none, visibility: hidden, zero opacity), a
-closed dialog, or an input of type hidden; a closed details shows its summary. Of SVG its texts are shown, of MathML all but
+hidden by the hidden attribute, aria-hidden, a style (display: none, visibility: hidden unless a part of it is made
+visible again, zero opacity), inline or by a style sheet's rule for a tag, class or id, a closed dialog, or an input of
+type hidden; a closed details shows its summary. Of SVG its texts are shown, of MathML all but
 annotations, of a select the labels of its options and their groups.
 
 Layout: blocks begin lines; paragraphs, headings, lists, tables, quotations and preformatted text have an empty line
 around them; br ends a line; list items have a dash or their number (start, value and reversed are kept) and are
-indented with their depth; a table's cells are padded to their column's width, a cell of several columns covers them;
+indented with their depth; a table's cells are padded to their column's width, a cell of several columns or rows covers them;
 preformatted text keeps its white space, all else has runs of it made one space. Images give their alt text, inputs
 of buttons their value. Text inside links stays; addresses do not.
 
 Each page is rendered by itself, in one pass without a shuffle. Defined results: null or empty HTML gives empty text;
-broken markup never raises; nesting deeper than DEPTH is flattened into the element at that depth; repeated rows are
+broken markup never raises, and each tag is read once; text inside a tag that the page's end leaves open is not shown; nesting deeper than DEPTH is flattened into the element at that depth; repeated rows are
 rendered alike. An empty table gives an empty result.
 """
 
@@ -55,9 +56,13 @@ CLOSES = {k: (frozenset(a.split()), frozenset(b)) for k, (a, b) in CLOSES.items(
 SCOPE = frozenset("table td th caption button html body".split())
 HEAD_ONLY = frozenset("title meta link base style script noscript template head".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>", re.S)
+# Possessive, and no two alternatives begin alike, so a tag is read once. A quote counts after "=" alone.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)|opacity\s*:\s*0(?:\.0*)?\s*(?:;|$)", re.I)
+_DISPLAY = re.compile(r"(?:^|[;{\s])display\s*:\s*([a-z-]+)", re.I)
+_VISIBILITY = re.compile(r"(?:^|[;{\s])visibility\s*:\s*([a-z]+)", re.I)
+_CLEAR = re.compile(r"(?:^|[;{\s])opacity\s*:\s*0(?:\.0*)?%?\s*(?:;|!|$)", re.I)
+_SIMPLE = re.compile(r"([a-z][a-z0-9]*|\*)?((?:[.#][\w-]+)*)$", re.I)
 _SPACE = re.compile(r"[ \t\r\n\f\v]+")
 
 
@@ -136,19 +141,31 @@ def parse(source: str) -> Node:
             if stack[i].tag in stop:
                 return
 
+    look = 0
     while at < len(source):
-        m = _TOKEN.search(source, at)
-        if m is None:
+        i = source.find("<", max(at, look))
+        if i < 0:
             text(source[at:])
             break
-        text(source[at : m.start()])
-        at = m.end()
-        if m[1]:
-            text(m[1])
-        if not m[3]:
+        ahead = source[i + 1 : i + 2]
+        if ahead in ("!", "?") or (ahead == "/" and not source[i + 2 : i + 3].isalpha()):
+            text(source[at:i])
+            start, ending = (i + 9, "]]>") if source.startswith("<![CDATA[", i) else (i + 2, "-->") if source.startswith("<!--", i) else (i + 1, ">")
+            end = source.find(ending, start)
+            if ending == "]]>":
+                text(source[start : end if end >= 0 else len(source)])
+            at = end + len(ending) if end >= 0 else len(source)
+            continue
+        if not (ahead == "/" or (ahead.isascii() and ahead.isalpha())):
+            look = i + 1  # a sign of the text
             continue
-        tag = m[3].lower()
-        if m[2]:  # an end tag
+        m = _TAG.match(source, i)
+        text(source[at:i])
+        if m is None:  # the page ends inside a tag, or within a quoted value
+            break
+        at = m.end()
+        tag, closed = m[2].lower(), m[3].rstrip().endswith("/")
+        if m[1]:  # an end tag
             if tag in ("html", "body"):
                 continue
             if tag == "head":
@@ -162,7 +179,7 @@ def parse(source: str) -> Node:
             continue
         if tag in ("html", "head", "body"):
             node = {"html": root, "head": head, "body": body}[tag]
-            for k, v in _attributes(m[4]).items():
+            for k, v in _attributes(m[3]).items():
                 node.attrs.setdefault(k, v)
             if tag == "body" and not in_body:
                 enter_body()
@@ -181,7 +198,7 @@ def parse(source: str) -> Node:
             row = Node("tr", {})
             put(row, False)
             push(row)
-        node = Node(tag, _attributes(m[4]) if m[4].strip() else {})
+        node = Node(tag, _attributes(m[3]) if m[3].strip() else {})
         foreign = open_["svg"] > 0 or open_["math"] > 0
         if tag == "form" and stack[-1].tag in ROWS:
             continue
@@ -192,25 +209,90 @@ def parse(source: str) -> Node:
             node.children, node.parent = mark.parent.children, mark.parent.parent
         else:
             put(node, tag not in TABLE_PARTS and tag not in RAW)
-        if m[5] and foreign:
+        if closed and foreign:
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
             node.children.append(html.unescape(source[at : end.start() if end else len(source)]) if tag in ("title", "textarea") else source[at : end.start() if end else len(source)])
             at = end.end() if end else len(source)
-        elif tag not in VOID and not (m[5] and tag in ("svg", "math", "path")):
+        elif tag not in VOID and not (closed and tag in ("svg", "math", "path")):
             push(node)
     return root
 
 
 def hidden(node: Node) -> bool:
+    """Whether an element is not rendered, whatever style sheets say."""
     a = node.attrs
+    style = a.get("style", "")
     return (
-        node.tag in UNSEEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or ("style" in a and bool(_HIDING.search(a["style"])))
+        node.tag in UNSEEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or (bool(style) and (bool((m := _DISPLAY.search(style)) and m[1].lower() == "none") or bool(_CLEAR.search(style))))
         or (node.tag == "dialog" and "open" not in a) or (node.tag == "input" and a.get("type", "").lower() not in ("submit", "button", "reset"))
     )
 
 
+class Styles:
+    """Rules of style sheets on display and visibility whose selectors are one element's tag, classes and id. Rules for some media alone, and selectors of several elements, are left out."""
+
+    def __init__(self, sheets: list[str]):
+        self.by_key: dict[str, list] = {}  # by an id, a class or a tag that the selector needs
+        order = 0
+        for sheet in sheets:
+            depth, above = 0, ""
+            for m in re.finditer(r"([^{}]*)([{}])", re.sub(r"/\*.*?(?:\*/|\Z)", " ", sheet, flags=re.S)):
+                if m[2] == "{":
+                    depth, above = depth + 1, m[1].rpartition(";")[2] if not depth else f"@{above}"
+                    continue
+                if depth == 1 and "@" not in above:
+                    order += 1
+                    self._add(above, m[1], order)
+                depth = max(0, depth - 1)
+
+    def _add(self, selectors: str, body: str, order: int) -> None:
+        said = [(m[1].lower() if (m := p.search(body)) else None) for p in (_DISPLAY, _VISIBILITY)]
+        if _CLEAR.search(body):
+            said[0] = "none"
+        if not any(said):
+            return
+        for selector in selectors.split(","):
+            if (selector := selector.strip()) and (m := _SIMPLE.fullmatch(selector)):
+                tag, marks = (m[1] or "*").lower(), re.findall(r"[.#][\w-]+", m[2])
+                ids, classes = [x for x in marks if x[0] == "#"], frozenset(x[1:] for x in marks if x[0] == ".")
+                key = (ids or sorted(f".{c}" for c in classes) or [tag])[0]
+                self.by_key.setdefault(key, []).append(((len(ids), len(classes), int(tag != "*"), order), tag, ids, classes, said))
+
+    def of(self, node: Node) -> list:
+        """What the rules say of an element's display and visibility; None where they say nothing."""
+        out, rank = [None, None], [(-1,), (-1,)]
+        if not self.by_key:
+            return out
+        own = node.attrs.get("class", "").split()
+        for key in (f"#{node.attrs.get('id')}", *(f".{c}" for c in own), node.tag, "*"):
+            for weight, tag, ids, classes, said in self.by_key.get(key, ()):
+                if tag in ("*", node.tag) and all(i == f"#{node.attrs.get('id')}" for i in ids) and classes <= set(own):
+                    for k in (0, 1):
+                        if said[k] and weight > rank[k]:
+                            out[k], rank[k] = said[k], weight
+        return out
+
+
+def prune(node: Node, styles: Styles, seen: bool = True) -> bool:
+    """Takes out of a tree what is not visible; whether the element itself may stay."""
+    display, visibility = styles.of(node)
+    style = node.attrs.get("style", "")
+    if m := _VISIBILITY.search(style):
+        visibility = m[1].lower()
+    if hidden(node) or (display == "none" and not _DISPLAY.search(style)):
+        return False
+    if visibility in ("hidden", "collapse"):
+        seen = False
+    elif visibility == "visible":
+        seen = True
+    if not seen:
+        node.attrs = {k: v for k, v in node.attrs.items() if k not in ("alt", "value", "label")}
+    node.children = [x for x in node.children if (seen if isinstance(x, str) else prune(x, styles, seen))]
+    return True
+
+
 class _Lines:
     """Lines under way: words wait until it is known whether a space comes before them."""
 
@@ -275,7 +357,11 @@ def _render(node: Node, out: _Lines, pre: bool) -> None:
         elif child.tag == "img":
             out.add(child.attrs.get("alt", ""))
         elif child.tag == "input":
-            out.add(child.attrs.get("value", ""))
+            out.add(f' {child.attrs.get("value", "")} ')
+        elif child.tag in ("button", "textarea"):
+            out.add(" ")
+            _render(child, out, pre)
+            out.add(" ")
         elif child.tag in ("svg", "math"):
             for k, part in enumerate(_foreign(child)):
                 out.add(" " if k else "")
@@ -404,35 +490,61 @@ def _table(node: Node) -> str:
     loose.children = list(_loose(node))
     if loose.children:
         head.append(_inside(loose, False))
-    grid = [[([*_inside(c, False).split("\n")], min(64, max(1, _integer(c.attrs.get("colspan"), 1)))) for c in row.children if isinstance(c, Node) and c.tag in ("td", "th") and not hidden(c)] for row in _rows(node)]
-    width: dict[int, int] = {}
-    for row in grid:
-        at = 0
-        for lines, span in row:
-            if span == 1:
-                width[at] = max(width.get(at, 0), *map(len, lines))
-            at += span
+    grid, busy, width = [], {}, {}  # busy: for each column the rows that a cell from above still takes
+    for row in _rows(node):
+        cells, at, taken = [], 0, {}
+        for c in row.children:
+            if not isinstance(c, Node) or c.tag not in ("td", "th") or hidden(c):
+                continue
+            while busy.get(at, 0):
+                at += 1
+            across, down = min(1000, max(1, _integer(c.attrs.get("colspan"), 1))), _integer(c.attrs.get("rowspan"), 1)
+            cells.append((at, across, _inside(c, False).split("\n")))
+            if down != 1:
+                taken.update((at + k, down - 1 if down > 1 else 65534) for k in range(across))
+            at += across
+        grid.append(cells)
+        busy = {k: n - 1 for k, n in busy.items() if n > 1} | taken
+    for at, across, lines in sorted((x for row in grid for x in row), key=lambda x: x[1]):
+        room = sum(width.get(at + k, 0) for k in range(across)) + 2 * (across - 1)
+        if (most := max(map(len, lines))) > room:
+            width[at + across - 1] = width.get(at + across - 1, 0) + most - room
+    left, so_far = {}, 0  # where each column begins
+    for k in range(max(width, default=-1) + 2):
+        left[k] = so_far
+        so_far += width.get(k, 0) + 2
     out = []
     for row in grid:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            line, at = [], 0
-            for lines, span in row:
-                room = sum(width.get(at + i, 0) for i in range(span)) + 2 * (span - 1)
-                line.append((lines[k] if k < len(lines) else "").ljust(room))
-                at += span
-            out.append("  ".join(line).rstrip())
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            line = ""
+            for at, _, lines in row:
+                if k < len(lines) and lines[k]:
+                    line = line.ljust(left[at]) + lines[k]
+            out.append(line.rstrip())
     return "\n".join([*(h for h in head if h), *out])
 
 
+def _sheets(root: Node) -> list[str]:
+    out, rest = [], [root]
+    while rest:
+        node = rest.pop()
+        if node.tag == "style":
+            out += [x for x in node.children if isinstance(x, str)]
+        rest += [x for x in reversed(node.children) if isinstance(x, Node)]
+    return out
+
+
 def render(source: str | None) -> tuple[str, str, int]:
     """Title, visible text, and number of blocks of a page."""
     if not source:
         return "", "", 0
     root = parse(source)
     titles = [_SPACE.sub(" ", x.children[0]).strip() for part in root.children for x in part.children if isinstance(x, Node) and x.tag == "title" and x.children]
-    lines = _Lines()
-    if not hidden(root) and not hidden(root.children[1]):
-        _render(root.children[1], lines, False)
+    lines, body, styles = _Lines(), root.children[1], Styles(_sheets(root))
+    root.children = [body]
+    lines.gap = 1
+    if prune(root, styles) and root.children:
+        _render(body, lines, False)
     text = lines.text()
     return (titles or [""])[0], text, lines.blocks
 
