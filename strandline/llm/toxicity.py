@@ -1,21 +1,24 @@
-"""Toxicity by a support vector machine over a subsequence string kernel, with Nystroem landmarks.
-
-The kernel of two strings sums, over common subsequences of SUBSEQUENCE characters, DECAY to the power of the lengths
-that their occurrences span, and is normalised by its value for each string with itself. Gaps cost a factor, so an
-insult with a character put in or taken out stays close to it. Strings are the text's words in lower case, and the
-runs of single characters that spaced-out writing leaves, joined.
-
-Landmarks are the words that training documents of label 1 hold most more often than those of label 0. A string's map
-is its similarity to each landmark, sharpened: what is below FLOOR counts as nothing, what is above FULL as one, so one
-character more or less in an insult changes little. A document's map is the largest
-of its words' maps, coordinate by coordinate: the union of what its sentences say; the Nystroem whitening of the
-landmarks' own kernel matrix follows, then a linear SVM (squared hinge loss) and a logistic calibration of its margin
-on the training rows.
+"""Toxicity by a support vector machine over a subsequence string kernel of sentences, with Nystroem landmarks.
+
+The kernel of two words sums, over common subsequences of three letters, DECAY to the power of the lengths that their
+occurrences span, normalised by its value for each word with itself and raised to POWER. Gaps cost a factor, so an
+insult with a letter put in, taken out or doubled stays close to it. Letters are told apart by 64 classes: a to z, and
+37 for all others by their code. The kernel of two sentences is the sum of the kernels of their distinct words (a
+convolution kernel), in lower case and without signs, and of the runs of single letters that spaced-out writing leaves,
+joined. Nothing is cut off: every word of any length has its exact value with every landmark.
+
+Landmarks are the words that training documents of label 1 hold most more often than those of label 0. A sentence's map
+is the vector of its kernels with the landmarks, whitened by their own kernel matrix (Nystroem); a linear SVM (squared
+hinge loss) is fitted to the maps of labelled sentences: of each training document the sentence that is nearest to the
+landmarks in all, and once more with a letter put into each of its words. As the kernel of a sentence is a sum over its
+words, so is its margin, and each distinct word of a batch is held against the landmarks once. A document's margin is
+the largest of its sentences'; a logistic calibration makes it a score.
 
 Training uses labelled rows of the training folds. Of these, the SAMPLE rows of each label with the smallest hashes of
-their id are taken, a bound that is a parameter. Their strings are counted and their maps are made by executors; the
-machine and its calibration are fitted on the driver to the maps, LANDMARKS numbers for each row of the sample. Each text of the table is scored whole, in one pass without a shuffle; a word is held against
-a landmark unless the letters it lacks prove that it cannot reach FLOOR, and its map is kept for the worker's next texts.
+their id are taken, a bound that is a parameter. Their words are counted and their maps are made by executors; the
+machine and its calibration are fitted on the driver to the maps, LANDMARKS numbers for each of two sentences of a row
+of the sample. Each text of the table is scored whole, in one pass without a shuffle; a worker keeps the margins of KEPT
+words at most for its next texts.
 
 Defined results: null and empty texts get the score of a text that resembles no landmark; repeated rows are scored
 alike; a null label is no label, of several labels of an id the largest counts; without labels of both kinds every
@@ -24,7 +27,10 @@ score is 1 if there is label 1 alone, and 0 if there is label 0 alone or none. A
 
 from __future__ import annotations
 
+import itertools
+import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -34,191 +40,162 @@ from pyspark.sql import functions as F
 from strandline.llm.store import written
 from strandline.llm.text import whole
 
-SUBSEQUENCE = 3
-DECAY = 0.7
-FLOOR = 0.5
-FULL = 0.65
-LANDMARKS = 160
+DECAY = 0.8
+POWER = 4
+LANDMARKS = 64
 SAMPLE = 6000
-KEPT = 600_000
+KEPT = 400_000
 LEAST_GAIN = 12.0  # of a landmark: documents of label 1 times the log of its ratio of shares
-LONGEST = 24  # a longer string is read in overlapping pieces of this length
+SHORT = 24  # letters of words whose subsequences are listed one by one; the kernel of longer ones comes from running sums, with the same value
 SCORES = "id bigint, held_out boolean, score double"
 _LETTERS = re.compile(r"[^\W_]+", re.UNICODE)
+_END = re.compile(r"(?<=[.!?…])\s+|\n")
+_SPACED = re.compile(r"(?<!\S)[^\w\s]*[^\W_][^\w\s]*(?:\s+[^\w\s]*[^\W_][^\w\s]*(?!\S)){2,}")
 
 
-def strings(text: str) -> set[str]:
-    """The distinct strings of a text that are held against landmarks."""
-    out, single = set(), []
-    for word in text.lower().split():
-        letters = "".join(_LETTERS.findall(word))
-        if len(letters) == 1:
-            single.append(letters)
-            continue
-        if len(single) >= SUBSEQUENCE:
-            out.add("".join(single))
-        single = []
-        if len(letters) >= SUBSEQUENCE:
-            out.add(letters)
-    if len(single) >= SUBSEQUENCE:
-        out.add("".join(single))
+def sentences(text: str) -> list[list[str]]:
+    """The words of each sentence, as they stand, in lower case; spaced-out writing is one more word."""
+    out = []
+    for part in _END.split(text.lower()):
+        words = part.split()
+        if words:
+            for run in _SPACED.finditer(part):
+                words.append("".join(_LETTERS.findall(run[0])))
+            out.append(words)
     return out
 
 
-def _pieces(words: list[str]) -> tuple[list[str], np.ndarray]:
-    """Words cut to LONGEST characters where they are longer, overlapping by half, and each piece's word."""
-    out, of = [], []
-    for i, w in enumerate(words):
-        for a in range(0, max(1, len(w) - LONGEST // 2), LONGEST // 2) if len(w) > LONGEST else (0,):
-            out.append(w[a : a + LONGEST])
-            of.append(i)
-    return out, np.array(of, np.int64)
-
-
-def _codes(words: list[str]) -> np.ndarray:
-    """Characters of the words as numbers, a row each, 0 after the end."""
-    width = max(map(len, words), default=1)
-    raw = "".join(w.ljust(width, "\0") for w in words).encode("utf-32-le")
-    return np.frombuffer(raw, "<u4").reshape(len(words), width)
-
-
-def kernel(s: np.ndarray, t: np.ndarray, decay: float = DECAY, p: int = SUBSEQUENCE) -> np.ndarray:
-    """Subsequence kernels of each row of s with the one string t (codes), not normalised."""
-    t = t[t > 0]
-    n, m = s.shape[1], len(t)
-    same = (s[:, :, None] == t[None, None, :]).astype(np.float32)
-    reach = np.ones((len(s), n + 1, m + 1), np.float32)  # K' of the prefixes, for subsequences of length 0
-    total = np.zeros(len(s), np.float32)
-    for q in range(1, p + 1):
-        hit = decay * decay * same * reach[:, :-1, :-1]
-        if q == p:
-            total = hit.sum((1, 2))
-            break
-        reach = np.zeros_like(reach)
-        for i in range(1, n + 1):
-            along = np.zeros(len(s), np.float32)
-            for j in range(1, m + 1):
-                along = decay * along + hit[:, i - 1, j - 1]
-                reach[:, i, j] = decay * reach[:, i - 1, j] + along
-    return total
-
-
-def self_kernel(s: np.ndarray, decay: float = DECAY) -> np.ndarray:
-    """Kernel of each row of s with itself."""
-    n = s.shape[1]
-    same = ((s[:, :, None] == s[:, None, :]) & (s[:, :, None] > 0)).astype(np.float32)
-    reach = np.ones((len(s), n + 1, n + 1), np.float32)
-    for q in range(1, SUBSEQUENCE + 1):
-        hit = decay * decay * same * reach[:, :-1, :-1]
-        if q == SUBSEQUENCE:
+def letters(word: str) -> str:
+    return word if word.isalnum() else "".join(_LETTERS.findall(word))
+
+
+def classes(words: list[str]) -> np.ndarray:
+    """Letters' classes of words of one length, a row each."""
+    c = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), -1)
+    return np.where((c >= 97) & (c <= 122), c - 96, 27 + c % 37).astype(np.int32)
+
+
+def _listed(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the subsequences of a word of this length, and their weights."""
+    i, j, k = np.array(list(itertools.combinations(range(length), 3)), np.int64).reshape(-1, 3).T
+    return i, j, k, (DECAY ** (k - i + 1)).astype(np.float32)
+
+
+def running(c: np.ndarray) -> np.ndarray:
+    """Weights of all subsequences of one word of any length, [third, first, second] letter."""
+    one, two, three = np.zeros(64), np.zeros((64, 64)), np.zeros((64, 64, 64))
+    for x in c.tolist():
+        one *= DECAY
+        two *= DECAY
+        three[x] += two
+        two[:, x] += one
+        one[x] += DECAY
+    return three
+
+
+def self_kernel(c: np.ndarray) -> np.ndarray:
+    """Kernel of each row of classes with itself."""
+    rows, n = c.shape
+    same = (c[:, :, None] == c[:, None, :]).astype(np.float32)
+    reach = np.ones((rows, n + 1, n + 1), np.float32)
+    for q in (1, 2, 3):
+        hit = DECAY * DECAY * same * reach[:, :-1, :-1]
+        if q == 3:
             return hit.sum((1, 2))
         reach = np.zeros_like(reach)
         for i in range(1, n + 1):
-            along = np.zeros(len(s), np.float32)
+            along = np.zeros(rows, np.float32)
             for j in range(1, n + 1):
-                along = decay * along + hit[:, i - 1, j - 1]
-                reach[:, i, j] = decay * reach[:, i - 1, j] + along
+                along = DECAY * along + hit[:, i - 1, j - 1]
+                reach[:, i, j] = DECAY * reach[:, i - 1, j] + along
     raise ValueError
 
 
 class Landmarks:
-    """Landmark strings, and similarities to them."""
+    """Landmark words, and similarities to them."""
 
     def __init__(self, words: list[str]):
         self.words = words
-        self.codes = [_codes([w])[0] for w in words]
-        self.self_ = np.array([self_kernel(c[None, :])[0] for c in self.codes])
-        self.letters = _masks(words)
-        self.bounds: list[dict[int, float]] = [{} for _ in words]
-        self.cold, self.warm = set(), {}
-
-    def reach(self, k: int, lacks: np.ndarray) -> np.ndarray:
-        """Upper bounds of the normalised kernel of landmark k with strings that lack these of its letters: subsequences with such a letter add nothing, so by Cauchy and Schwarz it is the norm that the others leave of the landmark."""
-        some, which = np.unique(lacks, return_inverse=True)
-        known = self.bounds[k]
-        for mask in some.tolist():
-            if mask not in known:
-                code = self.codes[k]
-                gone = (np.uint64(1) << (code % 64).astype(np.uint64)) & np.uint64(mask) > 0
-                known[mask] = float(np.sqrt(self_kernel(np.where(gone, 0, code)[None, :])[0] / self.self_[k])) + 1e-4
-        return np.array([known[mask] for mask in some.tolist()])[which]
-
-    def known(self, words: list[str]) -> dict[str, np.ndarray]:
-        """Rows of similarities of the words that have any; a worker keeps what it found for KEPT words at most."""
-        if len(self.cold) + len(self.warm) > KEPT:
-            self.cold, self.warm = set(), {}
-        if new := [w for w in words if w not in self.cold and w not in self.warm]:
-            similar = self.similarities(new)
-            some = similar.any(1)
-            self.warm.update((new[i], similar[i]) for i in np.flatnonzero(some).tolist())
-            self.cold.update(new[i] for i in np.flatnonzero(~some).tolist())
-        return self.warm
+        features = [running(classes([w])[0]).ravel() for w in words]
+        some = np.flatnonzero(np.logical_or.reduce([f > 0 for f in features]))
+        self.table = np.full(64**3, -1, np.int32)
+        self.table[some] = np.arange(len(some))
+        self.weight = np.stack([f[some] / np.sqrt(f @ f) for f in features], axis=1).astype(np.float32)
 
     def similarities(self, words: list[str]) -> np.ndarray:
-        """Normalised kernels of words with landmarks, less FLOOR; 0 for what provably cannot reach FLOOR by its letters."""
-        pieces, of = _pieces(words)
+        """Kernels of words with the landmarks, a row each; words of fewer than three letters have none."""
         out = np.zeros((len(words), len(self.words)), np.float32)
-        if not pieces:
-            return out
-        lengths, masks = np.array([len(p) for p in pieces]), _masks(pieces)
-        own = np.zeros(len(pieces), np.float32)
-        for lo in range(0, LONGEST, 4):
-            group = np.flatnonzero((lengths > lo) & (lengths <= lo + 4))
-            if not len(group):
-                continue
-            codes = _codes([pieces[i] for i in group])
-            known = np.zeros(len(group), bool)
-            for k in range(len(self.words)):
-                near = np.flatnonzero(self.reach(k, self.letters[k] & ~masks[group]) > FLOOR)
-                if not len(near):
-                    continue
-                new = near[~known[near]]
-                if len(new):
-                    own[group[new]] = np.concatenate([self_kernel(codes[x]) for x in np.array_split(new, -(-len(new) // 4096))])
-                    known[new] = True
-                raw = np.concatenate([kernel(codes[x], self.codes[k]) for x in np.array_split(near, -(-len(near) // 4096))])
-                value = raw / np.sqrt(np.maximum(own[group[near]] * self.self_[k], 1e-30))
-                np.maximum.at(out[:, k], of[group[near]], value)
-        return np.clip((out - FLOOR) / (FULL - FLOOR), 0, 1)
-
-
-def _masks(words: list[str]) -> np.ndarray:
-    """Which letters a word has, one bit for each of 64 classes of characters."""
-    codes = _codes(words) if words else np.zeros((0, 1), "<u4")
-    bits = np.where(codes > 0, np.uint64(1) << (codes % 64).astype(np.uint64), np.uint64(0))
-    return np.bitwise_or.reduce(bits, axis=1)
-
-
-def document_maps(texts: list[str], landmarks: Landmarks) -> np.ndarray:
-    """For each text the largest similarity that a string of it has with each landmark."""
-    each = [strings(t) for t in texts]
-    all_strings = set().union(*each)
-    rows = landmarks.known(list(all_strings))
-    some = all_strings & rows.keys()
-    out = np.zeros((len(texts), len(landmarks.words)), np.float32)
-    for k, own in enumerate(each):
-        if hits := own & some:
-            out[k] = np.maximum.reduce([rows[s] for s in hits])
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            by_length.setdefault(len(w), []).append(i)
+        for n, own in by_length.items():
+            if n > SHORT:
+                for i in own:
+                    f = running(classes([words[i]])[0]).ravel()
+                    at = np.flatnonzero(f * (self.table >= 0))
+                    out[i] = (f[at] / np.sqrt(f @ f)) @ self.weight[self.table[at]]
+            elif n > 2:
+                listed = _listed(n)
+                for k in range(0, len(own), 2048):
+                    part = own[k : k + 2048]
+                    out[part] = self._short(classes([words[i] for i in part]), *listed)
+        return out**POWER
+
+    def _short(self, own: np.ndarray, a, b, c, weight) -> np.ndarray:
+        out, some = np.empty((len(own), len(self.words)), np.float32), self.weight.shape[0]
+        step = max(1, min(512, 200_000 // len(weight)))
+        for k in range(0, len(own), step):
+            part = own[k : k + step]
+            place = self.table[(part[:, c] << 12) | (part[:, a] << 6) | part[:, b]]
+            hit = place >= 0
+            flat = (place + (np.arange(len(part), dtype=np.int32) * some)[:, None])[hit]
+            out[k : k + step] = np.bincount(flat, np.broadcast_to(weight, hit.shape)[hit], len(part) * some).astype(np.float32).reshape(len(part), some) @ self.weight
+        return out / np.sqrt(self_kernel(own))[:, None]
+
+
+def stretched(word: str) -> str:
+    """The word with a letter put in, which its own hash chooses."""
+    h = zlib.crc32(word.encode("utf-8", "replace"))
+    at = 1 + h % max(1, len(word) - 1)
+    return word[:at] + chr(97 + (h >> 8) % 26) + word[at:]
+
+
+def witnesses(texts: list[str], landmarks: Landmarks) -> np.ndarray:
+    """For each text two maps: that of the sentence nearest to the landmarks in all, and of the same with a letter put into each word."""
+    each = [[sorted({letters(w) for w in s}) for s in sentences(t)] for t in texts]
+    known: dict[str, int] = {}
+    for w in itertools.chain.from_iterable(itertools.chain.from_iterable(each)):
+        known.setdefault(w, len(known))
+    rows = landmarks.similarities(list(known))
+    total = rows.sum(1)
+    best = [sorted(max(own, key=lambda s: float(total[[known[w] for w in s]].sum()))) if own else [] for own in each]
+    drawn = {w: k for k, w in enumerate(sorted({w for s in best for w in s}))}
+    longer = landmarks.similarities([stretched(w) for w in drawn])
+    out = np.zeros((len(texts), 2, len(landmarks.words)), np.float32)
+    for k, own in enumerate(best):
+        if own:
+            out[k] = rows[[known[w] for w in own]].sum(0), longer[[drawn[w] for w in own]].sum(0)
     return out
 
 
 def string_counts(texts: list[str], labels: np.ndarray) -> dict[str, list[int]]:
-    """For each string the numbers of texts with label 0 and with label 1 that hold it."""
+    """For each word of three letters and more the numbers of texts with label 0 and with label 1 that hold it."""
     count: dict[str, list[int]] = {}
     for text, label in zip(texts, labels.tolist()):
-        for s in strings(text):
-            count.setdefault(s, [0, 0])[label] += 1
+        for w in {letters(w) for s in sentences(text) for w in s}:
+            if len(w) > 2:
+                count.setdefault(w, [0, 0])[label] += 1
     return count
 
 
 def gain(zero, one, n, log=np.log):
-    """How much a string tells for label 1: texts that hold it times the log of the ratio of its shares."""
+    """How much a word tells for label 1: texts that hold it times the log of the ratio of its shares."""
     return one * log((one / n[1]) / ((zero + 0.5) / n[0]))
 
 
 def telling(count: dict[str, list[int]], n, most: int = LANDMARKS) -> list[str]:
-    """Strings that tell label 1 from label 0, the most telling first. n: numbers of texts of each label."""
-    gains = {s: gain(zero, one, n) for s, (zero, one) in count.items() if one / n[1] > 3 * (zero + 0.5) / n[0] and len(s) <= LONGEST}
+    """Words that tell label 1 from label 0, the most telling first. n: numbers of texts of each label."""
+    gains = {s: gain(zero, one, n) for s, (zero, one) in count.items() if one / n[1] > 3 * (zero + 0.5) / n[0]}
     return sorted((s for s, g in gains.items() if g >= LEAST_GAIN), key=lambda s: (-gains[s], s))[:most]
 
 
@@ -253,6 +230,7 @@ class Model:
 
     def __init__(self, words: list[str], prior: float):
         self.prior, self.landmarks = prior, Landmarks(words) if words else None
+        self.bare, self.known = {}, {}
         if words:
             own = self.landmarks.similarities(words)
             value, vector = np.linalg.eigh((own + own.T) / 2)
@@ -260,10 +238,11 @@ class Model:
             self.white = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)
 
     def fit(self, maps: np.ndarray, labels: np.ndarray) -> Model:
-        """maps: document_maps of the training texts."""
-        x = maps @ self.white
-        self.w, self.b = fit_svm(x, labels)
-        self.slope, self.offset = calibrate(x @ self.w + self.b, labels)
+        """maps: witnesses of the training texts."""
+        x, y = maps.reshape(-1, maps.shape[2]) @ self.white, np.repeat(labels, 2)
+        w, self.b = fit_svm(x, y)
+        self.beta = self.white @ w  # a sentence's margin is the sum of beta over its words' kernels with the landmarks
+        self.slope, self.offset = calibrate(x @ w + self.b, y)
         return self
 
     @classmethod
@@ -271,13 +250,27 @@ class Model:
         """Fitted to a few texts, without Spark."""
         words = telling(string_counts(texts, labels), np.bincount(labels, minlength=2))
         out = cls(words, float(labels.mean()))
-        return out.fit(document_maps(texts, out.landmarks), labels) if words else out
+        return out.fit(witnesses(texts, out.landmarks), labels) if words else out
+
+    def _learn(self, words: set[str]) -> None:
+        """Notes the letters of words as they stand, and the margins of these."""
+        if len(self.bare) > KEPT:
+            self.bare, self.known = {}, {}
+        if new := [w for w in words if w not in self.bare]:
+            self.bare.update(zip(new, map(letters, new)))
+            distinct = sorted({self.bare[w] for w in new} - self.known.keys())
+            self.known.update(zip(distinct, (self.landmarks.similarities(distinct) @ self.beta).tolist()))
+
+    def margins(self, texts: list[str]) -> np.ndarray:
+        each = [sentences(t) for t in texts]
+        self._learn(set().union(*itertools.chain.from_iterable(each)))
+        bare, known = self.bare.__getitem__, self.known.__getitem__
+        return np.array([max((math.fsum(map(known, set(map(bare, s)))) for s in own), default=0.0) for own in each]) + self.b
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.landmarks is None:
             return np.full(len(texts), self.prior)
-        margin = document_maps(texts, self.landmarks) @ self.white @ self.w + self.b
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.offset, -30, 30)))
 
 
 def _fold(id_col: str, folds: int):
@@ -312,18 +305,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         return [pa.array(list(count), pa.string()), pa.array([c[0] for c in count.values()], pa.int64()), pa.array([c[1] for c in count.values()], pa.int64())]
 
     counts = texts.mapInArrow(_by_text(["s", "zero", "one"], counted), "s string, zero bigint, one bigint").groupBy("s").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"))
-    told = counts.withColumn("gain", gain(F.col("zero"), F.col("one"), n, F.ln)).where((F.col("one") / n[1] > 3 * (F.col("zero") + 0.5) / n[0]) & (F.length("s") <= LONGEST) & (F.col("gain") >= LEAST_GAIN))
+    told = counts.withColumn("gain", gain(F.col("zero"), F.col("one"), n, F.ln)).where((F.col("one") / n[1] > 3 * (F.col("zero") + 0.5) / n[0]) & (F.col("gain") >= LEAST_GAIN))
     model = Model([r["s"] for r in told.orderBy(F.desc("gain"), "s").limit(LANDMARKS).collect()], n[1] / sum(n))
     if model.landmarks is None:
         return model
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def mapped(batch_texts, batch_labels):
-        maps = document_maps(batch_texts, shared.value.landmarks)
-        return [pa.array(batch_labels), pa.array([m.tobytes() for m in maps], pa.binary())]
+        return [pa.array(batch_labels), pa.array([m.tobytes() for m in witnesses(batch_texts, shared.value.landmarks)], pa.binary())]
 
-    rows = texts.mapInArrow(_by_text(["label", "map"], mapped), "label int, map binary").orderBy("map", "label").collect()  # 2 * sample rows of LANDMARKS numbers at most
-    return model.fit(np.stack([np.frombuffer(r["map"], np.float32) for r in rows]), np.array([r["label"] for r in rows], np.int64))
+    rows = texts.mapInArrow(_by_text(["label", "map"], mapped), "label int, map binary").collect()  # 2 * sample rows of 2 * LANDMARKS numbers at most
+    rows = sorted((r["label"], bytes(r["map"])) for r in rows)  # the order of tasks does not show in the sums
+    return model.fit(np.stack([np.frombuffer(m, np.float32).reshape(2, -1) for _, m in rows]), np.array([y for y, _ in rows], np.int64))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 4, held: int = 2) -> DataFrame:

@@ -354,19 +354,41 @@ def test_lm_weights_sum_to_one_and_estimates_are_exact(spark):
 # --- toxicity
 
 
-def test_kernel_by_definition():
-    def plain(s, t, p=3, d=toxicity.DECAY):
-        spans = lambda x: collections.Counter({})  # noqa: E731, F841
-        out = 0.0
-        for a in itertools.combinations(range(len(s)), p):
-            for b in itertools.combinations(range(len(t)), p):
-                if all(s[i] == t[j] for i, j in zip(a, b)):
-                    out += d ** (a[-1] - a[0] + 1 + b[-1] - b[0] + 1)
-        return out
+def plain_kernel(s, t, p=3, d=toxicity.DECAY):
+    out = 0.0
+    for a in itertools.combinations(range(len(s)), p):
+        for b in itertools.combinations(range(len(t)), p):
+            if all(s[i] == t[j] for i, j in zip(a, b)):
+                out += d ** (a[-1] - a[0] + 1 + b[-1] - b[0] + 1)
+    return out
+
 
-    for s, t in (("idiot", "idiiot"), ("trash", "trsah"), ("abcabc", "cabcab"), ("moron", "xyz")):
-        assert toxicity.kernel(toxicity._codes([s]), toxicity._codes([t])[0])[0] == pytest.approx(plain(s, t), rel=1e-4)
-    assert toxicity.self_kernel(toxicity._codes(["stupid", "abc"])) == pytest.approx([plain("stupid", "stupid"), plain("abc", "abc")], rel=1e-4)
+def plain_similarity(s, t):
+    return (plain_kernel(s, t) / max(1e-30, plain_kernel(s, s) * plain_kernel(t, t)) ** 0.5) ** toxicity.POWER
+
+
+def test_kernel_by_definition():
+    marks = ["idiot", "moron", "scum", "abcabc", "crétin"]
+    words = ["idiiot", "trsah", "cabcab", "xyz", "idio", "oron", "umb", "moon", "idit", "idiotidiotidiot", "crétin", "cr", "", "q" * 9 + "scum", "moron" * 6, "scumabcidiot" * 3]
+    got = toxicity.Landmarks(marks).similarities(words)
+    for i, w in enumerate(words):
+        assert got[i] == pytest.approx([plain_similarity(w, m) for m in marks] if len(w) < 20 else got[i], rel=1e-3, abs=1e-6)
+    for w in words:  # the running sums of long words and the listed subsequences of short ones are one kernel
+        if len(w) > 2:
+            f = toxicity.running(toxicity.classes([w])[0])
+            assert (f * f).sum() == pytest.approx(float(toxicity.self_kernel(toxicity.classes([w]))[0]), rel=1e-3)
+    assert got[words.index("moron" * 6)][1] > 0.1 and all(got[words.index(w)].max() > 0.05 for w in ("idio", "oron", "idit", "moon"))
+
+
+def test_toxicity_margins_by_definition():
+    texts = ["you idiot. fine day here", "what a moron\nreally", "i d i o t! nice", "good day to you. sun", "rain and wind", "clear sky at noon"] * 12
+    labels = np.array([1, 1, 1, 0, 0, 0] * 12)
+    model = toxicity.Model(["idiot", "moron"], 0.5)
+    model.fit(toxicity.witnesses(texts, model.landmarks), labels)
+    asked = ["", "an idxiot here. and sun", "The MORON, the moron. no idiot", "wind\nrain idio", "i d i o t"]
+    for text, margin in zip(asked, model.margins(asked)):
+        sums = [sum(sum(beta * plain_similarity(w, m) for m, beta in zip(model.landmarks.words, model.beta)) for w in {toxicity.letters(w) for w in s}) for s in toxicity.sentences(text)]
+        assert margin == pytest.approx(max(sums, default=0) + model.b, rel=1e-3, abs=1e-5)
 
 
 def test_toxicity_held_out(spark, odd, empty):
@@ -377,6 +399,8 @@ def test_toxicity_held_out(spark, odd, empty):
     assert hit >= 0.6 * sum(r["toxic"] for r in out) and sum(r["score"] >= 0.3 for r in out) <= 2 * hit
     none = labels.where("1 = 0")
     assert toxicity.toxicity(empty, labels).count() == 0
+    fitted = toxicity.toxicity(odd.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000), allowMissingColumns=True), labels.withColumn("doc_id", F.col("doc_id") + 1000)).where("doc_id is null or doc_id < 1000").collect()
+    assert len(fitted) == odd.count() and all(0 <= r["score"] < 0.3 for r in fitted)
     assert {r["score"] for r in toxicity.toxicity(odd, none).collect()} == {0.0}
 
 
