@@ -99,10 +99,12 @@ def equivalent(one: DataFrame, bins: DataFrame, rel: float = 1e-4, absolute: flo
     return a.join(b, ["iid", "accession"], "full").where(F.col("sa").isNull() | F.col("sb").isNull() | (F.col("da") != F.col("db")) | far)
 
 
-def archaic_estimate(genotypes: DataFrame, panel: DataFrame, slope: float = 1.8, intercept: float = 0.0, most: float = 10.0, least_sites: int = 50, provisional: int = 500) -> DataFrame:
-    """By sample: archaic alleles over alleles called at the panel's sites as a percentage on a linear calibration, null below least_sites sites. genotypes: iid, vid, dosage (ALT copies); panel: vid, archaic_is_alt (a small table)."""
+def archaic_estimate(genotypes: DataFrame, panel: DataFrame, slope: float = 3.0, intercept: float = 0.0, most: float = 10.0, version: str = "v1", least_sites: int = 50, provisional: int = 500) -> DataFrame:
+    """By sample: archaic alleles over alleles called at the panel's sites as a percentage on a linear calibration (see sources.files.calibration), null below least_sites sites. genotypes: iid, vid, dosage (ALT copies); panel: vid, archaic_is_alt (a small table)."""
     n_sites = panel.agg(F.count(F.lit(1)).alias("n_panel"))
     own = genotypes.where("dosage is not null").join(panel, "vid").groupBy("iid").agg(F.sum(F.when(F.col("archaic_is_alt"), F.col("dosage")).otherwise(2 - F.col("dosage"))).alias("archaic"), (2 * F.count(F.lit(1))).alias("total"), F.count(F.lit(1)).alias("sites"))
     pct = F.least(F.lit(most), F.greatest(F.lit(0.0), F.col("archaic") / F.col("total") * slope + intercept))
     out = own.withColumn("pct", F.when(F.col("sites") >= least_sites, F.round(pct, 2)))
-    return out.join(F.broadcast(n_sites)).withColumn("method", F.concat(F.lit("allele fraction"), F.when(F.col("n_panel") < provisional, " (provisional)").otherwise(""))).drop("n_panel")
+    tag = F.when(F.col("n_panel") < provisional, " PROVISIONAL-SEED (expand panel before interpreting)").otherwise("")
+    method = F.concat(F.lit(f"dosage-over-archaic-tag-panel-{version} ("), F.col("sites").cast("string"), F.lit("/"), F.col("n_panel").cast("string"), F.lit(" sites genotyped, calibrated to 1kGP)"), tag)
+    return out.join(F.broadcast(n_sites)).withColumn("method", method).drop("n_panel")

@@ -10,8 +10,8 @@ METRICS = (("AUROC", "(?i)auroc|auc", 0.5, 1.0), ("C-index", "(?i)c-?index|c-?st
 
 
 def evidence_grade(n: Column, has_eval: Column, multi_eval: Column) -> Column:
-    """Grade by size of the discovery study and kind of evaluation."""
-    return F.when((n >= 100000) & multi_eval, "A").when((n >= 50000) & has_eval, "B").when((n >= 10000) | has_eval, "C").otherwise("D")
+    """Grade by size of the discovery study and kind of evaluation: the two best need one, the best a large study or several ancestries."""
+    return F.when((n >= 100000) & has_eval & (multi_eval | (n >= 250000)), "A").when((n >= 50000) & has_eval, "B").when(n >= 10000, "C").otherwise("D")
 
 
 def total_samples(samples: Column) -> Column:
@@ -20,15 +20,15 @@ def total_samples(samples: Column) -> Column:
 
 
 def major_ancestry(dist: Column) -> Column:
-    """Key of the largest share of a map; the first key in order of equal ones."""
-    best = F.array_max(F.transform(F.map_entries(dist), lambda e: F.struct(e["value"].alias("v"), e["key"].alias("k"))))["v"]
-    return F.array_min(F.map_keys(F.map_filter(dist, lambda k, x: x == best)))
+    """Key of the largest share of a map; of equal ones the first that the map has."""
+    best = F.array_max(F.map_values(dist))
+    return F.get(F.map_keys(F.map_filter(dist, lambda k, x: x == best)), F.lit(0))
 
 
 def multi_ancestry(dist: Column) -> Column:
-    """Two ancestries with a share or more, or any that is not European."""
-    keys = F.map_keys(F.map_filter(dist, lambda k, x: x > 0))
-    return (F.size(keys) >= 2) | F.exists(keys, lambda k: k != "EUR")
+    """Two named ancestries or more, whatever their shares, or any that is not European."""
+    keys = F.map_keys(dist)
+    return (F.size(F.array_remove(keys, "")) >= 2) | F.exists(keys, lambda k: ~k.isin("EUR", "European"))
 
 
 def selected(scores: DataFrame, top: int, pins: DataFrame | None = None) -> DataFrame:

@@ -25,12 +25,34 @@ def repaired(records: DataFrame) -> DataFrame:
 
 
 def alt_filled(records: DataFrame, alleles: DataFrame) -> DataFrame:
-    """Single reference records get the table's first ALT where REF agrees, and a zero count for it; filled says which."""
-    table = alleles.select("pos", F.col("ref").alias("table_ref"), "first_alt")
-    fits = (F.col("r.pos") == F.col("t.pos")) & (F.upper("r.ref") == F.col("t.table_ref")) & (F.col("r.alt") == ".") & ~F.col("r.multi")
+    """Single reference records get the table's first ALT at their contig and position where REF agrees, and a zero count for it (a missing count stays so); filled says which."""
+    table = alleles.select("chrom", "pos", F.col("ref").alias("table_ref"), "first_alt")
+    fits = (F.col("r.chrom") == F.col("t.chrom")) & (F.col("r.pos") == F.col("t.pos")) & (F.upper("r.ref") == F.col("t.table_ref")) & (F.col("r.alt") == ".") & ~F.col("r.multi")
     out = records.alias("r").join(table.alias("t"), fits, "left")
     filled = F.col("t.first_alt").isNotNull()
-    return out.select("r.*", filled.alias("filled"), F.coalesce("t.first_alt", "r.alt").alias("new_alt"), F.when(filled, F.concat(F.col("r.depth").cast("string"), F.lit(",0"))).otherwise(F.col("r.depth").cast("string")).alias("ad"))
+    depth = F.col("r.depth").cast("string")
+    return out.select("r.*", filled.alias("filled"), F.coalesce("t.first_alt", "r.alt").alias("new_alt"), F.when(filled & ~depth.isin(".", ""), F.concat(depth, F.lit(",0"))).otherwise(depth).alias("ad"))
+
+
+def repair_counters(filled: DataFrame) -> DataFrame:
+    """By sample: reference records, filled ones, positions of several records (never filled), and records dropped beside a variant or as repeats. filled: alt_filled of repaired."""
+    several = F.count_distinct(F.when(F.col("multi"), F.struct("chrom", "pos")))
+    return filled.groupBy("iid").agg(
+        F.count_if(F.col("alt") == ".").alias("homref"), F.count_if("filled").alias("filled"), several.alias("skipped_multirecord"), F.count_if(F.col("fate") == "dropped_homref").alias("dropped_homref"), F.count_if(F.col("fate") == "dropped_dup").alias("dropped_dup"),
+    )
+
+
+def on_chrx_alone(records: DataFrame) -> DataFrame:
+    """Records of chrX outside the regions that it shares with chrY, and called."""
+    lo, hi = A.CHRX_NON_PAR
+    return records.where((F.col("chrom") == "chrX") & F.col("pos").between(lo, hi) & A.gt_called("gt"))
+
+
+def genotyped_at_targets(records: DataFrame, targets: DataFrame, depth: DataFrame, least_depth: int = 1) -> DataFrame:
+    """A genotype for each sample and target: the record's where there is one, 0/0 where the sample is covered, else ./. (iid, chrom, pos, ref, alt, gt). targets: chrom, pos, ref; depth: iid, chrom, pos, depth, for each sample and target that was looked at."""
+    own = records.select("iid", "chrom", "pos", F.col("alt").alias("own_alt"), F.col("gt").alias("own_gt"))
+    seen = depth.join(targets, ["chrom", "pos"]).join(own, ["iid", "chrom", "pos"], "left")
+    return seen.select("iid", "chrom", "pos", "ref", F.coalesce("own_alt", F.lit(".")).alias("alt"), F.coalesce("own_gt", F.when(F.col("depth") >= least_depth, "0/0").otherwise("./.")).alias("gt"))
 
 
 def sex_from_genotypes(gts: DataFrame) -> DataFrame:

@@ -17,10 +17,6 @@ PORTABILITY = "portability: score trained in Europeans only"
 ROBUSTNESS = "robustness LOW: scores of this trait disagree"
 GENERAL = "a polygenic score is not a diagnosis"
 
-#: Traits that exist in one sex only decide the sex of their baseline.
-TRAIT_SEX = {"trait_3": "female", "trait_5": "male"}
-
-
 def effect_of(scores: DataFrame, effects: DataFrame) -> DataFrame:
     """Adds per_sd: of the score's id (the last row given), else of its trait (the first row given)."""
     by_id = effects.groupBy("pgs_id").agg(F.max_by("per_sd", "ord").alias("by_id"))
@@ -29,10 +25,10 @@ def effect_of(scores: DataFrame, effects: DataFrame) -> DataFrame:
     return out.withColumn("per_sd", F.coalesce("by_id", "by_trait")).drop("by_id", "by_trait", "trait_key")
 
 
-def baseline_of(scores: DataFrame, baselines: DataFrame, mandated: dict[str, str] = TRAIT_SEX) -> DataFrame:
-    """Adds baseline_risk and baseline_sex: the first hit of (sex, ancestry), (sex, overall), (overall, ancestry), (overall, overall), where sex is the trait's, else the sample's, else overall."""
+def baseline_of(scores: DataFrame, baselines: DataFrame, mandated: dict[str, str] | None = None) -> DataFrame:
+    """Adds baseline_risk and baseline_sex: the first hit of (sex, ancestry), (sex, overall), (overall, ancestry), (overall, overall), where sex is the trait's (mandated: sex by trait in lower case, for those that exist in one sex only), else the sample's, else overall."""
     trait = F.lower(F.trim(F.col("trait")))
-    sex = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in mandated.items() for x in kv)), trait), F.nullif("sex", F.lit("unknown")), F.lit("overall"))
+    sex = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in mandated.items() for x in kv)), trait) if mandated else F.lit(None).cast("string"), F.nullif("sex", F.lit("unknown")), F.lit("overall"))
     keys = F.array(*(F.struct(s.alias("bsex"), a.alias("banc")) for s in (sex, F.lit("overall")) for a in (F.coalesce("ancestry", F.lit("overall")), F.lit("overall"))))
     ways = scores.withColumn("row_key", F.struct("sample", "pgs_id")).select("*", F.posexplode(keys).alias("way", "key"))
     base = baselines.select(F.lower("trait").alias("btrait"), F.col("sex").alias("bs"), F.col("ancestry").alias("ba"), "baseline_risk")
@@ -49,14 +45,17 @@ def risk_columns(percentile: str = "percentile", per_sd: str = "per_sd", baselin
 
 
 def graded(scores: DataFrame) -> DataFrame:
-    """Gates in order; scores: sample, pgs_id, trait, base_grade, training_ancestry, pop, match_rate, percentile (null: uncalibrated), per_sd, baseline_risk. Adds portability_flag, evidence_grade, absolute_risk, risk_ratio, allowed_statement."""
+    """Gates in order; scores: sample, pgs_id, trait, base_grade, training_ancestry, pop, match_rate, percentile (null: uncalibrated), per_sd, baseline_risk, baseline_sex. Adds portability_flag, evidence_grade, absolute_risk, risk_ratio, allowed_statement."""
     low = F.coalesce(F.col("match_rate") < LEAST_COVERAGE, F.lit(False))
     none = F.col("percentile").isNull()
-    foreign = F.coalesce(~none & F.col("pop").isNotNull() & ~A.european_only("pop") & ~F.upper("pop").startswith("EUR") & A.european_only("training_ancestry"), F.lit(False))
+    foreign = F.coalesce(~none & F.col("pop").isNotNull() & (F.upper("pop") != "EUR") & A.european_only("training_ancestry"), F.lit(False))
     steps = F.when(low, 2).otherwise(0) + F.when(foreign, 1).otherwise(0)
     rr, ar = risk_columns()
     known = ~none & F.col("per_sd").isNotNull() & F.col("baseline_risk").isNotNull()
-    caveats = F.array_compact(F.array(F.when(low, COVERAGE), F.when(none, UNCALIBRATED), F.when(foreign, PORTABILITY), F.lit(GENERAL)))
+    sex = F.coalesce("baseline_sex", F.lit("overall")) if "baseline_sex" in scores.columns else F.lit("overall")
+    percent = lambda c: F.round(100 * c).cast("int").cast("string")
+    risk = F.concat(F.lit("absolute risk ~"), percent(F.round(ar, 4)), F.lit("% for "), sex, F.lit(" vs ~"), percent(F.col("baseline_risk")), F.lit("% baseline (odds scale, illustrative)"))
+    caveats = F.array_compact(F.array(F.when(low, COVERAGE), F.when(none, UNCALIBRATED), F.when(foreign, PORTABILITY), F.when(known, risk), F.lit(GENERAL)))
     return scores.withColumns({
         "portability_flag": foreign, "evidence_grade": F.when(none, "D").otherwise(A.downgraded(F.coalesce("base_grade", F.lit("C")), steps)),
         "absolute_risk": F.round(F.when(known, ar), 4), "risk_ratio": F.round(F.when(known, rr), 3), "allowed_statement": F.array_join(caveats, " | "),

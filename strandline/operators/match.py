@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import alleles as A
+from strandline.sources import shared
 
 #: Match types in order of priority.
 TYPES = ("refalt", "altref", "refalt_flip", "altref_flip", "no_oa_ref", "no_oa_alt", "no_oa_ref_flip", "no_oa_alt_flip")
@@ -64,15 +65,13 @@ def maintained(cached: DataFrame, old: DataFrame, new: DataFrame, keys: list[str
 
 def affected(labels: DataFrame, changed: DataFrame) -> DataFrame:
     """Scoring rows whose labels may change with the variants changed (vid): those with such a variant, then those that share a variant with one of them inside an accession, until none is added, however many rounds that takes. Each round is a checkpoint in the shared folder."""
-    sc = labels.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", "/tmp/checkpoints"))
+    shared.folder(labels.sparkSession)  # of the checkpoints
     links = labels.select("accession", "row_nr", "vid").distinct()
     rows = links.join(changed.select("vid"), "vid", "left_semi").select("accession", "row_nr").distinct().checkpoint()
     n = rows.count()
     while True:
-        shared = links.join(rows, ["accession", "row_nr"], "left_semi").select("accession", "vid").distinct()
-        rows = links.join(shared, ["accession", "vid"], "left_semi").select("accession", "row_nr").union(rows).distinct().checkpoint()
+        met = links.join(rows, ["accession", "row_nr"], "left_semi").select("accession", "vid").distinct()
+        rows = links.join(met, ["accession", "vid"], "left_semi").select("accession", "row_nr").union(rows).distinct().checkpoint()
         m = rows.count()
         if m == n:
             return rows

@@ -46,10 +46,20 @@ def merged(splits: DataFrame) -> DataFrame:
 
 
 def coverage(rows: DataFrame, genotypes: DataFrame) -> DataFrame:
-    """By sample and accession of which the sample has any variant: rows matched in the sample, the accession's rows, and their ratio. rows: accession, vid (null where unmatched)."""
+    """By sample and accession: rows matched in the sample (0 where none is), the accession's rows, and their ratio. rows: accession, vid (null where unmatched). The result has a row for each sample and score, so the scores, one small row each, are sent to all samples."""
     totals = rows.groupBy("accession").agg(F.count(F.lit(1)).alias("n_rows"))
     got = genotypes.where("dosage is not null").join(rows.where("vid is not null"), "vid").groupBy("iid", "accession").agg(F.count(F.lit(1)).alias("n_matched"))
-    return got.join(totals, "accession").select("iid", "accession", "n_matched", "n_rows", F.round(F.col("n_matched") / F.col("n_rows"), 6).alias("match_rate"))
+    every = genotypes.select("iid").distinct().join(F.broadcast(totals))
+    return every.join(got, ["iid", "accession"], "left").na.fill(0, ["n_matched"]).select("iid", "accession", "n_matched", "n_rows", F.round(F.col("n_matched") / F.col("n_rows"), 6).alias("match_rate"))
+
+
+def coverage_or_denominator(scores: DataFrame, covered: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Adds n_matched and match_rate to scores (sample, pgs_id, denom): those of a match summary (covered: pgs_id, matched, total) where it has the score, else half of the denominator over the score's own number of variants (sizes: pgs_id, n_variants)."""
+    out = scores.join(covered, "pgs_id", "left").join(sizes.select("pgs_id", F.col("n_variants").alias("size")), "pgs_id", "left")
+    known = F.col("total").isNotNull()
+    n = F.when(known, F.col("matched")).otherwise(F.floor(F.col("denom") / 2))
+    rate = F.when(known, F.when(F.col("total") > 0, F.col("matched") / F.col("total"))).otherwise(F.when(F.col("size") > 0, F.floor(F.col("denom") / 2) / F.col("size")))
+    return out.withColumns({"n_matched": n.cast("bigint"), "match_rate": F.round(rate, 6)}).drop("matched", "total", "size")
 
 
 def passing(covered: DataFrame, least_overlap: float) -> DataFrame:

@@ -45,7 +45,7 @@ def q34(v):
     return P.derived(full, own, full.where("id_target % 7 = 3 and id_target % 2 = 1")).orderBy("key", "id_target", "id_ref").select("key", "id_ref", "id_target", "alt_freq")
 
 
-_META = "SELECT pgs_id, trait, gwas_n, n_variants, CASE WHEN gwas_n >= 100000 AND multi_eval THEN 'A' WHEN gwas_n >= 50000 AND has_eval THEN 'B' WHEN gwas_n >= 10000 OR has_eval THEN 'C' ELSE 'D' END AS grade FROM {meta}"
+_META = "SELECT pgs_id, trait, gwas_n, n_variants, CASE WHEN gwas_n >= 100000 AND has_eval AND (multi_eval OR gwas_n >= 250000) THEN 'A' WHEN gwas_n >= 50000 AND has_eval THEN 'B' WHEN gwas_n >= 10000 THEN 'C' ELSE 'D' END AS grade FROM {meta}"
 
 
 def catalogue(v):
@@ -71,9 +71,9 @@ def q46(v):
 _DIST = "SELECT c_nationkey AS score, CASE r_name WHEN 'EUROPE' THEN 'EUR' WHEN 'ASIA' THEN 'EAS' WHEN 'AFRICA' THEN 'AFR' WHEN 'AMERICA' THEN 'AMR' ELSE 'MID' END AS anc, count(*) % 7 AS n FROM {customer} JOIN {supplier} ON c_nationkey = s_nationkey JOIN {region} ON s_suppkey % 5 = r_regionkey GROUP BY 1, 2"
 
 
-@query("q47_multi_ancestry_eval", f"""SELECT score, CAST(sum(n) AS bigint) AS total, min(anc) FILTER (n = best) AS major, count(*) FILTER (n > 0) >= 2 OR coalesce(bool_or(anc <> 'EUR') FILTER (n > 0), false) AS multi FROM (SELECT *, max(n) OVER (PARTITION BY score) AS best FROM ({_DIST})) GROUP BY 1""")
+@query("q47_multi_ancestry_eval", f"""SELECT score, CAST(sum(n) AS bigint) AS total, min(anc) FILTER (n = best) AS major, count(*) >= 2 OR bool_or(anc NOT IN ('EUR', 'European')) AS multi FROM (SELECT *, max(n) OVER (PARTITION BY score) AS best FROM ({_DIST})) GROUP BY 1""")
 def q47(v):
-    nested = v.sql(_DIST).groupBy("score").agg(F.map_from_entries(F.collect_list(F.struct("anc", F.col("n").cast("double").alias("n")))).alias("dist"), F.collect_list(F.struct(F.col("n").alias("sample_number"))).alias("samples"))
+    nested = v.sql(_DIST).groupBy("score").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("anc", F.col("n").cast("double").alias("n"))))).alias("dist"), F.collect_list(F.struct(F.col("n").alias("sample_number"))).alias("samples"))
     return nested.select("score", K.total_samples(F.col("samples")).alias("total"), K.major_ancestry(F.col("dist")).alias("major"), K.multi_ancestry(F.col("dist")).alias("multi"))
 
 
@@ -90,7 +90,7 @@ def q48(v):
 _ARCH = "SELECT vid, vid % 2 = 0 AS archaic_is_alt FROM {variant} WHERE vid % 9 = 4"
 
 
-@query("q49_archaic_estimate", f"""SELECT iid, CAST(archaic AS bigint) AS archaic, 2 * sites AS total, sites, CASE WHEN sites >= 50 THEN round(least(10.0, greatest(0.0, archaic / (2 * sites) * 1.8e0)), 2) END AS pct, 'allele fraction' || CASE WHEN (SELECT count(*) FROM ({_ARCH})) < 500 THEN ' (provisional)' ELSE '' END AS method
+@query("q49_archaic_estimate", f"""SELECT iid, CAST(archaic AS bigint) AS archaic, 2 * sites AS total, sites, CASE WHEN sites >= 50 THEN round(least(10.0, greatest(0.0, archaic / (2 * sites) * 3.0e0)), 2) END AS pct, 'dosage-over-archaic-tag-panel-v1 (' || CAST(sites AS string) || '/' || CAST((SELECT count(*) FROM ({_ARCH})) AS string) || ' sites genotyped, calibrated to 1kGP)' || CASE WHEN (SELECT count(*) FROM ({_ARCH})) < 500 THEN ' PROVISIONAL-SEED (expand panel before interpreting)' ELSE '' END AS method
  FROM (SELECT iid, sum(CASE WHEN archaic_is_alt THEN dosage ELSE 2 - dosage END) AS archaic, count(*) AS sites FROM {{g25}} JOIN ({_ARCH}) USING (vid) WHERE dosage IS NOT NULL GROUP BY 1)""")
 def q49(v):
     return B.archaic_estimate(v.g25, v.sql(_ARCH))

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strandline.operators import ancestry
 from strandline.operators import genotypes as G
 from strandline.plans.registry import query
+from strandline.sources import shared
 from strandline.streaming import events as E
 
 
 def _folder(v, name):
-    root = v.spark.sparkContext.getConf().get("spark.checkpoint.dir") or v.spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return shared.new_path(v.spark, name)
 
 
 @query("x01_events_window", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS bigint)) AS bigint) AS cents FROM {events} GROUP BY 1, 2")

@@ -23,6 +23,10 @@ _TARGET = f"SELECT t.*, base_grade, training_ancestry, gwas_n, round(least(1.0,
 
 
 def scored(v):
+    return v.once("cohort-scored", lambda: _scored(v))
+
+
+def _scored(v):
     own = v.cohort.join(rows(v), "vid").withColumn("pgs_id", F.substring("accession", 1, 9))
     s = own.groupBy("iid", "pgs_id", "trait").agg(F.sum(S.effect_dosage().cast("bigint") * F.col("w")).alias("score_sum"), F.count(F.lit(1)).alias("n_matched")).join(v.people, "iid")
     out = C.panel_ranks(s, ["pgs_id"]).withColumn("percentile", F.when(F.col("n_panel") > 60, F.round("percentile", 1)))
@@ -47,7 +51,7 @@ def effects(v):
 
 
 def risks(v):
-    return G.baseline_of(effects(v).withColumn("ancestry", F.col("pop")), v.baseline)
+    return G.baseline_of(effects(v).withColumn("ancestry", F.col("pop")), v.baseline, {"trait_3": "female", "trait_5": "male"})
 
 
 @query("q36_effect_lookup", f"SELECT sample, pgs_id, trait, per_sd FROM ({_EFF})")
@@ -72,8 +76,8 @@ def q38(v):
 _EURO = "(upper(trim(training_ancestry)) IN ('EUR', 'EUR100%', 'EUR (100%)', 'EUROPEAN') OR upper(trim(training_ancestry)) LIKE 'EUR (%')"
 _GRADED = f"""SELECT sample, pgs_id, trait, pop, match_rate, percentile, flag AS portability_flag, CASE WHEN percentile IS NULL THEN 'D' ELSE substr('ABCD', least(4, strpos('ABCD', coalesce(base_grade, 'C')) + (CASE WHEN low THEN 2 ELSE 0 END) + (CASE WHEN flag THEN 1 ELSE 0 END)), 1) END AS evidence_grade,
  CASE WHEN known THEN round(odds / (1 + odds), 4) END AS absolute_risk, CASE WHEN known THEN round(rr, 3) END AS risk_ratio,
- concat_ws(' | ', CASE WHEN low THEN '{G.COVERAGE}' END, CASE WHEN percentile IS NULL THEN '{G.UNCALIBRATED}' END, CASE WHEN flag THEN '{G.PORTABILITY}' END, '{G.GENERAL}') AS allowed_statement
- FROM (SELECT *, coalesce(match_rate < 0.75, false) AS low, percentile IS NOT NULL AND NOT upper(pop) LIKE 'EUR%' AND coalesce({_EURO}, false) AS flag, percentile IS NOT NULL AND per_sd IS NOT NULL AND baseline_risk IS NOT NULL AS known FROM ({_RISK}))"""
+ concat_ws(' | ', CASE WHEN low THEN '{G.COVERAGE}' END, CASE WHEN percentile IS NULL THEN '{G.UNCALIBRATED}' END, CASE WHEN flag THEN '{G.PORTABILITY}' END, CASE WHEN known THEN concat('absolute risk ~', CAST(CAST(round(100 * round(odds / (1 + odds), 4)) AS int) AS string), '% for ', coalesce(baseline_sex, 'overall'), ' vs ~', CAST(CAST(round(100 * baseline_risk) AS int) AS string), '% baseline (odds scale, illustrative)') END, '{G.GENERAL}') AS allowed_statement
+ FROM (SELECT *, coalesce(match_rate < 0.75, false) AS low, percentile IS NOT NULL AND upper(pop) <> 'EUR' AND coalesce({_EURO}, false) AS flag, percentile IS NOT NULL AND per_sd IS NOT NULL AND baseline_risk IS NOT NULL AS known FROM ({_RISK}))"""
 
 
 def graded(v):

@@ -55,7 +55,8 @@ def q17(v):
 
 
 _COVER = f"""WITH rows AS ({_ROWS}), total AS (SELECT accession, count(*) AS n_rows FROM {{scoredup}} GROUP BY 1)
- SELECT iid, g.accession, n_matched, n_rows, round(n_matched / n_rows, 6) AS match_rate FROM (SELECT iid, accession, count(*) AS n_matched FROM {{grain}} JOIN rows USING (vid) WHERE dosage IS NOT NULL GROUP BY 1, 2) g JOIN total USING (accession)"""
+ SELECT iid, accession, coalesce(n_matched, 0) AS n_matched, n_rows, round(coalesce(n_matched, 0) / n_rows, 6) AS match_rate FROM (SELECT iid, accession, n_rows FROM (SELECT DISTINCT iid FROM {{grain}}) CROSS JOIN total) p
+ LEFT JOIN (SELECT iid, accession, count(*) AS n_matched FROM {{grain}} JOIN rows USING (vid) WHERE dosage IS NOT NULL GROUP BY 1, 2) g USING (iid, accession)"""
 
 
 def coverage(v, genotypes):
@@ -110,7 +111,7 @@ _GC = f"SELECT s.iid, accession, score_sum, pop, sampleset, pc1 FROM ({_sums('gc
 
 
 def scored(v):
-    return S.sums(rows(v), v.gc).select("iid", "accession", "score_sum").join(v.sample, "iid")
+    return v.once("scored", lambda: S.sums(rows(v), v.gc).select("iid", "accession", "score_sum").join(v.sample, "iid"))
 
 
 def _rank(keys):

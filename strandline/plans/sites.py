@@ -82,7 +82,7 @@ def q08(v):
 
 
 _FILL = f"""SELECT r.*, t.first_alt IS NOT NULL AS filled, coalesce(t.first_alt, r.alt) AS new_alt, CASE WHEN t.first_alt IS NOT NULL THEN CAST(depth AS string) || ',0' ELSE CAST(depth AS string) END AS ad
- FROM ({_REPAIR}) r LEFT JOIN {{allele}} t ON r.pos = t.pos AND upper(r.ref) = t.ref AND r.alt = '.' AND NOT r.multi"""
+ FROM ({_REPAIR}) r LEFT JOIN {{allele}} t ON r.chrom = t.chrom AND r.pos = t.pos AND upper(r.ref) = t.ref AND r.alt = '.' AND NOT r.multi"""
 
 
 @query("q09_alt_fill", f"SELECT iid, chrom, pos, ord, new_alt, ad FROM ({_FILL}) WHERE fate = 'kept' AND filled")
@@ -90,11 +90,10 @@ def q09(v):
     return G.alt_filled(G.repaired(v.record), v.allele).where("fate = 'kept' and filled").select("iid", "chrom", "pos", "ord", "new_alt", "ad")
 
 
-@query("q10_repair_counters", f"""SELECT iid, count(*) FILTER (alt = '.') AS homref, count(*) FILTER (filled) AS filled, count(*) FILTER (alt = '.' AND multi) AS skipped_multirecord,
+@query("q10_repair_counters", f"""SELECT iid, count(*) FILTER (alt = '.') AS homref, count(*) FILTER (filled) AS filled, count(DISTINCT CASE WHEN multi THEN concat(chrom, ':', pos) END) AS skipped_multirecord,
  count(*) FILTER (fate = 'dropped_homref') AS dropped_homref, count(*) FILTER (fate = 'dropped_dup') AS dropped_dup FROM ({_FILL}) GROUP BY iid""")
 def q10(v):
-    out = G.alt_filled(G.repaired(v.record), v.allele)
-    return out.groupBy("iid").agg(F.count_if(F.col("alt") == ".").alias("homref"), F.count_if("filled").alias("filled"), F.count_if((F.col("alt") == ".") & F.col("multi")).alias("skipped_multirecord"), F.count_if(F.col("fate") == "dropped_homref").alias("dropped_homref"), F.count_if(F.col("fate") == "dropped_dup").alias("dropped_dup"))
+    return G.repair_counters(G.alt_filled(G.repaired(v.record), v.allele))
 
 
 _TARGETS = "SELECT DISTINCT chrom, pos FROM {record} WHERE pos % 7 < 3 UNION SELECT DISTINCT chrom + 0, pos + 1 FROM {record} WHERE pos % 7 = 5"

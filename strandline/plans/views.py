@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandline.sources import shared
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 _NUMBER = "CAST(substr(p_brand, 7) AS int)"
 _KIND = "(900 + ascii(substr(p_type, 2, 1)))"
@@ -50,7 +52,7 @@ VIEWS = {
                     ELSE CASE l_linenumber % 4 WHEN 0 THEN '0/1' WHEN 1 THEN '1|1' WHEN 2 THEN '1' ELSE '0|1' END END AS gt,
                CAST(l_quantity AS int) AS depth, l_orderkey * 10 + l_linenumber AS ord
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
-    "allele": "SELECT DISTINCT pos, ref, min(alt) OVER (PARTITION BY pos, ref) AS first_alt FROM {record} WHERE alt <> '.' AND iid % 2 = 0",
+    "allele": "SELECT chrom, pos, ref, min(alt) AS first_alt FROM {record} WHERE alt <> '.' AND iid % 2 = 0 GROUP BY 1, 2, 3",
     "meta": """
         SELECT concat('PGS', lpad(CAST(number AS string), 6, '0')) AS pgs_id, concat('trait_', CAST(number % 8 AS string)) AS trait, number,
                CAST(sum(l_quantity) AS bigint) * 40 AS gwas_n, count(DISTINCT vid) AS n_variants,
@@ -82,6 +84,12 @@ class Views:
             self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet") if name in TABLES else self.sql(VIEWS[name])
         return self._made[name]
 
+    def once(self, name: str, make) -> DataFrame:
+        """What make() gives, worked out once however often a query uses it."""
+        if f"once {name}" not in self._made:
+            self._made[f"once {name}"] = shared.kept(make(), name)
+        return self._made[f"once {name}"]
+
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(text, **{n: getattr(self, n) for n in set(_NAME.findall(text))})
 

@@ -48,10 +48,50 @@ def test_repair_and_fill(spark):
     recs = spark.createDataFrame([(1, 1, 10, "A", ".", "0/0", 9, 1), (1, 1, 20, "C", ".", "0/0", 9, 2), (1, 1, 20, "C", "T", "0/1", 9, 3), (1, 1, 20, "C", "T", "0/1", 9, 4), (1, 1, 30, "G", ".", "0/0", 5, 5)], "iid int, chrom int, pos int, ref string, alt string, gt string, depth int, ord int")
     fixed = genotypes.repaired(recs)
     assert rows(fixed, "ord", "fate") == [(1, "kept"), (2, "dropped_homref"), (3, "kept"), (4, "dropped_dup"), (5, "kept")]
-    table = spark.createDataFrame([(10, "A", "G"), (30, "T", "C")], "pos int, ref string, first_alt string")
+    table = spark.createDataFrame([(1, 10, "A", "G"), (1, 30, "T", "C"), (2, 30, "G", "C")], "chrom int, pos int, ref string, first_alt string")
     assert rows(genotypes.alt_filled(fixed, table).where("fate = 'kept'"), "ord", "new_alt", "ad") == [(1, "G", "9,0"), (3, "T", "9"), (5, ".", "5")]
 
 
+def test_repair_counters(spark):
+    """Eight records at four positions: a variant with its reference twin, an indel with a repeat and a reference record, one reference record, two of them."""
+    cases = [(10, "G", "1/1", "1,9"), (10, ".", "0/0", "9"), (20, "AGG", "0/1", "5,4"), (20, "AGG", "0/1", "5,4"), (20, ".", "0/0", "9"), (30, ".", "0/0", "9"), (31, ".", "0/0", "9"), (31, ".", "0/0", "9")]
+    recs = spark.createDataFrame([(1, "chr1", p, "A", alt, gt, ad, i) for i, (p, alt, gt, ad) in enumerate(cases)], "iid int, chrom string, pos int, ref string, alt string, gt string, depth string, ord int")
+    table = spark.createDataFrame([(c, p, "A", "T") for c in ("chr1", "chr2") for p in (10, 20, 30, 31)], "chrom string, pos int, ref string, first_alt string")
+    out = genotypes.alt_filled(genotypes.repaired(recs), table)
+    assert rows(out.where("fate = 'kept'"), "pos", "new_alt") == [(10, "G"), (20, "AGG"), (30, "T"), (31, ".")]
+    assert genotypes.repair_counters(out).first()[1:] == (5, 1, 3, 2, 2)
+    missing = recs.where("pos = 30").withColumn("depth", F.lit("."))
+    assert genotypes.alt_filled(genotypes.repaired(missing), table).first()["ad"] == "."
+
+
+def test_places_of_one_sex_chromosome_and_forced_genotypes(spark):
+    recs = spark.createDataFrame([(1, "chrX", 2781480, "A", "T", "0/1"), (1, "chrX", 2781479, "A", "T", "0/1"), (1, "chrX", 3000000, "A", "T", "./."), (1, "chr1", 3000000, "A", "T", "0/1")], "iid int, chrom string, pos int, ref string, alt string, gt string")
+    assert rows(genotypes.on_chrx_alone(recs), "pos") == [(2781480,)]
+    sites = spark.createDataFrame([("chr1", 3000000, "A"), ("chr1", 5, "C"), ("chr1", 6, "C")], "chrom string, pos int, ref string")
+    depth = spark.createDataFrame([(1, "chr1", 3000000, 9), (1, "chr1", 5, 4), (1, "chr1", 6, 0)], "iid int, chrom string, pos int, depth int")
+    assert rows(genotypes.genotyped_at_targets(recs, sites, depth), "pos", "alt", "gt") == [(5, ".", "0/0"), (6, ".", "./."), (3000000, "T", "0/1")]
+
+
+def test_evidence_grade_truth_table(spark):
+    sizes, flags = (300000, 250000, 100000, 50000, 10000, 9999), [(e, m) for e in (True, False) for m in (True, False)]
+    df = spark.createDataFrame([(n, e, m) for n in sizes for e, m in flags], "n long, e boolean, m boolean")
+    for r in df.select("*", catalogue.evidence_grade(F.col("n"), F.col("e"), F.col("m")).alias("g")).collect():
+        want = "A" if r["n"] >= 100000 and r["e"] and (r["m"] or r["n"] >= 250000) else "B" if r["n"] >= 50000 and r["e"] else "C" if r["n"] >= 10000 else "D"
+        assert r["g"] == want, r
+    dist = spark.sql("SELECT 1 AS k, map('EUR', 5.0D, 'AFR', 0.0D) AS d UNION ALL SELECT 2, map('European', 5.0D) UNION ALL SELECT 3, map('EAS', 2.0D, 'AFR', 2.0D) UNION ALL SELECT 4, map('EUR', 1.0D)")
+    assert rows(dist.select("k", catalogue.multi_ancestry(F.col("d")).alias("m"), catalogue.major_ancestry(F.col("d")).alias("a")), "k", "m", "a") == [(1, True, "EUR"), (2, False, "European"), (3, True, "EAS"), (4, False, "EUR")]
+
+
+def test_coverage_of_scores_without_a_match(spark):
+    own = spark.createDataFrame([("a", 1), ("a", None), ("b", 9)], "accession string, vid int")
+    calls = spark.createDataFrame([(1, 1, 2), (2, 1, None)], "iid int, vid int, dosage int")
+    assert rows(score.coverage(own, calls), "iid", "accession", "n_matched", "match_rate") == [(1, "a", 1, 0.5), (1, "b", 0, 0.0), (2, "a", 0, 0.0), (2, "b", 0, 0.0)]
+    scores = spark.createDataFrame([(1, "a", 8.0), (1, "b", 9.0), (1, "c", None)], "sample int, pgs_id string, denom double")
+    covered = spark.createDataFrame([("a", 3, 4)], "pgs_id string, matched long, total long")
+    sizes = spark.createDataFrame([("a", 100), ("b", 5)], "pgs_id string, n_variants int")
+    assert rows(score.coverage_or_denominator(scores, covered, sizes), "pgs_id", "n_matched", "match_rate") == [("a", 3, 0.75), ("b", 4, 0.8), ("c", None, None)]
+
+
 def test_explicit_fraction(spark):
     recs = spark.createDataFrame([(1, "1", 10, "0/0"), (1, "1", 20, "0/1"), (1, "1", 30, "./.")], "iid int, chrom string, pos int, gt string")
     sites = spark.createDataFrame([("1", 10), ("1", 20), ("1", 30), ("2", 5)], "chrom string, pos int")
