@@ -22,11 +22,12 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import blocks
-from strandline.llm.hashing import ragged, word_spans
+from strandline.llm.hashing import ragged, word_hashes
 from strandline.llm.text import whole
 
 SCHEMA = "id bigint, n_tokens bigint, ids array<int>, decoded string"
@@ -72,26 +73,29 @@ def _unpack(packed: bytes) -> bytes:
 
 
 class Words:
-    """A block's texts as numbers of its distinct words, which are told apart by 64-bit hashes and come in the order of their bins."""
+    """A block's texts as numbers of its distinct words, which come in the order of their bins."""
 
     def __init__(self, texts: pa.ChunkedArray, bins: int):
-        h, self.at, start, end, self.data = word_spans(texts)
-        distinct, first, place = np.unique(h, return_index=True, return_inverse=True)
-        bin_ = (distinct % np.uint64(bins)).astype(np.int64)
+        texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+        texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        words, at = split.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))])
+        said = pc.greater(pc.binary_length(words), 0)  # white space at a text's ends leaves empty ones
+        self.at = np.concatenate([[0], np.cumsum(said.to_numpy(zero_copy_only=False))])[at]
+        coded = words.filter(said).dictionary_encode()
+        distinct = coded.dictionary
+        bin_ = (word_hashes(distinct)[0] % np.uint64(bins)).astype(np.int64)
         by_bin = np.argsort(bin_, kind="stable")
         rank = np.empty(len(distinct), np.int64)
         rank[by_bin] = np.arange(len(distinct))
-        self.number = rank[place]  # of each word of the texts
-        self.start, self.size = start[first][by_bin], (end - start)[first][by_bin]
-        self.edges = np.searchsorted(bin_[by_bin], np.arange(bins + 1))
+        self.number = rank[coded.indices.to_numpy()]  # of each word of the texts
+        self.words, self.edges = distinct.take(pa.array(by_bin)).cast(pa.string()), np.searchsorted(bin_[by_bin], np.arange(bins + 1))
 
     def messages(self):
-        for b, (x, y) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist())):
-            if y > x:
-                spaced = np.full((self.size[x:y] + 1).sum(), 0x20, np.uint8)
-                to = np.cumsum(self.size[x:y] + 1) - self.size[x:y] - 1
-                spaced[ragged(to, self.size[x:y])] = self.data[ragged(self.start[x:y], self.size[x:y])]
-                yield b, y - x, _pack(spaced.tobytes())
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(self.edges, pa.int32()), self.words), " ")
+        for b, n in enumerate(np.diff(self.edges).tolist()):
+            if n:
+                yield b, n, _pack(joined[b].as_py().encode())
 
     def ids(self, answers: dict) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each distinct word, and all their ids."""
@@ -112,6 +116,68 @@ class Words:
         return ids[ragged((np.cumsum(n) - n)[self.number], count)], at
 
 
+@functools.cache
+def _ends(path: str) -> np.ndarray | None:
+    """For a tokenizer that reads letters without their case, keeps them apart from a sign behind them, and marks the last piece of a run of letters: which ids are marked. None for others."""
+    t, piece = tokenizer(path), pieces(path)
+    plain = lambda x: t.encode(x, add_special_tokens=False).ids
+    suffix = getattr(t.model, "end_of_word_suffix", None)
+    ok = bool(suffix) and all(plain(w.upper()) == plain(w) and all(plain(w + x) == plain(w) + plain(x) for x in SIGNS) for w in ("cat", "the", "zqxjkv", "electroencephalography"))
+    return np.array([x.endswith(suffix) for x in piece]) if ok else None
+
+
+#: Signs that often stand behind a word.
+SIGNS = ".,;:!?"
+
+
+def _run(t, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of each text, and all their ids."""
+    n, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for k in range(0, len(texts), 4096):
+        ids = [e.ids for e in t.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False)]
+        n.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat.append(np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(n[-1].sum())))
+    return np.concatenate(n), np.concatenate(flat)
+
+
+def encoded(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of each word, and all their ids. Where the tokenizer allows it (see _ends), words of ASCII letters that differ in case or in a sign behind them are encoded once, and many in one call, told apart by the mark of their last piece."""
+    t, ends = tokenizer(path), _ends(path)
+    last = pc.utf8_slice_codeunits(words, -1, None)
+    signed = pc.and_(pc.is_in(last, pa.array(list(SIGNS), words.type)), pc.greater(pc.utf8_length(words), 1))
+    stem = pc.if_else(signed, pc.utf8_slice_codeunits(words, 0, -1), words)
+    plain = pc.and_(pc.and_(pc.string_is_ascii(stem), pc.ascii_is_alpha(stem)), ends is not None)
+    coded = pc.if_else(plain, pc.ascii_lower(stem), words).dictionary_encode()
+    sign = pc.if_else(pc.and_(plain, signed), pc.index_in(last, pa.array(list(SIGNS), words.type)), len(SIGNS)).to_numpy(zero_copy_only=False).astype(np.int64)
+    stems = coded.dictionary
+    letters = pc.and_(pc.and_(pc.string_is_ascii(stems), pc.ascii_is_alpha(stems)), ends is not None).to_numpy(zero_copy_only=False)
+    at, joined = np.flatnonzero(letters), stems.filter(pa.array(letters)).to_pylist()
+    order, n_ids, all_ids, other = [], [], [], [np.flatnonzero(~letters)]
+    for k in range(0, len(joined), 1 << 15):
+        starts = range(k, min(k + (1 << 15), len(joined)), 256)
+        for i, e in zip(starts, t.encode_batch_fast([" ".join(joined[i : i + 256]) for i in starts], add_special_tokens=False)):
+            got, own = np.array(e.ids, np.uint32), at[i : i + 256]
+            ended = np.flatnonzero(ends[got]) + 1
+            if len(ended) != len(own) or ended[-1] != len(got):
+                other.append(own)  # not told apart; one by one, then
+            else:
+                order.append(own)
+                n_ids.append(np.diff(ended, prepend=0))
+                all_ids.append(got)
+    rest = np.concatenate(other)
+    n, flat = _run(t, stems.take(pa.array(rest)).to_pylist())
+    order, n, flat = np.concatenate([*order, rest]), np.concatenate([*n_ids, n]), np.concatenate([*all_ids, flat])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    n_tail, tails = _run(t, list(SIGNS))
+    n_tail, of = np.append(n_tail, 0), place[coded.indices.to_numpy()]
+    both = n[of] + n_tail[sign]
+    out, at = np.empty(int(both.sum()), np.uint32), np.cumsum(both) - both
+    out[ragged(at, n[of])] = flat[ragged((np.cumsum(n) - n)[of], n[of])]
+    out[ragged(at + n[of], n_tail[sign])] = tails[ragged((np.cumsum(n_tail) - n_tail)[sign], n_tail[sign])]
+    return both, out
+
+
 def asker(bins: int):
     def ask(table: pa.Table):
         return Words(table.column("text"), bins).messages()
@@ -121,18 +187,15 @@ def asker(bins: int):
 
 def answerer(path: str):
     def answer(messages):
-        asked = [_unpack(p).split() for _, p in messages]
-        all_words = list(set().union(*asked))
-        at = {w: i for i, w in enumerate(all_words)}
-        t, ids = tokenizer(path), []
-        for i in range(0, len(all_words), 4096):
-            ids += [e.ids for e in t.encode_batch([w.decode("utf-8", "replace") for w in all_words[i : i + 4096]], add_special_tokens=False)]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), "<u4", int(n.sum()))
-        first, out = np.cumsum(n) - n, []
+        asked = [pa.array(_unpack(p).decode("utf-8", "replace").split(" "), pa.large_string()) for _, p in messages]
+        coded = pa.chunked_array(asked).combine_chunks()
+        coded = (pa.concat_arrays(coded.chunks) if isinstance(coded, pa.ChunkedArray) else coded).dictionary_encode()
+        n, flat = encoded(path, coded.dictionary)
+        own, first, out, at = coded.indices.to_numpy(), np.cumsum(n) - n, [], 0
         for words in asked:
-            own = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-            out.append((len(own), _pack(n[own].astype("<u4").tobytes() + flat[ragged(first[own], n[own])].tobytes())))
+            mine = own[at : at + len(words)]
+            at += len(words)
+            out.append((len(mine), _pack(n[mine].astype("<u4").tobytes() + flat[ragged(first[mine], n[mine])].astype("<u4").tobytes())))
         return out
 
     return answer

@@ -18,10 +18,10 @@ long; rows that repeat an id stand side by side. An empty table writes an empty
 
 from __future__ import annotations
 
-import itertools
 import struct
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,36 +42,41 @@ _BINS = 1 << 21
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_COUNT, rounds: int | None = None):
-    """ids of all documents, and the place after each document's last. Gives left, right, lengths, symbols, and places."""
+    """ids of all documents, and the place after each document's last. Gives left, right, lengths, symbols, and places. After a round only pairs that were frequent or stand beside a new symbol are counted again; when none of them is frequent, all are, until none is."""
     seq = ids.astype(np.int32)
     doc = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
     known: dict[int, int] = {}  # pair -> nonterminal
-    for _ in itertools.count() if rounds is None else range(rounds):
-        if len(seq) < 2:
-            break
-        inside = doc[1:] == doc[:-1]
-        key = (seq[:-1].astype(np.int64) << 32) | seq[1:]
-        bin_ = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(43)).astype(np.int64)
-        count = np.bincount(bin_[inside], minlength=_BINS)
-        often = np.flatnonzero(inside & (count[bin_] >= least))
-        if not len(often):
-            break
-        pairs, number, n = np.unique(key[often], return_inverse=True, return_counts=True)
-        if n.max() < least:
-            break
+    some, done = None, 0  # places that may begin a frequent pair; None: any
+    while len(seq) > 1 and (rounds is None or done < rounds):
+        if some is None:
+            often = _frequent_bins(seq, doc, least)
+        else:
+            often = some[doc[some + 1] == doc[some]]
+        key = (seq[often].astype(np.int64) << 32) | seq[often + 1]
+        number, pairs = pd.factorize(key)
+        n = np.bincount(number, minlength=len(pairs))
+        often, number = often[n[number] >= least], number[n[number] >= least]
+        if not len(n) or n.max() < least:
+            if some is None:
+                break
+            some = None
+            continue
+        done += 1
         taken = n >= max(least, n.max() // 2)
         if taken.sum() < PAIRS:  # or a long tail of rounds would follow
             taken = n >= max(least, np.sort(n)[-min(PAIRS, len(n))])
-        rank = np.zeros(len(seq) + 1, np.int32)  # of the pair that begins at each place; 0: none
-        rank[often] = np.where(taken, n, 0)[number]
-        chosen = _winners(rank[:-1], key)
-        at = np.flatnonzero(chosen)
-        new = {p: known.setdefault(p, base + len(known)) for p in np.unique(key[at]).tolist()}
-        own = np.array(list(new)), np.array(list(new.values()))
-        seq[at] = own[1][np.searchsorted(own[0], key[at])]
+        at, number = _winners(often, np.where(taken, n, 0)[number], number)
+        fresh = np.full(len(pairs), -1, np.int64)
+        for k in np.unique(number).tolist():
+            fresh[k] = known.setdefault(int(pairs[k]), base + len(known))
+        again = np.zeros(len(seq), bool)
+        again[often] = True
+        again[at] = again[at - 1] = True
+        seq[at] = fresh[number]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, doc = seq[stay], doc[stay]
+        seq, doc, again = seq[stay], doc[stay], again[stay]
+        some = np.flatnonzero(again[:-1])
     rules = np.array(list(known), np.int64)
     left, right = rules >> 32, rules & 0xFFFFFFFF
     lengths = np.ones(base + len(rules), np.int64)
@@ -80,13 +85,25 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_CO
     return left, right, lengths[base:], seq, np.searchsorted(doc, np.arange(len(ends)))
 
 
-def _winners(rank: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Places whose pair is replaced: of overlapping ones the one with the largest rank, of equal ones the left one and each second from there."""
-    rank = rank[: len(key)]
-    best = (rank > 0) & (rank >= np.concatenate([[0], rank[:-1]])) & (rank >= np.concatenate([rank[1:], [0]]))
-    place = np.arange(len(best))
-    begin = np.maximum.accumulate(np.where(best & ~np.concatenate([[False], best[:-1]]), place, -1))
-    return best & ((place - begin) % 2 == 0)
+def _frequent_bins(seq: np.ndarray, doc: np.ndarray, least: int) -> np.ndarray:
+    """Places whose pair may be frequent, by counts of hashed pairs."""
+    key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:].astype(np.uint64)
+    bin_ = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(43)).astype(np.int32)
+    inside = doc[1:] == doc[:-1]
+    count = np.bincount(bin_[inside], minlength=_BINS)
+    return np.flatnonzero(inside & (count[bin_] >= least))
+
+
+def _winners(at: np.ndarray, rank: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose pair is replaced, and its number: of overlapping ones the one with the largest rank (0: none), of equal ones the left one and each second from there. at: ascending places where pairs begin."""
+    beside = np.diff(at) == 1
+    before = np.concatenate([[0], np.where(beside, rank[:-1], 0)])
+    after = np.concatenate([np.where(beside, rank[1:], 0), [0]])
+    best = np.flatnonzero((rank > 0) & (rank >= before) & (rank >= after))
+    place = at[best]
+    begin = np.maximum.accumulate(np.where(np.diff(place, prepend=-2) != 1, place, -1))
+    best = best[(place - begin) % 2 == 0]
+    return at[best], number[best]
 
 
 def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
