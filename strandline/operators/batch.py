@@ -108,3 +108,30 @@ def archaic_estimate(genotypes: DataFrame, panel: DataFrame, slope: float = 3.0,
     tag = F.when(F.col("n_panel") < provisional, " PROVISIONAL-SEED (expand panel before interpreting)").otherwise("")
     method = F.concat(F.lit(f"dosage-over-archaic-tag-panel-{version} ("), F.col("sites").cast("string"), F.lit("/"), F.col("n_panel").cast("string"), F.lit(" sites genotyped, calibrated to 1kGP)"), tag)
     return out.join(F.broadcast(n_sites)).withColumn("method", method).drop("n_panel")
+
+
+def partition_faults(files: DataFrame, bins: DataFrame) -> DataFrame:
+    """Files that a packing into bins lost, made up or holds several times; none where it is a partition. Both: name."""
+    n = lambda df, c: df.groupBy("name").agg(F.count(F.lit(1)).alias(c))
+    return n(files, "n_files").join(n(bins, "n_bins"), "name", "full").na.fill(0, ["n_files", "n_bins"]).where("n_files <> n_bins")
+
+
+def smoke(expected: DataFrame, got: DataFrame, absolute: float = 1e-6) -> DataFrame:
+    """Expected scores that a run lacks or gives otherwise: sums apart by absolute or more, or matched counts that differ as text. Both: pgs_id, score_sum, n_matched."""
+    b = got.select("pgs_id", F.col("score_sum").alias("got_sum"), F.col("n_matched").cast("string").alias("got_n"))
+    fine = (F.abs(F.col("score_sum") - F.col("got_sum")) < absolute) & (F.col("n_matched").cast("string") == F.col("got_n"))
+    return expected.join(b, "pgs_id", "left").where(~F.coalesce(fine, F.lit(False)))
+
+
+def largest(files: DataFrame, n: int = 8) -> DataFrame:
+    """Files (name, size) with their part: head for the n largest, names breaking ties, tail for the rest. The n are found by a top-n, so no file but them is sorted in one place."""
+    head = files.orderBy(F.desc("size"), "name").limit(n).select("name", F.lit(True).alias("is_head"))
+    return files.join(F.broadcast(head), "name", "left").select("name", "size", F.when(F.col("is_head"), "head").otherwise("tail").alias("part"))
+
+
+def chunks(sites: DataFrame, n: int) -> DataFrame:
+    """Sites in n chunks of about as many each, in the order of the genome: a range partitioning, whose number is the chunk."""
+    from strandline.operators.targets import genome_order
+
+    ordered = sites.withColumn("contig_order", genome_order()).repartitionByRange(n, "contig_order", "chrom", "pos")
+    return ordered.withColumn("chunk", F.spark_partition_id()).drop("contig_order")

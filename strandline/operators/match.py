@@ -81,3 +81,32 @@ def affected(labels: DataFrame, changed: DataFrame) -> DataFrame:
 def wide_weights(rows: DataFrame, accessions: list[str] | None = None) -> DataFrame:
     """One row for each variant and effect allele, a column of weights for each accession, 0 where it has none; for export."""
     return rows.groupBy("vid", "matched_allele").pivot("accession", accessions).agg(F.sum("w")).na.fill(0)
+
+
+#: All labels by which a summary may count.
+ALL_LABELS = ("match_status", "ambiguous", "is_multiallelic", "duplicate_best_match", "duplicate_id", "flipped", "match_type", "exclude")
+
+
+def label_counts(labels: DataFrame) -> DataFrame:
+    """Best candidates by accession and all labels; is_multiallelic: several target variants at the position."""
+    many = labels.groupBy("chrom", "pos").agg((F.count_distinct("vid") > 1).alias("is_multiallelic"))
+    return labels.where("best_match").join(many, ["chrom", "pos"]).groupBy("accession", *ALL_LABELS).agg(F.count(F.lit(1)).alias("n"))
+
+
+def splits(rows: DataFrame) -> DataFrame:
+    """Rows of a wide scoring file with the split (0, 1, ...) of their effect type that each stands in: a variant and allele of several effect types or weights within an accession cannot share one. rows: accession, row_nr, vid, matched_allele, effect_type, w."""
+    order = Window.partitionBy("accession", "vid", "matched_allele", "effect_type").orderBy("row_nr")
+    return rows.withColumn("split", F.row_number().over(order) - 1)
+
+
+def rewritten(rows: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A cached wide file less the variants that have gone (vid), and by effect type and split what guards it: rows before, deleted and after, and whether the cached file may be used so: none is empty, and each split stays smaller than the one before. rows: what splits gives."""
+    own = rows.join(gone.select("vid").distinct().withColumn("is_gone", F.lit(True)), "vid", "left").withColumn("is_gone", F.coalesce("is_gone", F.lit(False)))
+    n = own.groupBy("effect_type", "split").agg(F.count(F.lit(1)).alias("n_before"), F.count_if("is_gone").alias("n_deleted")).withColumn("n_after", F.col("n_before") - F.col("n_deleted"))
+    last = F.lag("n_after").over(Window.partitionBy("effect_type").orderBy("split"))
+    return own.where("not is_gone").drop("is_gone"), n.withColumn("usable", (F.col("n_after") > 0) & F.coalesce(F.col("n_after") < last, F.lit(True)))
+
+
+def restricted(rows: DataFrame, variants: DataFrame, own: DataFrame) -> DataFrame:
+    """Labels for one sample from the start: candidates among the variants that it has (vid) alone, labelled anew; what maintained() must come to."""
+    return labelled(candidates(rows, variants.join(own.select("vid").distinct(), "vid", "left_semi")))

@@ -39,3 +39,13 @@ def relabelled(rows: DataFrame, names: DataFrame, key: str = "vid") -> DataFrame
 def unmapped(rows: DataFrame, names: DataFrame, key: str = "vid") -> DataFrame:
     """Ids that relabelled() would stop at."""
     return rows.select(key).distinct().join(names, rows[key] == names["old"], "left_anti")
+
+
+def thinned(pairs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Pairs that may enter a PCA and whose panel variant pruning left (kept: vid)."""
+    return pairs.where("pca_eligible").join(kept.select(F.col("vid").alias("id_ref")), "id_ref", "left_semi")
+
+
+def clashing(samples: DataFrame, panel: DataFrame, key: str = "iid") -> DataFrame:
+    """Samples whose id a panel individual has; scoring asks for none."""
+    return samples.select(key).distinct().join(panel.select(key), key, "left_semi")

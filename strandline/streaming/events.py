@@ -26,9 +26,9 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes
     return out.select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
 
 
-def first_records(records: DataFrame) -> DataFrame:
-    """The first record of each sample, position and allele pair in a stream; its state is a row for each such key."""
-    return records.dropDuplicates(["iid", "chrom", "pos", "ref", "alt"])
+def first_records(records: DataFrame, at: str) -> DataFrame:
+    """The first record of each sample, position, allele pair and time (at, which has the stream's watermark) in a stream; its state is a row for each such key that the watermark has not passed."""
+    return records.dropDuplicates(["iid", "chrom", "pos", "ref", "alt", at])
 
 
 def drained(stream: DataFrame, path: str, mode: str = "complete") -> DataFrame:
