@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def _root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, else the session's checkpoint folder; a local session without either gets a new one, a cluster has none to fall back to."""
+    sc = spark.sparkContext
+    if root := sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir():
+        return root.rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset, below the checkpoint folder that the session was given or the warehouse."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is there goes when the session ends."""
+    path = f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, at = _files(spark, path)
+    fs.deleteOnExit(at)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -25,4 +43,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         conf.set(CLEANUP, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of written() that nothing reads any more."""
+    for t in tables:
+        fs, at = _files(t.sparkSession, t.scratch)
+        fs.delete(at, True)
