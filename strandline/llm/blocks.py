@@ -71,7 +71,7 @@ def block_table(packets: pa.Table) -> pa.Table:
 
 def ask_and_answer(packets: DataFrame, ask: Callable, answer: Callable, apply: Callable, schema: str) -> DataFrame:
     """packets: of rows. ask(table) yields (bin, n, payload); answer(messages) takes a list of (n, payload) and returns a list of them, one for each; apply(block, table, answers) takes {bin: (n, payload)} and returns a table of the schema."""
-    answers = packets.groupBy("block").applyInArrow(asker(ask), ASKS).groupBy("bin").applyInArrow(_answerer(answer), ANSWERS)
+    answers = packets.groupBy("block").applyInArrow(asker(ask), ASKS).groupBy("bin").applyInArrow(answered(answer), ANSWERS)
     return packets.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(applier(apply), schema)
 
 
@@ -86,7 +86,7 @@ def asker(ask):
     return run
 
 
-def _answerer(answer):
+def answered(answer):
     def run(table: pa.Table) -> pa.Table:
         out = answer(list(zip(table.column("n").to_pylist(), table.column("payload").to_pylist())))
         return pa.table([

@@ -79,10 +79,13 @@ class Words:
         texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
         texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
-        words, at = split.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))])
-        said = pc.greater(pc.binary_length(words), 0)  # white space at a text's ends leaves empty ones
-        self.at = np.concatenate([[0], np.cumsum(said.to_numpy(zero_copy_only=False))])[at]
-        coded = words.filter(said).dictionary_encode()
+        words = split.flatten()
+        self.at = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))])
+        said = pc.greater(pc.binary_length(words), 0)
+        if not pc.all(said).as_py():  # white space at a text's ends leaves empty ones
+            self.at = np.concatenate([[0], np.cumsum(said.to_numpy(zero_copy_only=False))])[self.at]
+            words = words.filter(said)
+        coded = words.dictionary_encode()
         distinct = coded.dictionary
         bin_ = (word_hashes(distinct)[0] % np.uint64(bins)).astype(np.int64)
         by_bin = np.argsort(bin_, kind="stable")
@@ -97,6 +100,20 @@ class Words:
             if n:
                 yield b, n, _pack(joined[b].as_py().encode())
 
+    @classmethod
+    def noted(cls, payload: bytes) -> Words:
+        """What note gives, opened: without the words themselves."""
+        out, raw = cls.__new__(cls), _unpack(payload)
+        n_texts, n_bins, n = np.frombuffer(raw[:24], "<i8").tolist()
+        cuts = np.cumsum([24, 8 * n_texts, 8 * n_bins, 4 * n])
+        out.at, out.edges, out.number = (np.frombuffer(raw[a:b], t).astype(np.int64) for a, b, t in zip(cuts[:-1], cuts[1:], ("<i8", "<i8", "<u4")))
+        return out
+
+    def note(self) -> bytes:
+        """The places of the texts and the numbers of their words, packed."""
+        sizes = np.array([len(self.at), len(self.edges), len(self.number)], "<i8")
+        return _pack(b"".join((sizes.tobytes(), self.at.astype("<i8").tobytes(), self.edges.astype("<i8").tobytes(), self.number.astype("<u4").tobytes())))
+
     def ids(self, answers: dict) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each distinct word, and all their ids."""
         n, ids = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
@@ -122,12 +139,14 @@ def _ends(path: str) -> np.ndarray | None:
     t, piece = tokenizer(path), pieces(path)
     plain = lambda x: t.encode(x, add_special_tokens=False).ids
     suffix = getattr(t.model, "end_of_word_suffix", None)
-    ok = bool(suffix) and all(plain(w.upper()) == plain(w) and all(plain(w + x) == plain(w) + plain(x) for x in SIGNS) for w in ("cat", "the", "zqxjkv", "electroencephalography"))
+    ok = bool(suffix) and all((not w.isascii() or plain(w.upper()) == plain(w)) and all(plain(w + x) == plain(w) + plain(x) for x in SIGNS) for w in ("cat", "the", "zqxjkv", "electroencephalography", "straße", "Émilie"))
     return np.array([x.endswith(suffix) for x in piece]) if ok else None
 
 
 #: Signs that often stand behind a word.
 SIGNS = ".,;:!?"
+#: Letters that normalisation and lower case leave single letters.
+LATIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 
 
 def _run(t, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -141,16 +160,16 @@ def _run(t, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encoded(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Number of ids of each word, and all their ids. Where the tokenizer allows it (see _ends), words of ASCII letters that differ in case or in a sign behind them are encoded once, and many in one call, told apart by the mark of their last piece."""
+    """Number of ids of each word, and all their ids. Where the tokenizer allows it (see _ends), words of Latin letters that differ in a sign behind them, or in the case of ASCII letters, are encoded once, and many in one call, told apart by the marks of their last pieces: each has one mark at least, so as many marks as words are one each."""
     t, ends = tokenizer(path), _ends(path)
     last = pc.utf8_slice_codeunits(words, -1, None)
     signed = pc.and_(pc.is_in(last, pa.array(list(SIGNS), words.type)), pc.greater(pc.utf8_length(words), 1))
     stem = pc.if_else(signed, pc.utf8_slice_codeunits(words, 0, -1), words)
-    plain = pc.and_(pc.and_(pc.string_is_ascii(stem), pc.ascii_is_alpha(stem)), ends is not None)
-    coded = pc.if_else(plain, pc.ascii_lower(stem), words).dictionary_encode()
+    plain = pc.and_(pc.match_substring_regex(stem, LATIN), ends is not None)
+    coded = pc.if_else(plain, pc.if_else(pc.string_is_ascii(stem), pc.ascii_lower(stem), stem), words).dictionary_encode()
     sign = pc.if_else(pc.and_(plain, signed), pc.index_in(last, pa.array(list(SIGNS), words.type)), len(SIGNS)).to_numpy(zero_copy_only=False).astype(np.int64)
     stems = coded.dictionary
-    letters = pc.and_(pc.and_(pc.string_is_ascii(stems), pc.ascii_is_alpha(stems)), ends is not None).to_numpy(zero_copy_only=False)
+    letters = pc.and_(pc.match_substring_regex(stems, LATIN), ends is not None).to_numpy(zero_copy_only=False)
     at, joined = np.flatnonzero(letters), stems.filter(pa.array(letters)).to_pylist()
     order, n_ids, all_ids, other = [], [], [], [np.flatnonzero(~letters)]
     for k in range(0, len(joined), 1 << 15):

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import blocks, bpe
 from strandline.llm.hashing import ragged
+from strandline.llm.store import forget, written
 from strandline.llm.text import whole
 
 MAGIC = b"RPG1"
@@ -39,6 +40,7 @@ FILE = "shard int, n_docs bigint, n_ids bigint, payload binary"
 DECODED = "shard int, place int, id bigint, before bigint, n_tokens bigint, ids binary"
 _NULL = np.iinfo(np.int64).min
 _BINS = 1 << 21
+_NOTE = -1  # in place of a bin: what a block notes for itself
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_COUNT, rounds: int | None = None):
@@ -107,17 +109,25 @@ def _winners(at: np.ndarray, rank: np.ndarray, number: np.ndarray) -> tuple[np.n
 
 
 def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
-    """The ids that the symbols stand for."""
-    out = symbols.astype(np.int64)
-    while (rule := out >= base).any():
-        at = np.where(rule, 2, 1)
+    """The ids that the symbols stand for. Each nonterminal that occurs is worked out once."""
+    rule = np.flatnonzero(symbols >= base)
+    used, which = np.unique(symbols[rule], return_inverse=True)
+    flat, owner = used.astype(np.int64), np.arange(len(used))
+    while (open_ := flat >= base).any():
+        at = np.where(open_, 2, 1)
         first = np.cumsum(at) - at
         wide = np.empty(at.sum(), np.int64)
-        which = np.where(rule, out - base, 0)
-        wide[first] = np.where(rule, left[which], out)
-        wide[first[rule] + 1] = right[which[rule]]
-        out = wide
-    return out
+        rules = np.where(open_, flat - base, 0)
+        wide[first] = np.where(open_, left[rules], flat)
+        wide[first[open_] + 1] = right[rules[open_]]
+        flat, owner = wide, np.repeat(owner, at)
+    size = np.bincount(owner, minlength=len(used))
+    n = np.ones(len(symbols), np.int64)
+    n[rule] = size[which]
+    # One row of places to read from: nonterminals' ids first, then the symbols as they stand.
+    start = len(flat) + np.arange(len(symbols))
+    start[rule] = (np.cumsum(size) - size)[which]
+    return np.concatenate([flat, symbols.astype(np.int64)])[ragged(start, n)]
 
 
 def to_payload(doc_ids: np.ndarray, ids: np.ndarray, ends: np.ndarray, base: int, **how) -> bytes:
@@ -160,19 +170,33 @@ def write(docs: DataFrame, file: str, path: str, end_id: int, id_col: str = "doc
     rows = slim.withColumn("block", F.lit(0)) if n_shards == 1 else by_range(slim, n_shards)
     base = max(len(bpe.pieces(path)), end_id + 1)
 
-    def apply(block: int, table: pa.Table, answers: dict) -> pa.Table:
+    def ask(packets: pa.Table) -> pa.Table:
+        block, table = packets.column("block")[0].as_py(), blocks.block_table(packets)
         own = table.column("id").fill_null(_NULL).to_numpy()
         order = np.argsort(own, kind="stable")
         words = bpe.Words(table.column("text").take(pa.array(order)), bins)
-        flat, at = words.text_ids(*words.ids(answers))
+        rows = [(_NOTE, len(own), bpe._pack(own[order].astype("<i8").tobytes())), (_NOTE, 0, words.note()), *words.messages()]
+        bin_, n, payload = zip(*rows)
+        return pa.table([pa.array(bin_, pa.int32()), pa.array([block] * len(rows), pa.int32()), pa.array(n, pa.int32()), pa.array(payload, pa.binary())], ["bin", "block", "n", "payload"])
+
+    def apply(notes: pa.Table, answers: pa.Table) -> pa.Table:
+        block = notes.column("block")[0].as_py()
+        (own,), (note,) = ([p for m, p in zip(notes.column("n").to_pylist(), notes.column("payload").to_pylist()) if (m > 0) == first] for first in (True, False))
+        own, words = np.frombuffer(bpe._unpack(own), "<i8"), bpe.Words.noted(note)
+        got = {b: (n, p) for b, n, p in zip(answers.column("bin").to_pylist(), answers.column("n").to_pylist(), answers.column("payload").to_pylist())}
+        flat, at = words.text_ids(*words.ids(got))
         ends = at[1:] + np.arange(1, len(at))
-        ids = np.full(len(flat) + len(order), end_id, np.int32)
-        ids[ragged(at[:-1] + np.arange(len(order)), np.diff(at))] = flat
+        ids = np.full(len(flat) + len(own), end_id, np.int32)
+        ids[ragged(at[:-1] + np.arange(len(own)), np.diff(at))] = flat
         return pa.table([
-            pa.array([block], pa.int32()), pa.array([len(order)]), pa.array([len(ids)]), pa.array([to_payload(own[order], ids, ends, base)], pa.binary()),
+            pa.array([block], pa.int32()), pa.array([len(own)]), pa.array([len(ids)]), pa.array([to_payload(own, ids, ends, base)], pa.binary()),
         ], ["shard", "n_docs", "n_ids", "payload"])
 
-    blocks.ask_and_answer(blocks.packed(rows), bpe.asker(bins), bpe.answerer(path), apply, FILE).write.mode("overwrite").parquet(file)
+    # A block's texts are read once: its questions, and the numbers of its words, wait for the answers in the shared folder.
+    asks = written(blocks.packed(rows).groupBy("block").applyInArrow(ask, blocks.ASKS), "asks")
+    answers = asks.where(F.col("bin") != _NOTE).groupBy("bin").applyInArrow(blocks.answered(bpe.answerer(path)), blocks.ANSWERS)
+    asks.where(F.col("bin") == _NOTE).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, FILE).write.mode("overwrite").parquet(file)
+    forget(asks)
 
 
 def by_range(slim: DataFrame, n: int) -> DataFrame:
