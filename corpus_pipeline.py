@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes e
 folder and reads it again for the next stage. All but the last keep the columns of documents. Quality rules change
 texts (lines that fail go) and drop documents; the dedup stages drop documents; mixing repeats documents and cuts one
 a source short; the last stage gives each row's ids and their decoding.
+
+Defined results: null and empty texts, and texts of fewer words than the quality rules ask for, go in the first stage;
+rows with a null id are kept by all stages that their texts pass, copies of them by text as others; a null source is a
+source; of rows that repeat an id and a text one stays, and of those that repeat an id alone one, too; columns besides
+those named here are carried, whatever their names, up to the last stage. An empty table gives an empty result.
 """
 
 from __future__ import annotations
