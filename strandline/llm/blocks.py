@@ -6,7 +6,9 @@ once, in one binary message for each bin of keys; a bin gathers the messages of
 each key, and answers each block in the order of its message; the block's documents meet the answers again in a
 co-group. Documents travel compressed, in packets of those of one block in one batch. A very frequent key is one entry of a message for each block, never a row for each occurrence, so neither a
 hot word nor a group of copies makes a large task. Blocks and bins both grow in number with the corpus, so what one
-task holds stays bounded: a block's text, or a bin's share of the distinct keys.
+task holds stays bounded: a block's text, or a bin's share of the distinct keys. The messages are as many as blocks times bins;
+where an answer depends on its key alone (ids of a word) each WAVE blocks have bins of their own, so their number grows as
+the corpus does. Where it depends on all blocks (counts, first documents) it grows faster, up to a message for each key.
 
 Everything a task does follows from its input rows, so a lost executor's tasks can run again anywhere.
 """
@@ -26,16 +28,18 @@ from strandline.llm.text import whole
 BLOCK_BYTES = 8 << 20
 BIN_BYTES = 16 << 20
 LEAST_BINS = 12
+#: Blocks whose questions may meet in the same bins, where an answer depends on its key alone.
+WAVE = 16384
 
 PACKETS = "block int, packet binary"
 ASKS = "bin int, block int, n int, payload binary"
 ANSWERS = "block int, bin int, n int, payload binary"
 
 
-def counts(docs: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES, bin_bytes: int = BIN_BYTES) -> tuple[int, int]:
-    """Numbers of blocks and of bins, from the bytes of all texts."""
+def counts(docs: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES, bin_bytes: int = BIN_BYTES, waves: bool = False) -> tuple[int, int]:
+    """Numbers of blocks and of bins, from the bytes of all texts; with waves, of bins for WAVE blocks at most, so that a block's messages stay as many however large the corpus is."""
     total = docs.agg(F.sum(F.octet_length(whole(text_col)))).first()[0] or 0
-    return max(1, -(-total // block_bytes)), max(LEAST_BINS, -(-total // bin_bytes))
+    return max(1, -(-total // block_bytes)), max(LEAST_BINS, -(-(min(total, WAVE * block_bytes) if waves else total) // bin_bytes))
 
 
 def dealt(docs: DataFrame, n_blocks: int, text_col: str = "text") -> Column:
@@ -69,9 +73,13 @@ def block_table(packets: pa.Table) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in packets.column("packet").to_pylist()]).combine_chunks()
 
 
-def ask_and_answer(packets: DataFrame, ask: Callable, answer: Callable, apply: Callable, schema: str) -> DataFrame:
-    """packets: of rows. ask(table) yields (bin, n, payload); answer(messages) takes a list of (n, payload) and returns a list of them, one for each; apply(block, table, answers) takes {bin: (n, payload)} and returns a table of the schema."""
-    answers = packets.groupBy("block").applyInArrow(asker(ask), ASKS).groupBy("bin").applyInArrow(answered(answer), ANSWERS)
+def wave() -> Column:
+    return F.floor(F.col("block") / WAVE).alias("wave")
+
+
+def ask_and_answer(packets: DataFrame, ask: Callable, answer: Callable, apply: Callable, schema: str, waves: bool = False) -> DataFrame:
+    """packets: of rows. ask(table) yields (bin, n, payload); answer(messages) takes a list of (n, payload) and returns a list of them, one for each; apply(block, table, answers) takes {bin: (n, payload)} and returns a table of the schema. With waves each WAVE blocks have bins of their own."""
+    answers = packets.groupBy("block").applyInArrow(asker(ask), ASKS).groupBy(*([wave()] if waves else []), "bin").applyInArrow(answered(answer), ANSWERS)
     return packets.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(applier(apply), schema)
 
 

@@ -2,7 +2,7 @@
 
 A text's ids are the ids of its words (runs without ASCII white space) one after the other, for tokenizers whose
 pre-tokenizer splits at white space and drops it, and whose normalizer and special tokens do not reach across it;
-``check_splits`` refuses others. So every distinct word is encoded once: blocks of documents ask for their distinct
+``check_splits`` refuses others. So every distinct word is encoded once (for each blocks.WAVE blocks, 128 GB of text): blocks of documents ask for their distinct
 words, a bin encodes each word that it was asked for once and answers with ids, and the block joins the ids back by
 the words' positions (see blocks). Decoding joins ids with the tokenizer's table of pieces, whose size is the
 vocabulary's, and puts one space between pieces, as a tokenizer without a decoder does.
@@ -243,8 +243,8 @@ def _applier(path: str, bins: int, decode: bool):
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
     """Per row of docs: id, n_tokens, ids (array of int), decoded (null without decode)."""
     check_splits(path)
-    n_blocks, bins = blocks.counts(docs, text_col)
+    n_blocks, bins = blocks.counts(docs, text_col, waves=True)
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), whole(text_col).alias("text"))
     packets = blocks.packed(slim.withColumn("block", blocks.dealt(slim, n_blocks)))
-    out = blocks.ask_and_answer(packets, asker(bins), answerer(path), _applier(path, bins, decode), SCHEMA)
+    out = blocks.ask_and_answer(packets, asker(bins), answerer(path), _applier(path, bins, decode), SCHEMA, waves=True)
     return out.withColumnRenamed("id", id_col)

@@ -165,7 +165,7 @@ class Shard:
 def write(docs: DataFrame, file: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes docs' texts with the tokenizer at path and writes them as a new file."""
     bpe.check_splits(path)
-    n_shards, bins = blocks.counts(docs, text_col, SHARD_BYTES)
+    n_shards, bins = blocks.counts(docs, text_col, SHARD_BYTES, waves=True)
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), whole(text_col).alias("text"))
     rows = slim.withColumn("block", F.lit(0)) if n_shards == 1 else by_range(slim, n_shards)
     base = max(len(bpe.pieces(path)), end_id + 1)
@@ -194,7 +194,7 @@ def write(docs: DataFrame, file: str, path: str, end_id: int, id_col: str = "doc
 
     # A block's texts are read once: its questions, and the numbers of its words, wait for the answers in the shared folder.
     asks = written(blocks.packed(rows).groupBy("block").applyInArrow(ask, blocks.ASKS), "asks")
-    answers = asks.where(F.col("bin") != _NOTE).groupBy("bin").applyInArrow(blocks.answered(bpe.answerer(path)), blocks.ANSWERS)
+    answers = asks.where(F.col("bin") != _NOTE).groupBy(blocks.wave(), "bin").applyInArrow(blocks.answered(bpe.answerer(path)), blocks.ANSWERS)
     asks.where(F.col("bin") == _NOTE).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, FILE).write.mode("overwrite").parquet(file)
     forget(asks)
 

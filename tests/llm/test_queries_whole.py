@@ -80,3 +80,14 @@ def test_pipeline_odd_rows(spark, tmp_path):
         assert ids == ({1, 7, None, 8} if own else set())
         t = bpe.tokenizer(catalog.tokenizer_path())
         assert all(r["decoded"] == t.decode(r["ids"], skip_special_tokens=False) and r["n_tokens"] == len(r["ids"]) for r in got)
+
+
+def test_waves_of_blocks_give_the_same(spark, monkeypatch):
+    from strandline.llm import blocks
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    once = {r["doc_id"]: r["ids"] for r in bpe.round_trip(docs, catalog.tokenizer_path()).collect()}
+    monkeypatch.setattr(blocks, "WAVE", 2)
+    real = blocks.counts
+    monkeypatch.setattr(blocks, "counts", lambda *a, **k: real(*a, **{**k, "block_bytes": 100_000}))
+    assert {r["doc_id"]: r["ids"] for r in bpe.round_trip(docs, catalog.tokenizer_path()).collect()} == once
