@@ -99,6 +99,25 @@ def equivalent(one: DataFrame, bins: DataFrame, rel: float = 1e-4, absolute: flo
     return a.join(b, ["iid", "accession"], "full").where(F.col("sa").isNull() | F.col("sb").isNull() | (F.col("da") != F.col("db")) | far)
 
 
+def bin_summary(bins: DataFrame) -> DataFrame:
+    """By bin its files and bytes, and whether it is the fullest (the first of equal ones). bins: bin, name, size."""
+    own = bins.groupBy("bin").agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("size"))
+    worst = own.agg(F.max(F.struct("size", (-F.col("bin")).alias("neg"))).alias("w"))
+    return own.join(F.broadcast(worst), (F.col("w.size") == F.col("size")) & (-F.col("bin") == F.col("w.neg")), "left").select("bin", "n_files", "size", F.col("w").isNotNull().alias("worst"))
+
+
+def archaic_calls(records: DataFrame, panel: DataFrame) -> DataFrame:
+    """Copies of the archaic allele and called alleles at a panel's sites (chrom, pos, archaic), by sample: iid, archaic, total, sites. Contigs may have their prefix or not; of several records at a place the first (ord) counts. records: iid, chrom, pos, ref, alt, gt, ord."""
+    from strandline.functions.alleles import alleles_of, with_chr
+
+    own = records.withColumn("chrom", with_chr("chrom")).join(panel.select(with_chr("chrom").alias("chrom"), "pos", "archaic"), ["chrom", "pos"])
+    first = own.groupBy("iid", "chrom", "pos", "archaic").agg(F.min_by(F.struct("ref", "alt", "gt"), "ord").alias("r"))
+    names = F.concat(F.array("r.ref"), F.split("r.alt", ","))
+    called = F.filter(F.transform(alleles_of("r.gt"), lambda a: a.try_cast("int")), lambda a: a.isNotNull())
+    n = first.select("iid", F.size(F.filter(called, lambda a: F.upper(F.get(names, a)) == F.upper("archaic"))).alias("archaic"), F.size(called).alias("total")).where("total > 0")
+    return n.groupBy("iid").agg(F.sum("archaic").alias("archaic"), F.sum("total").alias("total"), F.count(F.lit(1)).alias("sites"))
+
+
 def archaic_estimate(genotypes: DataFrame, panel: DataFrame, slope: float = 3.0, intercept: float = 0.0, most: float = 10.0, version: str = "v1", least_sites: int = 50, provisional: int = 500) -> DataFrame:
     """By sample: archaic alleles over alleles called at the panel's sites as a percentage on a linear calibration (see sources.files.calibration), null below least_sites sites. genotypes: iid, vid, dosage (ALT copies); panel: vid, archaic_is_alt (a small table)."""
     n_sites = panel.agg(F.count(F.lit(1)).alias("n_panel"))

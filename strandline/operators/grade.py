@@ -110,6 +110,24 @@ def violations(rows: DataFrame) -> DataFrame:
     return rows.select("sample", "pgs_id", F.explode(F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items())))).alias("problem"))
 
 
+def contract(graded_rows: DataFrame, agreement: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Graded rows with what consensus says of their trait and its caveat, in a contract's columns; those that nothing gives are null."""
+    out = flagged(graded_rows, agreement)
+    have = set(out.columns)
+    return out.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns))
+
+
+def file_problems(table: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Problems of a contract read back as text (NA for null): a row for each missing column, with a null sample, then violations of the rows."""
+    missing = [c for c in columns if c not in table.columns]
+    own = table.select(*(F.nullif(c, F.lit("NA")).alias(c) for c in table.columns), *(F.lit(None).cast("string").alias(c) for c in missing))
+    number = lambda c: F.col(c).try_cast("double").alias(c)
+    flag = F.when(F.lower("portability_flag").isin("true", "false"), F.lower("portability_flag") == "true").alias("portability_flag")
+    rows = violations(own.select("sample", "pgs_id", "evidence_grade", "allowed_statement", flag, number("percentile"), number("absolute_risk"), number("match_rate")))
+    lacks = table.sparkSession.createDataFrame([(None, None, f"no column {c}") for c in missing], rows.schema)
+    return lacks.unionByName(rows)
+
+
 def category(grade: str = "evidence_grade", percentile: str = "percentile") -> Column:
     p, weak = F.col(percentile), F.col(grade).isin("C", "D")
     return F.when(p.isNull(), "uncalibrated").when(weak & (p >= 90), "weak-high").when(weak, "weak").when(p >= 90, "elevated").when(p <= 10, "protective").otherwise("average")

@@ -107,9 +107,12 @@ def q50(v):
     return B.first_fit_decreasing(v.sql(_FILES), 4000)
 
 
-@query("q51_least_loaded_bins", f"""WITH o AS (SELECT name, size, row_number() OVER (ORDER BY size DESC, name) AS k FROM ({_FILES})),
+_LOADED = f"""WITH o AS (SELECT name, size, row_number() OVER (ORDER BY size DESC, name) AS k FROM ({_FILES})),
  pack AS (SELECT CAST(0 AS bigint) AS k, CAST([0, 0, 0, 0] AS bigint[]) AS bins, 0 AS bin UNION ALL SELECT p.k + 1, list_transform(p.bins, lambda x, i: CASE WHEN i = f THEN x + size ELSE x END), f FROM pack p JOIN o ON o.k = p.k + 1, LATERAL (SELECT CAST(list_position(p.bins, list_min(p.bins)) AS int) AS f))
- SELECT CAST(p.bin AS int) AS bin, name, size FROM pack p JOIN o ON o.k = p.k""")
+ SELECT CAST(p.bin AS int) AS bin, name, size FROM pack p JOIN o ON o.k = p.k"""
+
+
+@query("q51_least_loaded_bins", _LOADED)
 def q51(v):
     return B.least_loaded(v.sql(_FILES), 4)
 

@@ -9,13 +9,47 @@ from strandline.operators import batch as B
 from strandline.operators import match as M
 from strandline.operators import panel as P
 from strandline.plans import extensions
-from strandline.plans.catalogue import _FILES, _INTER, _REPORT, intersect
-from strandline.plans.grading import _REP, representative
+from strandline.plans.catalogue import _FILES, _INTER, _LOADED, _REPORT, intersect
+from strandline.operators import grade as G
+from strandline.plans.grading import _BASE, _CONS, _FLAGGED, _REP, representative, risks, target
+from strandline.sources.files import CONTRACT
 from strandline.plans.registry import query
 from strandline.plans.scoring import _FIT, _LAB, _ROWS, labels, rows
 from strandline.plans.views import VIEWS
 from strandline.streaming import events as E
 
+_ROW = f"""SELECT f.sample, f.trait, CAST(NULL AS string) AS efo_id, f.pgs_id, CAST(NULL AS string) AS source_pmid, CAST(NULL AS string) AS source_doi, n_variants, training_ancestry, n_matched, f.match_rate, CAST(NULL AS string) AS inferred_ancestry, f.pop AS most_similar_pop, CAST(NULL AS string) AS ancestry_distance,
+ f.percentile, CAST(NULL AS string) AS z_score, CAST(NULL AS string) AS ci_low, CAST(NULL AS string) AS ci_high, f.absolute_risk, baseline_risk AS baseline_incidence, f.risk_ratio, robustness_n_scores, robustness_concordance, f.evidence_grade, f.portability_flag, CASE WHEN low_robustness THEN f.allowed_statement || ' | {G.ROBUSTNESS}' ELSE f.allowed_statement END AS allowed_statement
+ FROM ({_FLAGGED}) f JOIN (SELECT sample, pgs_id, training_ancestry, n_matched, baseline_risk FROM ({_BASE})) b ON f.sample = b.sample AND f.pgs_id = b.pgs_id LEFT JOIN (SELECT pgs_id AS mp, n_variants FROM {{meta}}) m ON f.pgs_id = mp LEFT JOIN (SELECT sample AS cs, trait AS ct, robustness_concordance FROM ({_CONS})) c ON f.sample = cs AND f.trait = ct"""
+
+
+@query("q39b_contract", _ROW)
+def q39b(v):
+    rows_ = G.graded(risks(v)).withColumns({"most_similar_pop": F.col("pop"), "baseline_incidence": F.col("baseline_risk")})
+    return G.contract(rows_, G.consensus(target(v)), CONTRACT)
+
+
+@query("q50b_worst_bin", _LOADED.replace("SELECT CAST(p.bin AS int) AS bin, name, size FROM pack p JOIN o ON o.k = p.k", "SELECT CAST(p.bin AS int) AS bin, count(*) AS n_files, CAST(sum(size) AS bigint) AS size, row_number() OVER (ORDER BY sum(size) DESC, p.bin) = 1 AS worst FROM pack p JOIN o ON o.k = p.k GROUP BY p.bin"))
+def q50b(v):
+    return B.bin_summary(B.least_loaded(v.sql(_FILES), 4))
+
+
+@query("q84_unmapped", f"SELECT DISTINCT vid FROM ({_ROWS}) WHERE vid NOT IN (SELECT id_target FROM ({_INTER}))")
+def q84(v):
+    return P.unmapped(rows(v), intersect(v).select(F.col("id_target").alias("old")))
+
+
+_SITES = "SELECT DISTINCT CASE WHEN chrom % 2 = 0 THEN 'chr' ELSE '' END || CAST(chrom AS string) AS chrom, pos, ref AS archaic FROM {record} WHERE pos % 5 = 1"
+_RECS = "SELECT iid, CASE WHEN ord % 3 = 0 THEN 'chr' ELSE '' END || CAST(chrom AS string) AS chrom, pos, ref, alt, gt, ord FROM {record}"
+
+
+@query("q85_archaic_calls", f"""WITH r AS (SELECT iid, 'chr' || replace(chrom, 'chr', '') AS chrom, pos, arg_min(struct_pack(r := ref, a := alt, g := gt), ord) AS x FROM ({_RECS}) GROUP BY 1, 2, 3), s AS (SELECT 'chr' || replace(chrom, 'chr', '') AS chrom, pos, archaic FROM ({_SITES})),
+ n AS (SELECT iid, list_filter(list_transform(string_split(replace(x.g, '|', '/'), '/'), lambda a: try_cast(a AS int)), lambda a: a IS NOT NULL) AS called, list_concat([x.r], string_split(x.a, ',')) AS names, archaic FROM r JOIN s ON r.chrom = s.chrom AND r.pos = s.pos)
+ SELECT iid, CAST(sum(len(list_filter(called, lambda a: coalesce(names[a + 1] = archaic, false)))) AS bigint) AS archaic, CAST(sum(len(called)) AS bigint) AS total, count(*) AS sites FROM n WHERE len(called) > 0 GROUP BY 1""")
+def q85(v):
+    return B.archaic_calls(v.sql(_RECS), v.sql(_SITES))
+
+
 _CELLS = "SELECT pgs_id, metric, CAST(max(estimate) AS double) AS value FROM ({0}) GROUP BY 1, 2".replace("{0}", _REPORT)
 
 

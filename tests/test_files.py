@@ -94,6 +94,16 @@ def test_contract_and_other_tables_come_back(spark, tmp_path):
     assert files.card(df.withColumns({"trait": F.lit("t"), "absolute_risk": F.lit(None).cast("double")})).first()["card"] == "PGS1  t  percentile 87.0  risk -"
 
 
+def test_contract_check_of_a_file(spark, tmp_path):
+    from strandline.operators import grade
+
+    good = [("s", "P1", "A", "true", "fine", "80.5", "0.1", "0.9"), ("s", "P2", "E", "maybe", "NA", "140", "NA", "0.5"), ("s", "P3", "B", "false", "fine", "NA", "0.2", "NA")]
+    df = spark.createDataFrame(good, "sample string, pgs_id string, evidence_grade string, portability_flag string, allowed_statement string, percentile string, absolute_risk string, match_rate string")
+    got = rows(grade.file_problems(df, ("sample", "trait", "evidence_grade")).na.fill("-"), "pgs_id", "problem")
+    assert got == sorted([("-", "no column trait"), ("P2", "grade"), ("P2", "flag"), ("P2", "statement"), ("P2", "percentile"), ("P2", "coverage not said"), ("P3", "risk without percentile")])
+    assert grade.file_problems(df.where("pgs_id = 'P1'"), ("sample",)).count() == 0
+
+
 def test_contigs_are_pruned(spark, tmp_path):
     df = spark.createDataFrame([("chr1", p, "A", "G") for p in range(5)] + [("chr2", 7, "C", "T")], "chrom string, pos long, ref string, first_alt string")
     files.write_alleles(df, str(tmp_path / "t"))
