@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import blocks
-from strandline.llm.hashing import ragged, word_hashes
+from strandline.llm.hashing import planes, ragged, unplanes, word_hashes
 from strandline.llm.text import whole
 
 SCHEMA = "id bigint, n_tokens bigint, ids array<int>, decoded string"
@@ -104,26 +104,26 @@ class Words:
     def noted(cls, payload: bytes) -> Words:
         """What note gives, opened: without the words themselves."""
         out, raw = cls.__new__(cls), _unpack(payload)
-        n_texts, n_bins, n = np.frombuffer(raw[:24], "<i8").tolist()
-        cuts = np.cumsum([24, 8 * n_texts, 8 * n_bins, 4 * n])
-        out.at, out.edges, out.number = (np.frombuffer(raw[a:b], t).astype(np.int64) for a, b, t in zip(cuts[:-1], cuts[1:], ("<i8", "<i8", "<u4")))
+        n_texts, n_bins, _ = np.frombuffer(raw[:24], "<i8").tolist()
+        cuts = np.cumsum([24, 8 * n_texts, 8 * n_bins])
+        out.at, out.edges, out.number = np.frombuffer(raw[cuts[0] : cuts[1]], "<i8"), np.frombuffer(raw[cuts[1] : cuts[2]], "<i8"), unplanes(raw[cuts[2] :], 4)
         return out
 
     def note(self) -> bytes:
         """The places of the texts and the numbers of their words, packed."""
         sizes = np.array([len(self.at), len(self.edges), len(self.number)], "<i8")
-        return _pack(b"".join((sizes.tobytes(), self.at.astype("<i8").tobytes(), self.edges.astype("<i8").tobytes(), self.number.astype("<u4").tobytes())))
+        return _pack(b"".join((sizes.tobytes(), self.at.astype("<i8").tobytes(), self.edges.astype("<i8").tobytes(), planes(self.number, 4))))
 
     def ids(self, answers: dict) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each distinct word, and all their ids."""
         n, ids = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
         for b, (x, y) in enumerate(zip(self.edges[:-1].tolist(), self.edges[1:].tolist())):
             if y > x:
-                size, raw = answers[b][0], np.frombuffer(_unpack(answers[b][1]), "<u4")
+                size, raw = answers[b][0], _unpack(answers[b][1])
                 if size != y - x:
                     raise ValueError("an answer does not fit its question")
-                n.append(raw[:size])
-                ids.append(raw[size:])
+                n.append(unplanes(raw[: 4 * size], 4))
+                ids.append(unplanes(raw[4 * size :], 4).astype("<u4"))
         return np.concatenate(n).astype(np.int64), np.concatenate(ids)
 
     def text_ids(self, n: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +214,7 @@ def answerer(path: str):
         for words in asked:
             mine = own[at : at + len(words)]
             at += len(words)
-            out.append((len(mine), _pack(n[mine].astype("<u4").tobytes() + flat[ragged(first[mine], n[mine])].astype("<u4").tobytes())))
+            out.append((len(mine), _pack(planes(n[mine], 4) + planes(flat[ragged(first[mine], n[mine])], 4))))
         return out
 
     return answer

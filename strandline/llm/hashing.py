@@ -13,7 +13,7 @@ _LOWER = _BYTE.copy()
 _LOWER[0x41:0x5B] = _BYTE[0x61:0x7B]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_CHUNK = 1 << 21
+_CHUNK = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -103,3 +103,14 @@ def windows(h: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
     ok = np.arange(len(h)) + k <= np.repeat(at[1:], n)
     i = np.flatnonzero(ok)
     return mix((total[i + k] - total[i]) * inverse[i] + np.uint64(k)), i
+
+
+def planes(a: np.ndarray, width: int) -> bytes:
+    """The low bytes of each number, then the next ones, and so on: small numbers leave planes of zeros."""
+    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unplanes(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    return out.reshape(-1).view("<u8").astype(np.int64)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import blocks
 from strandline.llm.bpe import _pack, _unpack
-from strandline.llm.hashing import mix, word_hashes
+from strandline.llm.hashing import mix, planes, unplanes, word_hashes
 from strandline.llm.store import written
 from strandline.llm.text import whole
 
@@ -84,7 +84,7 @@ class _Grams:
             parts = [(keys[at[b] : at[b + 1]], own[at[b] : at[b + 1]]) for (keys, at), own in zip(self.rows, self.own)]
             if any(len(k) for k, _ in parts):
                 sizes = np.array([len(k) for k, _ in parts], "<u4").tobytes()
-                yield b, len(parts), sizes + _pack(b"".join(_planes(np.diff(k, prepend=np.uint64(0)), 6) + _planes(c, 4) for k, c in parts))
+                yield b, len(parts), sizes + _pack(b"".join(planes(np.diff(k, prepend=np.uint64(0)), 6) + planes(c, 4) for k, c in parts))
 
     def totals(self, answers: dict, bins: int) -> list[np.ndarray]:
         """Training count of the n-gram that ends at each token, for each n."""
@@ -93,31 +93,20 @@ class _Grams:
             raw, i = _unpack(payload), 0
             for (_, at), total in zip(self.rows, out):
                 size = int(at[b + 1] - at[b])
-                total[at[b] : at[b + 1]] = _unplanes(raw[i : i + 6 * size], 6)
+                total[at[b] : at[b + 1]] = unplanes(raw[i : i + 6 * size], 6)
                 i += 6 * size
             if i != len(raw):
                 raise ValueError("an answer does not fit its question")
         return [total[place] for total, place in zip(out, self.places)]
 
 
-def _planes(a: np.ndarray, width: int) -> bytes:
-    """The low bytes of each number, then the next ones, and so on: small numbers leave planes of zeros."""
-    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def _unplanes(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
-    return out.reshape(-1).view("<u8").astype(np.int64)
-
-
 def _add_up(table: pa.Table) -> pa.Table:
     """Answers of a bin; one more row, of block -1, has the number of distinct tokens in n and that of tokens in payload."""
     read = []  # for each message, for each n: keys and counts
     for k, payload in zip(table.column("n").to_pylist(), table.column("payload").to_pylist()):
         sizes, raw, i, parts = np.frombuffer(payload[: 4 * k], "<u4").tolist(), _unpack(payload[4 * k :]), 0, []
         for size in sizes:
-            parts.append((np.cumsum(_unplanes(raw[i : i + 6 * size], 6)), _unplanes(raw[i + 6 * size : i + 10 * size], 4)))
+            parts.append((np.cumsum(unplanes(raw[i : i + 6 * size], 6)), unplanes(raw[i + 6 * size : i + 10 * size], 4)))
             i += 10 * size
         read.append(parts)
     totals = []
@@ -125,7 +114,7 @@ def _add_up(table: pa.Table) -> pa.Table:
         _, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
         count = np.bincount(place, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
         totals.append((count, np.split(count[place], np.cumsum([len(k) for k, _ in parts])[:-1])))
-    own = [_pack(b"".join(_planes(each[m], 6) for _, each in totals)) for m in range(len(read))]
+    own = [_pack(b"".join(planes(each[m], 6) for _, each in totals)) for m in range(len(read))]
     known = totals[0][0]
     return pa.table([
         pa.array([*table.column("block").to_pylist(), -1], pa.int32()), pa.array([*table.column("bin").to_pylist(), table.column("bin")[0].as_py()], pa.int32()),
