@@ -91,3 +91,26 @@ def test_waves_of_blocks_give_the_same(spark, monkeypatch):
     real = blocks.counts
     monkeypatch.setattr(blocks, "counts", lambda *a, **k: real(*a, **{**k, "block_bytes": 100_000}))
     assert {r["doc_id"]: r["ids"] for r in bpe.round_trip(docs, catalog.tokenizer_path()).collect()} == once
+
+
+def test_op6_odd_rows(spark):
+    """Counts and base scores of null, empty, long, repeated and clashing rows, by their definition; the model's score is a probability."""
+    import collections
+    import math
+    import re
+
+    from strandline.llm import lm
+
+    long = " ".join(f"w{i % 97}" for i in range(5000))
+    rows = [(1, "one Two  three"), (2, None), (3, ""), (4, " \t\n"), (5, long), (5, long), (None, "one two"), (6, "ÉTÉ été\x85x"), (7, "one"), (8, "unseen words"), (20, "two three")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("block", "bin", "n", "train", "id", "payload")})
+    lower = lambda w: re.sub("[A-Z]", lambda m: m[0].lower(), w)
+    tokens = lambda t: [lower(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] + [None]
+    held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0
+    count = collections.Counter(w for d, t in rows if not held(d) for w in tokens(t))
+    n, v = sum(count.values()), len(count)
+    want = collections.Counter((d, held(d), len(tokens(t)), sum(count[w] > 0 for w in tokens(t)), n, round(sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens(t)), 6)) for d, t in rows)
+    got = lm.lm_scores(df).collect()
+    assert collections.Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
+    assert lm.lm_scores(df.where("1 = 0")).count() == 0
