@@ -40,7 +40,7 @@ def adjusted(scores: DataFrame, keys: list[str], covariate: str, value: str = "s
     var = fit(res, F.when(is_reference(), F.col("residual") * F.col("residual")), x, "2")
     out = res.join(spread, keys).join(var, keys)
     fitted = F.col("cut2") + F.col("slope2") * F.col(covariate)
-    return out.withColumns({"z_mean": F.round(F.when(F.col("sd") > 0, F.col("residual") / F.col("sd")), 4), "z_var": F.round(F.when(fitted > 0, F.col("residual") / F.sqrt(fitted)), 4)}).drop("slope1", "cut1", "slope2", "cut2", "sd", "residual")
+    return out.withColumns({"z_mean": F.round(F.when(F.col("sd") > 0, F.col("residual") / F.col("sd")), 4) + 0.0, "z_var": F.round(F.when(fitted > 0, F.col("residual") / F.sqrt(fitted)), 4) + 0.0}).drop("slope1", "cut1", "slope2", "cut2", "sd", "residual")
 
 
 def uniformity(percentiles: DataFrame, keys: list[str]) -> DataFrame:

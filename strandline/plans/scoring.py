@@ -140,7 +140,7 @@ def q25(v):
 
 @query("q26_mean_var_norm", f"""WITH s AS ({_GC}), f AS (SELECT accession, regr_slope(CAST(score_sum AS double), CAST(pc1 AS double)) AS b, regr_intercept(CAST(score_sum AS double), CAST(pc1 AS double)) AS a FROM s WHERE sampleset = 'reference' GROUP BY 1),
  r AS (SELECT s.*, score_sum - a - b * pc1 AS res FROM s JOIN f USING (accession)), g AS (SELECT accession, stddev_samp(res) AS sd, regr_slope(res * res, CAST(pc1 AS double)) AS b2, regr_intercept(res * res, CAST(pc1 AS double)) AS a2 FROM r WHERE sampleset = 'reference' GROUP BY 1)
- SELECT iid, accession, round(CASE WHEN sd > 0 THEN res / sd END, 4) AS z_mean, round(CASE WHEN a2 + b2 * pc1 > 0 THEN res / sqrt(a2 + b2 * pc1) END, 4) AS z_var FROM r JOIN g USING (accession)""")
+ SELECT iid, accession, round(CASE WHEN sd > 0 THEN res / sd END, 4) + 0e0 AS z_mean, round(CASE WHEN a2 + b2 * pc1 > 0 THEN res / sqrt(a2 + b2 * pc1) END, 4) + 0e0 AS z_var FROM r JOIN g USING (accession)""")
 def q26(v):
     return C.adjusted(scored(v), ["accession"], "pc1").select("iid", "accession", "z_mean", "z_var")
 
