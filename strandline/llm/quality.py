@@ -52,7 +52,7 @@ def _holds(text: Column, parts) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """Number of words in 3-word windows found twice or more among the words, the first finding included."""
+    """Number of words in 3-word windows found twice or more among the words, the first finding included. words: bound by _let, as each of them is looked at with its neighbours."""
 
     def counted(h: Column) -> Column:
         return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), marked))
@@ -105,13 +105,13 @@ def _duplicate_lines(text: Column) -> Column:
 def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the columns of MEASURES, named by measure_names(docs)."""
     n, chars, symbols, lines, repeats, clean, base, kept = measure_names(docs)
-    (own,) = fresh(docs, "own words")
+    (made,) = fresh(docs, "made")
     text = whole(text_col)
-    out = docs.withColumn(own, F.array_remove(F.split(text, SPACES), ""))  # used several times, so it stays a step of its own in the plan
-    out = out.withColumns({
-        n: F.size(own).cast("long"), chars: F.length(F.array_join(own, "")).cast("long"), symbols: F.when(_holds(text, SYMBOLS), F.regexp_count(text, F.lit(SYMBOL))).otherwise(F.lit(0)).cast("long"),
-        lines: _duplicate_lines(text), repeats: repeated_words(F.col(own)), clean: cleaned(text),
-    }).drop(own)
+    by_words = _let(F.array_remove(F.split(text, SPACES), ""), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"), repeated_words(w).alias("repeats")))
+    n_symbols = F.when(_holds(text, SYMBOLS), F.regexp_count(text, F.lit(SYMBOL))).otherwise(F.lit(0)).cast("long")
+    # A generator of one row: what it makes is worked out once, and a filter on it stays above it.
+    out = docs.withColumn(made, F.explode(F.array(F.struct(by_words.alias("w"), n_symbols.alias("symbols"), _duplicate_lines(text).alias("lines"), cleaned(text).alias("clean")))))
+    out = out.select(*docs.columns, *(F.col(f"{made}.{x}").alias(name) for x, name in (("w.n", n), ("w.chars", chars), ("symbols", symbols), ("lines", lines), ("w.repeats", repeats), ("clean", clean))))
     left = F.length(F.regexp_replace(clean, SPACES, ""))
     out = out.withColumn(base, (F.col(n) < MIN_WORDS) | (100 * F.col(repeats) > MAX_REPEATED_PERCENT * F.col(n)))
     return out.withColumn(kept, ~F.col(base) & (left >= (1 - MAX_LOST) * F.col(chars)))
