@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, exact_dedup, html_text, lm, mixing, oracle, order_minhash, quality, repair, substring, toxicity
+from strandline.llm import bpe, divergence, exact_dedup, filter_audit, html_text, line_dedup, lm, mixing, oracle, order_minhash, quality, repair, substring, toxicity
 from strandline.llm.ship import ship
 from strandline.llm.store import scratch
 from strandline.llm.text import read as _read
@@ -67,9 +67,22 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.mixed(read(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.source_divergence(read(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).withColumn("step", F.col("step").cast("int"))
+
+
+def op13_line_dedup(spark, sf_dir):
+    out = line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_exact_dedup, op2_repair_tokens, op3_bpe_round_trip, op4_substring_dedup, op5_order_minhash, op6_lm_scores, op7_html_text, op8_toxicity, op9_quality_rules, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_repair_tokens, op3_bpe_round_trip, op4_substring_dedup, op5_order_minhash, op6_lm_scores, op7_html_text, op8_toxicity, op9_quality_rules, op10_mix_sources, op11_source_divergence, op12_filter_audit, op13_line_dedup)}
 
 
 def oracle_sql():
-    return {"op1_exact_dedup": oracle.EXACT, "op4_substring_dedup": oracle.SUBSTRING, "op9_quality_rules": oracle.QUALITY}
+    return {"op1_exact_dedup": oracle.EXACT, "op4_substring_dedup": oracle.SUBSTRING, "op9_quality_rules": oracle.QUALITY, "op11_source_divergence": oracle.DIVERGENCE, "op12_filter_audit": oracle.AUDIT, "op13_line_dedup": oracle.LINES}

@@ -15,6 +15,11 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once a row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def n_words(text: str | Column) -> Column:
     return F.regexp_count(whole(text), F.lit(WORD)).cast("long")
 
