@@ -16,7 +16,7 @@ from strandline.llm import html_text
     ("<svg><title>no</title><defs/><circle/><g><text>label</text><desc>no</desc></g></svg> z", "label z"),
     ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>", "x = 2"),
     ("<div>" * 250 + "<div hidden>no<div>no</div></div><b>yes</b>" + "</div>" * 250 + "<p>end", "yes\n\nend"),
-    ("<em>" * 250 + "in<table><tr><td>a<td>b</table>" + "</em>" * 250 + " end", "in\na\nb\nend"),
+    ("<em>" * 250 + "in<table><tr><td>a<td>b</table>" + "</em>" * 250 + " end", "in\n\na  b\n\nend"),
 ])
 def test_visible_text(page, want):
     assert html_text.render(page)[1] == want
