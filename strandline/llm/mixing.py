@@ -4,17 +4,19 @@ Sources in code point order, null last, take the weights 5, 2, 1 in turn and sha
 stops at ``epochs`` times its source's words; what is above goes to the others by weight until none is above, which is
 the level x with sum(min(cap, x * weight)) = total, found from running sums over the sources in order of cap / weight.
 
-Each document gets a hash-random key. The key's leading bits deal a source's documents into buckets of equal expected
-size, so a source that holds a third of all rows is spread over as many tasks as any other rows. Words are summed by
-(source, bucket), running sums of these give each bucket's start, and a window inside one bucket gives each document's
-start: a distributed prefix sum. A source takes whole epochs first; in the last one the cut falls at the exact word of
-its budget, so one document a source is taken in part, from its beginning.
+Each document gets a hash-random key, of its source, id and text. The key's leading bits deal a source's documents into
+buckets in the order of keys, of equal expected size and about BUCKET_ROWS rows where the table is large, so a source
+that holds a third of all rows, or rows without an id, are spread over as many tasks as any others. Words are summed by
+(source, bucket), and running sums of these give each bucket's start: a distributed prefix sum. A source takes whole
+epochs first; in the last one the cut falls at the exact word of its budget. Buckets that end before the cut are taken
+whole and those behind it not at all, so their documents are neither sorted nor moved; in the one bucket of a source that
+the cut falls into, rows are sorted by key and summed up, and one document is taken in part, from its beginning.
 
-The table of sources passes through one task: it has a row for each source, and the table of buckets has BUCKETS rows
-for each source at most; neither grows with the documents.
+The table of sources passes through one task: it has a row for each source. A source's buckets meet in one task, a row
+for BUCKET_ROWS rows of the table or fewer; this table is written once, and Spark broadcasts it only below its size threshold.
 
 Defined results: a null text has size 0 and takes nothing; a null or empty source is a source of its own; a null id
-is hashed as any other; repeated rows are taken one by one, in an order fixed by id, size and a hash of the text;
+is hashed as any other; repeated rows are taken one by one, in any order, as they are alike;
 where all sizes are 0 all targets are 0. An empty table gives an empty result.
 """
 
@@ -23,11 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.llm.store import written
 from strandline.llm.text import fresh, n_words, whole, words
 
 WEIGHTS = (5, 2, 1)
-BUCKET_BITS = 10
-BUCKETS = 1 << BUCKET_BITS
+LEAST_BUCKET_BITS = 10
+BUCKET_ROWS = 100_000
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, epochs: int = 2) -> DataFrame:
@@ -48,30 +51,31 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, epochs: int =
     )
 
 
-def mix_plan(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 20240601, **shares) -> DataFrame:
-    """docs with five more columns, named by PLAN (with underscores in front where docs has such a name)."""
+def mix_plan(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", mark: Column | None = None, seed: int = 20240601, **shares) -> DataFrame:
+    """docs with five more columns, named by PLAN (with underscores in front where docs has such a name). mark: a hash of the text."""
     names = plan_names(docs)
     n, whole_size, target, epochs, part = names
-    null, src, bucket, key, tie, start = fresh(docs, "src_null", "src", "bucket", "key", "tie", "start")
+    null, src, bucket, key, start, words_in, cut = fresh(docs, "src_null", "src", "bucket", "key", "start", "words_in", "cut")
+    bits = max(LEAST_BUCKET_BITS, (docs.count() // BUCKET_ROWS).bit_length())
     keyed = docs.withColumns({
         n: size, null: F.col(source_col).isNull(), src: F.coalesce(source_col, F.lit("")),
-        key: F.xxhash64(F.lit(seed), F.col(source_col), F.col(id_col)), tie: F.xxhash64(whole(text_col)),
-    }).withColumn(bucket, F.shiftrightunsigned(key, 64 - BUCKET_BITS))
-    sums = keyed.groupBy(null, src, bucket).agg(F.sum(n).alias(start))
+        key: F.xxhash64(F.lit(seed), F.col(source_col), F.col(id_col), F.xxhash64(whole("text")) if mark is None else mark),
+    }).withColumn(bucket, F.shiftrightunsigned(key, 64 - bits))
+    sums = keyed.groupBy(null, src, bucket).agg(F.sum(n).alias(words_in))
     before = Window.partitionBy(null, src).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(null, src, bucket, F.coalesce(F.sum(start).over(before), F.lit(0)).alias(start))
-    sources = targets(sums.groupBy(null, src).agg(F.sum(start).alias("source_size")).select(F.when(~F.col(null), F.col(src)).alias("source"), "source_size"), **shares)
+    starts = sums.withColumn(start, F.coalesce(F.sum(words_in).over(before), F.lit(0)))
+    sources = targets(sums.groupBy(null, src).agg(F.sum(words_in).alias("source_size")).select(F.when(~F.col(null), F.col(src)).alias("source"), "source_size"), **shares)
     sources = sources.select(F.col("source").isNull().alias(null), F.coalesce("source", F.lit("")).alias(src), F.col("source_size").alias(whole_size), F.col("target").alias(target))
-    offset = F.col(start) + F.coalesce(F.sum(n).over(Window.partitionBy(null, src, bucket).orderBy(key, id_col, n, tie).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     budget = F.floor(F.col(target) + 0.5)
     full = F.when(F.col(whole_size) > 0, F.floor(budget / F.col(whole_size))).otherwise(F.lit(0)).cast("long")
-    rest = budget - full * F.col(whole_size)
-    return (
-        keyed.join(starts.join(sources, [null, src]), [null, src, bucket])
-        .withColumn(part, F.greatest(F.lit(0), F.least(F.col(n), rest - offset)).cast("long"))
-        .withColumn(epochs, full)
-        .select(*docs.columns, *names)
-    )
+    buckets = starts.join(sources, [null, src]).withColumn(epochs, full).withColumn(start, budget - F.col(epochs) * F.col(whole_size) - F.col(start))
+    buckets = buckets.withColumn(cut, (F.col(start) > 0) & (F.col(start) < F.col(words_in)))  # start: words that the last epoch takes from here on
+    placed = keyed.join(written(buckets.select(null, src, bucket, whole_size, target, epochs, start, cut), "mix-buckets"), [null, src, bucket])
+    most = lambda left: F.greatest(F.lit(0), F.least(F.col(n), left)).cast("long")
+    alike = placed.where(~F.col(cut)).withColumn(part, F.when(F.col(start) > 0, F.col(n)).otherwise(F.lit(0)).cast("long"))
+    inside = F.coalesce(F.sum(n).over(Window.partitionBy(null, src, bucket).orderBy(key, id_col, n).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    split = placed.where(F.col(cut)).withColumn(part, most(F.col(start) - inside))
+    return alike.select(*docs.columns, *names).union(split.select(*docs.columns, *names))
 
 
 #: Words of the document, words of its source, its source's target, whole copies taken, words taken of one copy more.
@@ -85,14 +89,14 @@ def plan_names(docs: DataFrame) -> list[str]:
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **shares) -> DataFrame:
     """Per row of docs: id, size, source_size, target, taken (see the module)."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    slim = slim.select("id", "source", n_words("text").alias("n"), F.xxhash64(whole("text")).cast("string").alias("text"))
+    slim = written(slim.select("id", "source", n_words("text").alias("n"), F.xxhash64(whole("text")).alias("mark")), "sizes")
     taken = F.col("epochs") * F.col("size") + F.col("part")
-    return mix_plan(slim, F.col("n"), "id", "source", "text", **shares).select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))
+    return mix_plan(slim, F.col("n"), "id", "source", F.col("mark"), **shares).select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))
 
 
 def take(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **shares) -> DataFrame:
     """The mix itself, in docs' columns: a row for each copy taken; a part holds the document's first words."""
-    plan = mix_plan(docs, n_words(text_col), id_col, source_col, text_col, **shares)
+    plan = mix_plan(docs, n_words(text_col), id_col, source_col, F.xxhash64(whole(text_col)), **shares)
     _, _, _, epochs, part = plan_names(docs)
     copy = fresh(plan, "copy")[0]
     cut = F.array_join(F.slice(words(text_col), 1, F.col(part).cast("int")), " ")

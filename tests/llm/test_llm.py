@@ -478,4 +478,4 @@ def test_pipeline(spark, docs):
 
 def test_every_operator_is_registered():
     names = set(catalog.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names} == set(range(1, 11)) and len(names) == 10
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names} == set(range(1, 14)) and len(names) == 13
