@@ -16,7 +16,7 @@ from __future__ import annotations
 from strandline.llm import bpe, exact_dedup, mixing, order_minhash, quality
 from strandline.llm.catalog import tokenizer_path
 from strandline.llm.ship import ship
-from strandline.llm.store import written
+from strandline.llm.store import forget, written
 from strandline.llm.text import read
 
 
@@ -56,6 +56,8 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
