@@ -1,14 +1,14 @@
 """Source divergence audit: how far each source's terms are from another's and from its whole language's.
 
-Sort-based streaming. Tasks cut texts into terms and send, for each (lang, term, source) that they hold, its documents
-and their counts in one packed row, ordered by document. These rows are repartitioned by language, term and salt and
-secondary-sorted by (lang, term, source, first document); a scan over each partition merges the documents of a run in
-order and gives the run's document frequency and count. The salt is drawn from the document, so the documents of a very
-frequent term are dealt over many partitions; runs of a term's salts are then added up. Salts grow with the partitions,
-so a term in all documents stays a bounded share of one.
-
-Terms in LEAST_DOCS documents or more are kept and sorted again by (lang, term, source), now a row a source. A second
-scan emits terms' sums of pairs of sources. With p(a) the share of a term in source a and z(a) that of an absent term,
+Sort-based streaming. Tasks cut texts into terms and count them by (lang, term, source, document), some CUT_BYTES of text
+at a time, and send these counts packed, in one message for each bin of (lang, term). A bin secondary-sorts its counts by
+(lang, term, source, document) and scans the runs for document frequencies and counts. Bins are as many as the texts'
+bytes ask for, so what one holds stays bounded. A term that takes more than a bin's share of a cut is hot there: its
+documents are dealt over bins by a salt drawn from the document, and its partial runs are added up afterwards; all other
+runs are whole as they leave their bin and are not shuffled again. Hot terms are in more documents of one cut than a kept
+term needs, so terms are kept or not by exact counts, even where rows of one document lie in different cuts.
+
+Terms in LEAST_DOCS documents or more are kept and sorted again by (lang, term, source), a row a source. A second scan emits terms' sums of pairs of sources. With p(a) the share of a term in source a and z(a) that of an absent term,
 the sum over all kept terms of f(p(a), p(b)) is
 
     sum over terms in both of  f(p(a), p(b)) - f(p(a), z(b)) - f(z(a), p(b)) + f(z(a), z(b))
@@ -28,27 +28,34 @@ item. An empty table gives an empty result. Other columns play no part, whatever
 
 from __future__ import annotations
 
+import json
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.hashing import ragged
-from strandline.llm.store import written
+from strandline.llm.hashing import mix, planes, ragged, unplanes, word_hashes
+from strandline.llm.store import forget, written
 from strandline.llm.text import whole
 
 LEAST_DOCS = 3
 MOST_TERMS = 200
 SCALE = 1_000_000_000
-#: Partitions for each salt: a term takes at most one row of a document's many, so a share of a hundredth of all rows is the most.
-PARTITIONS_A_SALT = 32
-LEAST_SALTS = 8
-#: Bytes of text cut at a time, and pairs made at a time.
-TEXT_BYTES = 4 << 20
+#: Text for which there is a bin, text cut at a time, and pairs of sources made at a time.
+BIN_BYTES = 12 << 20
+LEAST_BINS = 12
+CUT_BYTES = 8 << 20
 PAIRS_AT_ONCE = 1 << 21
+#: Documents of one cut that a hot term has at least, and bins for each salt of its documents: salts are a small part of all bins, as a term takes one row of a document's many.
+LEAST_HOT = 64
+BINS_A_SALT = 16
+LEAST_SALTS = 8
 
-RUNS = "lang string, term string, source string, salt int, docs array<bigint>, counts array<bigint>"
+MESSAGES = "bin int, payload binary"
+RUNS = "lang string, term string, source string, n_docs bigint, n bigint, lang_docs bigint, lang_n bigint, lead boolean, hot boolean"
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
@@ -76,41 +83,122 @@ def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return terms, np.searchsorted(at, start, "right") - 1
 
 
-def _packed(lang, source, doc, salts: int, texts: pa.Array) -> pa.RecordBatch:
-    terms, of = terms_of(texts)
-    coded = terms.dictionary_encode()
-    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    group = pc.dictionary_encode(pc.binary_join_element_wise(pc.cast(pc.binary_length(lang), pa.string()), lang, source, ":")).indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    salt = (doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % salts
-    order = np.lexsort((doc, salt, group))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    at = np.sort(code * len(order) + rank[of])
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
-    count, at = np.diff(np.append(first, len(at))), at[first]
-    code, row = at // max(len(order), 1), order[at % max(len(order), 1)]
-    new = np.concatenate([[True], (code[1:] != code[:-1]) | (group[row[1:]] != group[row[:-1]]) | (salt[row[1:]] != salt[row[:-1]])])[: len(at)]
-    begin = np.flatnonzero(new)
-    offsets, head = pa.array(np.append(begin, len(at)).astype(np.int32)), pa.array(row[begin])
-    return pa.record_batch([
-        lang.take(head), coded.dictionary.take(pa.array(code[begin])).cast(pa.string()), source.take(head), pa.array(salt[row[begin]].astype(np.int32)),
-        pa.ListArray.from_arrays(offsets, pa.array(doc[row])), pa.ListArray.from_arrays(offsets, pa.array(count)),
-    ], ["lang", "term", "source", "salt", "docs", "counts"])
-
-
-def _cut(salts: int):
+def _codes(column: pa.Array) -> tuple[np.ndarray, list[str]]:
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where rows differ from those before them in any key, the first row included."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new
+
+
+def _message(header: dict, terms: list[str], runs: list[np.ndarray], pairs: list[np.ndarray]) -> bytes:
+    """Counts of some terms, compressed: numbers in byte planes, names in a header, terms (which hold no line feed) in lines."""
+    parts = [json.dumps(header | {"runs": len(terms), "pairs": len(pairs[0])}).encode(), "\n".join(terms).encode("utf-8", "surrogatepass"), *(planes(x, 4) for x in runs), *(planes(x, w) for x, w in zip(pairs, (4, 8, 4)))]
+    raw = b"".join(len(x).to_bytes(4, "little") + x for x in parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _opened(message: bytes) -> tuple[dict, list[str], list[np.ndarray], list[np.ndarray]]:
+    raw, parts, at = pa.decompress(message[8:], int.from_bytes(message[:8], "little"), codec="zstd", asbytes=True), [], 0
+    while at < len(raw):
+        n = int.from_bytes(raw[at : at + 4], "little")
+        parts.append(raw[at + 4 : at + 4 + n])
+        at += 4 + n
+    return json.loads(parts[0]), parts[1].decode("utf-8", "surrogatepass").split("\n"), [unplanes(x, 4) for x in parts[2:5]], [unplanes(x, w) for x, w in zip(parts[5:], (4, 8, 4))]
+
+
+def _cut(bins: int, salts: int, least_hot: int):
+    def messages(part: pa.RecordBatch):
+        terms, of = terms_of(part.column("text"))
+        coded = terms.dictionary_encode()
+        code, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+        (lang, langs), (source, sources) = _codes(part.column("lang")), _codes(part.column("source"))
+        doc, docs = part.column("doc").to_numpy(zero_copy_only=False), part.num_rows
+        order = np.lexsort((doc, source, lang))
+        rank = np.empty(docs, np.int64)
+        rank[order] = np.arange(docs)
+        token = np.sort(code * docs + rank[of])  # by term, lang, source, document
+        first = np.flatnonzero(_starts(token))
+        n, (code, row) = np.diff(np.append(first, len(token))), np.divmod(token[first], docs)
+        row = order[row]
+        lang, source, doc = lang[row], source[row], doc[row]
+        begin = np.flatnonzero(_starts(code, lang))
+        if not len(begin):
+            return
+        run = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(code))))
+        held = np.add.reduceat(_starts(code, lang, source, doc).astype(np.int64), begin)
+        hot = (held >= max(least_hot, len(code) // bins))[run]
+        key = word_hashes(names)[0] if len(names) else np.zeros(0, np.uint64)
+        key = mix(key[code] + np.array([zlib.crc32(x.encode("utf-8", "replace")) for x in langs], np.uint64)[lang])
+        salt = mix(doc.astype(np.uint64)) % np.uint64(salts) + np.uint64(1)
+        at = (mix(key + np.where(hot, salt, np.uint64(0))) % np.uint64(bins)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        edge = np.flatnonzero(_starts(at[order]))
+        header = {"langs": langs, "sources": sources}
+        for own in np.split(order, edge[1:]):
+            start = np.flatnonzero(_starts(code[own], lang[own]))
+            some = own[start]
+            runs = [np.diff(np.append(start, len(own))), lang[some], hot[some].astype(np.int64)]
+            yield int(at[own[0]]), _message(header, names.take(pa.array(code[some])).to_pylist(), runs, [source[own], doc[own], n[own]])
+
     def run(batches):
         for batch in batches:
             size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
-            edges = np.unique(np.searchsorted(size, np.arange(TEXT_BYTES, size[-1] if len(size) else 0, TEXT_BYTES), "right"))
+            edges = np.unique(np.searchsorted(size, np.arange(CUT_BYTES, size[-1] if len(size) else 0, CUT_BYTES), "right"))
             for a, b in zip([0, *edges], [*edges, len(size)]):
                 if b > a:
-                    part = batch.slice(a, b - a)
-                    yield _packed(part.column("lang"), part.column("source"), part.column("doc").to_numpy(zero_copy_only=False), salts, part.column("text"))
+                    out = list(messages(batch.slice(a, b - a)))
+                    yield pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], ["bin", "payload"])
 
     return run
 
 
+def _merged(table: pa.Table) -> pa.Table:
+    """The runs of one bin, from the messages of all cuts, in the order of lang, term, source."""
+    langs, sources, terms, runs, pairs = {}, {}, [], [], []
+    for message in table.column("payload").to_pylist():
+        header, own, (length, lang, hot), (source, doc, n) = _opened(message)
+        terms += own
+        lang = np.array([langs.setdefault(x, len(langs)) for x in header["langs"]], np.int64)[lang]
+        runs.append(np.stack([length, lang, hot]))
+        pairs.append(np.stack([np.array([sources.setdefault(x, len(sources)) for x in header["sources"]], np.int64)[source], doc, n]))
+    (length, lang, hot), (source, doc, n) = np.concatenate(runs, axis=1), np.concatenate(pairs, axis=1)
+
+    def ordered(names: dict) -> tuple[list[str], np.ndarray]:
+        """The names in order, and the new number of each."""
+        order = sorted(names)
+        return order, np.argsort([names[x] for x in order])
+
+    langs, new = ordered(langs)
+    lang = new[lang]
+    sources, new = ordered(sources)
+    source = new[source]
+    coded = pa.array(terms, pa.string()).dictionary_encode()
+    by_name = pc.sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(by_name), np.int64)
+    place[by_name] = np.arange(len(by_name))
+    term = place[coded.indices.to_numpy(zero_copy_only=False)]
+    names = coded.dictionary.take(pa.array(by_name))
+    run = np.repeat((lang * len(names) + term) * 2 + hot, length) * len(sources) + source  # of a (lang, term, hot, source)
+    order = np.lexsort((doc, run))
+    run, doc, n = run[order], doc[order], n[order]
+    begin = np.flatnonzero(_starts(run))
+    n_docs, n = np.add.reduceat(_starts(run, doc).astype(np.int64), begin), np.add.reduceat(n, begin)
+    key, source = np.divmod(run[begin], len(sources))
+    lead = _starts(key)
+    of, head = np.cumsum(lead) - 1, np.flatnonzero(lead)
+    (lang, term), hot = np.divmod(key // 2, len(names)), key % 2 == 1
+    return pa.table([
+        pa.array(langs, pa.string()).take(pa.array(lang)), names.take(pa.array(term)), pa.array(sources, pa.string()).take(pa.array(source)), pa.array(n_docs), pa.array(n),
+        pa.array(np.add.reduceat(n_docs, head)[of]), pa.array(np.add.reduceat(n, head)[of]), pa.array(lead), pa.array(hot),
+    ], ["lang", "term", "source", "n_docs", "n", "lang_docs", "lang_n", "lead", "hot"])
+
+
 def _changes(table: pa.Table, *names: str) -> np.ndarray:
     """Where a row differs from the one before it, the first row included."""
     out = np.ones(table.num_rows, bool)
@@ -145,27 +233,6 @@ def _whole_runs(batches, *names: str):
         yield pa.concat_tables(held)
 
 
-def _runs(batches):
-    """From packed rows in order: lang, term, source, n_docs and n of each run."""
-    for table in _whole_runs(batches, "lang", "term", "source"):
-        table = table.combine_chunks()
-        begin = np.flatnonzero(_changes(table, "lang", "term", "source"))
-        lists = table.column("docs").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        run = np.repeat(np.cumsum(np.isin(np.arange(table.num_rows), begin)) - 1, size)
-        doc = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
-        count = pc.list_flatten(table.column("counts")).to_numpy(zero_copy_only=False)
-        order = np.lexsort((doc, run))
-        run, doc, count = run[order], doc[order], count[order]
-        new = np.ones(len(run), bool)
-        new[1:] = (run[1:] != run[:-1]) | (doc[1:] != doc[:-1])
-        at = np.searchsorted(run, np.arange(len(begin)))
-        yield pa.record_batch([
-            *(table.column(c).take(pa.array(begin)).combine_chunks() for c in ("lang", "term", "source")), pa.array(np.add.reduceat(new.astype(np.int64), at)), pa.array(np.add.reduceat(count, at)),
-        ], ["lang", "term", "source", "n_docs", "n"])
-
-
 def _f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // q
 
@@ -198,13 +265,21 @@ def _pairs(batches):
             i = j
 
 
-def term_runs(docs: DataFrame, salts: int) -> DataFrame:
-    """docs: lang, source, doc (bigint), text. For each (lang, term, source): n_docs, n."""
-    rows = docs.mapInArrow(_cut(salts), RUNS).repartition("lang", "term", "salt")
-    lead = F.xxhash64("lang", "term").alias("lead")  # a number that tells most terms apart sorts faster than their letters
-    runs = rows.sortWithinPartitions(lead, "lang", "term", "source", F.get("docs", F.lit(0))).select("lang", "term", "source", "docs", "counts")
-    runs = runs.mapInArrow(_runs, "lang string, term string, source string, n_docs bigint, n bigint")
-    return runs.groupBy("lang", "term", "source").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+def kept_terms(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """docs: lang, source, doc (bigint), text. For each (lang, term, source) of a kept term: n, the term's count lang_n in the language, and lead, true in one row of a (lang, term)."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bins = max(LEAST_BINS, -(-total // BIN_BYTES))
+    messages = docs.mapInArrow(_cut(bins, max(LEAST_SALTS, bins // BINS_A_SALT), max(LEAST_HOT, least_docs)), MESSAGES)
+    runs = written(messages.groupBy("bin").applyInArrow(_merged, RUNS), "term-runs")
+    hot = runs.where("hot").select("lang", "term").distinct()
+    by_term = Window.partitionBy("lang", "term")
+    parts = runs.join(hot, ["lang", "term"], "left_semi").groupBy("lang", "term", "source").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+    parts = parts.withColumns({"lang_docs": F.sum("n_docs").over(by_term), "lang_n": F.sum("n").over(by_term), "lead": F.row_number().over(by_term.orderBy("source")) == 1})
+    columns = ["lang", "term", "source", "n", "lang_n", "lead", "lang_docs"]
+    kept = runs.join(hot, ["lang", "term"], "left_anti").select(*columns).union(parts.select(*columns)).where(F.col("lang_docs") >= least_docs).drop("lang_docs")
+    kept = written(kept, "kept-terms")
+    forget(runs)
+    return kept
 
 
 def share(n: Column, total: Column, kept: Column) -> Column:
@@ -220,14 +295,9 @@ def divergence(p: Column, q: Column) -> Column:
 
 def source_divergence(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_docs: int = LEAST_DOCS, most_terms: int = MOST_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank (see the module)."""
-    spark = docs.sparkSession
     number = F.col(id_col).cast("long") if dict(docs.dtypes)[id_col] in ("tinyint", "smallint", "int", "bigint") else F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
     slim = docs.select(whole(lang_col).alias("lang"), whole(source_col).alias("source"), F.coalesce(number, F.xxhash64(whole(text_col))).alias("doc"), whole(text_col).alias("text"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    terms = term_runs(slim, max(LEAST_SALTS, partitions // PARTITIONS_A_SALT))
-    by_term = Window.partitionBy("lang", "term")
-    kept = terms.withColumns({"lang_docs": F.sum("n_docs").over(by_term), "lang_n": F.sum("n").over(by_term), "lead": F.row_number().over(by_term.orderBy("source")) == 1})
-    kept = written(kept.where(F.col("lang_docs") >= least_docs).drop("lang_docs"), "kept-terms")
+    kept = kept_terms(slim, least_docs)
 
     # dimension tables: a row for each language, and for each source of one
     langs = kept.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.count_if("lead").alias("kept"))
