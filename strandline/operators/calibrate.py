@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,45 @@ def adjusted(scores: DataFrame, keys: list[str], covariate: str, value: str = "s
     return out.withColumns({"z_mean": F.round(F.when(F.col("sd") > 0, F.col("residual") / F.col("sd")), 4) + 0.0, "z_var": F.round(F.when(fitted > 0, F.col("residual") / F.sqrt(fitted)), 4) + 0.0}).drop("slope1", "cut1", "slope2", "cut2", "sd", "residual")
 
 
+def regressed(rows: DataFrame, keys: list[str], y: str, covariates: list[str]) -> DataFrame:
+    """By group, the least-squares fit of y on several covariates over the panel's rows without nulls: keys, cut, slopes (an array in the order of covariates). Means and covariances come from one aggregate, and the equations of a group, as many as covariates, are solved a row at a time; where covariates depend on each other the shortest solution counts."""
+    kept = rows.where(is_reference() & F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in [y, *covariates])))
+    x = [F.col(c).cast("double") for c in covariates]
+    pairs = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
+    moments = kept.groupBy(*keys).agg(
+        F.avg(F.col(y).cast("double")).alias("mean_y"), F.array(*map(F.avg, x)).alias("mean_x"), F.array(*(F.covar_pop(a, F.col(y).cast("double")) for a in x)).alias("with_y"),
+        F.array(*(F.covar_pop(x[i], x[j]) for i, j in pairs)).alias("with_x"),
+    )
+
+    def solved(batches):
+        for batch in batches:
+            cuts, slopes = [], []
+            for m, mx, cy, cx in zip(*(batch.column(c).to_pylist() for c in ("mean_y", "mean_x", "with_y", "with_x"))):
+                c = np.zeros((len(mx), len(mx)))
+                for (i, j), v in zip(pairs, cx):
+                    c[i, j] = c[j, i] = v
+                scale = np.sqrt(np.maximum(np.diag(c), 0))
+                scale[scale == 0] = 1
+                b = np.linalg.lstsq(c / scale / scale[:, None], np.array(cy) / scale, rcond=1e-10)[0] / scale
+                cuts.append(float(m - b @ np.array(mx)))
+                slopes.append(b.tolist())
+            yield pa.record_batch([*(batch.column(k) for k in keys), pa.array(cuts, pa.float64()), pa.array(slopes, pa.list_(pa.float64()))], [*keys, "cut", "slopes"])
+
+    kinds = dict(rows.dtypes)
+    return moments.mapInArrow(solved, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "cut double", "slopes array<double>"]))
+
+
+def adjusted_by(scores: DataFrame, keys: list[str], covariates: list[str], value: str = "score_sum") -> DataFrame:
+    """As adjusted(), on several covariates: z_mean and z_var. Groups without panel rows, and rows without a covariate, get nulls."""
+    fitted = lambda tag: F.col(f"cut{tag}") + sum((F.col(f"slopes{tag}")[i] * F.col(c) for i, c in enumerate(covariates)), F.lit(0.0))
+    named = lambda fit, tag: fit.withColumnsRenamed({"cut": f"cut{tag}", "slopes": f"slopes{tag}"})
+    res = scores.join(named(regressed(scores, keys, value, covariates), "1"), keys, "left").withColumn("residual", F.col(value) - fitted("1")).withColumn("square", F.col("residual") * F.col("residual"))
+    spread = res.groupBy(*keys).agg(F.stddev_samp(F.when(is_reference(), F.col("residual"))).alias("sd"))
+    out = res.join(spread, keys, "left").join(named(regressed(res, keys, "square", covariates), "2"), keys, "left")
+    z = {"z_mean": F.when(F.col("sd") > 0, F.col("residual") / F.col("sd")), "z_var": F.when(fitted("2") > 0, F.col("residual") / F.sqrt(fitted("2")))}
+    return out.withColumns({k: F.round(v, 4) + 0.0 for k, v in z.items()}).drop("slopes1", "cut1", "slopes2", "cut2", "sd", "residual", "square")
+
+
 def uniformity(percentiles: DataFrame, keys: list[str]) -> DataFrame:
     """Whether percentiles fill the ten deciles alike: n, mean, largest deviation of a decile's share from 0.1, verdict."""
     decile = F.least(F.lit(9), F.greatest(F.lit(0), F.floor(F.col("percentile") / 10))).cast("int")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 
 from strandline.plans.views import Views, oracle
+from strandline.sources.ship import ship
 
 QUERIES, SQL = {}, {}
 
@@ -15,6 +16,7 @@ def query(name: str, sql: str | None = None):
     def add(f):
         @functools.wraps(f)
         def run(spark, sf_dir):
+            ship(spark)
             return f(Views(spark, sf_dir))
 
         QUERIES[name] = run

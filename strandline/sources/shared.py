@@ -35,4 +35,13 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """df, written once and read again, so that a plan which uses it several times does not work it out several times."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of kept() that nothing reads any more."""
+    for t in tables:
+        at = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t.kept_at)
+        at.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -1,0 +1,26 @@
+"""The package on executors where it is not installed."""
+
+from __future__ import annotations
+
+import functools
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors of a session, once. Operators whose tasks run functions of the package need it."""
+    _once(spark.sparkContext.applicationId, spark)
+
+
+@functools.lru_cache(maxsize=1)
+def _once(application: str, spark: SparkSession) -> None:
+    top = Path(__file__).resolve().parents[1]
+    name = os.path.join(tempfile.mkdtemp(), f"{top.name}-library.zip")  # the driver's own; addPyFile() copies it to executors
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, str(p.relative_to(top.parent)))
+    spark.sparkContext.addPyFile(name)
