@@ -107,13 +107,15 @@ def bin_summary(bins: DataFrame) -> DataFrame:
 
 
 def archaic_calls(records: DataFrame, panel: DataFrame) -> DataFrame:
-    """Copies of the archaic allele and called alleles at a panel's sites (chrom, pos, archaic), by sample: iid, archaic, total, sites. Contigs may have their prefix or not; of several records at a place the first (ord) counts. records: iid, chrom, pos, ref, alt, gt, ord."""
+    """Copies of the archaic allele and called alleles at a panel's sites (chrom, pos, archaic), by sample: iid, archaic, total, sites. Contigs may have their prefix or not. Of several records at a place the first (ord) whose call lacks no allele counts; alleles that its list does not have are not called. records: iid, chrom, pos, ref, alt, gt, ord."""
     from strandline.functions.alleles import alleles_of, with_chr
 
-    own = records.withColumn("chrom", with_chr("chrom")).join(panel.select(with_chr("chrom").alias("chrom"), "pos", "archaic"), ["chrom", "pos"])
+    sites = panel.select(with_chr("chrom").alias("site"), "pos", "archaic")
+    whole = records.where(F.col("gt").isNotNull() & (F.col("gt") != "") & ~F.col("gt").contains("."))
+    own = whole.withColumn("site", with_chr("chrom")).join(sites, ["site", "pos"])
     first = own.groupBy("iid", "chrom", "pos", "archaic").agg(F.min_by(F.struct("ref", "alt", "gt"), "ord").alias("r"))
-    names = F.concat(F.array("r.ref"), F.split("r.alt", ","))
-    called = F.filter(F.transform(alleles_of("r.gt"), lambda a: a.try_cast("int")), lambda a: a.isNotNull())
+    names = F.concat(F.array("r.ref"), F.when(F.col("r.alt") == ".", F.array().cast("array<string>")).otherwise(F.split("r.alt", ",")))
+    called = F.filter(F.transform(alleles_of("r.gt"), lambda a: a.try_cast("int")), lambda a: a < F.size(names))
     n = first.select("iid", F.size(F.filter(called, lambda a: F.upper(F.get(names, a)) == F.upper("archaic"))).alias("archaic"), F.size(called).alias("total")).where("total > 0")
     return n.groupBy("iid").agg(F.sum("archaic").alias("archaic"), F.sum("total").alias("total"), F.count(F.lit(1)).alias("sites"))
 
@@ -125,7 +127,7 @@ def archaic_estimate(genotypes: DataFrame, panel: DataFrame, slope: float = 3.0,
     pct = F.least(F.lit(most), F.greatest(F.lit(0.0), F.col("archaic") / F.col("total") * slope + intercept))
     out = own.withColumn("pct", F.when(F.col("sites") >= least_sites, F.round(pct, 2)))
     tag = F.when(F.col("n_panel") < provisional, " PROVISIONAL-SEED (expand panel before interpreting)").otherwise("")
-    method = F.concat(F.lit(f"dosage-over-archaic-tag-panel-{version} ("), F.col("sites").cast("string"), F.lit("/"), F.col("n_panel").cast("string"), F.lit(" sites genotyped, calibrated to 1kGP)"), tag)
+    method = F.concat(F.lit(f"dosage-over-archaic-tag-panel-{version} ("), F.col("sites").cast("string"), F.lit("/"), F.col("n_panel").cast("string"), F.lit(" sites genotyped, calibrated to 1kGP)"), tag, F.when(F.col("sites") < least_sites, " | INSUFFICIENT genotyped sites").otherwise(""))
     return out.join(F.broadcast(n_sites)).withColumn("method", method).drop("n_panel")
 
 

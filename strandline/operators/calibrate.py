@@ -24,12 +24,12 @@ def panel_ranks(scores: DataFrame, keys: list[str], value: str = "score_sum") ->
     return scores.join(steps, [*keys, value]).withColumn("percentile", F.round(F.when(F.col("n_panel") > 0, 100.0 * F.col("n_below") / F.col("n_panel")), 4))
 
 
-def panel_z(scores: DataFrame, keys: list[str], value: str = "score_sum") -> DataFrame:
+def panel_z(scores: DataFrame, keys: list[str], value: str = "score_sum", places: int = 6) -> DataFrame:
     """Standard scores by the panel's mean and standard deviation in each group."""
     v = F.when(is_reference(), F.col(value).cast("double"))
     m = scores.groupBy(*keys).agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"))
     z = F.when(F.col("sd") > 0, (F.col(value) - F.col("mean")) / F.col("sd"))
-    return scores.join(m, keys).withColumn("z", F.round(z, 6)).drop("mean", "sd")
+    return scores.join(m, keys).withColumn("z", F.round(z, places)).drop("mean", "sd")
 
 
 def adjusted(scores: DataFrame, keys: list[str], covariate: str, value: str = "score_sum") -> DataFrame:

@@ -18,20 +18,21 @@ ROBUSTNESS = "robustness LOW: scores of this trait disagree"
 GENERAL = "a polygenic score is not a diagnosis"
 
 def effect_of(scores: DataFrame, effects: DataFrame) -> DataFrame:
-    """Adds per_sd: of the score's id (the last row given), else of its trait (the first row given)."""
+    """Adds per_sd: of the score's id (the last row given), else of its trait (the first row given). Rows without a per_sd do not count; traits are compared without case and blanks around them."""
+    effects = effects.where("per_sd is not null")
     by_id = effects.groupBy("pgs_id").agg(F.max_by("per_sd", "ord").alias("by_id"))
-    by_trait = effects.groupBy(F.lower("trait").alias("trait_key")).agg(F.min_by("per_sd", "ord").alias("by_trait"))
+    by_trait = effects.groupBy(F.lower(F.trim("trait")).alias("trait_key")).agg(F.min_by("per_sd", "ord").alias("by_trait"))
     out = scores.join(by_id, "pgs_id", "left").join(by_trait, F.lower(F.trim(scores["trait"])) == by_trait["trait_key"], "left")
     return out.withColumn("per_sd", F.coalesce("by_id", "by_trait")).drop("by_id", "by_trait", "trait_key")
 
 
 def baseline_of(scores: DataFrame, baselines: DataFrame, mandated: dict[str, str] | None = None) -> DataFrame:
-    """Adds baseline_risk and baseline_sex: the first hit of (sex, ancestry), (sex, overall), (overall, ancestry), (overall, overall), where sex is the trait's (mandated: sex by trait in lower case, for those that exist in one sex only), else the sample's, else overall."""
+    """Adds baseline_risk and baseline_sex: the first hit of (sex, ancestry), (sex, overall), (overall, ancestry), (overall, overall), where sex is the trait's (mandated: sex by trait in lower case, for those that exist in one sex only), else the sample's, else overall. Of baselines (trait, sex, ancestry, baseline_risk, ord) of one key the last counts, and those without a risk do not."""
     trait = F.lower(F.trim(F.col("trait")))
     sex = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in mandated.items() for x in kv)), trait) if mandated else F.lit(None).cast("string"), F.nullif("sex", F.lit("unknown")), F.lit("overall"))
     keys = F.array(*(F.struct(s.alias("bsex"), a.alias("banc")) for s in (sex, F.lit("overall")) for a in (F.coalesce("ancestry", F.lit("overall")), F.lit("overall"))))
     ways = scores.withColumn("row_key", F.struct("sample", "pgs_id")).select("*", F.posexplode(keys).alias("way", "key"))
-    base = baselines.select(F.lower("trait").alias("btrait"), F.col("sex").alias("bs"), F.col("ancestry").alias("ba"), "baseline_risk")
+    base = baselines.where("baseline_risk is not null").groupBy(F.lower(F.trim("trait")).alias("btrait"), F.col("sex").alias("bs"), F.col("ancestry").alias("ba")).agg(F.max_by("baseline_risk", "ord").alias("baseline_risk"))
     hit = ways.join(base, (trait == base["btrait"]) & (F.col("key.bsex") == base["bs"]) & (F.col("key.banc") == base["ba"])).groupBy("sample", "pgs_id").agg(F.min_by(F.struct("baseline_risk", F.col("bs").alias("baseline_sex")), "way").alias("b"))
     return scores.join(hit, ["sample", "pgs_id"], "left").select(*(scores[c] for c in scores.columns), F.col("b.baseline_risk").alias("baseline_risk"), F.col("b.baseline_sex").alias("baseline_sex"))
 
@@ -45,7 +46,7 @@ def risk_columns(percentile: str = "percentile", per_sd: str = "per_sd", baselin
 
 
 def graded(scores: DataFrame) -> DataFrame:
-    """Gates in order; scores: sample, pgs_id, trait, base_grade, training_ancestry, pop, match_rate, percentile (null: uncalibrated), per_sd, baseline_risk, baseline_sex. Adds portability_flag, evidence_grade, absolute_risk, risk_ratio, allowed_statement."""
+    """Gates in order; scores: sample, pgs_id, trait, base_grade, training_ancestry, pop, match_rate, percentile (null: uncalibrated), per_sd, baseline_risk, baseline_sex. Adds portability_flag, evidence_grade, absolute_risk, risk_ratio, allowed_statement. Gates and risks go by match_rate and percentile as they are; these leave rounded, to four places and one."""
     low = F.coalesce(F.col("match_rate") < LEAST_COVERAGE, F.lit(False))
     none = F.col("percentile").isNull()
     foreign = F.coalesce(~none & F.col("pop").isNotNull() & (F.upper("pop") != "EUR") & A.european_only("training_ancestry"), F.lit(False))
@@ -59,6 +60,7 @@ def graded(scores: DataFrame) -> DataFrame:
     return scores.withColumns({
         "portability_flag": foreign, "evidence_grade": F.when(none, "D").otherwise(A.downgraded(F.coalesce("base_grade", F.lit("C")), steps)),
         "absolute_risk": F.round(F.when(known, ar), 4), "risk_ratio": F.round(F.when(known, rr), 3), "allowed_statement": F.array_join(caveats, " | "),
+        "match_rate": F.round("match_rate", 4), "percentile": F.round("percentile", 1),
     })
 
 
@@ -67,10 +69,10 @@ def tertile(p: Column) -> Column:
 
 
 def consensus(rows: DataFrame) -> DataFrame:
-    """By sample and trait: number of calibrated scores, concordance (1 - spread / 100; null with one), whether their tertiles agree. rows: sample, trait, percentile."""
-    p = F.col("percentile")
-    out = rows.where(p.isNotNull()).groupBy("sample", "trait").agg(F.count(F.lit(1)).alias("robustness_n_scores"), F.max(p).alias("hi"), F.min(p).alias("lo"), F.count_distinct(tertile(p)).alias("tertiles"))
-    several = F.col("robustness_n_scores") >= 2
+    """By sample and trait: number of scores, and of those with a percentile (to one place) the concordance (1 - spread / 100) and whether their tertiles agree, null with fewer than two. rows: sample, trait, percentile."""
+    p = F.round("percentile", 1)
+    out = rows.groupBy("sample", "trait").agg(F.count(F.lit(1)).alias("robustness_n_scores"), F.count(p).alias("calibrated"), F.max(p).alias("hi"), F.min(p).alias("lo"), F.count_distinct(F.when(p.isNotNull(), tertile(p))).alias("tertiles"))
+    several = F.col("calibrated") >= 2
     spread = F.greatest(F.lit(0.0), 1 - (F.col("hi") - F.col("lo")) / 100)
     return out.select("sample", "trait", "robustness_n_scores", F.when(several, F.bround(spread, 3)).alias("robustness_concordance"), F.when(several, F.col("tertiles") == 1).alias("same_tertile"))
 

@@ -107,6 +107,37 @@ def rewritten(rows: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.where("not is_gone").drop("is_gone"), n.withColumn("usable", (F.col("n_after") > 0) & F.coalesce(F.col("n_after") < last, F.lit(True)))
 
 
+def rewrite_faults(rows: DataFrame, deleted: DataFrame, cached: DataFrame, passing: DataFrame) -> DataFrame:
+    """What forbids to delete variants from a cached wide file instead of writing it anew: fault, effect_type, split, accession, n. None is left where the rewritten file is what a new one would be.
+
+    rows: what splits gives; deleted: accession, vid, matched_allele, effect_type of the matched rows that go; cached, passing: accessions that the file was made for, and those that pass now. A passing set that changed; a deleted row without a cached one; a split that is empty, or no smaller than the one before it, before or after; an accession that a split loses; and variants whose deletion takes other rows with them."""
+    where = ["effect_type", "split"]
+    own = deleted.select("accession", "vid", "matched_allele", "effect_type").join(passing, "accession", "left_semi")
+    ids = rows.select("vid", "matched_allele", *where).distinct()
+    found = own.join(ids, ["vid", "matched_allele", "effect_type"], "left")
+    gone = found.where("split is not null")
+    n = rows.groupBy(*where, "accession").agg(F.count(F.lit(1)).alias("n")).join(gone.groupBy(*where, "accession").agg(F.count(F.lit(1)).alias("gone")), [*where, "accession"], "left").na.fill(0, ["gone"])
+    before = Window.partitionBy("effect_type").orderBy("split")
+    sizes = n.groupBy(*where).agg(F.sum("n").alias("before"), F.sum("gone").alias("gone")).withColumn("after", F.col("before") - F.col("gone"))
+    badly = sizes.withColumn("badly", (F.col("before") >= F.lag("before").over(before)) | (F.col("after") >= F.lag("after").over(before))).where("badly")
+    changed = cached.join(passing, "accession", "left_anti").union(passing.join(cached, "accession", "left_anti"))
+    removed = ids.join(gone.select("vid").distinct(), "vid", "left_semi").groupBy(*where).agg(F.count(F.lit(1)).alias("removed"))
+    expected = gone.select("vid", "matched_allele", *where).distinct().groupBy(*where).agg(F.count(F.lit(1)).alias("expected"))
+    others = removed.join(expected, where, "full").withColumn("n", F.coalesce("removed", F.lit(0)) - F.coalesce("expected", F.lit(0))).where("n <> 0")
+    text, none = F.lit(None).cast("string"), F.lit(None).cast("int")
+    shown = lambda df, fault, effect_type=F.col("effect_type"), split=F.col("split"), accession=text, n=F.col("n"): df.select(F.lit(fault).alias("fault"), effect_type.alias("effect_type"), split.cast("int").alias("split"), accession.alias("accession"), n.cast("bigint").alias("n"))
+    faults = [
+        shown(changed.groupBy("accession").agg(F.count(F.lit(1)).alias("n")), "passing set changed", text, none, F.col("accession")),
+        shown(found.where("split is null").groupBy("effect_type", "accession").agg(F.count(F.lit(1)).alias("n")), "no cached row", split=none, accession=F.col("accession")),
+        shown(sizes.where("after <= 0"), "empty", n=F.col("after")), shown(badly, "sizes do not fall", n=F.col("after")),
+        shown(n.where("n <= gone"), "accession vanishes", accession=F.col("accession"), n=F.col("n") - F.col("gone")), shown(others, "removes others"),
+    ]
+    out = faults[0]
+    for more in faults[1:]:
+        out = out.union(more)
+    return out
+
+
 def restricted(rows: DataFrame, variants: DataFrame, own: DataFrame) -> DataFrame:
     """Labels for one sample from the start: candidates among the variants that it has (vid) alone, labelled anew; what maintained() must come to."""
     return labelled(candidates(rows, variants.join(own.select("vid").distinct(), "vid", "left_semi")))

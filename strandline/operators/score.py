@@ -54,12 +54,12 @@ def coverage(rows: DataFrame, genotypes: DataFrame) -> DataFrame:
 
 
 def coverage_or_denominator(scores: DataFrame, covered: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Adds n_matched and match_rate to scores (sample, pgs_id, denom): those of a match summary (covered: pgs_id, matched, total) where it has the score, else half of the denominator over the score's own number of variants (sizes: pgs_id, n_variants)."""
-    out = scores.join(covered, "pgs_id", "left").join(sizes.select("pgs_id", F.col("n_variants").alias("size")), "pgs_id", "left")
+    """Adds n_matched and match_rate to scores (sample, pgs_id, denom): those of a match summary (covered: pgs_id, matched, total, and sample if it is of several) where it has the score, else half of the denominator over the score's own number of variants (sizes: pgs_id, n_variants). Adds n_variants too: the score's own number, else the summary's."""
+    out = scores.join(covered, ["sample", "pgs_id"] if "sample" in covered.columns else "pgs_id", "left").join(sizes.select("pgs_id", F.col("n_variants").alias("size")), "pgs_id", "left")
     known = F.col("total").isNotNull()
     n = F.when(known, F.col("matched")).otherwise(F.floor(F.col("denom") / 2))
     rate = F.when(known, F.when(F.col("total") > 0, F.col("matched") / F.col("total"))).otherwise(F.when(F.col("size") > 0, F.floor(F.col("denom") / 2) / F.col("size")))
-    return out.withColumns({"n_matched": n.cast("bigint"), "match_rate": F.round(rate, 6)}).drop("matched", "total", "size")
+    return out.withColumns({"n_matched": n.cast("bigint"), "match_rate": rate, "n_variants": F.coalesce("size", "total")}).drop("matched", "total", "size")
 
 
 def passing(covered: DataFrame, least_overlap: float) -> DataFrame:

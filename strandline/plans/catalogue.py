@@ -90,7 +90,7 @@ def q48(v):
 _ARCH = "SELECT vid, vid % 2 = 0 AS archaic_is_alt FROM {variant} WHERE vid % 9 = 4"
 
 
-@query("q49_archaic_estimate", f"""SELECT iid, CAST(archaic AS bigint) AS archaic, 2 * sites AS total, sites, CASE WHEN sites >= 50 THEN round(least(10.0, greatest(0.0, archaic / (2 * sites) * 3.0e0)), 2) END AS pct, 'dosage-over-archaic-tag-panel-v1 (' || CAST(sites AS string) || '/' || CAST((SELECT count(*) FROM ({_ARCH})) AS string) || ' sites genotyped, calibrated to 1kGP)' || CASE WHEN (SELECT count(*) FROM ({_ARCH})) < 500 THEN ' PROVISIONAL-SEED (expand panel before interpreting)' ELSE '' END AS method
+@query("q49_archaic_estimate", f"""SELECT iid, CAST(archaic AS bigint) AS archaic, 2 * sites AS total, sites, CASE WHEN sites >= 50 THEN round(least(10.0, greatest(0.0, archaic / (2 * sites) * 3.0e0)), 2) END AS pct, 'dosage-over-archaic-tag-panel-v1 (' || CAST(sites AS string) || '/' || CAST((SELECT count(*) FROM ({_ARCH})) AS string) || ' sites genotyped, calibrated to 1kGP)' || CASE WHEN (SELECT count(*) FROM ({_ARCH})) < 500 THEN ' PROVISIONAL-SEED (expand panel before interpreting)' ELSE '' END || CASE WHEN sites < 50 THEN ' | INSUFFICIENT genotyped sites' ELSE '' END AS method
  FROM (SELECT iid, sum(CASE WHEN archaic_is_alt THEN dosage ELSE 2 - dosage END) AS archaic, count(*) AS sites FROM {{g25}} JOIN ({_ARCH}) USING (vid) WHERE dosage IS NOT NULL GROUP BY 1)""")
 def q49(v):
     return B.archaic_estimate(v.g25, v.sql(_ARCH))
@@ -200,9 +200,10 @@ def q66(v):
     return v.scorefile.groupBy("pgs_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "chrom", F.col("pos").cast("string"), "effect_allele"))), ","), 256).alias("key"))
 
 
-@query("q67_sex_specific_traits", "SELECT DISTINCT trait FROM {baseline} WHERE sex <> 'overall' EXCEPT SELECT trait FROM {baseline} WHERE sex = 'overall'")
+@query("q67_sex_specific_traits", "SELECT DISTINCT trait FROM {baseline_known} WHERE sex <> 'overall' EXCEPT SELECT trait FROM {baseline_known} WHERE sex = 'overall'")
 def q67(v):
-    return v.baseline.where("sex <> 'overall'").select("trait").distinct().join(v.baseline.where("sex = 'overall'"), "trait", "left_anti")
+    known = v.baseline_known
+    return known.where("sex <> 'overall'").select("trait").distinct().join(known.where("sex = 'overall'"), "trait", "left_anti")
 
 
 _FOUND = "SELECT concat('term ', CAST(number % 12 AS string)) AS term, concat('EFO_', CAST(number AS string)) AS trait_id, number % 5 AS n_scores, number AS ord FROM {meta}"

@@ -16,10 +16,13 @@ from strandline.plans.views import VIEWS
 VIEWS["cohort"] = "SELECT nation * 12 + cust % 12 AS iid, vid, CAST(max(line) % 3 AS int) AS dosage FROM {call} GROUP BY 1, 2"
 VIEWS["people"] = "SELECT n_nationkey * 12 + k AS iid, r_name AS pop, CASE WHEN (n_nationkey + k) % 4 = 0 THEN 'target' ELSE 'reference' END AS sampleset, CASE (n_nationkey + k) % 3 WHEN 0 THEN 'female' WHEN 1 THEN 'male' ELSE 'unknown' END AS sex FROM {nation} JOIN {region} ON n_regionkey = r_regionkey JOIN (SELECT l_linenumber - 1 AS k FROM {lineitem} WHERE l_linenumber <= 7 GROUP BY 1 UNION ALL SELECT l_linenumber + 6 AS k FROM {lineitem} WHERE l_linenumber <= 5 GROUP BY 1) ON k <= 11"
 _COHORT = f"SELECT iid, r.accession, substr(r.accession, 1, 9) AS pgs_id, trait, CAST(sum((CASE WHEN effect_is_alt THEN dosage ELSE 2 - dosage END) * w) AS bigint) AS score_sum, count(*) AS n_matched FROM {{cohort}} JOIN ({_ROWS}) r USING (vid) GROUP BY 1, 2, 3, 4"
-_SCORED = f"""SELECT s.iid AS sample, s.pgs_id, s.trait, pop, sex, sampleset, score_sum, n_matched, n_panel, CASE WHEN n_panel > 60 THEN round(100.0 * n_below / n_panel, 1) END AS percentile FROM (
+_SCORED = f"""SELECT s.iid AS sample, s.pgs_id, s.trait, pop, sex, sampleset, score_sum, n_matched, n_panel, CASE WHEN n_panel > 60 THEN 100e0 * n_below / n_panel END AS percentile FROM (
  SELECT *, coalesce(sum(r) OVER (PARTITION BY pgs_id ORDER BY score_sum RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) - sum(r) OVER (PARTITION BY pgs_id, score_sum) AS n_below, CAST(sum(r) OVER (PARTITION BY pgs_id) AS bigint) AS n_panel
  FROM (SELECT c.*, p.pop, p.sex, p.sampleset, CASE WHEN sampleset = 'reference' THEN 1 ELSE 0 END AS r FROM ({_COHORT}) c JOIN {{people}} p USING (iid))) s"""
-_TARGET = f"SELECT t.*, base_grade, training_ancestry, gwas_n, round(least(1.0, n_matched * 1.0 / (0.3 * m.n_variants)), 4) AS match_rate FROM ({_SCORED}) t LEFT JOIN {{meta}} m ON t.pgs_id = m.pgs_id WHERE sampleset = 'target'"
+# A match summary lists every second score; metadata lacks the size of every fifth.
+_TOTAL, _SIZE = "CASE WHEN number % 2 = 0 THEN CAST(ceil(0.3e0 * n_variants) AS bigint) END", "CASE WHEN number % 5 > 0 THEN n_variants END"
+_TARGET = f"""SELECT * EXCLUDE (n_hit, total, size), CASE WHEN total IS NULL THEN n_hit ELSE least(n_hit, total) END AS n_matched, coalesce(size, total) AS n_variants, CASE WHEN total IS NOT NULL THEN least(n_hit, total) / CAST(total AS double) WHEN size > 0 THEN n_hit / CAST(size AS double) END AS match_rate
+ FROM (SELECT t.* EXCLUDE (n_matched), n_matched AS n_hit, base_grade, training_ancestry, gwas_n, {_TOTAL} AS total, {_SIZE} AS size FROM ({_SCORED}) t LEFT JOIN {{meta}} m ON t.pgs_id = m.pgs_id WHERE sampleset = 'target')"""
 
 
 def scored(v):
@@ -29,21 +32,24 @@ def scored(v):
 def _scored(v):
     own = v.cohort.join(rows(v), "vid").withColumn("pgs_id", F.substring("accession", 1, 9))
     s = own.groupBy("iid", "pgs_id", "trait").agg(F.sum(S.effect_dosage().cast("bigint") * F.col("w")).alias("score_sum"), F.count(F.lit(1)).alias("n_matched")).join(v.people, "iid")
-    out = C.panel_ranks(s, ["pgs_id"]).withColumn("percentile", F.when(F.col("n_panel") > 60, F.round("percentile", 1)))
+    out = C.panel_ranks(s, ["pgs_id"]).withColumn("percentile", F.when(F.col("n_panel") > 60, 100.0 * F.col("n_below") / F.col("n_panel")))
     return out.withColumnRenamed("iid", "sample")
 
 
 def target(v):
-    own = scored(v).where("sampleset = 'target'").join(v.meta.select("pgs_id", "base_grade", "training_ancestry", "gwas_n", "n_variants"), "pgs_id", "left")
-    return own.withColumn("match_rate", F.round(F.least(F.lit(1.0), F.col("n_matched") / (F.col("n_variants") * 0.3)), 4))
+    meta = v.meta.select("pgs_id", "base_grade", "training_ancestry", "gwas_n", F.expr(_TOTAL).alias("in_summary"), F.expr(_SIZE).alias("n_variants"))
+    own = scored(v).where("sampleset = 'target'").withColumn("denom", 2 * F.col("n_matched"))
+    covered = own.join(meta.where("in_summary is not null"), "pgs_id").select("sample", "pgs_id", F.least("n_matched", "in_summary").alias("matched"), F.col("in_summary").alias("total"))
+    known = S.coverage_or_denominator(own.drop("n_matched"), covered, meta.select("pgs_id", "n_variants")).drop("denom")
+    return known.join(meta.drop("in_summary", "n_variants"), "pgs_id", "left")
 
 
-_EFF = """SELECT t.*, coalesce(e.per_sd, f.per_sd) AS per_sd FROM ({0}) t LEFT JOIN (SELECT pgs_id, arg_max(per_sd, ord) AS per_sd FROM {{effect}} GROUP BY 1) e ON t.pgs_id = e.pgs_id
- LEFT JOIN (SELECT lower(trait) AS k, arg_min(per_sd, ord) AS per_sd FROM {{effect}} GROUP BY 1) f ON lower(trim(t.trait)) = f.k""".format(_TARGET).replace("{{", "{").replace("}}", "}")
+_EFF = """SELECT t.*, coalesce(e.per_sd, f.per_sd) AS per_sd FROM ({0}) t LEFT JOIN (SELECT pgs_id, arg_max(per_sd, ord) AS per_sd FROM {{effect}} WHERE per_sd IS NOT NULL GROUP BY 1) e ON t.pgs_id = e.pgs_id
+ LEFT JOIN (SELECT lower(trim(trait)) AS k, arg_min(per_sd, ord) AS per_sd FROM {{effect}} WHERE per_sd IS NOT NULL GROUP BY 1) f ON lower(trim(t.trait)) = f.k""".format(_TARGET).replace("{{", "{").replace("}}", "}")
 _BASE = """SELECT e.*, coalesce(b0.baseline_risk, b1.baseline_risk, b2.baseline_risk, b3.baseline_risk) AS baseline_risk, CASE WHEN b0.sex IS NOT NULL OR b1.sex IS NOT NULL THEN want WHEN b2.sex IS NOT NULL OR b3.sex IS NOT NULL THEN 'overall' END AS baseline_sex
  FROM (SELECT *, CASE trait WHEN 'trait_3' THEN 'female' WHEN 'trait_5' THEN 'male' ELSE coalesce(nullif(sex, 'unknown'), 'overall') END AS want FROM (%s)) e
- LEFT JOIN {baseline} b0 ON e.trait = b0.trait AND b0.sex = want AND b0.ancestry = e.pop LEFT JOIN {baseline} b1 ON e.trait = b1.trait AND b1.sex = want AND b1.ancestry = 'overall'
- LEFT JOIN {baseline} b2 ON e.trait = b2.trait AND b2.sex = 'overall' AND b2.ancestry = e.pop LEFT JOIN {baseline} b3 ON e.trait = b3.trait AND b3.sex = 'overall' AND b3.ancestry = 'overall'""" % _EFF
+ LEFT JOIN {baseline_known} b0 ON e.trait = b0.trait AND b0.sex = want AND b0.ancestry = e.pop LEFT JOIN {baseline_known} b1 ON e.trait = b1.trait AND b1.sex = want AND b1.ancestry = 'overall'
+ LEFT JOIN {baseline_known} b2 ON e.trait = b2.trait AND b2.sex = 'overall' AND b2.ancestry = e.pop LEFT JOIN {baseline_known} b3 ON e.trait = b3.trait AND b3.sex = 'overall' AND b3.ancestry = 'overall'""" % _EFF
 
 
 def effects(v):
@@ -74,7 +80,7 @@ def q38(v):
 
 
 _EURO = "(upper(trim(training_ancestry)) IN ('EUR', 'EUR100%', 'EUR (100%)', 'EUROPEAN') OR upper(trim(training_ancestry)) LIKE 'EUR (%')"
-_GRADED = f"""SELECT sample, pgs_id, trait, pop, match_rate, percentile, flag AS portability_flag, CASE WHEN percentile IS NULL THEN 'D' ELSE substr('ABCD', least(4, strpos('ABCD', coalesce(base_grade, 'C')) + (CASE WHEN low THEN 2 ELSE 0 END) + (CASE WHEN flag THEN 1 ELSE 0 END)), 1) END AS evidence_grade,
+_GRADED = f"""SELECT sample, pgs_id, trait, pop, round(match_rate, 4) AS match_rate, round(percentile, 1) AS percentile, flag AS portability_flag, CASE WHEN percentile IS NULL THEN 'D' ELSE substr('ABCD', least(4, strpos('ABCD', coalesce(base_grade, 'C')) + (CASE WHEN low THEN 2 ELSE 0 END) + (CASE WHEN flag THEN 1 ELSE 0 END)), 1) END AS evidence_grade,
  CASE WHEN known THEN round(odds / (1 + odds), 4) END AS absolute_risk, CASE WHEN known THEN round(rr, 3) END AS risk_ratio,
  concat_ws(' | ', CASE WHEN low THEN '{G.COVERAGE}' END, CASE WHEN percentile IS NULL THEN '{G.UNCALIBRATED}' END, CASE WHEN flag THEN '{G.PORTABILITY}' END, CASE WHEN known THEN concat('absolute risk ~', CAST(CAST(round(100 * round(odds / (1 + odds), 4)) AS int) AS string), '% for ', coalesce(baseline_sex, 'overall'), ' vs ~', CAST(CAST(round(100 * baseline_risk) AS int) AS string), '% baseline (odds scale, illustrative)') END, '{G.GENERAL}') AS allowed_statement
  FROM (SELECT *, coalesce(match_rate < 0.75, false) AS low, percentile IS NOT NULL AND upper(pop) <> 'EUR' AND coalesce({_EURO}, false) AS flag, percentile IS NOT NULL AND per_sd IS NOT NULL AND baseline_risk IS NOT NULL AS known FROM ({_RISK}))"""
@@ -94,8 +100,8 @@ def q40(v):
     return graded(v).groupBy("pop", "evidence_grade", "portability_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
-_CONS = f"""SELECT sample, trait, n AS robustness_n_scores, CASE WHEN n >= 2 THEN round_even(greatest(0.0, 1 - (hi - lo) / 100), 3) END AS robustness_concordance, CASE WHEN n >= 2 THEN t = 1 END AS same_tertile FROM (
- SELECT sample, trait, count(*) AS n, max(percentile) AS hi, min(percentile) AS lo, count(DISTINCT CASE WHEN percentile < 100e0 / 3 THEN 0 WHEN percentile > 200e0 / 3 THEN 2 ELSE 1 END) AS t FROM ({_TARGET}) WHERE percentile IS NOT NULL GROUP BY 1, 2)"""
+_CONS = f"""SELECT sample, trait, n AS robustness_n_scores, CASE WHEN k >= 2 THEN round_even(greatest(0.0, 1 - (hi - lo) / 100), 3) END AS robustness_concordance, CASE WHEN k >= 2 THEN t = 1 END AS same_tertile FROM (
+ SELECT sample, trait, count(*) AS n, count(p) AS k, max(p) AS hi, min(p) AS lo, count(DISTINCT CASE WHEN p < 100e0 / 3 THEN 0 WHEN p > 200e0 / 3 THEN 2 WHEN p IS NOT NULL THEN 1 END) AS t FROM (SELECT sample, trait, round(percentile, 1) AS p FROM ({_TARGET})) GROUP BY 1, 2)"""
 
 
 @query("q41_consensus", _CONS)

@@ -6,26 +6,28 @@ from pyspark.sql import functions as F
 
 from strandline.functions import report as R
 from strandline.operators import batch as B
+from strandline.operators import calibrate as C
 from strandline.operators import match as M
 from strandline.operators import panel as P
 from strandline.plans import extensions
 from strandline.plans.catalogue import _FILES, _INTER, _LOADED, _REPORT, intersect
 from strandline.operators import grade as G
-from strandline.plans.grading import _BASE, _CONS, _FLAGGED, _REP, representative, risks, target
+from strandline.plans.grading import _BASE, _CONS, _FLAGGED, _REP, _Z, representative, risks, scored, target
 from strandline.sources.files import CONTRACT
 from strandline.plans.registry import query
 from strandline.plans.scoring import _FIT, _LAB, _ROWS, labels, rows
 from strandline.plans.views import VIEWS
 from strandline.streaming import events as E
 
-_ROW = f"""SELECT f.sample, f.trait, CAST(NULL AS string) AS efo_id, f.pgs_id, CAST(NULL AS string) AS source_pmid, CAST(NULL AS string) AS source_doi, n_variants, training_ancestry, n_matched, f.match_rate, CAST(NULL AS string) AS inferred_ancestry, f.pop AS most_similar_pop, CAST(NULL AS string) AS ancestry_distance,
- f.percentile, CAST(NULL AS string) AS z_score, CAST(NULL AS string) AS ci_low, CAST(NULL AS string) AS ci_high, f.absolute_risk, baseline_risk AS baseline_incidence, f.risk_ratio, robustness_n_scores, robustness_concordance, f.evidence_grade, f.portability_flag, CASE WHEN low_robustness THEN f.allowed_statement || ' | {G.ROBUSTNESS}' ELSE f.allowed_statement END AS allowed_statement
- FROM ({_FLAGGED}) f JOIN (SELECT sample, pgs_id, training_ancestry, n_matched, baseline_risk FROM ({_BASE})) b ON f.sample = b.sample AND f.pgs_id = b.pgs_id LEFT JOIN (SELECT pgs_id AS mp, n_variants FROM {{meta}}) m ON f.pgs_id = mp LEFT JOIN (SELECT sample AS cs, trait AS ct, robustness_concordance FROM ({_CONS})) c ON f.sample = cs AND f.trait = ct"""
+_ROW = f"""SELECT f.sample, f.trait, CAST(NULL AS string) AS efo_id, f.pgs_id, CAST(NULL AS string) AS source_pmid, CAST(NULL AS string) AS source_doi, n_variants, training_ancestry, n_matched, f.match_rate, f.pop AS inferred_ancestry, f.pop AS most_similar_pop, CAST(NULL AS string) AS ancestry_distance,
+ f.percentile, z AS z_score, CAST(NULL AS string) AS ci_low, CAST(NULL AS string) AS ci_high, f.absolute_risk, baseline_risk AS baseline_incidence, f.risk_ratio, robustness_n_scores, robustness_concordance, f.evidence_grade, f.portability_flag, CASE WHEN low_robustness THEN f.allowed_statement || ' | {G.ROBUSTNESS}' ELSE f.allowed_statement END AS allowed_statement
+ FROM ({_FLAGGED}) f JOIN (SELECT sample, pgs_id, training_ancestry, n_matched, n_variants, baseline_risk FROM ({_BASE})) b ON f.sample = b.sample AND f.pgs_id = b.pgs_id LEFT JOIN (SELECT sample AS zs, pgs_id AS zp, z FROM ({_Z.replace(', 6) AS z', ', 4) AS z')})) ON f.sample = zs AND f.pgs_id = zp LEFT JOIN (SELECT sample AS cs, trait AS ct, robustness_concordance FROM ({_CONS})) c ON f.sample = cs AND f.trait = ct"""
 
 
 @query("q39b_contract", _ROW)
 def q39b(v):
-    rows_ = G.graded(risks(v)).withColumns({"most_similar_pop": F.col("pop"), "baseline_incidence": F.col("baseline_risk")})
+    rows_ = G.graded(risks(v)).withColumns({"most_similar_pop": F.col("pop"), "inferred_ancestry": F.col("pop"), "baseline_incidence": F.col("baseline_risk")})
+    rows_ = rows_.join(C.panel_z(scored(v), ["pgs_id"], places=4).select("sample", "pgs_id", F.col("z").alias("z_score")), ["sample", "pgs_id"], "left")
     return G.contract(rows_, G.consensus(target(v)), CONTRACT)
 
 
@@ -43,9 +45,10 @@ _SITES = "SELECT DISTINCT CASE WHEN chrom % 2 = 0 THEN 'chr' ELSE '' END || CAST
 _RECS = "SELECT iid, CASE WHEN ord % 3 = 0 THEN 'chr' ELSE '' END || CAST(chrom AS string) AS chrom, pos, ref, alt, gt, ord FROM {record}"
 
 
-@query("q85_archaic_calls", f"""WITH r AS (SELECT iid, 'chr' || replace(chrom, 'chr', '') AS chrom, pos, arg_min(struct_pack(r := ref, a := alt, g := gt), ord) AS x FROM ({_RECS}) GROUP BY 1, 2, 3), s AS (SELECT 'chr' || replace(chrom, 'chr', '') AS chrom, pos, archaic FROM ({_SITES})),
- n AS (SELECT iid, list_filter(list_transform(string_split(replace(x.g, '|', '/'), '/'), lambda a: try_cast(a AS int)), lambda a: a IS NOT NULL) AS called, list_concat([x.r], string_split(x.a, ',')) AS names, archaic FROM r JOIN s ON r.chrom = s.chrom AND r.pos = s.pos)
- SELECT iid, CAST(sum(len(list_filter(called, lambda a: coalesce(names[a + 1] = archaic, false)))) AS bigint) AS archaic, CAST(sum(len(called)) AS bigint) AS total, count(*) AS sites FROM n WHERE len(called) > 0 GROUP BY 1""")
+@query("q85_archaic_calls", f"""WITH r AS (SELECT iid, chrom, pos, arg_min(struct_pack(r := ref, a := alt, g := gt), ord) AS x FROM ({_RECS}) WHERE gt <> '' AND NOT contains(gt, '.') GROUP BY 1, 2, 3), s AS (SELECT 'chr' || replace(chrom, 'chr', '') AS chrom, pos, archaic FROM ({_SITES})),
+ p AS (SELECT iid, list_transform(string_split(replace(x.g, '|', '/'), '/'), lambda a: CAST(a AS int)) AS said, list_concat([x.r], CASE WHEN x.a = '.' THEN [] ELSE string_split(x.a, ',') END) AS names, archaic FROM r JOIN s ON 'chr' || replace(r.chrom, 'chr', '') = s.chrom AND r.pos = s.pos),
+ n AS (SELECT *, list_filter(said, lambda a: a < len(names)) AS called FROM p)
+ SELECT iid, CAST(sum(len(list_filter(called, lambda a: names[a + 1] = archaic))) AS bigint) AS archaic, CAST(sum(len(called)) AS bigint) AS total, count(*) AS sites FROM n WHERE len(called) > 0 GROUP BY 1""")
 def q85(v):
     return B.archaic_calls(v.sql(_RECS), v.sql(_SITES))
 
@@ -118,6 +121,27 @@ def q78(v):
     return M.rewritten(M.splits(rows(v)), v.sql(_GONE))[1]
 
 
+# What goes: matched rows of one accession's list, some of which leave others of their variant behind, and some of no cached row.
+_DELETED = f"SELECT accession, vid, matched_allele, effect_type FROM ({_ROWS}) WHERE vid % 29 = 5 UNION ALL SELECT accession, vid, matched_allele, effect_type FROM ({_ROWS}) WHERE vid % 31 = 7 AND accession < 'PGS000020' UNION ALL SELECT accession, -vid, matched_allele, effect_type FROM ({_ROWS}) WHERE vid % 97 = 1"
+_CACHED, _PASSING = "SELECT DISTINCT accession FROM {scorefile}", "SELECT DISTINCT accession FROM {scorefile} WHERE accession NOT LIKE 'PGS%3_hmPOS%'"
+
+
+@query("q78b_rewrite_faults", f"""WITH s AS (SELECT *, CAST(row_number() OVER (PARTITION BY accession, vid, matched_allele, effect_type ORDER BY row_nr) - 1 AS int) AS split FROM ({_ROWS})), d AS (SELECT d.* FROM ({_DELETED}) d SEMI JOIN ({_PASSING}) USING (accession)),
+ ids AS (SELECT DISTINCT vid, matched_allele, effect_type, split FROM s), j AS (SELECT d.*, split FROM d LEFT JOIN ids USING (vid, matched_allele, effect_type)), n AS (SELECT effect_type, split, accession, count(*) AS n FROM s GROUP BY 1, 2, 3),
+ k AS (SELECT effect_type, split, accession, count(*) AS gone FROM j WHERE split IS NOT NULL GROUP BY 1, 2, 3), t AS (SELECT *, before - gone AS after FROM (SELECT effect_type, split, CAST(sum(n) AS bigint) AS before, CAST(coalesce(any_value(gone), 0) AS bigint) AS gone FROM n LEFT JOIN (SELECT effect_type, split, sum(gone) AS gone FROM k GROUP BY 1, 2) USING (effect_type, split) GROUP BY 1, 2)),
+ o AS (SELECT *, before >= lag(before) OVER w OR after >= lag(after) OVER w AS badly FROM t WINDOW w AS (PARTITION BY effect_type ORDER BY split)),
+ x AS (SELECT effect_type, split, count(*) AS removed FROM ids SEMI JOIN (SELECT vid FROM j WHERE split IS NOT NULL) USING (vid) GROUP BY 1, 2), e AS (SELECT effect_type, split, count(*) AS expected FROM (SELECT DISTINCT vid, matched_allele, effect_type, split FROM j WHERE split IS NOT NULL) GROUP BY 1, 2)
+ SELECT 'passing set changed' AS fault, NULL AS effect_type, NULL::INT AS split, accession, count(*) AS n FROM (SELECT accession FROM ({_CACHED}) ANTI JOIN ({_PASSING}) USING (accession) UNION ALL SELECT accession FROM ({_PASSING}) ANTI JOIN ({_CACHED}) USING (accession)) GROUP BY 4
+ UNION ALL SELECT 'no cached row', effect_type, NULL, accession, count(*) FROM j WHERE split IS NULL GROUP BY 2, 4
+ UNION ALL SELECT 'empty', effect_type, split, NULL, after FROM t WHERE after <= 0 UNION ALL SELECT 'sizes do not fall', effect_type, split, NULL, after FROM o WHERE badly
+ UNION ALL SELECT 'accession vanishes', effect_type, split, accession, n - coalesce(gone, 0) FROM n LEFT JOIN k USING (effect_type, split, accession) WHERE n <= coalesce(gone, 0)
+ UNION ALL SELECT 'removes others', effect_type, split, NULL, coalesce(removed, 0) - coalesce(expected, 0) FROM x FULL JOIN e USING (effect_type, split) WHERE coalesce(removed, 0) <> coalesce(expected, 0)""")
+def q78b(v):
+    own = rows(v).select("accession", "vid", "matched_allele", "effect_type")
+    deleted = own.where("vid % 29 = 5").union(own.where("vid % 31 = 7 and accession < 'PGS000020'")).union(own.where("vid % 97 = 1").withColumn("vid", -F.col("vid")))
+    return M.rewrite_faults(M.splits(rows(v)), deleted, v.sql(_CACHED), v.sql(_PASSING))
+
+
 _OWN = "SELECT vid FROM {g25} WHERE iid = 3"
 _LAB_OWN = _LAB.replace(_FIT, f"SELECT * FROM ({_FIT}) WHERE vid IN ({_OWN})")
 

@@ -59,11 +59,15 @@ VIEWS = {
                CASE number % 4 WHEN 0 THEN 'European' WHEN 1 THEN 'EUR' WHEN 2 THEN 'multi' ELSE 'EUR (100%)' END AS training_ancestry,
                number % 3 = 0 AS multi_eval, number % 5 > 0 AS has_eval, CASE WHEN number % 4 < 2 THEN 'A' WHEN number % 4 = 2 THEN 'B' ELSE 'C' END AS base_grade
         FROM {score_member} JOIN {lineitem} ON l_partkey = vid GROUP BY number""",
-    "effect": "SELECT concat('PGS', lpad(CAST(n_nationkey AS string), 6, '0')) AS pgs_id, concat('trait_', CAST(n_nationkey % 8 AS string)) AS trait, 1.1e0 + n_nationkey * 0.04e0 AS per_sd, n_nationkey AS ord FROM {nation} WHERE n_nationkey % 3 < 2",
+    "effect": """
+        SELECT concat('PGS', lpad(CAST(n_nationkey AS string), 6, '0')) AS pgs_id, concat(CASE WHEN n_nationkey % 5 = 2 THEN ' ' ELSE '' END, 'trait_', CAST(n_nationkey % 8 AS string), CASE WHEN n_nationkey % 4 = 1 THEN ' ' ELSE '' END) AS trait,
+               CASE WHEN n_nationkey % 7 <> 3 THEN 1.1e0 + n_nationkey * 0.04e0 END AS per_sd, n_nationkey AS ord FROM {nation} WHERE n_nationkey % 3 < 2
+        UNION ALL SELECT concat('PGS', lpad(CAST(n_nationkey AS string), 6, '0')) AS pgs_id, concat('TRAIT_', CAST((n_nationkey + 1) % 8 AS string)) AS trait, CASE WHEN n_nationkey % 2 = 1 THEN 1.3e0 + n_nationkey * 0.02e0 END AS per_sd, n_nationkey + 100 AS ord FROM {nation} WHERE n_nationkey % 3 = 1""",
     "baseline": """
-        SELECT concat('trait_', CAST(n_nationkey % 6 AS string)) AS trait, CASE n_nationkey % 3 WHEN 0 THEN 'female' WHEN 1 THEN 'male' ELSE 'overall' END AS sex,
-               CASE WHEN n_nationkey % 5 = 0 THEN 'EUROPE' WHEN n_nationkey % 5 = 1 THEN 'ASIA' ELSE 'overall' END AS ancestry, min(0.02e0 + n_nationkey * 0.015e0) AS baseline_risk
-        FROM {nation} GROUP BY 1, 2, 3""",
+        SELECT concat('trait_', CAST(n_nationkey % 6 AS string), CASE WHEN n_nationkey % 4 = 1 THEN ' ' ELSE '' END) AS trait, CASE n_nationkey % 3 WHEN 0 THEN 'female' WHEN 1 THEN 'male' ELSE 'overall' END AS sex,
+               CASE WHEN n_nationkey % 5 = 0 THEN 'EUROPE' WHEN n_nationkey % 5 = 1 THEN 'ASIA' ELSE 'overall' END AS ancestry, CASE WHEN n_nationkey % 8 <> 6 THEN 0.02e0 + n_nationkey * 0.015e0 END AS baseline_risk, n_nationkey AS ord
+        FROM {nation}""",
+    "baseline_known": "SELECT lower(trim(trait)) AS trait, sex, ancestry, max_by(baseline_risk, ord) AS baseline_risk FROM {baseline} WHERE baseline_risk IS NOT NULL GROUP BY 1, 2, 3",
     "idxstat": "SELECT p.chrom AS contig, max(pos) AS length, count(*) * 150 AS mapped, CAST(l_suppkey % 7 AS bigint) AS iid FROM (SELECT vid, CASE WHEN vid % 25 = 22 THEN 'chrX' WHEN vid % 25 = 23 THEN 'chrY' ELSE chrom END AS chrom, pos FROM {variant}) p JOIN {lineitem} ON l_partkey = vid GROUP BY p.chrom, l_suppkey % 7",
     "trace": "SELECT event_type AS step, user_id % 6 AS subset, concat(CAST(round(value, 1) AS string), CASE WHEN event_id % 3 = 0 THEN ' GB' WHEN event_id % 3 = 1 THEN ' MB' ELSE ' KB' END) AS peak FROM {events} WHERE value IS NOT NULL",
 }

@@ -172,3 +172,55 @@ def test_selection_with_pin(spark):
     df = spark.createDataFrame([("t", "a", "A", 10, 1), ("t", "b", "B", 99, 1), ("u", "c", "C", 1, 1)], "trait string, pgs_id string, grade string, gwas_n long, n_variants long")
     pins = spark.createDataFrame([("t", "b"), ("u", "z")], "trait string, pgs_id string")
     assert rows(catalogue.selected(df, 1, pins), "trait", "pgs_id", "pinned") == [("t", "b", True), ("u", "z", True)]
+
+
+# --- rules of loaders, calls, gates and rewrites
+
+
+def test_effects_without_a_number_do_not_win(spark):
+    effects = spark.createDataFrame([("P9", "CAD", None, 1), ("P8", " CAD", 1.6, 2), ("P1", "x", 1.5, 3), ("P1", "x", None, 4), ("P2", "Y ", 1.2, 5), ("P2", "y", 1.4, 6)], "pgs_id string, trait string, per_sd double, ord int")
+    scores = spark.createDataFrame([("P1", "x"), ("Q", "cad "), ("P9", "CAD"), ("P2", "z"), ("Q", "y"), ("Q", "none")], "pgs_id string, trait string")
+    assert rows(grade.effect_of(scores, effects), "pgs_id", "trait", "per_sd") == [("P1", "x", 1.5), ("P2", "z", 1.4), ("P9", "CAD", 1.6), ("Q", "cad ", 1.6), ("Q", "none", None), ("Q", "y", 1.2)]
+
+
+def test_baselines_without_a_risk_do_not_win(spark):
+    base = spark.createDataFrame([("CAD ", "male", "overall", None, 1), ("cad", "overall", "overall", 0.3, 2), ("CAD ", "female", "overall", 0.1, 3), ("T2D", "overall", "overall", 0.5, 4), ("T2D", "overall", "overall", 0.4, 5)], "trait string, sex string, ancestry string, baseline_risk double, ord int")
+    scores = spark.createDataFrame([(1, "p", "CAD", "male", "EUR"), (2, "p", " cad", "female", "EUR"), (3, "p", "t2d", None, None)], "sample int, pgs_id string, trait string, sex string, ancestry string")
+    assert rows(grade.baseline_of(scores, base), "sample", "baseline_risk", "baseline_sex") == [(1, 0.3, "overall"), (2, 0.1, "female"), (3, 0.4, "overall")]
+
+
+def test_archaic_calls_take_the_first_whole_call(spark):
+    records = spark.createDataFrame([
+        (1, "chr1", 10, "A", "G", "./1", 1), (1, "chr1", 10, "A", "G", "0/1", 2), (1, "1", 20, "A", "G", "1|1", 3), (1, "1", 20, "A", "G", "0/0", 4), (1, "2", 30, "C", ".", "0/1", 5), (1, "2", 31, "C", "T", ".", 6), (1, "2", 32, "C", "T", None, 7), (2, "2", 31, "C", "T,g", "2", 8),
+    ], "iid int, chrom string, pos int, ref string, alt string, gt string, ord int")
+    panel = spark.createDataFrame([("chr1", 10, "G"), ("1", 20, "g"), ("chr2", 30, "T"), ("chr2", 31, "G"), ("chr2", 32, "T")], "chrom string, pos int, archaic string")
+    assert rows(batch.archaic_calls(records, panel), "iid", "archaic", "total", "sites") == [(1, 3, 5, 3), (2, 1, 1, 1)]
+
+
+def test_gates_go_by_what_is_not_rounded(spark):
+    cols = "sample int, pgs_id string, trait string, base_grade string, training_ancestry string, pop string, match_rate double, percentile double, per_sd double, baseline_risk double"
+    out = grade.graded(spark.createDataFrame([(1, "p", "t", "A", "EUR", "EUR", 0.74996, 80.04, 1.5, 0.1), (2, "p", "t", "A", "EUR", "EUR", 0.75, 80.0, 1.5, 0.1)], cols))
+    assert rows(out, "sample", "evidence_grade", "match_rate", "percentile") == [(1, "C", 0.75, 80.0), (2, "A", 0.75, 80.0)]
+    one, two = (r["absolute_risk"] for r in out.orderBy("sample").collect())
+    assert one > two
+
+
+def test_consensus_counts_scores_without_a_percentile(spark):
+    df = spark.createDataFrame([(1, "CAD", 82.0), (1, "CAD", None), (1, "CAD", 88.0), (1, "T2D", None), (1, "LDL", 60.0), (1, "LDL", None)], "sample int, trait string, percentile double")
+    assert rows(grade.consensus(df), "trait", "robustness_n_scores", "robustness_concordance", "same_tertile") == [("CAD", 3, 0.94, True), ("LDL", 2, None, None), ("T2D", 1, None, None)]
+
+
+def test_a_rewritten_file_is_a_new_one_where_no_guard_speaks(spark):
+    data = [(a, i, v, "A", "additive", 10 * v + i) for i, a in enumerate("abc") for v in range(8)] + [("a", 90 + v, v, "A", "additive", v) for v in range(5)] + [("b", 80, 0, "A", "additive", 7)]
+    cached = match.splits(spark.createDataFrame(data, "accession string, row_nr int, vid int, matched_allele string, effect_type string, w int"))
+    names = spark.createDataFrame([("a",), ("b",), ("c",)], "accession string")
+    deleted = cached.where("vid in (6, 7)").select("accession", "vid", "matched_allele", "effect_type")
+    assert match.rewrite_faults(cached, deleted, names, names).count() == 0
+    kept, _ = match.rewritten(cached, deleted)
+    wide = lambda df: rows(match.wide_weights(df.where("split = 0"), ["a", "b", "c"]), "vid", "a", "b", "c")
+    assert wide(kept) == wide(match.splits(cached.drop("split").where("vid not in (6, 7)")))
+    faults = lambda d, before=names, now=names: {r["fault"] for r in match.rewrite_faults(cached, d, before, now).collect()}
+    assert faults(deleted, names, names.where("accession <> 'c'")) == {"passing set changed"}
+    assert "no cached row" in faults(deleted.withColumn("vid", F.col("vid") + 100))
+    assert {"accession vanishes", "sizes do not fall"} & faults(cached.where("split = 1 and accession = 'b'").select("accession", "vid", "matched_allele", "effect_type"))
+    assert "empty" in faults(cached.select("accession", "vid", "matched_allele", "effect_type"))
