@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -15,12 +18,25 @@ def is_reference(c: str = "sampleset"):
     return F.lower(F.trim(F.col(c))) == "reference"
 
 
-def panel_ranks(scores: DataFrame, keys: list[str], value: str = "score_sum") -> DataFrame:
-    """Share (percent) of the panel's individuals with the same keys whose value is strictly below; the number of such individuals. scores: also sampleset. Groups are ranked by counts of distinct values, so a hot value is one row."""
+def panel_ranks(scores: DataFrame, keys: list[str], value: str = "score_sum", spread: int | None = None) -> DataFrame:
+    """Share (percent) of the panel's individuals with the same keys whose value is strictly below; the number of such individuals. scores: also sampleset. Groups are ranked by counts of distinct values, so a hot value is one row.
+
+    A group's distinct values are dealt by range over spread tasks (as many as an eighth of the shuffle partitions when not given): cuts are quantiles of the group, running counts are taken inside a range, and those of the ranges before are added."""
+    spread = spread or max(1, int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
     ref = F.when(is_reference(), 1).otherwise(0)
     steps = scores.groupBy(*keys, value).agg(F.sum(ref).alias("here"))
-    below = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    steps = steps.withColumns({"n_below": F.coalesce(F.sum("here").over(below), F.lit(0)), "n_panel": F.sum("here").over(Window.partitionBy(*keys))}).drop("here")
+    ahead = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    if spread == 1:
+        steps = steps.withColumns({"n_below": F.coalesce(F.sum("here").over(ahead(*keys).orderBy(value)), F.lit(0)), "n_panel": F.sum("here").over(Window.partitionBy(*keys))})
+    else:
+        cuts = steps.groupBy(*(F.col(k).alias(f"of {k}") for k in keys)).agg(F.percentile_approx(value, [k / spread for k in range(1, spread)], F.lit(100 * spread)).alias("cuts"))
+        same = [F.col(k).eqNullSafe(F.col(f"of {k}")) for k in keys]
+        steps = steps.join(cuts, reduce(and_, same)).select(*keys, value, "here", F.size(F.filter("cuts", lambda c: c <= F.col(value))).alias("range"))
+        ranges = steps.groupBy(*keys, "range").agg(F.sum("here").alias("n"))
+        ranges = ranges.withColumns({"before": F.coalesce(F.sum("n").over(ahead(*keys).orderBy("range")), F.lit(0)), "n_panel": F.sum("n").over(Window.partitionBy(*keys))}).drop("n")
+        inside = F.coalesce(F.sum("here").over(ahead(*keys, "range").orderBy(value)), F.lit(0))
+        steps = steps.withColumn("inside", inside).join(ranges, [*keys, "range"]).select(*keys, value, (F.col("before") + F.col("inside")).alias("n_below"), "n_panel")
+    steps = steps.select(*keys, value, "n_below", "n_panel")
     return scores.join(steps, [*keys, value]).withColumn("percentile", F.round(F.when(F.col("n_panel") > 0, 100.0 * F.col("n_below") / F.col("n_panel")), 4))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandline.plans import catalogue, extensions, grading, registry, report, scoring, sites  # noqa: F401  (they register their queries)
+from strandline.plans import builds, catalogue, extensions, grading, registry, report, scoring, sites  # noqa: F401  (they register their queries)
 
 
 def queries():
