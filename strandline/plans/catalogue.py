@@ -13,7 +13,7 @@ from strandline.operators import score as S
 from strandline.plans.registry import query
 from strandline.plans.scoring import _ROWS, _sums, rows
 
-_PANEL = "SELECT vid, chrom, pos, a1, a2 FROM {variant} UNION ALL SELECT vid + 1000000, chrom, pos, a1, CASE WHEN a1 = 'G' OR a2 = 'G' THEN 'TT' ELSE 'G' END FROM {variant} WHERE vid % 19 = 0"
+_PANEL = "SELECT vid, chrom, pos, a1, a2 FROM {variant} UNION ALL SELECT -vid, chrom, pos, a1, CASE WHEN a1 = 'G' OR a2 = 'G' THEN 'TT' ELSE 'G' END FROM {variant} WHERE vid % 19 = 0"
 _TARGET = "SELECT vid, chrom, pos, CASE WHEN vid % 3 = 0 THEN a2 ELSE a1 END AS a1, CASE WHEN vid % 3 = 0 THEN a1 ELSE a2 END AS a2 FROM {variant} WHERE vid % 5 < 4"
 _FREQ = "SELECT vid, round(sum(dosage) / (2 * nullif(count(dosage), 0)), 6) AS alt_freq, round(1 - count(dosage) / count(*), 6) AS f_miss FROM {g200} GROUP BY vid"
 _KEY = "concat_ws(':', chrom, CAST(pos AS string), least(a1, a2), greatest(a1, a2))"
@@ -31,9 +31,9 @@ def q14(v):
     return intersect(v)
 
 
-@query("q33_relabel", f"SELECT r.accession, r.row_nr, p.id_ref AS vid, r.w FROM ({_ROWS}) r JOIN ({_INTER}) p ON r.vid = p.id_target WHERE p.id_ref < 1000000")
+@query("q33_relabel", f"SELECT r.accession, r.row_nr, p.id_ref AS vid, r.w FROM ({_ROWS}) r JOIN ({_INTER}) p ON r.vid = p.id_target WHERE p.id_ref > 0")
 def q33(v):
-    names = intersect(v).where("id_ref < 1000000").select(F.col("id_target").alias("old"), F.col("id_ref").alias("new"))
+    names = intersect(v).where("id_ref > 0").select(F.col("id_target").alias("old"), F.col("id_ref").alias("new"))
     known = rows(v).join(names.select(F.col("old").alias("vid")), "vid", "left_semi")
     return P.relabelled(known.select("accession", "row_nr", "vid", "w"), names)
 

@@ -151,10 +151,14 @@ def q27(v):
     return C.uniformity(C.panel_ranks(scored(v), ["accession"]), ["accession"])
 
 
-@query("q35_wide_scorefile", f"SELECT vid, matched_allele, {', '.join(f'''CAST(sum(CASE WHEN accession LIKE 'PGS{n:06d}%' THEN w ELSE 0 END) AS bigint) AS pgs{n}''' for n in range(1, 6))} FROM ({_ROWS}) WHERE accession < 'PGS000006' AND accession >= 'PGS000001' GROUP BY 1, 2")
+#: Numbers of all scores that the tables have: 25 brands, and kinds by the code of their second letter.
+_NUMBERS = (*range(1, 26), 965, 967, 969, 977, 982, 984)
+
+
+@query("q35_wide_scorefile", f"SELECT vid, matched_allele, {', '.join(f'''CAST(sum(CASE WHEN accession LIKE 'PGS{n:06d}%' THEN w ELSE 0 END) AS bigint) AS pgs{n}''' for n in _NUMBERS)} FROM ({_ROWS}) GROUP BY 1, 2")
 def q35(v):
-    names = [f"PGS{n:06d}_hmPOS_GRCh38" for n in range(1, 6)]
-    return M.wide_weights(rows(v).where(F.col("accession").isin(names)), names).toDF("vid", "matched_allele", *(f"pgs{n}" for n in range(1, 6)))
+    names = [f"PGS{n:06d}_hmPOS_GRCh38" for n in _NUMBERS]
+    return M.wide_weights(rows(v), names).toDF("vid", "matched_allele", *(f"pgs{n}" for n in _NUMBERS))
 
 
 _CHANGED = "SELECT vid FROM {variant2} WHERE vid % 101 = 5"
@@ -190,7 +194,8 @@ def q31(v):
     return M.maintained(M.summary(v.scoredup, all_labels).drop("percent"), touched, after, keys)
 
 
-_EDGE = "SELECT accession, row_nr % 500 AS row_nr, row_nr % 350 AS vid FROM {scorefile} WHERE pgs_id <= 'PGS000012' UNION SELECT accession, row_nr % 500, (row_nr + 7) % 350 FROM {scorefile} WHERE pgs_id <= 'PGS000012' AND row_nr % 3 = 0"
+# Each row's own variant, and for most the one of the next row: chains of rows, some long.
+_EDGE = "SELECT accession, row_nr, row_nr AS vid FROM {scorefile} UNION SELECT accession, row_nr, row_nr + 1 + row_nr % 2 FROM {scorefile} WHERE row_nr % 13 < 11"
 
 
 @query("q32_affected_closure", f"""WITH RECURSIVE e AS ({_EDGE}), reach AS (SELECT accession, row_nr FROM e WHERE vid % 101 = 5 UNION SELECT b.accession, b.row_nr FROM reach r JOIN e a ON r.accession = a.accession AND r.row_nr = a.row_nr JOIN e b ON a.accession = b.accession AND a.vid = b.vid)
