@@ -10,14 +10,14 @@ joined. Nothing is cut off: every word of any length has its exact value with ev
 Landmarks are the words that training documents of label 1 hold most more often than those of label 0. A sentence's map
 is the vector of its kernels with the landmarks, whitened by their own kernel matrix (Nystroem); a linear SVM (squared
 hinge loss) is fitted to the maps of labelled sentences: of each training document the sentence that is nearest to the
-landmarks in all, and once more with a letter put into each of its words. As the kernel of a sentence is a sum over its
+landmarks in all, and PUT_IN times more with one or two letters put into each of its words, at places of their own. As the kernel of a sentence is a sum over its
 words, so is its margin, and each distinct word of a batch is held against the landmarks once. A document's margin is
 the largest of its sentences'; a logistic calibration makes it a score.
 
 Training uses labelled rows of the training folds. Of these, the SAMPLE rows of each label with the smallest hashes of
 their id are taken, a bound that is a parameter. Their words are counted and their maps are made by executors; the
-machine and its calibration are fitted on the driver to the maps, LANDMARKS numbers for each of two sentences of a row
-of the sample. Each text of the table is scored whole, in one pass without a shuffle; a worker keeps the margins of KEPT
+machine and its calibration are fitted on the driver to the maps, LANDMARKS numbers for each of the sentences of a row of
+the sample. Each text of the table is scored whole, in one pass without a shuffle; a worker keeps the margins of KEPT
 words at most for its next texts.
 
 Defined results: null and empty texts get the score of a text that resembles no landmark; repeated rows are scored
@@ -45,6 +45,9 @@ POWER = 4
 LANDMARKS = 64
 SAMPLE = 6000
 KEPT = 400_000
+#: Letters put into each word of a training sentence: once as it stands, three times one letter, twice two.
+PUT_IN = (0, 1, 1, 1, 2, 2)
+SLACK = 10.0  # of the machine: weight of the loss
 LEAST_GAIN = 12.0  # of a landmark: documents of label 1 times the log of its ratio of shares
 SHORT = 24  # letters of words whose subsequences are listed one by one; the kernel of longer ones comes from running sums, with the same value
 SCORES = "id bigint, held_out boolean, score double"
@@ -153,28 +156,30 @@ class Landmarks:
         return out / np.sqrt(self_kernel(own))[:, None]
 
 
-def stretched(word: str) -> str:
-    """The word with a letter put in, which its own hash chooses."""
-    h = zlib.crc32(word.encode("utf-8", "replace"))
-    at = 1 + h % max(1, len(word) - 1)
-    return word[:at] + chr(97 + (h >> 8) % 26) + word[at:]
+def stretched(word: str, draw: int, times: int) -> str:
+    """The word with so many letters put in, which its own hash and the draw choose."""
+    for k in range(times):
+        h = zlib.crc32(f"{draw} {k} {word}".encode("utf-8", "replace"))
+        at = 1 + h % max(1, len(word) - 1)
+        word = word[:at] + chr(97 + (h >> 8) % 26) + word[at:]
+    return word
 
 
 def witnesses(texts: list[str], landmarks: Landmarks) -> np.ndarray:
-    """For each text two maps: that of the sentence nearest to the landmarks in all, and of the same with a letter put into each word."""
+    """For each text the maps of the sentence nearest to the landmarks in all, with the letters of PUT_IN put into each word."""
     each = [[sorted({letters(w) for w in s}) for s in sentences(t)] for t in texts]
     known: dict[str, int] = {}
     for w in itertools.chain.from_iterable(itertools.chain.from_iterable(each)):
         known.setdefault(w, len(known))
-    rows = landmarks.similarities(list(known))
-    total = rows.sum(1)
+    total = landmarks.similarities(list(known)).sum(1)
     best = [sorted(max(own, key=lambda s: float(total[[known[w] for w in s]].sum()))) if own else [] for own in each]
     drawn = {w: k for k, w in enumerate(sorted({w for s in best for w in s}))}
-    longer = landmarks.similarities([stretched(w) for w in drawn])
-    out = np.zeros((len(texts), 2, len(landmarks.words)), np.float32)
-    for k, own in enumerate(best):
-        if own:
-            out[k] = rows[[known[w] for w in own]].sum(0), longer[[drawn[w] for w in own]].sum(0)
+    out = np.zeros((len(texts), len(PUT_IN), len(landmarks.words)), np.float32)
+    for draw, times in enumerate(PUT_IN):
+        rows = landmarks.similarities([stretched(w, draw, times) for w in drawn])
+        for k, own in enumerate(best):
+            if own:
+                out[k, draw] = rows[[drawn[w] for w in own]].sum(0)
     return out
 
 
@@ -239,8 +244,8 @@ class Model:
 
     def fit(self, maps: np.ndarray, labels: np.ndarray) -> Model:
         """maps: witnesses of the training texts."""
-        x, y = maps.reshape(-1, maps.shape[2]) @ self.white, np.repeat(labels, 2)
-        w, self.b = fit_svm(x, y)
+        x, y = maps.reshape(-1, maps.shape[2]) @ self.white, np.repeat(labels, maps.shape[1])
+        w, self.b = fit_svm(x, y, SLACK)
         self.beta = self.white @ w  # a sentence's margin is the sum of beta over its words' kernels with the landmarks
         self.slope, self.offset = calibrate(x @ w + self.b, y)
         return self
@@ -314,9 +319,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     def mapped(batch_texts, batch_labels):
         return [pa.array(batch_labels), pa.array([m.tobytes() for m in witnesses(batch_texts, shared.value.landmarks)], pa.binary())]
 
-    rows = texts.mapInArrow(_by_text(["label", "map"], mapped), "label int, map binary").collect()  # 2 * sample rows of 2 * LANDMARKS numbers at most
+    rows = texts.mapInArrow(_by_text(["label", "map"], mapped), "label int, map binary").collect()  # 2 * sample rows of len(PUT_IN) * LANDMARKS numbers at most
     rows = sorted((r["label"], bytes(r["map"])) for r in rows)  # the order of tasks does not show in the sums
-    return model.fit(np.stack([np.frombuffer(m, np.float32).reshape(2, -1) for _, m in rows]), np.array([y for y, _ in rows], np.int64))
+    return model.fit(np.stack([np.frombuffer(m, np.float32).reshape(len(PUT_IN), -1) for _, m in rows]), np.array([y for y, _ in rows], np.int64))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 4, held: int = 2) -> DataFrame:
