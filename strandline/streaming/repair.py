@@ -13,23 +13,28 @@ STATE = "ref array<string>, alt array<string>, gt array<string>, ord array<bigin
 MARK = -1
 
 
+def _fates(ref, alt, gt, order) -> dict[str, list]:
+    """Columns of one place's records in their order, with multi and fate."""
+    rows = sorted(zip(order, ref, alt, gt), key=lambda r: r[0])
+    varies, seen, fate = any(r[2] != "." for r in rows), set(), []
+    for _, *alleles, _ in rows:
+        fate.append("dropped_homref" if alleles[1] == "." and varies else "dropped_dup" if tuple(alleles) in seen else "kept")
+        seen.add(tuple(alleles))
+    return {"ref": [r[1] for r in rows], "alt": [r[2] for r in rows], "gt": [r[3] for r in rows], "ord": [r[0] for r in rows], "multi": [len(rows) > 1] * len(rows), "fate": fate}
+
+
 def fates(records: pd.DataFrame) -> pd.DataFrame:
-    """What operators.genotypes.repaired says of one place's records (ref, alt, gt, ord), in pandas."""
-    out = records.sort_values("ord", kind="stable").reset_index(drop=True)
-    out["multi"] = len(out) > 1
-    again = out.duplicated(["ref", "alt"])
-    out["fate"] = ["dropped_homref" if a == "." and (out["alt"] != ".").any() else "dropped_dup" if d else "kept" for a, d in zip(out["alt"], again)]
-    return out
+    """What operators.genotypes.repaired says of one place's records (ref, alt, gt, ord)."""
+    return pd.DataFrame(_fates(*(records[c].tolist() for c in ("ref", "alt", "gt", "ord"))))
 
 
 def _place(key, batches, state: GroupState):
     iid, chrom, pos = key
     if state.hasTimedOut:
-        rows = pd.DataFrame(dict(zip(("ref", "alt", "gt", "ord"), state.get)))
+        out = _fates(*state.get)
         state.remove()
-        out = fates(rows)
-        out.insert(0, "pos", pos), out.insert(0, "chrom", chrom), out.insert(0, "iid", iid)
-        yield out[[c.split()[0] for c in FATES.split(", ")]]
+        n = len(out["ord"])
+        yield pd.DataFrame({"iid": [iid] * n, "chrom": [chrom] * n, "pos": [pos] * n, **out})
         return
     if chrom == MARK:
         return
