@@ -1,18 +1,22 @@
-"""Substring dedup over words: hashes of windows, grouped in bins by word prefixes.
+"""Substring dedup over words: prefix-partitioned suffix trees, cut at the window's length.
 
-No suffix is sorted and no tree is built; grouping by window hash replaces the nodes at the window's depth.
 Suffixes (one from each word on) are split by a prefix of their words. The prefix is one word long; where more than
-GROUP suffixes share it, it is one word longer, and so on to the window's length, so every group's hashes are sorted in memory.
+GROUP suffixes share it, it is one word longer, and so on to the window's length, so every group's tree is built in memory.
 ``heavy_prefixes`` finds the prefixes to lengthen: a block reports a prefix whose share of GROUP it exceeds, and the
 reports are summed; this finds all prefixes of more than 2 * GROUP suffixes, and no more than length * words / GROUP
 in all, whatever the text. Groups are hashed to bins.
 
-A bin sorts the hashes of its windows, which puts equal ones side by side; each run of equal hashes holds the smallest
-document of the run, as a suffix tree's internal node at that depth would. A longer repeat is a row of such windows at
-consecutive positions, and the spans returned are these rows. Deeper repeats are not found as nodes of their own. Windows
-reach the bins as hashes, once for each block that has them with their first document there, so a passage that all
-documents share is as many entries as there are blocks. Two windows are held equal when they share the group's bin
-and a 64-bit hash of 13 word hashes.
+A suffix that shares its first ``length`` words with no other document is a leaf that hangs above that depth and belongs to no
+deep node, so it is left out first: blocks send 32-bit hashes of their distinct windows to bins, which tell those that
+more than one block sent. A chance collision costs a suffix that the tree then sets apart, never a result; bins are of
+constant size, so such suffixes are less than one in a thousand at any size of the corpus.
+
+The rest are sorted word by word, in each block (``subtrees``) and, once for each of a block's deep nodes, with the
+words themselves and the smallest document, in the group's bin. Sorted suffixes and the words that neighbours have in common
+are the tree; an internal node at the window's depth is a run of neighbours that have ``length`` words in common. Words
+are compared byte for byte. A bin answers for each suffix whether its node holds a smaller document. Longer maximal repeats
+are rows of such nodes at consecutive positions, and the spans returned are these rows. A passage that all documents share
+is as many suffixes in a bin as there are blocks.
 
 Removed is each word in a window of ``length`` words whose sequence also starts in a document with a smaller id;
 windows are judged on the input. Defined results: a null text has no words; a null id comes after all others; rows that
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import blocks
 from strandline.llm.bpe import _pack, _unpack
-from strandline.llm.hashing import mix, windows, word_hashes
+from strandline.llm.hashing import mix, planes, unplanes, windows, word_hashes
 from strandline.llm.text import whole
 
 WINDOW = 13
@@ -85,83 +89,163 @@ def group_keys(h: np.ndarray, at: np.ndarray, i: np.ndarray, heavy: np.ndarray,
     return out[i]
 
 
-class _Windows:
-    """A block's distinct windows, in the order of their first document."""
+class _Block:
+    """A block's windows by the hashes that are sent to the bins."""
 
-    def __init__(self, table: pa.Table, ids: np.ndarray, heavy: np.ndarray, bins: int, length: int):
-        self.h, self.at = word_hashes(table.column("text"))
+    def __init__(self, table: pa.Table, bins: int, length: int):
+        self.table, ids = _sorted(table)
+        self.h, self.at = word_hashes(self.table.column("text"))
         hashed, self.i = windows(self.h, self.at, length)
-        doc = np.searchsorted(self.at, self.i, "right") - 1
-        unique, first, self.inverse = np.unique(hashed, return_index=True, return_inverse=True)
-        self.doc = doc[first]  # of each distinct window, the first document
-        self.ids, self.own = ids, ids[doc]
-        group = group_keys(self.h, self.at, self.i[np.sort(first)], heavy, length)
-        key = np.zeros(len(hashed), np.uint64)
-        key[np.sort(first)] = group
-        bin_ = (mix(key[first] + np.uint64(1)) % np.uint64(bins)).astype(np.int64)
-        self.order = np.lexsort((first, bin_))
-        self.hash = unique[self.order]
+        self.own = ids[np.searchsorted(self.at, self.i, "right") - 1]
+        code = (mix(hashed + np.uint64(1)) % np.uint64(bins)) << np.uint64(32) | hashed >> np.uint64(32)
+        self.code, first, self.inverse = np.unique(code, return_index=True, return_inverse=True)
+        last = np.zeros(len(first), np.int64)
+        last[self.inverse] = np.arange(len(code))
+        self.inside = self.own[last] != self.own[first]  # documents are in the order of their ids
+        self.bins, self.starts = np.unique(self.code >> np.uint64(32), return_index=True)
+
+    def questions(self):
+        for b, keys in zip(self.bins.tolist(), np.split(self.code.astype("<u4"), self.starts[1:])):
+            yield b, len(keys), _pack(planes(np.diff(keys, prepend=np.uint32(0)), 4))
+
+    def shared(self, answers: dict) -> np.ndarray:
+        """Of each distinct hash, whether documents of this or another block share it."""
+        bits = [np.unpackbits(np.frombuffer(_unpack(answers[b][1]), np.uint8), count=answers[b][0]) for b in self.bins.tolist()]
+        return np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool) | self.inside
+
+
+def met_elsewhere(messages):
+    """Of each hash, whether another message has it too."""
+    parts = [np.cumsum(unplanes(_unpack(p), 4)) for _, p in messages]
+    order = np.argsort(keys := np.concatenate(parts), kind="stable")
+    same = keys[order][1:] == keys[order][:-1]
+    met = np.zeros(len(keys), bool)
+    met[order[1:]] = same
+    met[order[:-1]] |= same
+    return [(len(k), _pack(np.packbits(m).tobytes())) for k, m in zip(parts, np.split(met, np.cumsum([len(k) for k in parts])[:-1]))]
+
+
+def subtrees(words: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes that begin at starts in an array of word numbers, and the words (length at most) that each has in common with the one before it."""
+    bits = max(1, int(words.max(initial=0)).bit_length())
+    columns, step = [], 63 // bits
+    for c in range(0, length, step):
+        column = np.zeros(len(starts), np.int64)
+        for k in range(c, min(c + step, length)):
+            column = column << bits | words[starts + k]
+        columns.append(column)
+    order = np.lexsort(columns[::-1]) if len(starts) else np.zeros(0, np.int64)
+    common = np.zeros(len(starts), np.int64)
+    on, after = np.arange(1, len(starts)), starts[order]
+    for k in range(length):
+        on = on[words[after[on] + k] == words[after[on - 1] + k]]
+        common[on] += 1
+    return order, common
+
+
+class _Subtree:
+    """The deep nodes of a block's shared suffixes, in the order of their bins."""
+
+    def __init__(self, block: _Block, shared: np.ndarray, heavy: np.ndarray, bins: int, length: int):
+        on = shared[block.inverse]
+        self.i, self.own, self.length = block.i[on], block.own[on], length
+        self.words = [w for t in block.table.column("text").cast(pa.binary()).to_pylist() for w in t.split()]
+        numbers = pa.array(self.words, pa.large_binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+        order, common = subtrees(numbers, self.i, length)
+        new = common < length
+        first = np.flatnonzero(new)
+        self.node = np.zeros(len(order), np.int64)
+        self.node[order] = np.cumsum(new) - 1
+        self.start = self.i[order][first]
+        self.doc = np.minimum.reduceat(self.own[order], first) if len(first) else np.zeros(0, np.int64)
+        bin_ = (mix(group_keys(block.h, block.at, self.start, heavy, length) + np.uint64(1)) % np.uint64(bins)).astype(np.int64)
+        self.order = np.argsort(bin_, kind="stable")
         self.bins, self.starts = np.unique(bin_[self.order], return_index=True)
 
-    def messages(self):
-        for b, rows in zip(self.bins.tolist(), np.split(np.arange(len(self.order)), self.starts[1:])):
-            count = np.bincount(self.doc[self.order[rows]], minlength=len(self.ids)).astype("<u4")
-            some = np.flatnonzero(count)
-            head = _pack(self.ids[some].astype("<i8").tobytes() + count[some].tobytes())
-            yield b, len(some), len(head).to_bytes(8, "little") + head + self.hash[rows].tobytes()
+    def per_bin(self):
+        return zip(self.bins.tolist(), np.split(self.order, self.starts[1:]))
+
+    def suffixes(self):
+        for b, nodes in self.per_bin():
+            ids = _pack(planes(self.doc[nodes], 8))
+            text = b" ".join(w for i in self.start[nodes].tolist() for w in self.words[i : i + self.length]) + b" "
+            yield b, len(nodes), len(ids).to_bytes(8, "little") + ids + _pack(text)
+
+
+def _word_numbers(text: bytes) -> np.ndarray:
+    """Numbers of the words, each of which a space ends."""
+    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x20) + 1
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+    return words.dictionary_encode().indices.to_numpy()
+
 
+def _trees(length: int):
+    def answer(messages):
+        """Of each suffix, whether its deep node holds a document smaller than its own. A block's note to itself goes back as it is."""
+        if messages[0][0] < 0:
+            return messages
+        cut = [8 + int.from_bytes(p[:8], "little") for _, p in messages]
+        doc = np.concatenate([unplanes(_unpack(p[8:c]), 8) for c, (_, p) in zip(cut, messages)])
+        words = _word_numbers(b"".join(_unpack(p[c:]) for c, (_, p) in zip(cut, messages)))
+        order, common = subtrees(words, np.arange(len(doc)) * length, length)
+        new = common < length
+        smallest = np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+        earlier = np.zeros(len(doc), bool)
+        earlier[order] = smallest < doc[order]
+        at = np.cumsum([n for n, _ in messages])[:-1]
+        return [(len(e), _pack(np.packbits(e).tobytes())) for e in np.split(earlier, at)]
+
+    return answer
+
+
+def _asker(heavy, bins: int, length: int):
+    def ask(number: int, table: pa.Table, answers: dict) -> pa.Table:
+        block = _Block(table, bins, length)
+        shared = block.shared(answers)
+        out = [(_note(number), -1 - len(shared), _pack(np.packbits(shared).tobytes())), *_Subtree(block, shared, heavy, bins, length).suffixes()]
+        return pa.table([
+            pa.array([x[0] for x in out], pa.int32()), pa.array([number] * len(out), pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary()),
+        ], ["bin", "block", "n", "payload"])
 
-def _read(n: int, payload: bytes) -> tuple[np.ndarray, np.ndarray]:
-    size = int.from_bytes(payload[:8], "little")
-    head = _unpack(payload[8 : 8 + size])
-    return np.repeat(np.frombuffer(head[: 8 * n], "<i8"), np.frombuffer(head[8 * n :], "<u4")), np.frombuffer(payload[8 + size :], "<u8")
+    return ask
 
 
-def answer(messages):
-    """Of each window, whether it starts in a smaller document than the message's."""
-    parts = [_read(n, p) for n, p in messages]
-    doc, hashed = np.concatenate([d for d, _ in parts]), np.concatenate([h for _, h in parts])
-    order = np.argsort(hashed, kind="stable")
-    leaf = hashed[order]
-    node = np.concatenate([[True], leaf[1:] != leaf[:-1]])  # a run of equal windows is an internal node at full depth
-    smallest = np.minimum.reduceat(doc[order], np.flatnonzero(node))[np.cumsum(node) - 1]
-    earlier = np.zeros(len(doc), bool)
-    earlier[order] = smallest < doc[order]
-    at = np.cumsum([0] + [len(d) for d, _ in parts])
-    return [(int(b - a), _pack(np.packbits(earlier[a:b]).tobytes())) for a, b in zip(at[:-1], at[1:])]
+def _note(block: int) -> int:
+    """The bin of a block's note to itself: which of its hashes are shared."""
+    return -1 - block
 
 
 def _applier(heavy, bins: int, length: int):
-    def apply(block: int, table: pa.Table, answers: dict) -> pa.Table:
-        table, ids = _sorted(table)
-        w = _Windows(table, ids, heavy, bins, length)
-        earlier = np.zeros(len(w.order), bool)
-        for b, a, z in zip(w.bins.tolist(), w.starts, [*w.starts[1:], len(w.order)]):
-            n, bits = answers[b][0], np.frombuffer(_unpack(answers[b][1]), np.uint8)
-            if n != z - a:
+    def apply(number: int, table: pa.Table, answers: dict) -> pa.Table:
+        block = _Block(table, bins, length)
+        n, note = answers[_note(number)]
+        tree = _Subtree(block, np.unpackbits(np.frombuffer(_unpack(note), np.uint8), count=-1 - n).astype(bool), heavy, bins, length)
+        earlier = np.zeros(len(tree.order), bool)
+        for b, nodes in tree.per_bin():
+            if answers[b][0] != len(nodes):
                 raise ValueError("an answer does not fit its question")
-            earlier[w.order[a:z]] = np.unpackbits(bits, count=n).astype(bool)
-        repeated = w.i[earlier[w.inverse] | (w.own > w.ids[w.doc][w.inverse])]
-        cover = np.zeros(len(w.h) + 1, np.int64)
+            earlier[nodes] = np.unpackbits(np.frombuffer(_unpack(answers[b][1]), np.uint8), count=len(nodes)).astype(bool)
+        repeated = tree.i[earlier[tree.node] | (tree.own > tree.doc[tree.node])]
+        cover = np.zeros(len(block.h) + 1, np.int64)
         np.add.at(cover, repeated, 1)
         np.add.at(cover, repeated + length, -1)
         gone = np.cumsum(cover[:-1]) > 0
-        removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[w.at])
-        texts, starts, ends, kept = table.column("text").cast(pa.binary()).to_pylist(), [], [], []
-        for k, text in enumerate(texts):
-            words = text.split()
-            if removed[k]:
-                own = gone[w.at[k] : w.at[k + 1]]
+        at = block.at
+        removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[at])
+        starts, ends, kept = [], [], []
+        for a, z, some in zip(at[:-1].tolist(), at[1:].tolist(), removed.tolist()):
+            words = tree.words[a:z]
+            edge = np.zeros(0, np.int64)
+            if some:
+                own = gone[a:z]
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]])))
-                starts.append(edge[::2])
-                ends.append(edge[1::2])
                 words = [words[j] for j in np.flatnonzero(~own)]
-            else:
-                starts.append([])
-                ends.append([])
+            starts.append(edge[::2])
+            ends.append(edge[1::2])
             kept.append(b" ".join(words))
         return pa.table([
-            table.column("id"), pa.array(np.diff(w.at)), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32())),
+            block.table.column("id"), pa.array(np.diff(at)), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32())),
         ], ["id", "n_words", "n_removed", "kept_text", "span_start", "span_end"])
 
     return apply
@@ -175,7 +259,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heavy = heavy_prefixes(packets, n_blocks, length, group)
 
     def ask(table: pa.Table):
-        return _Windows(*_sorted(table), heavy, bins, length).messages()
+        return _Block(table, bins, length).questions()
 
-    out = blocks.ask_and_answer(packets, ask, answer, _applier(heavy, bins, length), SCHEMA)
+    by_block = packets.groupBy("block")
+    shared = by_block.applyInArrow(blocks.asker(ask), blocks.ASKS).groupBy("bin").applyInArrow(blocks.answered(met_elsewhere), blocks.ANSWERS)
+    suffixes = by_block.cogroup(shared.groupBy("block")).applyInArrow(blocks.applier(_asker(heavy, bins, length)), blocks.ASKS)
+    answers = suffixes.groupBy("bin").applyInArrow(blocks.answered(_trees(length)), blocks.ANSWERS)
+    out = by_block.cogroup(answers.groupBy("block")).applyInArrow(blocks.applier(_applier(heavy, bins, length)), SCHEMA)
     return out.withColumnRenamed("id", id_col)
