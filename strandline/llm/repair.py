@@ -18,6 +18,8 @@ long; rows that repeat an id stand side by side. An empty table writes an empty
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import struct
 
 import numpy as np
@@ -43,21 +45,32 @@ _BINS = 1 << 21
 _NOTE = -1  # in place of a bin: what a block notes for itself
 
 
+@functools.cache
+def keep_freed_memory() -> None:
+    """Lets this process hold up to 256 MB that arrays have given back, where its C library can be told so: the arrays of a round are as large as those of the one before, and new pages cost a fifth of its time."""
+    if tell := getattr(ctypes.CDLL(None), "mallopt", None):
+        tell(-3, 32 << 20)  # size from which an array has a mapping of its own
+        tell(-1, 256 << 20)  # free memory from which some goes back
+
+
 def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_COUNT, rounds: int | None = None):
     """ids of all documents, and the place after each document's last. Gives left, right, lengths, symbols, and places. After a round only pairs that were frequent or stand beside a new symbol are counted again; when none of them is frequent, all are, until none is."""
     seq = ids.astype(np.int32)
-    doc = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
+    filled = np.diff(ends, prepend=0) > 0
+    last = np.zeros(len(seq), bool)  # of its document
+    last[ends[filled] - 1] = True
     known: dict[int, int] = {}  # pair -> nonterminal
     some, done = None, 0  # places that may begin a frequent pair; None: any
     while len(seq) > 1 and (rounds is None or done < rounds):
         if some is None:
-            often = _frequent_bins(seq, doc, least)
+            often = _frequent_bins(seq, last, least)
         else:
-            often = some[doc[some + 1] == doc[some]]
+            often = some[~last[some]]
         key = (seq[often].astype(np.int64) << 32) | seq[often + 1]
         number, pairs = pd.factorize(key)
         n = np.bincount(number, minlength=len(pairs))
-        often, number = often[n[number] >= least], number[n[number] >= least]
+        on = np.flatnonzero((n >= least)[number])
+        often, number = often[on], number[on]
         if not len(n) or n.max() < least:
             if some is None:
                 break
@@ -75,23 +88,29 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_CO
         again[often] = True
         again[at] = again[at - 1] = True
         seq[at] = fresh[number]
+        last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, doc, again = seq[stay], doc[stay], again[stay]
-        some = np.flatnonzero(again[:-1])
+        place = np.flatnonzero(stay)
+        seq, last = seq[place], last[place]
+        some = np.flatnonzero(again[place[:-1]])
     rules = np.array(list(known), np.int64)
     left, right = rules >> 32, rules & 0xFFFFFFFF
     lengths = np.ones(base + len(rules), np.int64)
     for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
         lengths[base + i] = lengths[a] + lengths[b]
-    return left, right, lengths[base:], seq, np.searchsorted(doc, np.arange(len(ends)))
+    begin = np.concatenate([[0], np.flatnonzero(last) + 1])
+    return left, right, lengths[base:], seq, begin[np.cumsum(filled) - filled]
 
 
-def _frequent_bins(seq: np.ndarray, doc: np.ndarray, least: int) -> np.ndarray:
+def _frequent_bins(seq: np.ndarray, last: np.ndarray, least: int) -> np.ndarray:
     """Places whose pair may be frequent, by counts of hashed pairs."""
-    key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:].astype(np.uint64)
-    bin_ = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(43)).astype(np.int32)
-    inside = doc[1:] == doc[:-1]
+    bin_ = seq[:-1].astype(np.uint32)
+    bin_ *= np.uint32(0x9E3779B1)
+    bin_ += seq[1:].astype(np.uint32)
+    bin_ *= np.uint32(0x85EBCA6B)
+    bin_ >>= np.uint32(11)  # _BINS
+    inside = ~last[:-1]
     count = np.bincount(bin_[inside], minlength=_BINS)
     return np.flatnonzero(inside & (count[bin_] >= least))
 
@@ -171,6 +190,7 @@ def write(docs: DataFrame, file: str, path: str, end_id: int, id_col: str = "doc
     base = max(len(bpe.pieces(path)), end_id + 1)
 
     def ask(packets: pa.Table) -> pa.Table:
+        keep_freed_memory()
         block, table = packets.column("block")[0].as_py(), blocks.block_table(packets)
         own = table.column("id").fill_null(_NULL).to_numpy()
         order = np.argsort(own, kind="stable")
@@ -180,6 +200,7 @@ def write(docs: DataFrame, file: str, path: str, end_id: int, id_col: str = "doc
         return pa.table([pa.array(bin_, pa.int32()), pa.array([block] * len(rows), pa.int32()), pa.array(n, pa.int32()), pa.array(payload, pa.binary())], ["bin", "block", "n", "payload"])
 
     def apply(notes: pa.Table, answers: pa.Table) -> pa.Table:
+        keep_freed_memory()
         block = notes.column("block")[0].as_py()
         (own,), (note,) = ([p for m, p in zip(notes.column("n").to_pylist(), notes.column("payload").to_pylist()) if (m > 0) == first] for first in (True, False))
         own, words = np.frombuffer(bpe._unpack(own), "<i8"), bpe.Words.noted(note)
@@ -212,6 +233,7 @@ def read(spark: SparkSession, file: str, ids=lambda c: c) -> DataFrame:
     shards = spark.read.schema(FILE).parquet(file)
 
     def decode(batches):
+        keep_freed_memory()
         for batch in batches:
             for number, payload in zip(batch.column("shard").to_pylist(), batch.column("payload").to_pylist()):
                 s = Shard(payload)
