@@ -10,6 +10,27 @@ ONTOLOGIES = {"EFO": "efo", "HP": "hp", "ORPHANET": "ordo", "ORPHA": "ordo", "DO
 TIERS = {"core": ("core",), "extended": ("core", "extended"), "all": ("core", "extended", "gated"), "gated": ("gated",)}
 METRIC_LABELS = {"AUROC": "AUROC", "C-index": "C-idx", "R2": "R²"}
 
+#: Body systems by words in a trait's name, of which the first in this order decides, and the systems' names.
+BODY_SYSTEMS = (
+    ("cancer", ("cancer", "carcinoma", "melanoma", "myeloma", "lymphoma", "leukemia")),
+    ("endo", ("thyroid",)),
+    ("metab", ("diabetes", "hba1c", "cholesterol", "lipoprotein", "hdl", "ldl", "glucose", "gout", "triglyceride", "c-reactive", "liver")),
+    ("neuro", ("parkinson", "alzheimer", "dementia", "multiple sclerosis", "migraine", "depress", "bipolar", "schizo", "autism", "adhd", "intelligence", "cognitive", "educational", "neuroticism", "chronotype", "loneliness")),
+    ("cardio", ("coronary", "atrial", "hypertension", "heart", "venous thrombo", "stroke", "aortic", "aneurysm", "arterial", "blood pressure", "systolic")),
+    ("resp", ("chronic obstructive", "pulmonary", "copd", "asthma", "apnea")),
+    ("msk", ("rheumatoid", "osteoarthritis", "osteoporosis", "ankylosing", "arthritis", "bone")),
+    ("gut", ("inflammatory bowel", "coeliac", "celiac", "crohn", "colitis", "gallstone", "gallbladder")),
+    ("msk", ("lupus",)),
+    ("renal", ("kidney", "renal", "glomerular", "egfr")),
+    ("eye", ("macular", "cataract", "glaucoma")),
+    ("skin", ("dermatitis", "atopic", "psoriasis", "eczema")),
+    ("anthro", ("height", "body mass", "waist")),
+)
+SYSTEM_NAMES = {
+    "neuro": "brain / nervous system", "cardio": "heart / circulation", "resp": "lungs", "msk": "bones & joints", "metab": "blood sugar / lipids", "endo": "thyroid / hormones", "gut": "digestive tract",
+    "eye": "eyes", "renal": "kidneys", "skin": "skin", "cancer": "cancer", "anthro": "body measure", "default": "general",
+}
+
 
 def _map(values: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for kv in values.items() for x in kv))
@@ -59,3 +80,12 @@ def ancestry_text(samples: Column) -> Column:
 def in_tier(tier: Column, wanted: str) -> Column:
     """Whether a trait of a tier is among those asked for; an unknown wish is the extended one."""
     return tier.isin(*TIERS.get(wanted, TIERS["extended"]))
+
+
+def body_system(trait: Column) -> Column:
+    """The body system of a trait's name; "default" where no word of the list is in it, or there is none."""
+    return F.coalesce(*(F.when(F.lower(trait).rlike("|".join(words)), F.lit(system)) for system, words in BODY_SYSTEMS), F.lit("default"))
+
+
+def system_name(system: Column) -> Column:
+    return F.element_at(_map(SYSTEM_NAMES), system)

@@ -72,6 +72,23 @@ def q72(v):
     return v.sql(_TERMS).select("number", R.ontology_url(F.col("term")).alias("url"))
 
 
+#: Names of traits: a part's name and a word or two that a list of traits has.
+_TRAITS = (
+    "SELECT p_partkey, concat(p_name, ' ', CASE p_partkey % 24 WHEN 0 THEN 'Thyroid Cancer' WHEN 1 THEN 'LDL cholesterol' WHEN 2 THEN 'liver fat' WHEN 3 THEN 'Parkinson disease' WHEN 4 THEN 'Lupus with kidney disease' "
+    "WHEN 5 THEN 'Crohn disease or lupus' WHEN 6 THEN 'heart rate in asthma' WHEN 7 THEN 'COPD' WHEN 8 THEN 'Osteoarthritis' WHEN 9 THEN 'eGFR' WHEN 10 THEN 'macular degeneration' WHEN 11 THEN 'atopic asthma' "
+    "WHEN 12 THEN 'Body mass index' WHEN 13 THEN 'bone density' WHEN 14 THEN 'waist in diabetes' WHEN 15 THEN 'hypothyroidism' WHEN 16 THEN 'venous thrombosis' WHEN 17 THEN 'C-reactive protein' "
+    "WHEN 18 THEN 'freckles' WHEN 19 THEN 'arterial hypertension' ELSE '' END) AS trait FROM {part}"
+)
+_WORDS = ", ".join(f"({k}, '{w}', '{s}', '{R.SYSTEM_NAMES[s]}')" for k, (s, w) in enumerate((s, w) for s, words in R.BODY_SYSTEMS for w in words))
+
+
+@query("q64b_body_system", f"""SELECT p_partkey, coalesce(arg_min(system, ord), 'default') AS system, coalesce(arg_min(name, ord), 'general') AS system_name
+ FROM ({_TRAITS}) LEFT JOIN (VALUES {_WORDS}) w (ord, word, system, name) ON contains(lower(trait), word) GROUP BY 1""")
+def q64b(v):
+    system = R.body_system(F.col("trait"))
+    return v.sql(_TRAITS).select("p_partkey", system.alias("system"), R.system_name(system).alias("system_name"))
+
+
 _TIER = "SELECT pgs_id, trait, CASE number % 3 WHEN 0 THEN 'core' WHEN 1 THEN 'extended' ELSE 'gated' END AS tier FROM {meta}"
 
 

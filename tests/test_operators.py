@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import alleles as A
+from strandline.functions import report
 from strandline.functions.math import norm_cdf, norm_ppf
 from strandline.operators import batch, calibrate, catalogue, genotypes, grade, match, panel, score, targets
 
@@ -224,3 +225,15 @@ def test_a_rewritten_file_is_a_new_one_where_no_guard_speaks(spark):
     assert "no cached row" in faults(deleted.withColumn("vid", F.col("vid") + 100))
     assert {"accession vanishes", "sizes do not fall"} & faults(cached.where("split = 1 and accession = 'b'").select("accession", "vid", "matched_allele", "effect_type"))
     assert "empty" in faults(cached.select("accession", "vid", "matched_allele", "effect_type"))
+
+
+def test_body_systems_go_by_the_first_word_of_the_list(spark):
+    cases = {"Thyroid cancer": "cancer", "hypoTHYROIDism": "endo", "Lupus nephritis of the kidney": "msk", "lupus and colitis": "gut", "atopic asthma": "resp", "height": "anthro", "freckles": "default", "": "default", None: "default"}
+    rows = spark.createDataFrame([(t,) for t in cases], "trait string").select("trait", report.body_system(F.col("trait")).alias("s"), report.system_name(report.body_system(F.col("trait"))).alias("n")).collect()
+    assert {r["trait"]: r["s"] for r in rows} == cases
+    assert {r["s"]: r["n"] for r in rows}["msk"] == "bones & joints" and all(r["n"] for r in rows)
+
+
+def test_ancestries_of_samples_are_one_text(spark):
+    df = spark.createDataFrame([([("European",), (None,), ("East Asian",)],), ([],)], "samples array<struct<ancestry_broad:string>>")
+    assert [r[0] for r in df.select(report.ancestry_text(F.col("samples"))).collect()] == ["European  East Asian", ""]
