@@ -45,12 +45,16 @@ def labelled(found: DataFrame, drop_ambiguous: bool = True) -> DataFrame:
 LABELS = ("match_status", "ambiguous", "flipped", "duplicate_id")
 
 
+def counted(rows: DataFrame, best: DataFrame, how: str = "full") -> DataFrame:
+    """Counts (n) of scoring rows by accession and labels of their best candidates, each pair of a row and a candidate of its number once. Rows without a candidate are unmatched."""
+    all_rows = rows.select("accession", "row_nr").join(best.select("accession", "row_nr", *LABELS), ["accession", "row_nr"], how).withColumn("match_status", F.coalesce("match_status", F.lit("unmatched")))
+    return all_rows.groupBy("accession", *LABELS).agg(F.count(F.lit(1)).alias("n"))
+
+
 def summary(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Counts of scoring rows by accession and labels of their best candidate, and the share of the accession's rows. Rows without a candidate are unmatched."""
-    best = labels.where("best_match").select("accession", "row_nr", *LABELS)
-    all_rows = rows.select("accession", "row_nr").join(best, ["accession", "row_nr"], "full").withColumn("match_status", F.coalesce("match_status", F.lit("unmatched")))
+    """Counts of scoring rows by accession and labels of their best candidate, and the share of the accession's rows."""
     share = 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("accession"))
-    return all_rows.groupBy("accession", *LABELS).agg(F.count(F.lit(1)).alias("n")).withColumn("percent", F.round(share, 6))
+    return counted(rows, labels.where("best_match")).withColumn("percent", F.round(share, 6))
 
 
 def matched(labels: DataFrame) -> DataFrame:
@@ -58,8 +62,9 @@ def matched(labels: DataFrame) -> DataFrame:
 
 
 def maintained(cached: DataFrame, old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Cached counts less those of the rows' old labels plus those of the new ones; groups that reach zero go. Null keys are values like others."""
-    signed = cached.select(*keys, "n").unionByName(old.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(*keys, (-F.col("n")).alias("n"))).unionByName(new.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    """Cached counts less those of the rows' old labels plus those of the new ones; groups that reach zero go. Null keys are values like others. old, new: keys, and n where they are counts already."""
+    n = lambda df: df.select(*keys, "n") if "n" in df.columns else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    signed = n(cached).unionByName(n(old).withColumn("n", -F.col("n"))).unionByName(n(new))
     return signed.groupBy(*keys).agg(F.sum("n").alias("n")).where("n <> 0")
 
 

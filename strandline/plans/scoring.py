@@ -185,13 +185,15 @@ _KEYS = "accession, match_status, ambiguous, flipped, duplicate_id"
 @query("q31_delta_summary", f"""SELECT accession, coalesce(match_status, 'unmatched') AS match_status, ambiguous, flipped, duplicate_id, count(*) AS n FROM (SELECT s.accession, s.row_nr, match_status, ambiguous, flipped, duplicate_id FROM {{scoredup}} s
  LEFT JOIN (SELECT * FROM ({_LAB}) WHERE best_match AND vid NOT IN ({_CHANGED})) l ON s.accession = l.accession AND s.row_nr = l.row_nr) GROUP BY 1, 2, 3, 4, 5""")
 def q31(v):
-    """Counts after some variants leave the target, by maintenance of the cached counts; the oracle counts anew."""
+    """Counts after some variants leave the target, by maintenance of the cached counts; the oracle counts anew. What a row that lost a candidate counts for now follows from all rows and best candidates of its number, as several may share one."""
     keys = ["accession", *M.LABELS]
-    all_labels, gone = labels(v), v.sql(_CHANGED)
-    best = all_labels.where("best_match")
-    touched = best.join(gone, "vid", "left_semi").select("accession", "row_nr", *M.LABELS)
-    after = touched.select("accession", "row_nr", F.lit("unmatched").alias("match_status"), *(F.lit(None).cast("boolean").alias(c) for c in M.LABELS[1:]))
-    return M.maintained(M.summary(v.scoredup, all_labels).drop("percent"), touched, after, keys)
+    gone = v.sql(_CHANGED).withColumn("gone", F.lit(True))
+    best = v.once("best-labels", lambda: labels(v).where("best_match").join(gone, "vid", "left").select("accession", "row_nr", *M.LABELS, F.coalesce("gone", F.lit(False)).alias("gone")))
+    touched = best.where("gone").select("accession", "row_nr").distinct()
+    own = best.join(touched, ["accession", "row_nr"], "left_semi")
+    rows_ = v.scoredup.select("accession", "row_nr").join(touched, ["accession", "row_nr"], "left_semi")
+    before, after = (M.counted(rows_, labels_, "left") for labels_ in (own, own.where("not gone")))
+    return M.maintained(M.counted(v.scoredup, best), before, after, keys)
 
 
 # Each row's own variant, and for most the one of the next row: chains of rows, some long.
