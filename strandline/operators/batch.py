@@ -107,13 +107,13 @@ def bin_summary(bins: DataFrame) -> DataFrame:
 
 
 def archaic_calls(records: DataFrame, panel: DataFrame) -> DataFrame:
-    """Copies of the archaic allele and called alleles at a panel's sites (chrom, pos, archaic), by sample: iid, archaic, total, sites. Contigs may have their prefix or not. Of several records at a place the first (ord) whose call lacks no allele counts; alleles that its list does not have are not called. records: iid, chrom, pos, ref, alt, gt, ord."""
+    """Copies of the archaic allele and called alleles at a panel's sites (chrom, pos, archaic), by sample: iid, archaic, total, sites. Contigs may have their prefix or not. Of several records at a place the first (ord) whose call lacks no allele counts; alleles that its list does not have are not called. records: iid, chrom, pos, ref, alt, gt, ord, and nth where ord may tie: the place in the table, by which ties go."""
     from strandline.functions.alleles import alleles_of, with_chr
 
     sites = panel.select(with_chr("chrom").alias("site"), "pos", "archaic")
     whole = records.where(F.col("gt").isNotNull() & (F.col("gt") != "") & ~F.col("gt").contains("."))
     own = whole.withColumn("site", with_chr("chrom")).join(sites, ["site", "pos"])
-    first = own.groupBy("iid", "chrom", "pos", "archaic").agg(F.min_by(F.struct("ref", "alt", "gt"), "ord").alias("r"))
+    first = own.groupBy("iid", "chrom", "pos", "archaic").agg(F.min_by(F.struct("ref", "alt", "gt"), F.struct(*(c for c in ("ord", "nth") if c in records.columns))).alias("r"))
     names = F.concat(F.array("r.ref"), F.when(F.col("r.alt") == ".", F.array().cast("array<string>")).otherwise(F.split("r.alt", ",")))
     called = F.filter(F.transform(alleles_of("r.gt"), lambda a: a.try_cast("int")), lambda a: a < F.size(names))
     n = first.select("iid", F.size(F.filter(called, lambda a: F.upper(F.get(names, a)) == F.upper("archaic"))).alias("archaic"), F.size(called).alias("total")).where("total > 0")

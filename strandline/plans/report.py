@@ -16,7 +16,7 @@ from strandline.plans.grading import _BASE, _CONS, _FLAGGED, _REP, _Z, represent
 from strandline.sources.files import CONTRACT
 from strandline.plans.registry import query
 from strandline.plans.scoring import _FIT, _LAB, _ROWS, labels, rows
-from strandline.plans.views import VIEWS
+from strandline.plans.views import VIEWS, numbered
 from strandline.streaming import events as E
 
 _ROW = f"""SELECT f.sample, f.trait, CAST(NULL AS string) AS efo_id, f.pgs_id, CAST(NULL AS string) AS source_pmid, CAST(NULL AS string) AS source_doi, n_variants, training_ancestry, n_matched, f.match_rate, f.pop AS inferred_ancestry, f.pop AS most_similar_pop, CAST(NULL AS string) AS ancestry_distance,
@@ -50,7 +50,9 @@ _RECS = "SELECT iid, CASE WHEN ord % 3 = 0 THEN 'chr' ELSE '' END || CAST(chrom
  n AS (SELECT *, list_filter(said, lambda a: a < len(names)) AS called FROM p)
  SELECT iid, CAST(sum(len(list_filter(called, lambda a: names[a + 1] = archaic))) AS bigint) AS archaic, CAST(sum(len(called)) AS bigint) AS total, count(*) AS sites FROM n WHERE len(called) > 0 GROUP BY 1""")
 def q85(v):
-    return B.archaic_calls(v.sql(_RECS), v.sql(_SITES))
+    """Lines of an order may share a number, and so ord; the first of the table counts then."""
+    record = v.spark.sql(VIEWS["record"].replace(" AS ord", " AS ord, nth"), lineitem=numbered(v.lineitem), orders=v.orders)
+    return B.archaic_calls(v.spark.sql(_RECS.replace("gt, ord ", "gt, ord, nth "), record=record), v.sql(_SITES))
 
 
 _CELLS = "SELECT pgs_id, metric, CAST(max(estimate) AS double) AS value FROM ({0}) GROUP BY 1, 2".replace("{0}", _REPORT)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandline.sources import shared
 
@@ -98,6 +99,12 @@ class Views:
         return self.spark.sql(text, **{n: getattr(self, n) for n in set(_NAME.findall(text))})
 
 
+def numbered(table: DataFrame) -> DataFrame:
+    """A table read from Parquet with nth, the place of each row in the table: by files in the order of their names, then inside the file."""
+    files = F.array(*map(F.lit, sorted(table.inputFiles())))
+    return table.withColumn("nth", F.array_position(files, F.col("_metadata.file_path")) * (1 << 40) + F.col("_metadata.row_index"))
+
+
 def oracle(text: str) -> str:
     """SQL for DuckDB: a query whose text may have views in braces."""
     order: list[str] = []

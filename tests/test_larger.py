@@ -44,3 +44,10 @@ def same(spark, name, folder):
 def test_delta_summary_where_rows_share_a_number(spark, made):
     """Above a million variants a row has the number of another row's second copy."""
     same(spark, "q31_delta_summary", made(part="select * from part union all select * replace (p_partkey + 1000000 as p_partkey) from part"))
+
+
+def test_archaic_calls_where_lines_share_a_number(spark, made):
+    """Some lines come again with their number and place and another status; the first in the table counts, whichever status it has."""
+    lines = "select * replace ((l_orderkey // 3) * 3 as l_orderkey, (l_partkey // 5) * 5 + 1 as l_partkey) from lineitem"
+    turned = lines.replace("as l_partkey)", "as l_partkey, case l_linestatus when 'F' then 'O' else 'F' end as l_linestatus)")
+    same(spark, "q85_archaic_calls", made(lineitem=f"{lines} union all {turned}"))
