@@ -5,10 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 FATES = "iid long, chrom long, pos long, ref string, alt string, gt string, ord long, multi boolean, fate string"
-STATE = "ref array<string>, alt array<string>, gt array<string>, ord array<bigint>"
 #: Chromosome of a mark that only moves the watermark on.
 MARK = -1
 
@@ -28,30 +26,17 @@ def fates(records: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(_fates(*(records[c].tolist() for c in ("ref", "alt", "gt", "ord"))))
 
 
-def _place(key, batches, state: GroupState):
-    iid, chrom, pos = key
-    if state.hasTimedOut:
-        out = _fates(*state.get)
-        state.remove()
-        n = len(out["ord"])
-        yield pd.DataFrame({"iid": [iid] * n, "chrom": [chrom] * n, "pos": [pos] * n, **out})
-        return
-    if chrom == MARK:
-        return
-    held = [list(x) for x in state.get] if state.exists else [[], [], [], []]
-    at = 0
-    for batch in batches:
-        for k, c in enumerate(("ref", "alt", "gt", "ord")):
-            held[k] += batch[c].tolist()
-        at = max(at, int(batch["at"].max().timestamp() * 1000))
-    state.update(tuple(held))
-    state.setTimeoutTimestamp(max(at, state.getCurrentWatermarkMs()) + 1)
-
-
 def repaired_stream(records: DataFrame, late: str = "0 seconds") -> DataFrame:
     """Fates of a stream's records: iid, chrom, pos, ref, alt, gt, ord, multi, fate. records: those columns of FATES before multi, and at, a time that grows with the order in which places come; a place's records have one such time. A place is decided, and its state goes, when the watermark (late behind the newest time) has passed it, so the state holds the places of that span alone. A record that comes later than that is dropped by the stream. Records of chromosome MARK move the watermark on and leave nothing."""
     own = records.select("iid", "chrom", "pos", "ref", "alt", "gt", "ord", "at").withWatermark("at", late)
-    return own.groupBy("iid", "chrom", "pos").applyInPandasWithState(_place, FATES, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    record = F.when(F.col("chrom") != MARK, F.struct("ref", "alt", "ord", "gt"))
+    places = own.groupBy("iid", "chrom", "pos", "at").agg(F.array_sort(F.collect_list(record)).alias("rows"))
+    varies = F.coalesce(F.exists("rows", lambda r: r["alt"] != "."), F.lit(False))
+    again = lambda r, last: last["ref"].eqNullSafe(r["ref"]) & last["alt"].eqNullSafe(r["alt"])
+    fate = lambda r, i: F.when((r["alt"] == ".") & F.col("varies"), "dropped_homref").when((i > 0) & again(r, F.get("rows", i - 1)), "dropped_dup").otherwise("kept")
+    told = places.withColumns({"varies": varies, "multi": F.size("rows") > 1})
+    each = told.select("iid", "chrom", "pos", "multi", F.explode(F.transform("rows", lambda r, i: F.struct(r.alias("r"), fate(r, i).alias("fate")))).alias("x"))
+    return each.select("iid", "chrom", "pos", "x.r.ref", "x.r.alt", "x.r.gt", "x.r.ord", "multi", "x.fate")
 
 
 def place_time(chrom: str = "chrom", pos: str = "pos"):

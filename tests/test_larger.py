@@ -1,6 +1,7 @@
 """Queries against their oracle SQL on tables that differ from the given ones in what larger copies bring."""
 
 import os
+import time
 
 import duckdb
 import pytest
@@ -51,3 +52,10 @@ def test_archaic_calls_where_lines_share_a_number(spark, made):
     lines = "select * replace ((l_orderkey // 3) * 3 as l_orderkey, (l_partkey // 5) * 5 + 1 as l_partkey) from lineitem"
     turned = lines.replace("as l_partkey)", "as l_partkey, case l_linestatus when 'F' then 'O' else 'F' end as l_linestatus)")
     same(spark, "q85_archaic_calls", made(lineitem=f"{lines} union all {turned}"))
+
+
+def test_stream_repair_keeps_up_with_many_places(spark, made):
+    """Tens of thousands of places, each decided without a call of Python of its own."""
+    folder, begun = made(), time.monotonic()
+    same(spark, "x04_stream_repair", folder)
+    assert time.monotonic() - begun < 60
