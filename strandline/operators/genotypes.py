@@ -73,11 +73,21 @@ def sex_from_coverage(stats: DataFrame) -> DataFrame:
     return out.withColumn("sex", F.when((x >= 0.80) & (y <= 0.15), "female").when((x <= 0.70) & (y >= 0.12), "male").otherwise("unknown"))
 
 
+#: Positions of a block in which targets are counted.
+BLOCK = 1 << 15
+
+
 def explicit_fraction(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """By sample: explicit genotypes at targets, targets inside the contig's span of records, their ratio, and whether the input looks like all sites. The spans are one row a contig and sample."""
+    """By sample: explicit genotypes at targets, targets inside the contig's span of records, their ratio, and whether the input looks like all sites. The spans are one row a contig and sample; they meet the counts of whole blocks of targets, and targets themselves at their two ends alone."""
+    block = lambda c: F.floor(F.col(c) / BLOCK)
+    sites = targets.select("chrom", "pos").distinct()
+    blocked = sites.withColumn("block", block("pos"))
     span = records.groupBy("iid", "chrom").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-    inside = targets.join(span, "chrom").where("pos between lo and hi").groupBy("iid").agg(F.count_distinct("chrom", "pos").alias("n_targets"))
-    explicit = records.where(A.gt_called("gt")).join(targets, ["chrom", "pos"], "left_semi").groupBy("iid").agg(F.count_distinct("chrom", "pos").alias("n_explicit"))
+    whole = span.join(blocked.groupBy("chrom", "block").agg(F.count(F.lit(1)).alias("n")), "chrom").where((F.col("block") > block("lo")) & (F.col("block") < block("hi")))
+    ends = span.withColumn("block", F.explode(F.array_distinct(F.array(block("lo"), block("hi"))))).join(blocked, ["chrom", "block"]).where("pos between lo and hi")
+    counts = whole.groupBy("iid").agg(F.sum("n").alias("n")).unionByName(ends.groupBy("iid").agg(F.count(F.lit(1)).alias("n")))
+    inside = counts.groupBy("iid").agg(F.sum("n").alias("n_targets"))
+    explicit = records.where(A.gt_called("gt")).join(sites, ["chrom", "pos"], "left_semi").groupBy("iid").agg(F.count_distinct("chrom", "pos").alias("n_explicit"))
     share = F.col("n_explicit") / F.col("n_targets")
     return inside.join(explicit, "iid", "left").na.fill(0, ["n_explicit"]).select("iid", "n_explicit", "n_targets", F.round(share, 6).alias("fraction"), (share >= LEAST_EXPLICIT).alias("all_sites"))
 

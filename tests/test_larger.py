@@ -59,3 +59,50 @@ def test_stream_repair_keeps_up_with_many_places(spark, made):
     folder, begun = made(), time.monotonic()
     same(spark, "x04_stream_repair", folder)
     assert time.monotonic() - begun < 60
+
+
+def most_rows(spark, make):
+    """Most rows that an operator of the plan of make() gave."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df, most = make(), 0
+        df.collect()
+        todo = [df._jdf.queryExecution().executedPlan()]
+        while todo:
+            p = todo.pop()
+            if p.metrics().contains("numOutputRows"):
+                most = max(most, p.metrics().apply("numOutputRows").value())
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+        return most
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_ancestry_of_many_customers_needs_no_pairs(spark, made):
+    """Customers and suppliers of a nation are not paired one by one."""
+    folder = made(supplier="select * replace (s_suppkey + k * 100000 as s_suppkey) from supplier, (select unnest(range(20)) as k)")
+    same(spark, "q47_multi_ancestry_eval", folder)
+    pairs = duckdb.sql(f"select count(*) from '{folder}/customer.parquet', '{folder}/supplier.parquet' where c_nationkey = s_nationkey").fetchall()[0][0]
+    assert most_rows(spark, lambda: catalog.queries()["q47_multi_ancestry_eval"](spark, folder)) < pairs / 4
+
+
+def test_targets_inside_spans_are_counted_by_blocks(spark, monkeypatch):
+    """Whole blocks, ends inside one block, in neighbours, and on the edges of blocks."""
+    import random
+
+    from strandline.operators import genotypes as G
+
+    rnd = random.Random(3)
+    records = [(rnd.randrange(40), c, rnd.randrange(1, 400), "0/1" if rnd.random() < 0.8 else "./.") for c in ("1", "2") for _ in range(200)]
+    targets = [(c, p) for c in ("1", "2", "3") for p in range(1, 420) if p % 7 < 5] + [("1", 8), ("1", 8)]
+    monkeypatch.setattr(G, "BLOCK", 32, raising=False)
+    tables = spark.createDataFrame(records, "iid int, chrom string, pos int, gt string"), spark.createDataFrame(targets, "chrom string, pos int")
+    want = {}
+    for i in {r[0] for r in records}:
+        own = [r for r in records if r[0] == i]
+        spans = {c: [p for _, x, p, _ in own if x == c] for c in {r[1] for r in own}}
+        inside = sum(min(spans[c]) <= p <= max(spans[c]) for c, p in set(targets) if c in spans)
+        if inside:
+            want[i] = (len({(c, p) for _, c, p, g in own if "." not in g} & set(targets)), inside)
+    assert {r["iid"]: (r["n_explicit"], r["n_targets"]) for r in G.explicit_fraction(*tables).collect()} == want
+    assert most_rows(spark, lambda: G.explicit_fraction(*tables)) < 6000
