@@ -18,16 +18,20 @@ GROUP = 256
 AT_ONCE = 1024
 
 
+#: Variants of a slice at least.
+SLICE = 4096
+
+
 def _pairs_of_groups(batches):
-    """From sorted batches: each pair of groups with tables of whole variants, AT_ONCE at a time or little more."""
+    """From batches sorted by pair of groups, slice and variant: each pair and slice with tables of whole variants, AT_ONCE at a time or little more."""
 
     def slices():
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("one", "two")])
+            keys = np.stack([batch.column(c).to_numpy() for c in ("one", "two", "slice")])
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
                 for at in range(lo, hi, 2 * AT_ONCE):
-                    yield (int(keys[0, at]), int(keys[1, at])), pa.Table.from_batches([batch.slice(at, min(hi, at + 2 * AT_ONCE) - at)])
+                    yield tuple(keys[:, at].tolist()), pa.Table.from_batches([batch.slice(at, min(hi, at + 2 * AT_ONCE) - at)])
 
     def of(own):
         held = None
@@ -65,17 +69,29 @@ def _counts(table: pa.Table, key: tuple[int, int], ids: list[dict[int, int]]) ->
     return np.stack([a1 @ b1.T, a0 @ b2.T + a2 @ b0.T, a1 @ call[1].T, call[0] @ b1.T, call[0] @ call[1].T])
 
 
+#: Counts of a pair.
+COUNTS = ("shared", "opposite", "n_one", "n_two", "n")
+
+
+def _estimate(shared, opposite, one, two):
+    less = np.minimum(one, two)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return (shared - 2 * opposite) / (2 * less) + 0.5 - (one + two) / (4 * less)
+
+
 def kinship(genotypes: DataFrame, least: float = LEAST_KINSHIP, group: int = GROUP) -> DataFrame:
     """Pairs of individuals (iid, vid, dosage) related at least so much: a, b (a < b), kinship, n (variants called in both). Between-family robust estimate: shared heterozygous sites less twice the opposite homozygous ones, over twice the heterozygous sites of the one who has fewer, with the correction for unequal ones.
 
-    Individuals are dealt into groups of their order; a task goes through the variants for one pair of groups and holds the counts of their pairs, group squared. Only pairs that are related leave it."""
+    Individuals are dealt into groups by hash; a task goes through a slice of the variants for one pair of groups and holds the counts of their pairs, group squared. Where there are fewer pairs of groups than shuffle partitions, variants are dealt into several slices, whose counts are added; with one slice only pairs that are related leave a task."""
     people = genotypes.select(F.col("iid").cast("bigint").alias("iid")).distinct()
     n_groups = max(1, -(-people.count() // group))
     side = F.pmod(F.xxhash64("iid"), F.lit(n_groups)).cast("int")
     called = genotypes.where("dosage between 0 and 2").select(F.col("iid").cast("bigint").alias("iid"), F.col("vid").cast("bigint").alias("vid"), F.col("dosage").cast("int").alias("dosage"))
     rows = called.withColumn("own", side).groupBy("own", "vid").agg(F.collect_list(F.struct("iid", "dosage")).alias("g"))
     both = F.transform(F.sequence(F.lit(0), F.lit(n_groups - 1)), lambda o: F.struct(F.least(o, F.col("own")).alias("one"), F.greatest(o, F.col("own")).alias("two")))
-    rows = rows.withColumn("pair", F.explode(both)).select("pair.one", "pair.two", "own", "vid", "g")
+    pairs = n_groups * (n_groups + 1) // 2
+    n_slices = max(1, min(-(-2 * int(genotypes.sparkSession.conf.get("spark.sql.shuffle.partitions")) // pairs), called.agg(F.approx_count_distinct("vid")).first()[0] // SLICE))
+    rows = rows.withColumn("pair", F.explode(both)).select("pair.one", "pair.two", F.pmod(F.xxhash64("vid"), F.lit(n_slices)).alias("slice"), "own", "vid", "g")
 
     def counted(batches):
         for key, tables in _pairs_of_groups(batches):
@@ -86,14 +102,22 @@ def kinship(genotypes: DataFrame, least: float = LEAST_KINSHIP, group: int = GRO
                 total = np.zeros((5, len(ids[0]), len(ids[1])))
                 total[:, : sums.shape[1], : sums.shape[2]] = sums
                 sums = total + now
-            (shared, opposite, one, two, n), (a, b) = sums, (np.array(list(x), np.int64) for x in ids)
-            less = np.minimum(one, two)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                k = (shared - 2 * opposite) / (2 * less) + 0.5 - (one + two) / (4 * less)
-            i, j = np.nonzero((less > 0) & (k >= least) & ((a[:, None] != b[None, :]) if key[0] != key[1] else (a[:, None] < b[None, :])))
-            yield pa.record_batch([pa.array(np.minimum(a[i], b[j])), pa.array(np.maximum(a[i], b[j])), pa.array(k[i, j]), pa.array(n[i, j].astype(np.int64))], ["a", "b", "kinship", "n"])
-
-    return rows.repartition("one", "two").sortWithinPartitions("one", "two", "vid").mapInArrow(counted, "a bigint, b bigint, kinship double, n bigint")
+            a, b = (np.array(list(x), np.int64) for x in ids)
+            met = (a[:, None] != b[None, :]) if key[0] != key[1] else (a[:, None] < b[None, :])
+            if n_slices == 1:
+                met &= (np.minimum(sums[2], sums[3]) > 0) & (_estimate(*sums[:4]) >= least)
+            i, j = np.nonzero(met & (sums[4] > 0))
+            turned = a[i] > b[j]
+            one, two = np.where(turned, sums[3][i, j], sums[2][i, j]), np.where(turned, sums[2][i, j], sums[3][i, j])
+            columns = [np.minimum(a[i], b[j]), np.maximum(a[i], b[j]), sums[0][i, j], sums[1][i, j], one, two, sums[4][i, j]]
+            yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], ["a", "b", *COUNTS])
+
+    parts = rows.repartition("one", "two", "slice").sortWithinPartitions("one", "two", "slice", "vid").mapInArrow(counted, ", ".join(f"{c} bigint" for c in ("a", "b", *COUNTS)))
+    if n_slices > 1:
+        parts = parts.groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    less = F.least("n_one", "n_two")
+    k = (F.col("shared") - 2 * F.col("opposite")) / (2 * less) + 0.5 - (F.col("n_one") + F.col("n_two")) / (4 * less)
+    return parts.where(less > 0).select("a", "b", k.alias("kinship"), "n").where(F.col("kinship") >= least)
 
 
 def unrelated(people: DataFrame, related: DataFrame) -> DataFrame:

@@ -199,3 +199,16 @@ def test_pruning_in_blocks_equals_one_block(spark):
     variants = spark.createDataFrame([(v, "chr1", v) for v in range(300)], "vid long, chrom string, ord int")
     by = [sorted(r["vid"] for r in pruning.pruned(table(spark, x), variants, 12, 5, 0.05, block=b).collect()) for b in (12, 30, 1000)]
     assert by[0] == by[1] == by[2] and 0 < len(by[0]) < 300
+
+
+def test_kinship_adds_slices_of_variants(spark, monkeypatch):
+    """Few individuals and many variants: several tasks share a pair of groups, and give what one gives."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 3, (14, 200))
+    x[3] = np.where(rng.random(200) < 0.8, x[9], x[3])
+    called = rng.random((14, 200)) < 0.9
+    by = []
+    for size in (10, 10**9):
+        monkeypatch.setattr(kinship, "SLICE", size, raising=True)
+        by.append(sorted((r["a"], r["b"], round(r["kinship"], 9), r["n"]) for r in kinship.kinship(table(spark, x, called), group=8).collect()))
+    assert by[0] == by[1] and (3, 9) in {r[:2] for r in by[0]}
