@@ -12,7 +12,7 @@ bucket of n members gives 2n pairs, however large it is, and its rows meet the c
 execution may split. Different bands draw different centres, so members that are alike are linked on many paths.
 
 An exact finish follows, for near documents that these classes still keep apart. Shingles get one order for the whole
-table, rare ones first (by counts in bins over a sample; any order gives the same result). Two sets with a Jaccard
+table, rare ones first (by counts in bins over all texts; any order gives the same result). Two sets with a Jaccard
 similarity of SIMILARITY share one of their first n - ceil(SIMILARITY * n) + 1 shingles in that order, their prefixes;
 documents of different classes that share a shingle of their prefixes are candidates, unless their sizes, the shingle's
 places or their parities (see parities) rule SIMILARITY out; what is left is held against wider parities before any
@@ -116,8 +116,8 @@ def _bin_counts(batches):
 
 
 def heavy_bins(slim: DataFrame) -> np.ndarray:
-    """Bins of shingles far more frequent than others in a sample of slim (id, text), and their counts: two rows."""
-    counts = slim.where(F.pmod(F.xxhash64("id"), F.lit(8)) == 0).select("text").mapInArrow(_bin_counts, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
+    """Bins of shingles far more frequent than others in slim (id, text), and their counts: two rows."""
+    counts = slim.select("text").mapInArrow(_bin_counts, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
     counts = written(counts, "bins")
     usual = (counts.agg(F.sum("n")).first()[0] or 0) / BINS
     found = counts.where(F.col("n") >= 2 * usual + 8).collect()
