@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.graphs import independent
+from strandline.sources import shared
 
 #: Kinship of third-degree relatives at least.
 LEAST_KINSHIP = 0.0442
@@ -122,6 +123,7 @@ def kinship(genotypes: DataFrame, least: float = LEAST_KINSHIP, group: int = GRO
 
 def unrelated(people: DataFrame, related: DataFrame) -> DataFrame:
     """People (iid) that stay when those with the fewest relatives are taken first, then by id, and each goes that is related to one taken before: iid."""
+    related = shared.kept(related.select("a", "b"), "related")  # used several times, and each would go over all genotypes
     ends = related.select(F.col("a").alias("iid")).union(related.select(F.col("b").alias("iid"))).groupBy("iid").agg(F.count(F.lit(1)).alias("n"))
     nodes = people.select(F.col("iid").cast("bigint").alias("iid")).distinct().join(ends, "iid", "left").select("iid", F.coalesce("n", F.lit(0)).alias("n"))
     return independent(nodes, related, "iid", "n")

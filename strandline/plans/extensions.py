@@ -31,9 +31,14 @@ def x02(v):
     return E.drained(E.sessions(E.stream_of(v.spark, v.sf_dir, "events")), _folder(v, "x02"))
 
 
+def _cohort(v):
+    """Genotypes of all, written once: each use would join and shuffle all lines again."""
+    return v.once("cohort", lambda: v.cohort)
+
+
 def _panel(v):
     """Genotypes of the reference individuals."""
-    return v.cohort.join(v.people.where("sampleset = 'reference'").select("iid"), "iid", "left_semi")
+    return v.once("panel", lambda: _cohort(v).join(v.people.where("sampleset = 'reference'").select("iid"), "iid", "left_semi"))
 
 
 def _placed(v, genotypes):
@@ -43,10 +48,10 @@ def _placed(v, genotypes):
 
 def _components(v, k):
     """Loadings of the pruned panel; its own components, and those of targets whose alleles stand as their own files have them."""
-    panel = v.once("panel", lambda: _panel(v))
+    panel = _panel(v)
     pairs = v.once("pca-pairs", lambda: P.thinned(intersect(v), pruning.pruned(panel, _placed(v, panel))))
     fitted = ancestry.loadings(panel.join(pairs.select(F.col("id_ref").alias("vid")), "vid", "left_semi"), v.people.where("sampleset = 'reference'"), k)
-    turned = v.cohort.withColumn("dosage", F.when(F.col("vid") % 3 == 0, 2 - F.col("dosage")).otherwise(F.col("dosage")))  # as the target's table has its alleles
+    turned = _cohort(v).withColumn("dosage", F.when(F.col("vid") % 3 == 0, 2 - F.col("dosage")).otherwise(F.col("dosage")))  # as the target's table has its alleles
     targets = turned.join(v.people.where("sampleset = 'target'").select("iid"), "iid", "left_semi")
     return ancestry.panel_components(v.spark, fitted, k).unionByName(ancestry.projected(ancestry.oriented(targets, pairs), fitted, k))
 

@@ -106,3 +106,13 @@ def test_targets_inside_spans_are_counted_by_blocks(spark, monkeypatch):
             want[i] = (len({(c, p) for _, c, p, g in own if "." not in g} & set(targets)), inside)
     assert {r["iid"]: (r["n_explicit"], r["n_targets"]) for r in G.explicit_fraction(*tables).collect()} == want
     assert most_rows(spark, lambda: G.explicit_fraction(*tables)) < 6000
+
+
+def test_forest_goes_over_its_genotypes_once(spark, made, monkeypatch):
+    """The cohort is written once and read by all its users; relatives are worked out once."""
+    from strandline.sources import shared
+
+    names, kept = [], shared.kept
+    monkeypatch.setattr(shared, "kept", lambda df, name: names.append(name) or kept(df, name))
+    catalog.queries()["m02_population_forest"](spark, made())
+    assert names.count("cohort") == names.count("panel") == names.count("related") == 1
