@@ -49,6 +49,7 @@ SIMILARITY = 0.8
 BANDS = 12
 PICKED = 2
 BINS = 1 << 20
+PARTS = 256  # ranges of bins
 SIGNS = [f"s{k}" for k in range(8)]
 SKETCH = "id bigint, copy binary, n_shingles int, bands array<bigint>, prefix array<bigint>, " + ", ".join(f"{c} bigint" for c in SIGNS) + ", wide binary"
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -111,13 +112,21 @@ def _bin_counts(batches):
         for start in range(0, batch.num_rows, 512):
             h, at = word_hashes(batch.slice(start, 512).column("text"))
             count += np.bincount(_bin(windows(h, at, SHINGLE)[0]), minlength=BINS)
-    some = np.flatnonzero(count)
-    yield pa.record_batch([pa.array(some), pa.array(count[some])], ["bin", "n"])
+    # Packed by ranges of bins: a row for each bin of each task cost more in the JVM than the counting.
+    yield pa.record_batch([pa.array(range(PARTS), pa.int32()), pa.array([x.astype("<i8").tobytes() for x in np.split(count, PARTS)], pa.binary())], ["part", "counts"])
+
+
+def _bin_sums(table: pa.Table) -> pa.Table:
+    total = np.zeros(BINS // PARTS, np.int64)
+    for raw in table.column("counts"):
+        total += np.frombuffer(raw.as_buffer(), "<i8")
+    some = np.flatnonzero(total)
+    return pa.table([pa.array(table.column("part")[0].as_py() * len(total) + some), pa.array(total[some])], ["bin", "n"])
 
 
 def heavy_bins(slim: DataFrame) -> np.ndarray:
     """Bins of shingles far more frequent than others in slim (id, text), and their counts: two rows."""
-    counts = slim.select("text").mapInArrow(_bin_counts, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
+    counts = slim.select("text").mapInArrow(_bin_counts, "part int, counts binary").groupBy("part").applyInArrow(_bin_sums, "bin bigint, n bigint")
     counts = written(counts, "bins")
     usual = (counts.agg(F.sum("n")).first()[0] or 0) / BINS
     found = counts.where(F.col("n") >= 2 * usual + 8).collect()
