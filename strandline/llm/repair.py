@@ -4,7 +4,7 @@ Documents are dealt into shards by ranges of their id, encoded through the disti
 an end id, and compressed shard by shard: frequent pairs of neighbouring ids are replaced by nonterminals, again and
 again, never across the end of a document. A round takes all pairs whose count is at least half of the largest one,
 and where occurrences overlap the more frequent pair wins, then the left one. Rounds end when no pair occurs
-LEAST_COUNT times.
+LEAST_COUNT times. Pairs are counted by one sort of numbers that hold the pair and its place.
 
 A shard's payload (little endian): magic ``RPG1``; number of documents, ids, rules, symbols and the first nonterminal
 (each u4); zstd of: left and right symbol of each rule (u4), expansion length of each rule (u4), the symbols (u4), the
@@ -23,7 +23,6 @@ import functools
 import struct
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -37,11 +36,11 @@ from strandline.llm.text import whole
 MAGIC = b"RPG1"
 LEAST_COUNT = 8
 PAIRS = 4096  # of a round, at least
+FEW = 1024  # replacements of a round
 SHARD_BYTES = 3 << 20  # of text
 FILE = "shard int, n_docs bigint, n_ids bigint, payload binary"
 DECODED = "shard int, place int, id bigint, before bigint, n_tokens bigint, ids binary"
 _NULL = np.iinfo(np.int64).min
-_BINS = 1 << 21
 _NOTE = -1  # in place of a bin: what a block notes for itself
 
 
@@ -62,65 +61,86 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, least: int = LEAST_CO
     known: dict[int, int] = {}  # pair -> nonterminal
     some, done = None, 0  # places that may begin a frequent pair; None: any
     while len(seq) > 1 and (rounds is None or done < rounds):
-        if some is None:
-            often = _frequent_bins(seq, last, least)
-        else:
-            often = some[~last[some]]
-        key = (seq[often].astype(np.int64) << 32) | seq[often + 1]
-        number, pairs = pd.factorize(key)
-        n = np.bincount(number, minlength=len(pairs))
-        on = np.flatnonzero((n >= least)[number])
-        often, number = often[on], number[on]
-        if not len(n) or n.max() < least:
+        often = np.flatnonzero(~last[:-1]) if some is None else some[~last[some]]
+        width = (base + len(known)).bit_length()
+        key = seq.take(often).astype(np.int64)
+        key <<= width
+        key |= seq.take(often + 1)
+        on, number, pairs, n = _frequent(key, 2 * width, least)
+        if not len(n):
             if some is None:
                 break
             some = None
             continue
+        often = often.take(on)
         done += 1
         taken = n >= max(least, n.max() // 2)
         if taken.sum() < PAIRS:  # or a long tail of rounds would follow
             taken = n >= max(least, np.sort(n)[-min(PAIRS, len(n))])
-        at, number = _winners(often, np.where(taken, n, 0)[number], number)
-        fresh = np.full(len(pairs), -1, np.int64)
-        for k in np.unique(number).tolist():
-            fresh[k] = known.setdefault(int(pairs[k]), base + len(known))
+        at, number = _winners(often, np.where(taken, n, 0).astype(np.int32).take(number), number)
+        fresh = np.full(len(pairs), -1, np.int32)
+        won = np.flatnonzero(np.bincount(number, minlength=len(pairs)))
+        for k, pair in zip(won.tolist(), pairs[won].tolist()):
+            fresh[k] = known.setdefault((pair >> width) << 32 | pair & ((1 << width) - 1), base + len(known))
+        seq[at] = fresh.take(number)
+        last[at] = last.take(at + 1)
+        gone = at + 1
+        if len(gone) < FEW:  # what lies between is copied in pieces
+            pieces = list(zip([0, *(gone + 1).tolist()], [*gone.tolist(), len(seq)]))
+            seq, last = (np.concatenate([x[i:j] for i, j in pieces]) for x in (seq, last))
+            again = np.unique(np.concatenate([often, at, at[at > 0] - 1]))
+            again = again[~np.isin(again, gone)]
+            some = again - np.searchsorted(gone, again)
+            some = some[some < len(seq) - 1]
+            continue
         again = np.zeros(len(seq), bool)
         again[often] = True
         again[at] = again[at - 1] = True
-        seq[at] = fresh[number]
-        last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
-        stay[at + 1] = False
+        stay[gone] = False
         place = np.flatnonzero(stay)
-        seq, last = seq[place], last[place]
-        some = np.flatnonzero(again[place[:-1]])
+        seq, last = seq.take(place), last.take(place)
+        some = np.flatnonzero(again.take(place[:-1]))
     rules = np.array(list(known), np.int64)
     left, right = rules >> 32, rules & 0xFFFFFFFF
-    lengths = np.ones(base + len(rules), np.int64)
-    for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
-        lengths[base + i] = lengths[a] + lengths[b]
+    lengths = [1] * base
+    for a, b in zip(left.tolist(), right.tolist()):
+        lengths.append(lengths[a] + lengths[b])
     begin = np.concatenate([[0], np.flatnonzero(last) + 1])
-    return left, right, lengths[base:], seq, begin[np.cumsum(filled) - filled]
-
-
-def _frequent_bins(seq: np.ndarray, last: np.ndarray, least: int) -> np.ndarray:
-    """Places whose pair may be frequent, by counts of hashed pairs."""
-    bin_ = seq[:-1].astype(np.uint32)
-    bin_ *= np.uint32(0x9E3779B1)
-    bin_ += seq[1:].astype(np.uint32)
-    bin_ *= np.uint32(0x85EBCA6B)
-    bin_ >>= np.uint32(11)  # _BINS
-    inside = ~last[:-1]
-    count = np.bincount(bin_[inside], minlength=_BINS)
-    return np.flatnonzero(inside & (count[bin_] >= least))
+    return left, right, np.array(lengths[base:], np.int64), seq, begin[np.cumsum(filled) - filled]
+
+
+def _frequent(key: np.ndarray, bits: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of keys of so many bits: the places of those that occur least times or more, and a number for each; the distinct ones by number, and how often each occurs. Keys and their places are sorted as one number where both fit."""
+    low = len(key).bit_length()
+    if packed := bits + low < 64:
+        both = key << low
+        both |= np.arange(len(key))
+        both.sort()
+        key = both >> low
+    else:
+        both = np.argsort(key, kind="stable")
+        key = key[both]
+    first = np.flatnonzero(np.concatenate([[True] * (len(key) > 0), key[1:] != key[:-1]]))
+    n = np.diff(first, append=len(key))
+    often = np.flatnonzero(n >= least)
+    first, n = first[often], n[often]
+    place = both.take(ragged(first, n))
+    if packed:
+        place &= (1 << low) - 1
+    number = np.full(len(key), -1, np.int32)
+    number[place] = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    on = np.flatnonzero(number >= 0)
+    return on, number.take(on), key[first], n
 
 
 def _winners(at: np.ndarray, rank: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places whose pair is replaced, and its number: of overlapping ones the one with the largest rank (0: none), of equal ones the left one and each second from there. at: ascending places where pairs begin."""
     beside = np.diff(at) == 1
-    before = np.concatenate([[0], np.where(beside, rank[:-1], 0)])
-    after = np.concatenate([np.where(beside, rank[1:], 0), [0]])
-    best = np.flatnonzero((rank > 0) & (rank >= before) & (rank >= after))
+    best = rank > 0
+    best[1:] &= (rank[1:] >= rank[:-1]) | ~beside
+    best[:-1] &= (rank[:-1] >= rank[1:]) | ~beside
+    best = np.flatnonzero(best)
     place = at[best]
     begin = np.maximum.accumulate(np.where(np.diff(place, prepend=-2) != 1, place, -1))
     best = best[(place - begin) % 2 == 0]
@@ -130,8 +150,12 @@ def _winners(at: np.ndarray, rank: np.ndarray, number: np.ndarray) -> tuple[np.n
 def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
     """The ids that the symbols stand for. Each nonterminal that occurs is worked out once."""
     rule = np.flatnonzero(symbols >= base)
-    used, which = np.unique(symbols[rule], return_inverse=True)
-    flat, owner = used.astype(np.int64), np.arange(len(used))
+    which = symbols[rule] - base
+    used = np.flatnonzero(np.bincount(which, minlength=len(left)))
+    number = np.zeros(len(left), np.int64)
+    number[used] = np.arange(len(used))
+    which = number.take(which)
+    flat, owner = used + base, np.arange(len(used))
     while (open_ := flat >= base).any():
         at = np.where(open_, 2, 1)
         first = np.cumsum(at) - at
@@ -146,7 +170,7 @@ def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int)
     # One row of places to read from: nonterminals' ids first, then the symbols as they stand.
     start = len(flat) + np.arange(len(symbols))
     start[rule] = (np.cumsum(size) - size)[which]
-    return np.concatenate([flat, symbols.astype(np.int64)])[ragged(start, n)]
+    return np.concatenate([flat, symbols.astype(np.int64)]).take(ragged(start, n))
 
 
 def to_payload(doc_ids: np.ndarray, ids: np.ndarray, ends: np.ndarray, base: int, **how) -> bytes:
